@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import bpe, decontaminate, exact_dedup, warc
+from . import bpe, decontaminate, exact_dedup, near_dedup, warc
 
 
 def queries() -> dict:
@@ -11,8 +11,9 @@ def queries() -> dict:
         "op2_bpe": bpe.op2_bpe,
         "op3_exact_dedup": exact_dedup.op3_exact_dedup,
         "op7_decontamination": decontaminate.op7_decontamination,
+        "op10_near_dedup": near_dedup.op10_near_dedup,
     }
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op1_warc": warc.SQL, "op3_exact_dedup": exact_dedup.SQL, "op7_decontamination": decontaminate.SQL}
+    return {"op1_warc": warc.SQL, "op3_exact_dedup": exact_dedup.SQL, "op7_decontamination": decontaminate.SQL, "op10_near_dedup": near_dedup.SQL}
