@@ -120,3 +120,26 @@ def many_word_hashes(texts: list[bytes], breaks: np.ndarray = SPACES) -> list[np
 def crc_mod(column: str, m: int):
     """crc32 of the id as text, modulo m."""
     return F.crc32(F.col(column).cast("string").cast("binary")) % m
+
+
+def labelled_rows(docs: DataFrame, labels: DataFrame, label: str, modulus: int, held: int, most: int) -> DataFrame:
+    """(doc_id, text, label) of about `most` labelled documents outside the held-out rows, picked by a hash of the id. The picked ids are at most about `most` rows, so they are broadcast and no text is shuffled."""
+    own = labels.select(F.col("doc_id").cast("long").alias("doc_id"), F.col(label).cast("int").alias("label")).where("doc_id is not null and label in (0, 1)").where(crc_mod("doc_id", modulus) != held).groupBy("doc_id").agg(F.max("label").alias("label"))
+    share = min(1.0, most / max(1, own.count()))
+    picked = own.where(F.pmod(F.xxhash64("doc_id"), F.lit(1 << 30)) < int(share * (1 << 30)))
+    return docs.select(F.col("doc_id").cast("long"), "text").join(F.broadcast(picked), "doc_id")
+
+
+def fit_logistic(x: np.ndarray, y: np.ndarray, ridge: float = 1.0, rounds: int = 30) -> np.ndarray:
+    """Weights, the intercept first, of a ridge logistic regression by Newton's method."""
+    x = np.column_stack([np.ones(len(x)), x])
+    w = np.zeros(x.shape[1])
+    penalty = np.full(x.shape[1], ridge)
+    penalty[0] = 1e-6
+    for _ in range(rounds):
+        p = 1 / (1 + np.exp(-np.clip(x @ w, -30, 30)))
+        step = np.linalg.solve((x * (p * (1 - p))[:, None]).T @ x + np.diag(penalty), x.T @ (p - y) + penalty * w)
+        w = w - step
+        if np.abs(step).max() < 1e-8:
+            break
+    return w
