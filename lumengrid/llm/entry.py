@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import bpe, decontaminate, exact_dedup, near_dedup, quality, toxicity, warc
+from . import bpe, decontaminate, exact_dedup, near_dedup, pii, quality, toxicity, warc
 
 
 def queries() -> dict:
@@ -11,6 +11,7 @@ def queries() -> dict:
         "op2_bpe": bpe.op2_bpe,
         "op3_exact_dedup": exact_dedup.op3_exact_dedup,
         "op5_quality": quality.op5_quality,
+        "op6_pii": pii.op6_pii,
         "op7_decontamination": decontaminate.op7_decontamination,
         "op8_toxicity": toxicity.op8_toxicity,
         "op10_near_dedup": near_dedup.op10_near_dedup,
