@@ -1,6 +1,6 @@
 """BPE encoding and decoding with a minimal acyclic lexicon.
 
-Spark counts the words of the corpus; the most frequent ones, with the ids that exact merging gives them, are compiled
+Spark counts the words of the corpus; the frequent ones, with the ids that exact merging gives them, are compiled
 on the driver into a minimal acyclic automaton: equal suffixes share states, and an edge says how many words sort
 before those behind it, so that a walk sums up to the word's number, which leads to its ids. The automaton is a file
 that executors fetch once and their Python workers map into memory. Words it doesn't hold are merged exactly, in the
@@ -21,25 +21,26 @@ import tempfile
 import uuid
 from collections import Counter
 from collections.abc import Iterator
+from functools import lru_cache
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
-import regex
 from pyspark import SparkFiles
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from tokenizers import Regex, Tokenizer, pre_tokenizers
 
-from .common import table
+from .common import saved, table
 
-#: Words that the lexicon holds; the driver sorts and compiles as many.
-LEXICON_WORDS = 1 << 16
+#: The lexicon holds the words that make up at least this share of all word occurrences; so it never holds more than 1 / FREQUENT words, and the driver compiles as many at most.
+FREQUENT = 1 / (1 << 19)
 #: Distinct words that one task remembers before it starts anew.
 REMEMBERED = 1 << 19
-#: Texts of these characters are composed already, and any Unicode version sees them alike.
-_COMMON = re.compile("[\0-ɏ‐-‧‰-⁞]*")
-#: The vocabulary's own word pattern, for such texts.
-_WORD = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\t-\r \x85\xa0\p{L}\p{N}]+")
+#: Texts of these characters are composed already, and any Unicode version sees them alike; so does the pattern below, the vocabulary's own with its classes spelled out for such texts.
+_COMMON = re.compile("[\0-ȳ‐-‧‰-⁞]*")
+_LETTER, _NUMBER, _SPACE = "a-zA-ZªµºÀ-ÖØ-öø-ȳ", "0-9²³¹¼½¾", r"\t-\r \x85\xa0"
+_WORD = re.compile(f"'s|'t|'re|'ve|'m|'ll|'d|[{_LETTER}]+|[{_NUMBER}]|[^{_SPACE}{_LETTER}{_NUMBER}]+")
 
 
 def default_path() -> str:
@@ -67,7 +68,7 @@ class Merger:
         self.rank = {tuple(p.split(" ") if isinstance(p, str) else p): i for i, p in enumerate(model["merges"])}
         self.special = {t["content"]: t["id"] for t in spec["added_tokens"]}
         self.token = {i: t for t, i in [*self.ids.items(), *self.special.items()]}
-        self.parting = regex.compile("(" + "|".join(sorted(map(regex.escape, self.special), key=len, reverse=True)) + ")") if self.special else None
+        self.parting = re.compile("(" + "|".join(sorted(map(re.escape, self.special), key=len, reverse=True)) + ")") if self.special else None
         self.letters = byte_letters()
         self.words = Splitter(path)
 
@@ -226,7 +227,7 @@ class Encoder:
         if len(known) > REMEMBERED:
             known.clear()
         cut = [[(s, [] if s is not None else self.merger.words(x)) for s, x in self.merger.pieces(t)] for t in texts]
-        self.learn(list({w for pieces in cut for _, own in pieces for w in own if w not in known}))
+        self.learn(list(set(chain.from_iterable(own for pieces in cut for _, own in pieces)).difference(known)))
         out = []
         for pieces in cut:
             found = []
@@ -240,19 +241,30 @@ class Encoder:
         return " ".join(map(self.merger.token.__getitem__, ids))
 
 
-def frequent_words(docs: DataFrame, path: str, most: int = LEXICON_WORDS) -> list[str]:
-    """The most frequent words over all texts; ties by the word itself. Each task sums up its own counts first."""
+@lru_cache(maxsize=1)
+def _merger(path: str) -> Merger:
+    """One for each Python worker, whatever the number of its tasks."""
+    return Merger(path)
+
+
+@lru_cache(maxsize=1)
+def _encoder(path: str, lexicon: str) -> Encoder:
+    return Encoder(_merger(path), Lexicon.mapped(lexicon))
+
+
+def frequent_words(docs: DataFrame, path: str, share: float = FREQUENT) -> list[str]:
+    """The words that make up at least `share` of all word occurrences. Each task sums up its own counts first."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        merger, seen = Merger(path), Counter()
+        merger, seen = _merger(path), Counter()
         for batch in batches:
             for text in batch.column(0).to_pylist():
                 for special, piece in merger.pieces(text or ""):
                     if special is None:
                         seen.update(merger.words(piece))
-            if len(seen) > REMEMBERED:
-                yield from out(seen)
-                seen = Counter()
+                if len(seen) > REMEMBERED:
+                    yield from out(seen)
+                    seen = Counter()
         yield from out(seen)
 
     def out(seen: Counter) -> Iterator[pa.RecordBatch]:
@@ -260,13 +272,14 @@ def frequent_words(docs: DataFrame, path: str, most: int = LEXICON_WORDS) -> lis
         for i in range(0, len(names), 50_000):
             yield pa.RecordBatch.from_pydict({"word": pa.array(names[i : i + 50_000], pa.string()), "n": pa.array(counts[i : i + 50_000], pa.int64())})
 
-    counted = docs.select("text").mapInArrow(count, "word string, n long").groupBy("word").agg(F.sum("n").alias("n"))
-    return [r.word for r in counted.orderBy(F.desc("n"), "word").limit(most).collect()]
+    counted = saved(docs.select("text").mapInArrow(count, "word string, n long").groupBy("word").agg(F.sum("n").alias("n")), "word-counts")
+    total = counted.agg(F.sum("n")).first()[0] or 0
+    return [r.word for r in counted.where(F.col("n") >= total * share).select("word").collect()]
 
 
 def lexicon_file(spark: SparkSession, frequent: list[str], path: str) -> str:
     """Compile the words and hand the file to all executors; its name."""
-    merger = Merger(path)
+    merger = _merger(path)
     name = f"lexicon-{uuid.uuid4().hex}.bin"
     local = os.path.join(tempfile.mkdtemp(prefix="lexicon-"), name)
     with open(local, "wb") as f:
@@ -275,15 +288,15 @@ def lexicon_file(spark: SparkSession, frequent: list[str], path: str) -> str:
     return name
 
 
-def encoded(docs: DataFrame, path: str | None = None, lexicon_words: int = LEXICON_WORDS, with_texts: bool = False) -> DataFrame:
+def encoded(docs: DataFrame, path: str | None = None, frequent: float = FREQUENT, with_texts: bool = False) -> DataFrame:
     """One row per document: doc_id, n_tokens, ids_sha256, decoded_sha256; with_texts adds ids (array) and decoded."""
     path = path or default_path()
-    name = lexicon_file(docs.sparkSession, frequent_words(docs, path, lexicon_words), path)
+    name = lexicon_file(docs.sparkSession, frequent_words(docs, path, frequent), path)
     schema = "n_tokens long, ids_sha256 string, decoded_sha256 string" + ", ids array<int>, decoded string" * with_texts
 
     @F.arrow_udf(f"struct<{schema.replace(' long', ':long').replace(' string', ':string').replace(' array', ':array')}>")
     def run(columns: Iterator[pa.Array]) -> Iterator[pa.Array]:
-        encoder = Encoder(Merger(path), Lexicon.mapped(SparkFiles.get(name)))
+        encoder = _encoder(path, SparkFiles.get(name))
         for column in columns:
             out = [[], [], [], [], []]
             texts = [x or "" for x in column.to_pylist()]
