@@ -36,6 +36,14 @@ def saved(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def free(df: DataFrame, name: str) -> str:
+    """A column name that df doesn't have yet."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
 def as_bytes(column: pa.Array) -> list[bytes]:
     """UTF-8 of each text; null counts as empty."""
     return [x or b"" for x in column.cast(pa.binary()).to_pylist()]

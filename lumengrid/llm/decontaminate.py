@@ -15,15 +15,13 @@ as they come; an empty benchmark contaminates nothing; only the named columns ar
 
 from __future__ import annotations
 
-import hashlib
-from bisect import bisect_right
 from collections.abc import Iterator
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import as_bytes, table
+from .common import as_bytes, free, table
 
 WINDOW = 13
 #: Bytes of patterns that one scan holds. Beyond it, the patterns are cut into several sets.
@@ -31,13 +29,8 @@ MAX_PATTERN_BYTES = 256 << 20
 _FORM = bytes(c + 32 if 65 <= c <= 90 else c if 48 <= c <= 57 or 97 <= c <= 122 or c >= 128 else 32 for c in range(256))
 
 
-def form(text: bytes) -> bytes:
-    """The words in lower case, a space before, between and after them; a lone space if there are none."""
-    words = text.translate(_FORM).split(b" ")
-    return b" " + b" ".join(w for w in words if w) + b" "
-
-
 def plain(text: bytes) -> bytes:
+    """The words in lower case, a space before, between and after them."""
     return b" " + b" ".join(text.translate(_FORM).split()) + b" "
 
 
@@ -148,8 +141,10 @@ def hits(docs: DataFrame, benchmark: DataFrame, name: str = "_hits", most: int =
 
     found = docs.withColumn(name, scanner(held[0])(F.col("text")))
     for part in held[1:]:
-        more = scanner(part)(F.col("text"))
-        found = found.withColumn("_more", more).withColumn(name, F.struct(F.col(name)["n_words"].alias("n_words"), F.concat(F.col(name)["ranges"], F.col("_more.ranges")).alias("ranges"), F.array_union(F.col(name)["items"], F.col("_more.items")).alias("items"))).drop("_more")
+        also = free(found, "more")
+        one, two = F.col(name), F.col(also)
+        both = F.struct(one["n_words"].alias("n_words"), F.concat(one["ranges"], two["ranges"]).alias("ranges"), F.array_union(one["items"], two["items"]).alias("items"))
+        found = found.withColumn(also, scanner(part)(F.col("text"))).withColumn(name, both).drop(also)
     return found
 
 
@@ -169,9 +164,10 @@ def contamination(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
 
 def stage(spark, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The documents that are not contaminated; all columns."""
-    found = hits(docs, table(spark, sf_dir, "benchmark"), "_hits")
-    hit = _n_hit(F.col("_hits.ranges"))
-    return found.where(~((hit > 0) & (20 * hit >= F.col("_hits.n_words")))).drop("_hits")
+    name = free(docs, "hits")
+    found = hits(docs, table(spark, sf_dir, "benchmark"), name)
+    hit = _n_hit(F.col(name)["ranges"])
+    return found.where(~((hit > 0) & (20 * hit >= F.col(name)["n_words"]))).drop(name)
 
 
 def op7_decontamination(spark, sf_dir: str) -> DataFrame:

@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import as_bytes, saved, table
+from .common import as_bytes, free, saved, table
 
 PRIME = (1 << 31) - 1
 #: Bases of the four polynomials: fixed values, any four numbers below the prime do.
@@ -167,8 +167,9 @@ def exact_dedup(docs: DataFrame) -> DataFrame:
 
 def stage(spark, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents whose text appears first under their id; all columns."""
-    drop = exact_dedup(docs).where("not kept").select(F.col("doc_id").alias("_drop_id"))
-    return docs.join(drop.distinct(), F.col("doc_id") == F.col("_drop_id"), "left_anti")
+    gone = free(docs, "drop_id")
+    drop = exact_dedup(docs).where("not kept").select(F.col("doc_id").alias(gone)).distinct()
+    return docs.join(drop, docs["doc_id"] == drop[gone], "left_anti")
 
 
 def op3_exact_dedup(spark, sf_dir: str) -> DataFrame:

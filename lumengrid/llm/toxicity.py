@@ -29,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import crc_mod, fit_logistic, labelled_rows, table, word_hashes
+from .common import crc_mod, fit_logistic, free, labelled_rows, saved, table, word_hashes
 from .near_dedup import shingles
 
 TRAIN_ROWS = 24_000
@@ -227,8 +227,6 @@ def _smallest(columns: Iterator[pa.Array]) -> Iterator[pa.Array]:
 
 
 def train(docs: DataFrame, labels: DataFrame) -> Model:
-    from .common import saved
-
     rows = labelled_rows(docs, labels, "toxic", MODULUS, HELD, TRAIN_ROWS)
     rows = saved(rows.withColumn("smallest", F.arrow_udf(_smallest, "long")("text")).dropDuplicates(["smallest", "label"]).select("text", "label"), "toxic-rows")
     amount = {r.label: r["count"] for r in rows.groupBy("label").count().collect()}
@@ -277,10 +275,10 @@ def spans(docs: DataFrame, model: Model, least: float = SPAN) -> DataFrame:
             texts = [x or "" for x in column.to_pylist()]
             out = []
             for text, p in zip(texts, tagger.marginals(texts)):
-                # lower() may lengthen a text, so the spans are found in the text as it is when lengths agree
+                # lower() rarely lengthens a text; its positions then hold for the text in lower case
                 low = text.lower()
-                base = low if len(low) != len(text) else text
-                out.append([{"start": m.start(), "end": m.end(), "word": m.group(), "probability": float(q)} for m, q in zip(_TOKEN.finditer(low), p) if q >= least] if base is low else [{"start": m.start(), "end": m.end(), "word": text[m.start() : m.end()], "probability": float(q)} for m, q in zip(_TOKEN.finditer(low), p) if q >= least])
+                base = text if len(low) == len(text) else low
+                out.append([{"start": m.start(), "end": m.end(), "word": base[m.start() : m.end()], "probability": float(q)} for m, q in zip(_TOKEN.finditer(low), p) if q >= least])
             yield pa.array(out, pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32()), ("word", pa.string()), ("probability", pa.float64())])))
 
     return docs.select("doc_id", run("text").alias("spans"))
@@ -295,7 +293,8 @@ def toxicity(docs: DataFrame, labels: DataFrame) -> DataFrame:
 def stage(spark, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The documents that aren't toxic; all columns."""
     model = train(docs, table(spark, sf_dir, "labels"))
-    return scores(docs, model, "_toxicity").where(F.col("_toxicity") < THRESHOLD).drop("_toxicity")
+    name = free(docs, "toxicity")
+    return scores(docs, model, name).where(F.col(name) < THRESHOLD).drop(name)
 
 
 def op8_toxicity(spark, sf_dir: str) -> DataFrame:
