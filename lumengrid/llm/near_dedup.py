@@ -5,9 +5,9 @@ of its smallest hash only the number of leading zeros and ten mantissa bits, and
 one in an order of its own. Bands of five registers are hashed to keys. Documents with equal sets are one class;
 class representatives that share a key are candidates. Instead of all pairs of a bucket, each member meets the bucket's
 smallest and largest id; the Jaccard estimate from the registers, corrected for registers that agree by accident, drops
-what is far below the threshold, and the rest is confirmed on the full sets. Connected components follow. In buckets
-that still hold several components, pairs across components are then tested too, so no link between components of a
-bucket is lost. A pair at the threshold misses all 26 bands with a probability of 4e-7.
+what is far below the threshold, and the rest is confirmed on the full sets. Connected components follow. The documents
+of buckets that still hold several components then go through an exact prefix join, which finds whatever links
+components without listing the pairs of a bucket. A pair at the threshold misses all 26 bands with a probability of 4e-7.
 
 Defined cases: texts without words, and null texts, have an empty set, link with nothing and stay; fewer than three
 words are one shingle; a row with a null doc_id is grouped by its set but is never the row that stays unless the class
@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import as_bytes, many_word_hashes, mix64, saved, steps, table
+from .common import as_bytes, free, many_word_hashes, mix64, saved, steps, table
 
 REGISTERS, ROWS = 130, 5
 BANDS = REGISTERS // ROWS
@@ -33,6 +33,8 @@ PERCENT = 85
 #: Standard deviations by which an estimate may fall short before a pair is dropped unseen.
 MARGIN = 6.0
 SHINGLE = 3
+#: Hash cells by whose counts shingles are ordered in the exact search.
+ORDER_CELLS = 1 << 20
 
 _U = np.uint64
 _ORDER = np.array([np.argsort(mix64(np.arange(REGISTERS, dtype=_U) + _U(1000 * (j + 1)))) for j in range(REGISTERS)])
@@ -159,35 +161,52 @@ def components(links: DataFrame) -> DataFrame:
         now = new.select("id", "component")
 
 
-class _Search:
-    """Candidate pairs (a, b) of representatives, to confirmed links."""
-
-    def __init__(self, docs: DataFrame, reps: DataFrame):
-        self.texts = docs.select(F.col("doc_id").cast("long"), "text")
-        self.sketches = reps.select("doc_id", F.col("n_shingles").alias("n"), "sketch")
-        self.sets: DataFrame | None = None
-
-    def _fetch(self, pairs: DataFrame) -> DataFrame:
-        """The full sets of all documents in pairs; those that are already there are not computed again."""
-        need = pairs.select(F.explode(F.array("a", "b")).alias("id")).distinct()
-        if self.sets is not None:
-            need = saved(need.join(self.sets.select(F.col("doc_id").alias("id")), "id", "left_anti"), "need")
-            if need.isEmpty():
-                return self.sets
-        got = self.texts.join(need.hint("shuffle_hash"), F.col("doc_id") == F.col("id"), "left_semi").mapInArrow(_full, "doc_id long, hashes binary").dropDuplicates(["doc_id"])
-        got = saved(got, "sets")
-        self.sets = got if self.sets is None else self.sets.unionByName(got)
-        return self.sets
-
-    def links(self, pairs: DataFrame) -> DataFrame:
-        x = self.sketches.select(F.col("doc_id").alias("a"), F.col("n").alias("n_a"), F.col("sketch").alias("s_a"))
-        y = self.sketches.select(F.col("doc_id").alias("b"), F.col("n").alias("n_b"), F.col("sketch").alias("s_b"))
-        near = F.arrow_udf(_near, "boolean")
-        likely = saved(pairs.join(x, "a").join(y, "b").where(f"100 * least(n_a, n_b) >= {PERCENT} * greatest(n_a, n_b)").where(near("s_a", "s_b", "n_a", "n_b")).select("a", "b"), "likely")
-        sets = self._fetch(likely)
-        linked = F.arrow_udf(_linked, "boolean")
-        whole = likely.join(sets.select(F.col("doc_id").alias("a"), F.col("hashes").alias("h_a")), "a").join(sets.select(F.col("doc_id").alias("b"), F.col("hashes").alias("h_b")), "b")
-        return saved(whole.where(linked("h_a", "h_b")).select("a", "b"), "links")
+def _verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
+    """The pairs (a, b) whose full sets are near enough."""
+    linked = F.arrow_udf(_linked, "boolean")
+    whole = pairs.join(sets.select(F.col("doc_id").alias("a"), F.col("hashes").alias("h_a")), "a").join(sets.select(F.col("doc_id").alias("b"), F.col("hashes").alias("h_b")), "b")
+    return saved(whole.where(linked("h_a", "h_b")).select("a", "b"), "links")
+
+
+def across(rest: DataFrame) -> DataFrame:
+    """Pairs (a, b) of different parts among rest (doc_id, n, part, hashes) that may be near: an exact prefix join.
+
+    Under any common order of shingles, near sets share one among their first (1 - t) n + 1, and the places at which
+    they share it bound their overlap. The order puts rare shingles first, by counts of ORDER_CELLS hash cells; the
+    table of cells has a fixed size, so tasks can hold it, and a coarse count costs time but never a pair.
+    """
+    spark = rest.sparkSession
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total = np.zeros(ORDER_CELLS, dtype=np.int64)
+        for batch in batches:
+            for h in batch.column(0):
+                np.add.at(total, (np.frombuffer(h.as_buffer(), dtype=_U) % _U(ORDER_CELLS)).astype(np.int64), 1)
+        cell = np.flatnonzero(total)
+        for i in range(0, len(cell), 100_000):
+            yield pa.RecordBatch.from_arrays([pa.array(cell[i : i + 100_000]), pa.array(total[cell[i : i + 100_000]])], ["cell", "n"])
+
+    counted = rest.select("hashes").mapInArrow(count, "cell long, n long").groupBy("cell").agg(F.sum("n").alias("n")).where("n > 1").toPandas()
+    table_ = np.ones(ORDER_CELLS, dtype=np.int64)
+    table_[counted["cell"].to_numpy(dtype=np.int64)] = counted["n"].to_numpy(dtype=np.int64)
+    held = spark.sparkContext.broadcast(table_)
+
+    def first(columns: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        order = held.value
+        for column in columns:
+            out = []
+            for h in column:
+                s = np.frombuffer(h.as_buffer(), dtype=_U)
+                most = len(s) - -(-PERCENT * len(s) // 100) + 1
+                out.append(s[np.lexsort((s, order[(s % _U(ORDER_CELLS)).astype(np.int64)]))[:most]].astype(np.int64))
+            yield pa.array(out, pa.list_(pa.int64()))
+
+    rows = saved(rest.select("doc_id", "n", "part", F.posexplode(F.arrow_udf(first, "array<long>")("hashes")).alias("place", "shingle")), "prefixes")
+    several = rows.groupBy("shingle").agg(F.min("part").alias("p"), F.max("part").alias("q")).where("p < q").select("shingle")
+    rows = rows.join(several, "shingle", "left_semi")
+    x, y = (rows.select("shingle", F.col("doc_id").alias(c), F.col("n").alias(f"n_{c}"), F.col("part").alias(f"p_{c}"), F.col("place").alias(f"i_{c}")) for c in "ab")
+    near = f"a < b and p_a <> p_b and {100 + PERCENT} * least(n_a - i_a, n_b - i_b) >= {PERCENT} * (n_a + n_b)"
+    return saved(x.join(y, (x.shingle == y.shingle) & F.expr(near)).select("a", "b").distinct(), "across")
 
 
 def near_dedup(docs: DataFrame) -> DataFrame:
@@ -199,23 +218,33 @@ def near_dedup(docs: DataFrame) -> DataFrame:
     own = classes.where("rep is not null").select(F.col("rep").alias("doc_id"), *same)
     reps = saved(marks.join(own, ["doc_id", *same], "left_semi").dropDuplicates(["doc_id"]).select("doc_id", "n_shingles", "sketch", "keys"), "reps")
 
+    # each member of a bucket meets the bucket's smallest and largest id
     rows = reps.select("doc_id", F.col("n_shingles").alias("n"), F.explode("keys").alias("key"))
-    buckets = rows.groupBy("key").agg(F.min("doc_id").alias("low"), F.max("doc_id").alias("high")).where("low < high")
+    buckets = rows.groupBy("key").agg(F.min("doc_id").alias("low"), F.max("doc_id").alias("high"), F.count(F.lit(1)).alias("m")).where("m > 1")
     shared = saved(rows.join(buckets, "key"), "shared")
-    meet = shared.select(F.col("low").alias("a"), F.col("doc_id").alias("b")).unionByName(shared.select(F.col("doc_id").alias("a"), F.col("high").alias("b")))
-    search = _Search(docs, reps)
-    links = search.links(meet.where("a < b").distinct())
+    meet = shared.select(F.col("low").alias("a"), F.col("doc_id").alias("b")).unionByName(shared.select(F.col("doc_id").alias("a"), F.col("high").alias("b"))).where("a < b").distinct()
+    x = reps.select(F.col("doc_id").alias("a"), F.col("n_shingles").alias("n_a"), F.col("sketch").alias("s_a"))
+    y = reps.select(F.col("doc_id").alias("b"), F.col("n_shingles").alias("n_b"), F.col("sketch").alias("s_b"))
+    near = F.arrow_udf(_near, "boolean")
+    likely = saved(meet.join(x, "a").join(y, "b").where(f"100 * least(n_a, n_b) >= {PERCENT} * greatest(n_a, n_b)").where(near("s_a", "s_b", "n_a", "n_b")).select("a", "b"), "likely")
+
+    # the full sets of all that may still be compared: in a bucket of two or three, every pair has met
+    large = shared.where("m > 3")
+    need = likely.select(F.col("a").alias("id")).unionByName(likely.select(F.col("b").alias("id"))).unionByName(large.select(F.col("doc_id").alias("id"))).distinct()
+    texts = docs.select(F.col("doc_id").cast("long"), "text").join(need.hint("shuffle_hash"), F.col("doc_id") == F.col("id"), "left_semi")
+    sets = saved(texts.mapInArrow(_full, "doc_id long, hashes binary").dropDuplicates(["doc_id"]), "sets")
+    links = _verified(likely, sets)
     labels = components(links)
 
-    # buckets with several components: pairs across them that no hub has joined
-    marked = shared.select("key", "doc_id", "n").join(labels, F.col("doc_id") == F.col("id"), "left").select("key", "doc_id", "n", F.coalesce("component", "doc_id").alias("part"))
-    mixed = marked.groupBy("key").agg(F.min("part").alias("p"), F.max("part").alias("q"), F.count(F.lit(1)).alias("m")).where("p < q and m > 2").select("key")
-    left = saved(marked.join(mixed, "key", "left_semi"), "mixed")
-    x, y = (left.select("key", F.col("doc_id").alias(c), F.col("n").alias(f"n_{c}"), F.col("part").alias(f"p_{c}")) for c in "ab")
-    across = x.join(y, (x.key == y.key) & F.expr(f"a < b and p_a <> p_b and 100 * n_a >= {PERCENT} * n_b and 100 * n_b >= {PERCENT} * n_a")).select("a", "b").distinct()
-    more = search.links(across)
-    if not more.isEmpty():
-        labels = components(links.unionByName(more))
+    # documents of larger buckets that still hold several components: whatever links these is found exactly
+    marked = large.select("key", "doc_id", "n").join(labels, F.col("doc_id") == F.col("id"), "left").select("key", "doc_id", "n", F.coalesce("component", "doc_id").alias("part"))
+    mixed = marked.groupBy("key").agg(F.min("part").alias("p"), F.max("part").alias("q")).where("p < q").select("key")
+    rest = marked.join(mixed, "key", "left_semi").select("doc_id", "n", "part").distinct()
+    rest = saved(rest.join(sets, "doc_id"), "rest")
+    if not rest.isEmpty():
+        more = _verified(across(rest), sets)
+        if not more.isEmpty():
+            labels = components(links.unionByName(more))
 
     comp = F.coalesce("component", "rep", "doc_id")
     return members.join(labels, members.rep == labels.id, "left").select("doc_id", "n_shingles", comp.alias("component_id"), F.col("doc_id").eqNullSafe(comp).alias("kept"))
@@ -223,8 +252,9 @@ def near_dedup(docs: DataFrame) -> DataFrame:
 
 def stage(spark, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near copies; all columns."""
-    drop = near_dedup(docs).where("not kept").select(F.col("doc_id").alias("_drop_id")).distinct()
-    return docs.join(drop, F.col("doc_id") == F.col("_drop_id"), "left_anti")
+    gone = free(docs, "drop_id")
+    drop = near_dedup(docs).where("not kept").select(F.col("doc_id").alias(gone)).distinct()
+    return docs.join(drop, docs["doc_id"] == drop[gone], "left_anti")
 
 
 def op10_near_dedup(spark, sf_dir: str) -> DataFrame:
