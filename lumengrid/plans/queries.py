@@ -8,8 +8,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import media, stats
-from ..model import REFERENCE, cameras
-from ..operators import calibration, export_qa, roi, segments, signals, sync
+from ..model import PROFILES, REFERENCE, cameras
+from ..operators import calibration, export_qa, provenance, roi, segments, signals, sync
+from ..streaming import watch
+from . import preflight
 from .proxies import oracle, proxy
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -567,3 +569,58 @@ def camera_set_difference(spark, d):
 def frame_set_intersection(spark, d):
     seen = proxy(spark, d, "detections").where("detected")
     return seen.where("camera_id = 'CAM_C3'").select("frame_index").intersect(seen.where("camera_id = 'CAM_C2'").select("frame_index"))
+
+
+# ---- provenance, metadata and checks
+
+
+@query("""SELECT s_suppkey, substr(sha256('{"a":"' || s_name || '","b":' || CAST(s_nationkey AS VARCHAR) || '}'), 1, 16) AS signature FROM supplier""")
+def asset_signatures(spark, d):
+    text = F.format_string('{"a":"%s","b":%d}', "s_name", "s_nationkey")
+    return spark.read.parquet(f"{d}/supplier.parquet").select("s_suppkey", provenance.text_signature(text).alias("signature"))
+
+
+def _exported(spark, d):
+    tasks = segments.export_tasks(segments.scene_segments(proxy(spark, d, "manifest").select("scene").distinct(), _segments(spark, d)))
+    rows = segments.with_phases(tasks, proxy(spark, d, "manifest"))
+    rows = rows.withColumns({"map_file": F.concat("camera_id", F.lit("_rect_map.npz")), "frame_count": F.lit(60), "width": F.lit(1920), "height": F.lit(1080), "time_key": F.lit("b")})
+    return provenance.view_metadata(rows, PROFILES["benchmark"], "b", {"rectification_asset_version": "r1", "roi_asset_version": "r2", "crop_policy_version": "c1"})
+
+
+EXPORTED = f"(SELECT CASE WHEN segment_count > 1 THEN s.scene || '_seg' || lpad(CAST(segment_index + 1 AS VARCHAR), 2, '0') ELSE s.scene END AS export_scene, s.*, g.camera_id, g.view_index, m.offset_ms FROM {SEGMENTS} s CROSS JOIN {GRID} g JOIN @manifest@ m ON m.scene = s.scene AND m.camera_id = g.camera_id)"
+
+
+@query(f"""SELECT export_scene, camera_id, 'view_' || lpad(CAST(view_index AS VARCHAR), 2, '0') AS view_id, scene || '.mp4' AS source_clip, camera_id || '_rect_map.npz' AS rectification_map_file, offset_ms AS phase_offset_ms, 97 AS jpeg_quality, "start" AS start_time, scene AS source_scene_id FROM {EXPORTED} e""")
+def metadata_views(spark, d):
+    return _exported(spark, d).select("export_scene", "camera_id", "view_id", "source_clip", "rectification_map_file", "phase_offset_ms", "jpeg_quality", F.col("segment.start_time").alias("start_time"), F.col("segment.source_scene_id").alias("source_scene_id"))
+
+
+@query(f"SELECT export_scene, count(*) AS n_views, min(offset_ms) AS least_phase, max(CASE WHEN camera_id = 'CAM_C3' THEN offset_ms END) AS reference_phase FROM {EXPORTED} e GROUP BY export_scene")
+def metadata_sequences(spark, d):
+    s = provenance.sequence_metadata(_exported(spark, d), PROFILES["benchmark"], "b", 59.94)
+    values = F.map_values("phase_offset_ms")
+    return s.select("export_scene", F.size(values).cast("long").alias("n_views"), F.array_min(values).alias("least_phase"), F.try_element_at("phase_offset_ms", F.lit(REFERENCE)).alias("reference_phase"))
+
+
+@query(f"""WITH c AS (SELECT DISTINCT CASE WHEN key % 9 = 0 THEN 'CAM_X1' ELSE camera_id END AS camera_id FROM @rects@ r WHERE key % 5 <> 2)
+SELECT 'error' AS level, 'calibration: missing ' || camera_id AS message FROM (SELECT camera_id FROM {GRID} g EXCEPT SELECT camera_id FROM c) UNION ALL SELECT 'error', 'calibration: unknown ' || camera_id FROM (SELECT camera_id FROM c EXCEPT SELECT camera_id FROM {GRID} g)""")
+def preflight_camera_sets(spark, d):
+    found = proxy(spark, d, "rects").where("key % 5 <> 2").select(F.when(F.col("key") % 9 == 0, "CAM_X1").otherwise(F.col("camera_id")).alias("camera_id"))
+    return preflight.set_errors(found, "calibration")
+
+
+@query("""WITH m AS (SELECT scene, camera_id, TRY_CAST(offset_text AS DOUBLE) AS offset_ms FROM @raw_manifest@ r)
+SELECT 'error' AS level, 'sync manifest: check scene ' || scene AS message FROM m GROUP BY scene HAVING count(offset_ms) < 25 OR bool_or(camera_id = 'CAM_C3' AND offset_ms <> 0)""")
+def preflight_manifest(spark, d):
+    return preflight.manifest_errors(_raw_offsets(spark, d))
+
+
+@query(f"SELECT camera_id FROM {PIXELS} p GROUP BY camera_id HAVING NOT bool_or(map_x + CAST(substr(camera_id, 6, 1) AS INT) % 3 * 60 BETWEEN 2 AND 45 AND map_y BETWEEN 2 AND 29)")
+def roi_blind_cameras(spark, d):
+    return roi.blind_cameras(_pixels(spark, d).withColumn("map_x", F.col("map_x") + F.substring("camera_id", 6, 1).cast("int") % 3 * 60), 48, 32, 2)
+
+
+@query("SELECT date_trunc('hour', ts) AS hour, event_type, count(*) AS n FROM events GROUP BY 1, 2")
+def event_windows(spark, d):
+    rates = watch.event_rates(spark.read.parquet(f"{d}/events.parquet"))
+    return rates.select(F.col("window.start").alias("hour"), "event_type", "n")
