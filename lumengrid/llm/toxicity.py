@@ -136,15 +136,22 @@ class Tagger:
         return 1 / (1 + math.exp(-max(-30.0, min(30.0, w[0] + sum(a * b for a, b in zip(w[1:], self.summary(p)))))))
 
 
+def _small(batches: Iterator[pa.RecordBatch], rows: int = 200) -> Iterator[pa.RecordBatch]:
+    """The batches in slices, so that only a few texts are held as words at a time."""
+    for batch in batches:
+        for at in range(0, batch.num_rows, rows):
+            yield batch.slice(at, rows)
+
+
 def _counted(rows: DataFrame) -> DataFrame:
     """(feature, toxic, clean): in how many documents each feature occurs; tasks add up their own first."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         toxic, clean = Counter(), Counter()
-        for batch in batches:
+        for batch in _small(batches):
             for text, label in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
                 (toxic if label else clean).update({f for w in set(_TOKEN.findall((text or "").lower())) for f in features(w)})
-            if len(toxic) + len(clean) > 1 << 20:
+            if len(toxic) + len(clean) > 1 << 18:
                 yield from out(toxic, clean)
                 toxic, clean = Counter(), Counter()
         yield from out(toxic, clean)
@@ -172,7 +179,7 @@ def _windows(rows: DataFrame, marks: set[str], most: int) -> list[tuple[list[str
     """Tagged sequences: all toxic ones and as many others, picked by a hash, at most about `most`."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in _small(batches):
             out = []
             for text, label in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
                 words = _TOKEN.findall((text or "").lower())
@@ -243,7 +250,7 @@ def train(docs: DataFrame, labels: DataFrame) -> Model:
 
     def summaries(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tagger = Tagger(model)
-        for batch in batches:
+        for batch in _small(batches):
             own = [tagger.summary(p) for p in tagger.marginals([x or "" for x in batch.column(0).to_pylist()])]
             yield pa.RecordBatch.from_arrays([*(pa.array([s[i] for s in own], pa.float64()) for i in range(3)), batch.column(1)], ["total", "most", "share", "label"])
 
@@ -260,7 +267,7 @@ def scores(docs: DataFrame, model: Model, name: str = "score") -> DataFrame:
         tagger = Tagger(model)
         for column in columns:
             texts = column.to_pylist()
-            yield pa.array([tagger.document(p) for at in range(0, len(texts), 500) for p in tagger.marginals([x or "" for x in texts[at : at + 500]])], pa.float64())
+            yield pa.array([tagger.document(p) for at in range(0, len(texts), 200) for p in tagger.marginals([x or "" for x in texts[at : at + 200]])], pa.float64())
 
     return docs.withColumn(name, run("text"))
 
