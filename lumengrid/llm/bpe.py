@@ -22,6 +22,7 @@ import uuid
 from collections import Counter
 from collections.abc import Iterator
 from functools import lru_cache
+from heapq import heapify, heappop, heappush
 from itertools import chain
 
 import numpy as np
@@ -35,8 +36,10 @@ from .common import saved, table
 
 #: The lexicon holds the words that make up at least this share of all word occurrences; so it never holds more than 1 / FREQUENT words, and the driver compiles as many at most.
 FREQUENT = 1 / (1 << 19)
+#: Letters from which on a word is merged with a heap.
+LONG_WORD = 200
 #: Distinct words that one task remembers before it starts anew.
-REMEMBERED = 1 << 19
+REMEMBERED = 1 << 17
 #: Texts of these characters are composed already, and any Unicode version sees them alike; so does the pattern below, the vocabulary's own with its classes spelled out for such texts.
 _COMMON = re.compile("[\0-ȳ‐-‧‰-⁞]*")
 _LETTER, _NUMBER, _SPACE = "a-zA-ZªµºÀ-ÖØ-öø-ȳ", "0-9²³¹¼½¾", r"\t-\r \x85\xa0"
@@ -75,6 +78,8 @@ class Merger:
     def merge(self, word: str) -> list[int]:
         parts = [self.letters[b] for b in word.encode()]
         parts[-1] += self.end
+        if len(parts) > LONG_WORD:
+            return self._merge_long(parts)
         rank, worst = self.rank.get, len(self.rank)
         ranks = [rank(p, worst) for p in zip(parts, parts[1:])]
         while ranks and (best := min(ranks)) < worst:
@@ -87,6 +92,26 @@ class Merger:
                 ranks[i] = rank((parts[i], parts[i + 1]), worst)
         return [self.ids[p] for p in parts]
 
+    def _merge_long(self, parts: list[str]) -> list[int]:
+        """The same merges from a heap of (rank, place), so that a huge word takes little more than linear time."""
+        n, rank = len(parts), self.rank.get
+        left, right = list(range(-1, n - 1)), list(range(1, n + 1))
+        heap = [(r, i, parts[i], parts[i + 1]) for i in range(n - 1) if (r := rank((parts[i], parts[i + 1]))) is not None]
+        heapify(heap)
+        while heap:
+            _, i, a, b = heappop(heap)
+            j = right[i]
+            if parts[i] != a or j >= n or parts[j] != b:
+                continue  # one of the two has been merged meanwhile
+            parts[i], parts[j] = a + b, ""
+            right[i] = right[j]
+            if right[i] < n:
+                left[right[i]] = i
+            for x, y in ((left[i], i), (i, right[i])):
+                if x >= 0 and y < n and (r := rank((parts[x], parts[y]))) is not None:
+                    heappush(heap, (r, x, parts[x], parts[y]))
+        return [self.ids[p] for p in parts if p]
+
     def pieces(self, text: str) -> list[tuple[int | None, str]]:
         """Special tokens (id, string) and what stands between them (None, text)."""
         if not self.parting or not any(s in text for s in self.special):
