@@ -113,23 +113,30 @@ def process(image: np.ndarray, map_x: np.ndarray, map_y: np.ndarray, region: dic
     return to_depth(out, profile.bit_depth)
 
 
-def export(frames: DataFrame, maps: DataFrame, region: dict, release: dict, profile: Profile, table: np.ndarray | None = None) -> DataFrame:
-    """Frames (BGR) with their camera's map, processed. Frames and maps meet by camera and a spread of the frame index, so a camera's frames don't end in one task; a task keeps the last map it decoded."""
-    spread = F.col("frame_index") % 64
-    joined = frames.join(maps.select("camera_id", F.col("h").alias("mh"), F.col("w").alias("mw"), "map_x", "map_y").hint("shuffle_hash"), "camera_id").withColumn("_s", spread)
+def export(frames: DataFrame, maps: DataFrame, region: dict, release: dict, profile: Profile, table: np.ndarray | None = None, spread: int = 16) -> DataFrame:
+    """Frames (BGR) with their camera's map, processed.
+
+    25 cameras are too few keys for a cluster, so a camera's frames are spread over `spread` shares, each of which gets
+    a copy of the map; frames are shuffled once. A task keeps the maps that it used last.
+    """
+    share = F.pmod(F.col("frame_index"), F.lit(spread))
+    copies = maps.select("camera_id", F.col("h").alias("mh"), F.col("w").alias("mw"), "map_x", "map_y", F.explode(F.sequence(F.lit(0), F.lit(spread - 1))).alias("_share"))
+    joined = frames.withColumn("_share", share).join(copies.hint("shuffle_hash"), ["camera_id", "_share"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held, mx, my = None, None, None
+        held: dict[str, tuple[np.ndarray, np.ndarray]] = {}
         for batch in batches:
-            for r in batch.to_pylist():
-                if held != r["camera_id"]:
-                    mx, my = (np.frombuffer(r[k], dtype="<f4").reshape(r["mh"], r["mw"]).astype(np.float64) for k in ("map_x", "map_y"))
-                    held = r["camera_id"]
+            for i in range(batch.num_rows):
+                r = batch.slice(i, 1).to_pylist()[0]
+                if r["camera_id"] not in held:
+                    if len(held) > 3:
+                        held.pop(next(iter(held)))
+                    held[r["camera_id"]] = tuple(np.frombuffer(r[k], dtype="<f4").reshape(r["mh"], r["mw"]) for k in ("map_x", "map_y"))
                 image = np.frombuffer(r["data"], dtype=np.uint8).reshape(r["h"], r["w"], 3)
-                out = process(image, mx, my, region, release, profile, table)
+                out = process(image, *held[r["camera_id"]], region, release, profile, table)
                 yield pa.RecordBatch.from_pylist([{"scene": r["scene"], "camera_id": r["camera_id"], "frame_index": r["frame_index"], "pos_msec": r["pos_msec"], "h": out.shape[0], "w": out.shape[1], "data": out.astype("<u2" if out.dtype == np.uint16 else np.uint8).tobytes()}], schema=pa.schema([("scene", pa.string()), ("camera_id", pa.string()), ("frame_index", pa.int32()), ("pos_msec", pa.float64()), ("h", pa.int32()), ("w", pa.int32()), ("data", pa.binary())]))
 
-    return joined.repartition("camera_id", "_s").mapInArrow(run, SCHEMAS["frame"])
+    return joined.mapInArrow(run, SCHEMAS["frame"])
 
 
 def border_lines(frames: DataFrame, black: int = 2, near: int = 8, band: int = 8) -> DataFrame:

@@ -5,7 +5,7 @@ Offsets arrive flat: scene, camera_id, offset_ms (null if it was no number), fra
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import media, stats
@@ -31,10 +31,9 @@ def scored(offsets: DataFrame, limits: Limits = LIMITS) -> DataFrame:
 
 
 def flagged(offsets: DataFrame, limits: Limits = LIMITS) -> DataFrame:
-    """Offsets with a flag and their rank: absolute failures first, then by size; ties by scene and grid order."""
-    rows = scored(offsets, limits).where(F.size("flags") > 0).withColumn("_soft", ~F.array_contains("flags", "abs_fail"))
-    order = Window.partitionBy(F.lit(0)).orderBy("_soft", F.desc("abs_offset_ms"), "scene", media.view_index(F.col("camera_id")))
-    return rows.withColumn("rank", F.row_number().over(order)).drop("_soft")
+    """Offsets with a flag, sorted: absolute failures first, then by size; ties by scene and grid order. The sort is by ranges, so no task holds all rows."""
+    rows = scored(offsets, limits).where(F.size("flags") > 0)
+    return rows.orderBy(~F.array_contains("flags", "abs_fail"), F.desc("abs_offset_ms"), "scene", media.view_index(F.col("camera_id")))
 
 
 def missing(offsets: DataFrame) -> DataFrame:

@@ -45,10 +45,10 @@ FLAGS = "concat_ws(';', CASE WHEN scene_z >= 6 THEN 'scene_outlier' END, CASE WH
 # ---- synchronisation
 
 
-@query(f"""SELECT scene, camera_id, offset_ms, scene_median, scene_z, camera_median, camera_z, {FLAGS} AS flags,
- row_number() OVER (ORDER BY CASE WHEN abs_offset_ms >= 600 THEN 0 ELSE 1 END, abs_offset_ms DESC, scene, view_index) AS rank FROM {SCORED} s WHERE {FLAGS} <> ''""")
+@query(f"""SELECT scene, camera_id, offset_ms, scene_median, scene_z, camera_median, camera_z, {FLAGS} AS flags FROM {SCORED} s WHERE {FLAGS} <> ''
+ ORDER BY CASE WHEN abs_offset_ms >= 600 THEN 0 ELSE 1 END, abs_offset_ms DESC, scene, view_index""")
 def sync_flagged(spark, d):
-    return sync.flagged(proxy(spark, d, "manifest")).select("scene", "camera_id", "offset_ms", "scene_median", "scene_z", "camera_median", "camera_z", F.array_join("flags", ";").alias("flags"), "rank")
+    return sync.flagged(proxy(spark, d, "manifest")).select("scene", "camera_id", "offset_ms", "scene_median", "scene_z", "camera_median", "camera_z", F.array_join("flags", ";").alias("flags"))
 
 
 @query(f"SELECT scene, camera_id, scene_mad, camera_mad, scene_z, camera_z, {FLAGS} AS flags FROM {SCORED} s")

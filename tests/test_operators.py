@@ -108,6 +108,9 @@ def test_missing_and_flags(spark):
     rows = [("s", c, 0.0 if c == "CAM_C3" else 5.0) for c in CAMERAS[:-2]] + [("s", "CAM_E4", None)]
     got = {(r.camera_id, r.reason) for r in sync.missing(spark.createDataFrame(rows, "scene string, camera_id string, offset_ms double")).collect()}
     assert got == {("CAM_E4", "invalid_offset_ms"), ("CAM_E5", "missing_camera_offset")}
+    ranked = [("s", "CAM_A1", 350.0), ("t", "CAM_A1", -700.0), ("t", "CAM_A2", 650.0), ("s", "CAM_B1", -350.0), ("s", "CAM_C3", 0.0)]
+    order = [(r.scene, r.camera_id) for r in sync.flagged(spark.createDataFrame(ranked, "scene string, camera_id string, offset_ms double")).collect()]
+    assert order == [("t", "CAM_A1"), ("t", "CAM_A2"), ("s", "CAM_A1"), ("s", "CAM_B1")]
     empty = spark.createDataFrame([], "scene string, camera_id string, offset_ms double")
     assert sync.flagged(empty).count() == 0 and sync.missing(empty).count() == 0
 
