@@ -19,6 +19,7 @@ import os
 import re
 import tempfile
 import uuid
+from array import array
 from collections import Counter
 from collections.abc import Iterator
 from functools import lru_cache
@@ -36,6 +37,8 @@ from .common import saved, table
 
 #: The lexicon holds the words that make up at least this share of all word occurrences; so it never holds more than 1 / FREQUENT words, and the driver compiles as many at most.
 FREQUENT = 1 / (1 << 19)
+#: Ids that are written as text in one step.
+SPELLED = 1 << 17
 #: Letters from which on a word is merged with a heap.
 LONG_WORD = 200
 #: Distinct words that one task remembers before it starts anew.
@@ -233,21 +236,40 @@ def compile_lexicon(entries: dict[bytes, list[int]]) -> bytes:
     return b"".join(out)
 
 
+class Spelling:
+    """Writes ids as text, each followed by a space: one gather from a table of the ids' strings."""
+
+    def __init__(self, strings: list[bytes]):
+        self.length = np.array([len(x) + 1 for x in strings], dtype=np.int64)
+        self.start = np.cumsum(self.length) - self.length
+        self.flat = np.frombuffer(b" ".join(strings) + b" ", dtype=np.uint8)
+
+    def __call__(self, ids: np.ndarray) -> tuple[memoryview, np.ndarray]:
+        """The text, and where each id's part ends."""
+        length = self.length[ids]
+        ends = np.cumsum(length)
+        where = np.arange(int(ends[-1]) if len(ends) else 0)
+        where += np.repeat(self.start[ids] - ends + length, length)
+        return memoryview(self.flat[where]), ends
+
+
 class Encoder:
-    """Text to ids and back, through the lexicon and exact merging; remembers words."""
+    """Text to ids and back, through the lexicon and exact merging; remembers words as packed ids."""
 
     def __init__(self, merger: Merger, lexicon: Lexicon | None):
         self.merger, self.lexicon, self.known = merger, lexicon, {}
-
-    def entry(self, ids: list[int]) -> tuple[int, str, str]:
-        return len(ids), " ".join(map(str, ids)), " ".join(map(self.merger.token.__getitem__, ids))
+        most = max(merger.token)
+        self.code = "H" if most < 1 << 16 else "I"
+        self.numbers = Spelling([b"%d" % i for i in range(most + 1)])
+        self.tokens = Spelling([merger.token.get(i, "").encode() for i in range(most + 1)])
 
     def learn(self, words: list[str]) -> None:
-        for w, ids in zip(words, self.lexicon.find([w.encode() for w in words]) if self.lexicon else [None] * len(words)):
-            self.known[w] = self.entry(self.merger.merge(w) if ids is None else ids)
+        found = self.lexicon.find([w.encode() for w in words]) if self.lexicon else [None] * len(words)
+        for w, ids in zip(words, found):
+            self.known[w] = array(self.code, self.merger.merge(w) if ids is None else ids).tobytes()
 
-    def encode(self, texts: list[str]) -> list[tuple[int, str, str]]:
-        """Of each text: number of ids, the ids in decimal joined by a space, the decoded text."""
+    def encode(self, texts: list[str]) -> list[np.ndarray]:
+        """The ids of each text."""
         known = self.known
         if len(known) > REMEMBERED:
             known.clear()
@@ -255,15 +277,42 @@ class Encoder:
         self.learn(list(set(chain.from_iterable(own for pieces in cut for _, own in pieces)).difference(known)))
         out = []
         for pieces in cut:
-            found = []
-            for special, own in pieces:
-                found.extend([self.entry([special])] if special is not None else map(known.__getitem__, own))
-            n, ids, tokens = zip(*found) if found else ((), (), ())
-            out.append((sum(n), " ".join(ids), " ".join(tokens)))
+            packed = b"".join(array(self.code, [special]).tobytes() if special is not None else b"".join(map(known.__getitem__, own)) for special, own in pieces)
+            out.append(np.frombuffer(packed, dtype=self.code))
         return out
 
-    def decode(self, ids: list[int]) -> str:
-        return " ".join(map(self.merger.token.__getitem__, ids))
+    def decode(self, ids: np.ndarray) -> str:
+        return bytes(self.tokens(ids)[0][:-1]).decode()
+
+    def _long(self, spelling: Spelling, ids: np.ndarray) -> str:
+        digest = hashlib.sha256()
+        for at in range(0, len(ids), SPELLED):
+            text, _ = spelling(ids[at : at + SPELLED])
+            digest.update(text if at + SPELLED < len(ids) else text[:-1])
+        return digest.hexdigest()
+
+    def digests(self, rows: list[np.ndarray], spelling: Spelling) -> list[str]:
+        """SHA-256 of each row's ids as text joined by spaces. Short rows are written together, huge ones piece by piece."""
+        out: list[str] = []
+        at = 0
+        while at < len(rows):
+            end, total = at, 0
+            while end < len(rows) and total + len(rows[end]) <= SPELLED:
+                total += len(rows[end])
+                end += 1
+            if end == at:
+                out.append(self._long(spelling, rows[at]))
+                at += 1
+                continue
+            text, ends = spelling(np.concatenate(rows[at:end]))
+            n, start = 0, 0
+            for r in rows[at:end]:
+                n += len(r)
+                stop = int(ends[n - 1]) if len(r) else start
+                out.append(hashlib.sha256(text[start : max(start, stop - 1)]).hexdigest())
+                start = stop
+            at = end
+        return out
 
 
 @lru_cache(maxsize=1)
@@ -323,15 +372,16 @@ def encoded(docs: DataFrame, path: str | None = None, frequent: float = FREQUENT
     def run(columns: Iterator[pa.Array]) -> Iterator[pa.Array]:
         encoder = _encoder(path, SparkFiles.get(name))
         for column in columns:
-            out = [[], [], [], [], []]
-            texts = [x or "" for x in column.to_pylist()]
-            for n, ids, decoded in (e for i in range(0, len(texts), 200) for e in encoder.encode(texts[i : i + 200])):
-                for o, v in zip(out, (n, hashlib.sha256(ids.encode()).hexdigest(), hashlib.sha256(decoded.encode()).hexdigest())):
-                    o.append(v)
+            n, ids, decoded, all_ids, all_decoded = [], [], [], [], []
+            for at in range(0, len(column), 200):
+                rows = encoder.encode([x or "" for x in column.slice(at, 200).to_pylist()])
+                n += map(len, rows)
+                ids += encoder.digests(rows, encoder.numbers)
+                decoded += encoder.digests(rows, encoder.tokens)
                 if with_texts:
-                    out[3].append([int(i) for i in ids.split()])
-                    out[4].append(decoded)
-            arrays = [pa.array(o, t) for o, t in zip(out, (pa.int64(), pa.string(), pa.string(), pa.list_(pa.int32()), pa.string()))]
+                    all_ids += [r.astype(np.int32) for r in rows]
+                    all_decoded += map(encoder.decode, rows)
+            arrays = [pa.array(n, pa.int64()), pa.array(ids, pa.string()), pa.array(decoded, pa.string()), pa.array(all_ids, pa.list_(pa.int32())), pa.array(all_decoded, pa.string())]
             yield pa.StructArray.from_arrays(arrays[: 3 + 2 * with_texts], ["n_tokens", "ids_sha256", "decoded_sha256", "ids", "decoded"][: 3 + 2 * with_texts])
 
     return docs.select("doc_id", run("text").alias("_e")).select("doc_id", "_e.*")
