@@ -595,9 +595,11 @@ def metadata_views(spark, d):
     return _exported(spark, d).select("export_scene", "camera_id", "view_id", "source_clip", "rectification_map_file", "phase_offset_ms", "jpeg_quality", F.col("segment.start_time").alias("start_time"), F.col("segment.source_scene_id").alias("source_scene_id"))
 
 
-@query(f"SELECT export_scene, count(*) AS n_views, min(offset_ms) AS least_phase, max(CASE WHEN camera_id = 'CAM_C3' THEN offset_ms END) AS reference_phase FROM {EXPORTED} e GROUP BY export_scene")
+@query(f"SELECT export_scene, count(*) AS n_views, min(offset_ms) AS least_phase, max(CASE WHEN camera_id = 'CAM_C3' THEN offset_ms END) AS reference_phase FROM {EXPORTED} e GROUP BY export_scene HAVING bool_or(camera_id = 'CAM_C3')")
 def metadata_sequences(spark, d):
-    s = provenance.sequence_metadata(_exported(spark, d), PROFILES["benchmark"], "b", 59.94)
+    views = _exported(spark, d)
+    whole = views.join(views.where(F.col("camera_id") == REFERENCE).select("export_scene"), "export_scene", "left_semi")
+    s = provenance.sequence_metadata(whole, PROFILES["benchmark"], "b", 59.94)
     values = F.map_values("phase_offset_ms")
     return s.select("export_scene", F.size(values).cast("long").alias("n_views"), F.array_min(values).alias("least_phase"), F.try_element_at("phase_offset_ms", F.lit(REFERENCE)).alias("reference_phase"))
 
