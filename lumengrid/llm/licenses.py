@@ -1,11 +1,13 @@
 """Licence scans by sentence rules.
 
-Texts are cut into sentences at line ends and at full stops, colons and the like before white space; a normalised
-sentence (lower case, other than letters and digits one space) is looked up in a table of known licence sentences, which
-gives its identifier. The identifiers of a text, in order, are matched against licence rules: ordered sequences that
+Texts are cut into pieces at line ends and at full stops, colons and the like before white space; pieces are normalised
+(lower case, other than letters and digits one space). A known licence sentence occurs where neighbouring pieces of a
+paragraph, one or more, make up its words, so it may be wrapped over lines and hold such marks itself ("free software:
+you can", "v. 2.0"). The identifiers of a text, in order, are matched against licence rules: ordered sequences that
 must occur in this order within SPREAD further identifiers.
 
-Defined cases: null and empty texts have no sentences; repeated sentences count each time, a licence once; repeated
+Defined cases: null and empty texts have no sentences; repeated sentences count each time, a licence once; where a known
+sentence and a longer one that begins with it both end at a cut, both count, the shorter one first; repeated
 rows get equal results; an empty table gives an empty result; only doc_id and text are read.
 """
 
@@ -68,10 +70,11 @@ RULES = (
 #: Further identifiers that may stand between those of a rule.
 SPREAD = 8
 _ID = {v: k for k, v in SENTENCES.items()}
+#: What the first words of known sentences look like: pieces are joined as long as they are among these.
+_BEGIN = {v[:i] for v in SENTENCES.values() for i in range(1, len(v) + 1) if v[i : i + 1] in ("", " ")}
 #: A sentence without any of these words isn't known; most texts end here.
 _HINT = re.compile("licen[sc]e|permission|redistribut|notice|warrant|free software|unencumbered|endorse", re.I)
-_CUT = re.compile(r"(?<=[.;:!?])[ \t]+|\n+")
-_WRAP = re.compile(r"\n(?!\s*\n)")
+_CUT = re.compile(r"(?<=[.;:!?])\s+|\n+")
 _OTHER = re.compile(r"[^a-z0-9]+")
 
 
@@ -80,17 +83,22 @@ def normalise(sentence: str) -> str:
 
 
 def identify(text: str) -> list[str]:
-    """The identifiers of the known sentences of a text, in order. Sentences may be wrapped over lines: what isn't known line by line is looked up with its lines joined."""
+    """The identifiers of the known sentences of a text, in order of their first words."""
     if not _HINT.search(text):
         return []
     out = []
     for block in re.split(r"\n\s*\n", text):
         if not _HINT.search(block):
             continue
-        own = [_ID.get(normalise(s)) for s in _CUT.split(block)]
-        joined = [_ID.get(normalise(s)) for s in re.split(r"(?<=[.;:!?])\s+", block.replace("\n", " "))] if "\n" in block else own
-        best = max(own, joined, key=lambda x: sum(i is not None for i in x))
-        out.extend(i for i in best if i)
+        pieces = [p for p in map(normalise, _CUT.split(block)) if p]
+        for i, words in enumerate(pieces):
+            while words in _BEGIN:
+                if words in _ID:
+                    out.append(_ID[words])
+                i += 1
+                if i == len(pieces):
+                    break
+                words = f"{words} {pieces[i]}"
     return out
 
 

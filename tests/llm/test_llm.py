@@ -355,6 +355,46 @@ def test_licences(spark, nothing):
     assert licenses.scan(nothing).count() == 0
 
 
+#: The known licence sentences as they stand in real headers and licence files, with their marks and line ends.
+REAL = {
+    "mit-released": "Released under the\nMIT License.",
+    "mit-licensed": "Licensed under the MIT\nlicense.",
+    "mit-grant": 'Permission is hereby granted, free of charge, to any person obtaining a copy\nof this software and associated documentation files (the "Software"), to deal\nin the Software without restriction, including without limitation the rights\nto use, copy, modify, merge, publish, distribute, sublicense, and/or sell\ncopies of the Software, and to permit persons to whom the Software is\nfurnished to do so, subject to the following conditions:',
+    "mit-notice": "The above copyright notice and this permission notice shall be included in all\ncopies or substantial portions of the Software.",
+    "mit-as-is": 'THE SOFTWARE IS PROVIDED "AS IS", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR\nIMPLIED, INCLUDING BUT NOT LIMITED TO THE WARRANTIES OF MERCHANTABILITY,\nFITNESS FOR A PARTICULAR PURPOSE AND NONINFRINGEMENT. IN NO EVENT',
+    "apache-licensed": "Licensed under the Apache License,\nVersion 2.0.",
+    "apache-licensed-the": 'Licensed under the Apache License, Version 2.0 (the "License");',
+    "apache-comply": "you may not use this file except in compliance\nwith the License.",
+    "apache-as-is": 'Unless required by applicable law or agreed to in writing, software\ndistributed under the License is distributed on an "AS IS" BASIS,\nWITHOUT WARRANTIES OR CONDITIONS OF ANY KIND, either express or implied.',
+    "gpl3-work": "This work is licensed under the GNU General Public License,\nversion 3.",
+    "gpl-free": "This program is free software: you can redistribute it and/or modify\nit under the terms of the GNU General Public License as published by\nthe Free Software Foundation, either version 3 of the License, or\n(at your option) any later version.",
+    "gpl2-free": "This program is free software; you can redistribute it and/or modify\nit under the terms of the GNU General Public License as published by\nthe Free Software Foundation; either version 2 of the License, or\n(at your option) any later version.",
+    "gpl-no-warranty": "This program is distributed in the hope that it will be useful,\nbut WITHOUT ANY WARRANTY; without even the implied warranty of\nMERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE.  See the",
+    "bsd-grant": "Redistribution and use in source and binary forms, with or without\nmodification, are permitted provided that the following conditions are met:",
+    "bsd-source": "1. Redistributions of source code must retain the above copyright notice, this\n   list of conditions and the following disclaimer.",
+    "bsd-binary": "2. Redistributions in binary form must reproduce the above copyright notice,\n   this list of conditions and the following disclaimer in the documentation\n   and/or other materials provided with the distribution.",
+    "bsd-name": "3. Neither the name of the copyright holder nor the names of its\n   contributors may be used to endorse or promote products derived from\n   this software without specific prior written permission.",
+    "isc-grant": "Permission to use, copy, modify, and/or distribute this software for any\npurpose with or without fee is hereby granted, provided that the above\ncopyright notice and this permission notice appear in all copies.",
+    "mpl-subject": "This Source Code Form is subject to the terms of the Mozilla Public\nLicense, v. 2.0. If a copy of the MPL was not distributed with this file,",
+    "cc-by": "Licensed under\nCC BY 4.0.",
+    "cc-by-sa": "Licensed under\nCC BY-SA 4.0.",
+    "cc-by-nc": "Licensed under\nCC BY-NC 4.0.",
+    "unlicense": "This is free and unencumbered software released into\nthe public domain.",
+}
+
+
+def test_licence_sentences_as_they_stand():
+    assert set(REAL) == set(licenses.SENTENCES)
+    for name, text in REAL.items():
+        for form in (text, " ".join(text.split()), text.replace("\n", "\r\n"), "/*\n * " + text.replace("\n", "\n * ") + "\n */", f"Some words.\n\n{text}\n\nMore words."):
+            assert licenses.identify(form) == [name], (name, form)
+    gpl = lambda name: licenses.licences(licenses.identify(REAL[name] + "\n\n" + REAL["gpl-no-warranty"]))
+    assert gpl("gpl-free") == ["GPL-3.0-or-later"] and gpl("gpl2-free") == ["GPL-2.0-or-later"]
+    assert licenses.licences(licenses.identify(REAL["mpl-subject"])) == ["MPL-2.0"]
+    mixed = "Released under the MIT License.\nThis program is distributed in the hope that it will be useful, but WITHOUT\nANY WARRANTY; without even the implied warranty of MERCHANTABILITY or FITNESS FOR A\nPARTICULAR PURPOSE.\nLicensed under CC BY 4.0.\nNot licensed under the MIT license."
+    assert licenses.identify(mixed) == ["mit-released", "gpl-no-warranty", "cc-by"]
+
+
 PII = {"email": r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+", "ip": r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)", "card": r"[0-9]([\x20-]?[0-9])+", "phone": r"\+[0-9][\x20().0-9-]+[0-9]"}
 
 
