@@ -205,12 +205,16 @@ def roi_relative_crops(spark, d):
     return r.select("key", F.col("rel.x").alias("rel_x"), F.col("rel.y").alias("rel_y"))
 
 
-def _pixels(spark, d):
+def _maps(spark, rects):
     grid = F.broadcast(spark.range(48 * 32).selectExpr("cast(id % 48 as int) as x", "cast(floor(id / 48) as int) as y"))
-    s = proxy(spark, d, "rects").where("key <= 25").select("camera_id", "key")
+    s = rects.select("camera_id", "key")
     return s.join(grid, F.lit(True)).select("camera_id", "y", "x", (F.col("x") + F.col("key") % 5 * 0.75 - 1.5).alias("map_x"), (F.col("y") + F.col("key") % 7 * 0.5 - 1.5).alias("map_y"))
 
 
+def _pixels(spark, d):
+    return _maps(spark, proxy(spark, d, "rects").where("key <= 25"))
+
+
 PIXELS = """(SELECT camera_id, CAST(i // 48 AS INT) AS y, CAST(i % 48 AS INT) AS x, i % 48 + key % 5 * CAST(0.75 AS DOUBLE) - CAST(1.5 AS DOUBLE) AS map_x, i // 48 + key % 7 * CAST(0.5 AS DOUBLE) - CAST(1.5 AS DOUBLE) AS map_y FROM @rects@ r, range(1536) g(i) WHERE key <= 25)"""
 MASK = f"(SELECT y, x, bool_and(map_x BETWEEN 2 AND 45 AND map_y BETWEEN 2 AND 29) AS ok FROM {PIXELS} p GROUP BY y, x)"
 
@@ -626,3 +630,102 @@ def roi_blind_cameras(spark, d):
 def event_windows(spark, d):
     rates = watch.event_rates(spark.read.parquet(f"{d}/events.parquet"))
     return rates.select(F.col("window.start").alias("hour"), "event_type", "n")
+
+
+# ---- the queries above whose SQL takes a part of a proxy's rows, over all of them; faults are put into values
+
+
+def _all_pixels(spark, d):
+    return _maps(spark, proxy(spark, d, "rects"))
+
+
+ALL_PIXELS = """(SELECT camera_id, CAST(i // 48 AS INT) AS y, CAST(i % 48 AS INT) AS x, i % 48 + key % 5 * CAST(0.75 AS DOUBLE) - CAST(1.5 AS DOUBLE) AS map_x, i // 48 + key % 7 * CAST(0.5 AS DOUBLE) - CAST(1.5 AS DOUBLE) AS map_y FROM @rects@ r, range(1536) g(i))"""
+ALL_MASK = f"(SELECT y, x, bool_and(map_x BETWEEN 2 AND 45 AND map_y BETWEEN 2 AND 29) AS ok FROM {ALL_PIXELS} p GROUP BY y, x)"
+
+
+@query(f"SELECT y, x, ok FROM {ALL_MASK} m")
+def roi_common_mask_all(spark, d):
+    return roi.common_mask(_all_pixels(spark, d), 48, 32, 2)
+
+
+@query(f"SELECT min(x) AS x, min(y) AS y, max(x) + 1 - min(x) AS width, max(y) + 1 - min(y) AS height FROM {ALL_MASK} m WHERE ok")
+def roi_bounding_box_all(spark, d):
+    return roi.bounding_box(roi.common_mask(_all_pixels(spark, d), 48, 32, 2))
+
+
+@query(f"""SELECT camera_id, edge, min(least(map_x, map_y, 47 - map_x, 31 - map_y)) AS min_margin FROM {ALL_PIXELS} p JOIN (VALUES ('top'), ('bottom'), ('left'), ('right')) e(edge) ON
+ (x BETWEEN 8 AND 39 AND ((edge = 'top' AND y = 6) OR (edge = 'bottom' AND y = 23))) OR (y BETWEEN 6 AND 23 AND ((edge = 'left' AND x = 8) OR (edge = 'right' AND x = 39))) GROUP BY ROLLUP (camera_id, edge)""")
+def roi_crop_margins_all(spark, d):
+    return roi.margins(_all_pixels(spark, d), {"x": 8, "y": 6, "width": 32, "height": 18}, 48, 32)
+
+
+@query(f"""WITH m AS MATERIALIZED (SELECT * FROM {ALL_MASK}), t AS (SELECT a.x AS x0, b.x AS x1, y FROM (SELECT DISTINCT x FROM m) a JOIN (SELECT DISTINCT x FROM m) b ON a.x <= b.x CROSS JOIN (SELECT DISTINCT y FROM m) c),
+ f AS (SELECT t.x0, t.x1, t.y FROM t JOIN m ON m.y = t.y AND m.x BETWEEN t.x0 AND t.x1 GROUP BY ALL HAVING bool_and(ok)),
+ g AS (SELECT x0, x1, y - row_number() OVER (PARTITION BY x0, x1 ORDER BY y) AS i, y FROM f) SELECT CAST(max(area) AS BIGINT) AS area FROM (SELECT (x1 - x0 + 1) * count(*) AS area FROM g GROUP BY x0, x1, i)""")
+def roi_largest_rectangle_all(spark, d):
+    mask = roi.common_mask(_all_pixels(spark, d), 48, 32, 2).withColumn("key", F.lit("all"))
+    return roi.largest_rectangle(roi.packed_masks(mask)).select((F.col("rect.width") * F.col("rect.height")).cast("long").alias("area"))
+
+
+@query(f"SELECT camera_id FROM {ALL_PIXELS} p GROUP BY camera_id HAVING NOT bool_or(map_x + CAST(substr(camera_id, 6, 1) AS INT) % 3 * 60 BETWEEN 2 AND 45 AND map_y BETWEEN 2 AND 29)")
+def roi_blind_cameras_all(spark, d):
+    return roi.blind_cameras(_all_pixels(spark, d).withColumn("map_x", F.col("map_x") + F.substring("camera_id", 6, 1).cast("int") % 3 * 60), 48, 32, 2)
+
+
+# two cameras see nothing, the rest of their row little
+SEEN = "detected AND cx >= CASE WHEN camera_id IN ('CAM_B1', 'CAM_B2') THEN 1000 WHEN camera_id LIKE 'CAM_B%' THEN 90 ELSE 0 END"
+
+
+@query(f"""WITH s AS (SELECT camera_id, count(*) AS n, count_if({SEEN}) AS k FROM @detections@ x GROUP BY camera_id), e AS (SELECT camera_id, quantile_cont(mean_error, 0.95) AS p95, max(mean_error) AS m FROM {CORNER} c GROUP BY camera_id)
+SELECT 'fail' AS level, camera_id, 'detected_frames_less_than_5' AS reason FROM s WHERE k < 5 UNION ALL SELECT 'warning', camera_id, 'detection_rate_below_30_percent' FROM s WHERE k >= 5 AND k / CAST(n AS DOUBLE) < 0.3
+UNION ALL SELECT 'warning', camera_id, 'mono_reprojection_p95_gt_2px' FROM e WHERE p95 > 2 UNION ALL SELECT 'warning', camera_id, 'stereo_error_gt_2px' FROM e WHERE m > 2""")
+def calibration_risks_all(spark, d):
+    det = calibration.detection_summary(proxy(spark, d, "detections").withColumn("detected", F.expr(SEEN)))
+    mono = calibration.mono_summary(_frame_errors(spark, d))
+    mode = spark.createDataFrame([("no_change_recommended",)], "rotation_mode string")
+    return calibration.risks(det, mono, mono.select("camera_id", F.col("max").alias("stereo_error")), mode)
+
+
+# a third of the scenes has no near-black border, a third a slight one
+SHADE = "near_ratio * (scene % 3) / CAST(2 AS DOUBLE)"
+ALL_BORDER = f"(SELECT scene, camera_id, frame_index, black_ratio, {SHADE} AS near_ratio, black_run, near_run FROM @border@ q)"
+ALL_CLASSES = f"""(SELECT s.scene, CASE WHEN s.scene % 13 = 0 THEN 'fail' WHEN bool_or(black_run >= 3) THEN 'fail' WHEN bool_or(near_run >= 3 OR near_ratio > CAST(0.03 AS DOUBLE)) OR s.scene % 7 = 0 THEN 'warning' ELSE 'pass' END AS status
+ FROM (SELECT scene FROM @inventory@ i UNION SELECT scene FROM @border@ k) s LEFT JOIN {ALL_BORDER} b ON b.scene = s.scene GROUP BY s.scene)"""
+
+
+def _all_border(spark, d):
+    return proxy(spark, d, "border").withColumn("near_ratio", F.expr(SHADE))
+
+
+def _all_classes(spark, d):
+    """All scenes, of which some have no samples."""
+    samples = _all_border(spark, d)
+    scenes = proxy(spark, d, "inventory").select("scene").union(samples.select("scene")).distinct().withColumn("n_errors", (F.col("scene") % 13 == 0).cast("int"))
+    return export_qa.classify(scenes, samples, scenes.where("scene % 7 = 0"))
+
+
+@query(f"SELECT scene, status FROM {ALL_CLASSES} c")
+def scene_status_all(spark, d):
+    return _all_classes(spark, d)
+
+
+@query(f"SELECT s.status, count(c.scene) AS n_scenes FROM (VALUES ('pass'), ('warning'), ('fail')) s(status) LEFT JOIN {ALL_CLASSES} c ON c.status = s.status GROUP BY s.status")
+def scene_status_counts_all(spark, d):
+    return export_qa.status_counts(_all_classes(spark, d))
+
+
+@query(f"""WITH b AS (SELECT * FROM {ALL_BORDER}), odd AS (SELECT DISTINCT scene FROM b WHERE frame_index IN {PLAN3} AND (black_run >= 3 OR near_run >= 3 OR near_ratio > CAST(0.03 AS DOUBLE)))
+SELECT scene, camera_id, frame_index, scene IN (SELECT scene FROM odd) AS upgraded FROM b WHERE CASE WHEN scene IN (SELECT scene FROM odd) THEN frame_index IN {PLAN9} ELSE frame_index IN {PLAN3} END""")
+def adaptive_samples_all(spark, d):
+    b = _all_border(spark, d)
+    views = b.select("scene", "camera_id").distinct().withColumn("frame_files", F.lit(12))
+    return export_qa.adaptive(b, export_qa.sampling_plan(views, 3), export_qa.sampling_plan(views, 9)).select("scene", "camera_id", "frame_index", "upgraded")
+
+
+NAMED = "CASE WHEN key % 9 = 0 THEN 'CAM_X1' WHEN camera_id IN ('CAM_B4', 'CAM_C2') THEN 'CAM_X2' ELSE camera_id END"
+
+
+@query(f"""WITH c AS (SELECT DISTINCT {NAMED} AS camera_id FROM @rects@ r)
+SELECT 'error' AS level, 'calibration: missing ' || camera_id AS message FROM (SELECT camera_id FROM {GRID} g EXCEPT SELECT camera_id FROM c) UNION ALL SELECT 'error', 'calibration: unknown ' || camera_id FROM (SELECT camera_id FROM c EXCEPT SELECT camera_id FROM {GRID} g)""")
+def preflight_camera_sets_all(spark, d):
+    return preflight.set_errors(proxy(spark, d, "rects").select(F.expr(NAMED).alias("camera_id")), "calibration")

@@ -33,3 +33,40 @@ def test_query(spark, duck, name):
     assert sorted(got.columns) == sorted(names)
     want = Counter(tuple(value(dict(zip(names, r))[n]) for n in sorted(names)) for r in cur.fetchall())
     assert Counter(tuple(value(r[n]) for n in sorted(names)) for r in got.collect()) == want
+
+
+def duck_rows(name, folder):
+    c = duckdb.connect()
+    for x in TABLES:
+        c.execute(f"create view {x} as select * from read_parquet('{folder}/{x}.parquet')")
+    cur = c.execute(ORACLE[name])
+    names = [x[0] for x in cur.description]
+    return Counter(tuple(value(dict(zip(names, r))[n]) for n in sorted(names)) for r in cur.fetchall())
+
+
+@pytest.mark.parametrize("name", sorted(n for n in QUERIES if n.endswith("_all")))
+def test_whole_tables(spark, name):
+    """On tables that are larger than the cuts of the queries of the same name without _all."""
+    folder = "/root/testdata/sf0.01"
+    got = QUERIES[name](spark, folder)
+    rows = Counter(tuple(value(r[n]) for n in sorted(got.columns)) for r in got.collect())
+    assert rows and rows == duck_rows(name, folder)
+
+
+def test_rows_beyond_the_cuts_count(spark, tmp_path):
+    """Suppliers beyond 25, frames of any number and all scenes change results."""
+    few = tmp_path / "few"
+    few.mkdir()
+    for x in TABLES:
+        os.symlink(f"/root/testdata/sf0.01/{x}.parquet", few / f"{x}.parquet")
+    os.unlink(few / "supplier.parquet")
+    spark.read.parquet("/root/testdata/sf0.01/supplier.parquet").where("s_suppkey > 25").coalesce(1).write.parquet(f"{few}/supplier.parquet")
+    assert QUERIES["roi_common_mask_all"](spark, str(few)).count() == 48 * 32
+    assert QUERIES["roi_crop_margins_all"](spark, str(few)).where("camera_id is not null").select("camera_id").distinct().count() == 25
+    assert QUERIES["roi_largest_rectangle_all"](spark, str(few)).collect()[0].area > 0
+    assert QUERIES["roi_bounding_box_all"](spark, str(few)).collect()[0].width > 0
+    status = {r.status: r.n_scenes for r in QUERIES["scene_status_counts_all"](spark, str(few)).collect()}
+    assert sum(status.values()) == 40 and min(status.values()) > 0
+    assert QUERIES["adaptive_samples_all"](spark, str(few)).select("scene").distinct().count() == 30
+    assert {r.upgraded for r in QUERIES["adaptive_samples_all"](spark, str(few)).collect()} == {True, False}
+    assert {r.reason for r in QUERIES["calibration_risks_all"](spark, str(few)).collect()} >= {"detected_frames_less_than_5", "detection_rate_below_30_percent"}
