@@ -150,9 +150,9 @@ def epipolar_warnings(metrics: DataFrame, limit: int = 20, limits: Limits = LIMI
 
 
 def full_inventory(found: DataFrame) -> DataFrame:
-    """found with a row for each camera of each scene; absent ones have no directory."""
+    """found with a row for each camera of each scene; absent ones have no directory. Rows of `found` have one, unless its own dir_exists says otherwise."""
     grid = F.broadcast(cameras(found.sparkSession).select("camera_id"))
-    every = found.select("scene").distinct().join(grid, F.lit(True)).join(found.withColumn("dir_exists", F.lit(True)), ["scene", "camera_id"], "left")
+    every = found.select("scene").distinct().join(grid, F.lit(True)).join(found if "dir_exists" in found.columns else found.withColumn("dir_exists", F.lit(True)), ["scene", "camera_id"], "left")
     return every.fillna({"dir_exists": False, "in_progress": False, "has_view_metadata": False, "frame_files": 0})
 
 

@@ -1,4 +1,4 @@
-"""One entry for the batch stages that are data work: sync-qa, roi-qa, export-qa, tasks. Run as python -m lumengrid.plans.stages."""
+"""One entry for the batch stages that are data work: sync-qa, export (its tasks) and export-qa. The other stages are checked before they run, and then end with an error. Run as python -m lumengrid.plans.stages."""
 
 from __future__ import annotations
 
@@ -7,18 +7,19 @@ import argparse
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..functions.media import camera_of
 from ..operators import export_qa, frames, segments, sync
-from ..sources import documents
+from ..sources import documents, media
 from . import preflight
 from .config import Batch, load
 
 
-def sync_qa(spark: SparkSession, batch: Batch, scene: str | None = None) -> dict[str, DataFrame]:
+def sync_qa(spark: SparkSession, batch: Batch, scene: str | None = None, profile: str | None = None) -> dict[str, DataFrame]:
     offsets = documents.manifest(spark, batch.required_path("sync_manifest"))
     return {"flagged": sync.flagged(offsets), "missing": sync.missing(offsets), "cameras": sync.camera_stats(offsets), "scores": documents.offset_report(sync.scored(offsets))}
 
 
-def export_plan(spark: SparkSession, batch: Batch, scene: str | None = None) -> dict[str, DataFrame]:
+def export_plan(spark: SparkSession, batch: Batch, scene: str | None = None, profile: str | None = None) -> dict[str, DataFrame]:
     """The export tasks of all scenes in the manifest with a time segment."""
     offsets = documents.manifest(spark, batch.required_path("sync_manifest"))
     own = documents.time_segments(spark, batch.required_path("time_segments"), batch.time_key)
@@ -28,11 +29,14 @@ def export_plan(spark: SparkSession, batch: Batch, scene: str | None = None) ->
     return {"tasks": segments.with_phases(tasks, offsets)}
 
 
-def export_check(inventory: DataFrame, images: DataFrame, batch: Batch) -> dict[str, DataFrame]:
-    """Structure, sampled borders and status of exported scenes, from their inventory and their frames."""
+def export_check(inventory: DataFrame, images: DataFrame, batch: Batch, points: DataFrame | None = None, faults: DataFrame | None = None) -> dict[str, DataFrame]:
+    """Structure, sampled borders and status of exported scenes, from their inventory and their frames; with tracked points (scene, camera_id, frame_index, residual) also epipolar warnings; `faults` are further ones (scene, fault)."""
     limits = batch.limits
     whole = export_qa.full_inventory(inventory)
     scenes = export_qa.structure(whole)
+    if faults is not None:
+        more = faults.groupBy("scene").agg(F.array_join(F.array_sort(F.collect_set("fault")), ",").alias("other_faults"), F.countDistinct("fault").cast("int").alias("_n"))
+        scenes = scenes.join(more, "scene", "left").fillna({"other_faults": "", "_n": 0}).withColumn("n_errors", F.col("n_errors") + F.col("_n")).drop("_n")
     keys = ["scene", "camera_id", "frame_index"]
     lines = frames.border_lines(images, limits.black, limits.near_black, limits.band_px)
     strip = lambda c, name: export_qa.strip_stats(lines.withColumn("ratio", F.col(c)), [*keys, "edge"], limits).groupBy(*keys).agg(F.max("longest_run").alias(name))
@@ -40,15 +44,70 @@ def export_check(inventory: DataFrame, images: DataFrame, batch: Batch) -> dict[
     samples = export_qa.overall_ratios(rim, keys).join(strip("black_ratio", "black_run"), keys).join(strip("near_ratio", "near_run"), keys)
     views = whole.where("frame_files > 0").select("scene", "camera_id", "frame_files")
     taken = export_qa.adaptive(samples, export_qa.sampling_plan(views, limits.samples), export_qa.sampling_plan(views, limits.upgraded_samples), limits)
-    status = export_qa.classify(scenes, taken, scenes.where("false"), limits)
-    return {"structure": scenes, "samples": taken, "status": status, "counts": export_qa.status_counts(status), "worst": export_qa.worst_of_batch(export_qa.worst_samples(taken, limits=limits))}
-
-
-RUN = {"sync-qa": sync_qa, "export": export_plan}
+    if points is None:
+        odd = scenes.where("false")
+    else:
+        means = export_qa.residual_stats(points.join(taken.select(*keys), keys, "left_semi"), keys).where("mean is not null")
+        odd = export_qa.epipolar_warnings(means.select(*keys, "mean"), limits=limits)
+    status = export_qa.classify(scenes, taken, odd, limits)
+    return {"structure": scenes, "samples": taken, **({} if points is None else {"epipolar": odd}), "status": status, "counts": export_qa.status_counts(status), "worst": export_qa.worst_of_batch(export_qa.worst_samples(taken, limits=limits))}
+
+
+def _found(spark: SparkSession, pattern: str, folders: bool = False) -> list[str]:
+    """Paths that match, or only folders; markers with a leading dot too, which Spark's readers leave out."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(pattern)
+    found = path.getFileSystem(spark._jsc.hadoopConfiguration()).globStatus(path)
+    return [f.getPath().toUri().getPath() for f in found or [] if f.isDirectory() or not folders]
+
+
+def exported_files(spark: SparkSession, root: str, scene: str | None = None) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Inventory (a row for each view of each scene folder), frames that can be read, and scenes without metadata, of the folder .../scene/view_00/*.jpg."""
+    at = lambda paths, n: {tuple(p.split("/")[-n:]) for p in paths}
+    views, marks = at(_found(spark, f"{root}/*/view_*", True), 2), at(_found(spark, f"{root}/*/view_*/.in_progress"), 3)
+    told = {s for s, _ in at(_found(spark, f"{root}/*/metadata.json"), 2)}
+    scenes = {scene} if scene else {s for s, in at(_found(spark, f"{root}/*", True), 1)}
+    rows = [(s, i, (s, f"view_{i:02d}") in views, (s, f"view_{i:02d}", ".in_progress") in marks) for s in sorted(scenes) for i in range(25)]
+    grid = spark.createDataFrame(rows, "scene string, view_index int, dir_exists boolean, in_progress boolean")
+    grid = grid.select("scene", F.format_string("view_%02d", "view_index").alias("view_id"), camera_of(F.col("view_index")).alias("camera_id"), "dir_exists", "in_progress")
+
+    parts = F.split(F.col("_metadata.file_path"), "/")
+    told_views = spark.read.option("recursiveFileLookup", True).option("pathGlobFilter", "view_metadata.json").text(root, wholetext=True)
+    size = F.from_json("value", "output_resolution array<int>")["output_resolution"]
+    told_views = told_views.select(F.element_at(parts, -3).alias("scene"), F.element_at(parts, -2).alias("view_id"), size[0].alias("width"), size[1].alias("height"), F.lit(True).alias("has_view_metadata"))
+    files = media.frame_files(media.listing(spark, root))
+    counts = files.groupBy("scene", "view_id").agg(F.count(F.lit(1)).cast("int").alias("frame_files"))
+    inventory = grid.join(told_views, ["scene", "view_id"], "left").join(counts, ["scene", "view_id"], "left").fillna({"has_view_metadata": False, "frame_files": 0})
+
+    places = files.join(F.broadcast(grid.select("scene", "view_id", "camera_id")), ["scene", "view_id"]).select("scene", "view_id", "name", "camera_id", (F.col("place") - 1).cast("int").alias("frame_index"))
+    if views:
+        parts = F.split("path", "/")
+        read = media.images(spark, f"{root}/*/view_*").where(r"lower(path) rlike '\\.(jpg|png)$' and h > 0")
+        images = read.select(F.element_at(parts, -3).alias("scene"), F.element_at(parts, -2).alias("view_id"), F.element_at(parts, -1).alias("name"), "h", "w", "data").join(places, ["scene", "view_id", "name"])
+    else:
+        images = places.where("false").selectExpr("*", "0 as h", "0 as w", "cast(null as binary) as data")
+    faults = spark.createDataFrame([(s, "missing_metadata") for s in sorted(scenes - told)], "scene string, fault string")
+    return inventory.drop("view_id"), images.select("scene", "camera_id", "frame_index", "h", "w", "data"), faults
+
+
+def export_qa_stage(spark: SparkSession, batch: Batch, scene: str | None = None, profile: str | None = None) -> dict[str, DataFrame]:
+    """Checks of all scenes of a profile's folder. Sampled frames that can't be read are a fault; tracked points come from paths.tracked_points (Parquet), if configured."""
+    name = batch.profile(profile).name
+    root, own = batch.output_root(name)
+    inventory, images, faults = exported_files(spark, root if own else f"{root}/{name}", scene)
+    keys, limits = ["scene", "camera_id", "frame_index"], batch.limits
+    views = inventory.where("dir_exists and frame_files > 0").select("scene", "camera_id", "frame_files")
+    planned = export_qa.sampling_plan(views, limits.samples).union(export_qa.sampling_plan(views, limits.upgraded_samples)).select(*keys).distinct()
+    images = images.join(planned, keys, "left_semi")
+    lost = planned.join(images.select(*keys), keys, "left_anti").select("scene", F.lit("unreadable_frames").alias("fault")).distinct()
+    given = batch.path("tracked_points")
+    return export_check(inventory, images, batch, spark.read.parquet(given) if given else None, faults.union(lost))
+
+
+RUN = {"sync-qa": sync_qa, "export": export_plan, "export-qa": export_qa_stage}
 
 
 def main(args: list[str] | None = None) -> int:
-    """Exit code 2 if the checks find an error."""
+    """Exit code 2 if the checks before a stage find an error, 3 if the stage has no implementation here, 1 if an exported scene fails."""
     p = argparse.ArgumentParser(description="Checks and plans of a capture batch.")
     p.add_argument("--config", required=True)
     p.add_argument("--stage", required=True, choices=sorted(preflight.NEEDS))
@@ -62,14 +121,25 @@ def main(args: list[str] | None = None) -> int:
     batch.profile(a.profile)
     spark = SparkSession.builder.getOrCreate()
     errors = preflight.config_errors(batch, a.stage)
+    if not errors:
+        given = lambda name, read: read(spark, batch.required_path(name)) if name in preflight.NEEDS[a.stage] else None
+        offsets = given("sync_manifest", documents.manifest)
+        calibration = None if a.stage == "calibration-qa" else given("calibration_json", documents.calibration)
+        errors = [r.message for r in preflight.report(spark, batch, a.stage, a.scene, offsets, calibration).where("level = 'error'").orderBy("message").toLocalIterator()]
     for message in errors:
         print(f"[ERROR] {message}")
     print(f"errors={len(errors)}")
     if errors:
         return 2
-    if a.preflight_only or a.stage not in RUN:
+    if a.preflight_only:
         return 0
-    for name, df in RUN[a.stage](spark, batch, a.scene).items():
+    if a.stage not in RUN:
+        print(f"[ERROR] stage {a.stage} isn't implemented: nothing was checked beyond its inputs")
+        return 3
+    if a.stage == "export-qa" and not batch.path("tracked_points"):
+        print("[WARNING] no tracked points are configured: epipolar warnings aren't checked")
+    tables = RUN[a.stage](spark, batch, a.scene, a.profile)
+    for name, df in tables.items():
         if a.dry_run:
             df.explain("formatted")
         elif a.output:
@@ -77,6 +147,11 @@ def main(args: list[str] | None = None) -> int:
         else:
             print(name)
             df.show(40, truncate=False)
+    if a.stage == "export-qa" and not a.dry_run:
+        status = spark.read.parquet(f"{a.output}/status") if a.output else tables["status"]
+        if status.isEmpty():
+            print("[ERROR] no exported scene was found")
+        return int(status.isEmpty() or not status.where("status = 'fail'").isEmpty())
     return 0
 
 

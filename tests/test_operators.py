@@ -270,6 +270,45 @@ def test_stages(spark, tmp_path):
     assert Limits().samples == 3
 
 
+def test_export_qa_stage(spark, tmp_path):
+    bright, dark = np.full((16, 16, 3), 90, np.uint8), np.zeros((16, 16, 3), np.uint8)
+    root = tmp_path / "exports" / "benchmark"
+    for scene in ("good", "black", "marked", "lacking", "torn", "untold"):
+        for i in range(24 if scene == "lacking" else 25):
+            view = root / scene / f"view_{i:02d}"
+            view.mkdir(parents=True)
+            (view / "view_metadata.json").write_text(json.dumps({"output_resolution": [16, 16]}))
+            for k in range(2):
+                (view / f"{k:04d}.png").write_bytes(b"no image" if (scene, i, k) == ("torn", 3, 1) else files.png(dark if (scene, i) == ("black", 7) else bright))
+        if scene != "untold":
+            (root / scene / "metadata.json").write_text("{}")
+    (root / "marked" / "view_04" / ".in_progress").write_text("")
+    (root / "bare").mkdir()
+    text = f"batch_id: b\ncamera: {{reference: CAM_C3, rows: [A, B, C, D, E], columns: [1, 2, 3, 4, 5]}}\npaths: {{output_root: {tmp_path}/exports"
+    (tmp_path / "b.yaml").write_text(text + "}\n")
+    points = spark.createDataFrame([("good", "CAM_C2", 1, 9.0)] * 12, "scene string, camera_id string, frame_index int, residual double")
+    points.write.parquet(f"{tmp_path}/points")
+    (tmp_path / "p.yaml").write_text(text + f", tracked_points: {tmp_path}/points}}\n")
+    run = lambda config, *more: stages.main(["--config", str(tmp_path / config), "--stage", "export-qa", "--output", str(tmp_path / "out"), *more])
+    status = lambda: {r.scene: r.status for r in spark.read.parquet(f"{tmp_path}/out/status").collect()}
+    assert run("b.yaml") == 1
+    assert status() == {"good": "pass", "black": "fail", "marked": "fail", "lacking": "fail", "torn": "fail", "untold": "fail", "bare": "fail"}
+    faults = {r.scene: (r.n_errors, r.other_faults, r.in_progress_markers, r.missing_view_dirs[-6:]) for r in spark.read.parquet(f"{tmp_path}/out/structure").collect()}
+    assert faults["good"] == faults["black"] == (0, "", "", "") and faults["torn"] == (1, "unreadable_frames", "", "") and faults["untold"] == (1, "missing_metadata", "", "")
+    assert faults["marked"] == (1, "", "CAM_A5", "") and faults["lacking"] == (1, "", "", "CAM_E5") and faults["bare"][3] == "CAM_E5"
+    assert run("b.yaml", "--scene", "good") == 0 and status() == {"good": "pass"}
+    assert run("p.yaml", "--scene", "good") == 0 and status() == {"good": "warning"}
+
+
+def test_stages_end_with_an_error(spark, tmp_path):
+    doc = {"0001.mp4": {"master_clap_time": 1.0, "offsets": {c: {"offset_ms": 0.0, "frame_shift": 0} for c in CAMERAS[:-1]}}}
+    (tmp_path / "m.json").write_text(json.dumps(doc))
+    (tmp_path / "b.yaml").write_text(f"batch_id: b\ncamera: {{reference: CAM_C3, rows: [A, B, C, D, E], columns: [1, 2, 3, 4, 5]}}\npaths: {{sync_manifest: {tmp_path}/m.json, synced_root: {tmp_path}, raw_root: {tmp_path}}}\n")
+    run = lambda *more: stages.main(["--config", str(tmp_path / "b.yaml"), *more])
+    assert run("--stage", "sync-qa") == 2  # a camera is missing in the manifest
+    assert run("--stage", "calibrate") == 3 and run("--stage", "calibrate", "--preflight-only") == 0
+
+
 def test_streaming(spark, tmp_path):
     folder = tmp_path / "in"
     folder.mkdir()
