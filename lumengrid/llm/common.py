@@ -44,6 +44,29 @@ def free(df: DataFrame, name: str) -> str:
     return name
 
 
+def kept_rows(docs: DataFrame, decided: DataFrame, keys: list[str], mark) -> DataFrame:
+    """The rows of docs that `decided` (doc_id, keys..., kept; narrow) keeps, row by row; mark() gives a frame with doc_id and text the columns `keys`, under new names. An id that never stays drops out by itself; only rows without an id, and those of an id with rows of both kinds, are looked up by their keys."""
+    decided = saved(decided.select("doc_id", *keys, "kept"), "decided")
+    some = decided.where("doc_id is not null").groupBy("doc_id").agg(F.bool_or("kept").alias("any"), F.bool_and("kept").alias("every"))
+    gone = free(docs, "drop_id")
+    drop = some.where("not any").select(F.col("doc_id").alias(gone))
+    out = docs.join(drop, docs["doc_id"] == drop[gone], "left_anti")
+    mixed = decided.join(some.where("any and not every"), "doc_id", "left_semi").unionByName(decided.where("doc_id is null")).where("not kept")
+    names = [free(docs, f"drop_{k}") for k in keys]
+    mixed = saved(mixed.select(F.col("doc_id").alias(gone), *[F.col(k).alias(n) for k, n in zip(keys, names)]).distinct(), "mixed")
+    if mixed.isEmpty():
+        return out
+    ids = mixed.where(F.col(gone).isNotNull()).select(gone).distinct()
+    named = docs["doc_id"] == ids[gone]
+    sure = out.where("doc_id is not null").join(ids, named, "left_anti")
+    asked = mark(out.where("doc_id is null").unionByName(out.join(ids, named, "left_semi")), [free(docs, f"own_{k}") for k in keys])
+    same = asked["doc_id"].eqNullSafe(mixed[gone])
+    for k, n in zip(keys, names):
+        same = same & (asked[free(docs, f"own_{k}")] == mixed[n])
+    return sure.unionByName(asked.join(mixed, same, "left_anti").select(*docs.columns))
+
+
+
 def as_bytes(column: pa.Array) -> list[bytes]:
     """UTF-8 of each text; null counts as empty."""
     return [x or b"" for x in column.cast(pa.binary()).to_pylist()]

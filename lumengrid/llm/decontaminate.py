@@ -9,8 +9,8 @@ lists the patterns to compare directly. Patterns are split by length class, sinc
 The patterns are held by every task, so their size is checked: up to MAX_PATTERN_BYTES go in one set, more are cut into
 sets of that size and the documents are scanned once for each set, the hits being merged as word ranges.
 
-Defined cases: null or wordless texts have no words and aren't contaminated; wordless items have no window; rows repeat
-as they come; an empty benchmark contaminates nothing; only the named columns are read.
+Defined cases: null or wordless texts have no words and aren't contaminated; wordless items have no window; items
+without an id hit like others, count together as one item and aren't listed; rows repeat as they come; an empty benchmark contaminates nothing; only the named columns are read.
 """
 
 from __future__ import annotations
@@ -109,7 +109,7 @@ _HIT = pa.struct([("n_words", pa.int64()), ("ranges", pa.list_(pa.struct([("firs
 def _pattern_sets(benchmark: DataFrame, most: int) -> list[list[tuple[str, bytes]]]:
     """The items as sets whose windows take at most `most` bytes each. A benchmark is a stated list, far smaller than a corpus; it comes to the driver item by item."""
     sets, size = [[]], 0
-    for r in benchmark.select(F.col("item_id").cast("string").alias("item_id"), "text").where("item_id is not null and text is not null").toLocalIterator():
+    for r in benchmark.select(F.col("item_id").cast("string").alias("item_id"), "text").where("text is not null").toLocalIterator():
         text = r.text.encode()
         own = WINDOW * len(text)
         if sets[-1] and size + own > most:
@@ -134,7 +134,7 @@ def hits(docs: DataFrame, benchmark: DataFrame, name: str = "_hits", most: int =
                 out = []
                 for text in as_bytes(column):
                     n, ranges, items = matcher.scan(text)
-                    out.append({"n_words": n, "ranges": [{"first": a, "end": b} for a, b in ranges], "items": sorted(items)})
+                    out.append({"n_words": n, "ranges": [{"first": a, "end": b} for a, b in ranges], "items": sorted(items, key=lambda i: (i is None, i or ""))})
                 yield pa.array(out, _HIT)
 
         return scan

@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import as_bytes, free, saved, table
+from .common import as_bytes, kept_rows, saved, table
 
 PRIME = (1 << 31) - 1
 #: Bases of the four polynomials: fixed values, any four numbers below the prime do.
@@ -165,11 +165,13 @@ def exact_dedup(docs: DataFrame) -> DataFrame:
     return joined.select("doc_id", "keep_id", "group_size", F.col("doc_id").eqNullSafe(F.col("keep_id")).alias("kept"), "text_sha256", "fp_a", "fp_b")
 
 
+def _marked(docs: DataFrame, names: list[str]) -> DataFrame:
+    return docs.withColumn(names[0], F.sha2(F.regexp_replace(F.coalesce("text", F.lit("")), r"[\x20\x09-\x0D]+", " "), 256))
+
+
 def stage(spark, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents whose text appears first under their id; all columns."""
-    gone = free(docs, "drop_id")
-    drop = exact_dedup(docs).where("not kept").select(F.col("doc_id").alias(gone)).distinct()
-    return docs.join(drop, docs["doc_id"] == drop[gone], "left_anti")
+    """The rows that exact_dedup() keeps; all columns."""
+    return kept_rows(docs, exact_dedup(docs), ["text_sha256"], _marked)
 
 
 def op3_exact_dedup(spark, sf_dir: str) -> DataFrame:

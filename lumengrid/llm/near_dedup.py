@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import as_bytes, free, many_word_hashes, mix64, saved, steps, table
+from .common import as_bytes, free, kept_rows, many_word_hashes, mix64, saved, steps, table
 
 REGISTERS, ROWS = 130, 5
 BANDS = REGISTERS // ROWS
@@ -209,12 +209,12 @@ def across(rest: DataFrame) -> DataFrame:
     return saved(x.join(y, (x.shingle == y.shingle) & F.expr(near)).select("a", "b").distinct(), "across")
 
 
-def near_dedup(docs: DataFrame) -> DataFrame:
-    """One row per input row: doc_id, n_shingles, component_id, kept."""
+def decided(docs: DataFrame) -> DataFrame:
+    """One row per input row: doc_id, the fingerprint of its set (fp_a, fp_b, n_shingles), component_id, kept."""
     marks = saved(docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(_mark, _MARK), "sketches")
     same = ["fp_a", "fp_b", "n_shingles"]
     classes = marks.where("n_shingles > 0").groupBy(*same).agg(F.min("doc_id").alias("rep"))
-    members = saved(marks.select("doc_id", *same).join(classes, same, "left").select("doc_id", "n_shingles", "rep"), "members")
+    members = saved(marks.select("doc_id", *same).join(classes, same, "left").select("doc_id", *same, "rep"), "members")
     own = classes.where("rep is not null").select(F.col("rep").alias("doc_id"), *same)
     reps = saved(marks.join(own, ["doc_id", *same], "left_semi").dropDuplicates(["doc_id"]).select("doc_id", "n_shingles", "sketch", "keys"), "reps")
 
@@ -247,14 +247,30 @@ def near_dedup(docs: DataFrame) -> DataFrame:
             labels = components(links.unionByName(more))
 
     comp = F.coalesce("component", "rep", "doc_id")
-    return members.join(labels, members.rep == labels.id, "left").select("doc_id", "n_shingles", comp.alias("component_id"), F.col("doc_id").eqNullSafe(comp).alias("kept"))
+    return members.join(labels, members.rep == labels.id, "left").select("doc_id", *same, comp.alias("component_id"), F.col("doc_id").eqNullSafe(comp).alias("kept"))
+
+
+def near_dedup(docs: DataFrame) -> DataFrame:
+    """One row per input row: doc_id, n_shingles, component_id, kept."""
+    return decided(docs).select("doc_id", "n_shingles", "component_id", "kept")
+
+
+def _marked(docs: DataFrame, names: list[str]) -> DataFrame:
+    @F.arrow_udf("struct<fp_a:long,fp_b:long,n_shingles:long>")
+    def mark(columns: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        for column in columns:
+            batch = pa.RecordBatch.from_arrays([pa.nulls(len(column), pa.int64()), column], ["doc_id", "text"])
+            for out in _mark(iter([batch])):
+                yield pa.StructArray.from_arrays([out.column(n) for n in ("fp_a", "fp_b", "n_shingles")], ["fp_a", "fp_b", "n_shingles"])
+
+    held = free(docs, "own")
+    docs = docs.withColumn(held, mark("text"))
+    return docs.withColumns({n: F.col(held)[k] for n, k in zip(names, ("fp_a", "fp_b", "n_shingles"))})
 
 
 def stage(spark, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near copies; all columns."""
-    gone = free(docs, "drop_id")
-    drop = near_dedup(docs).where("not kept").select(F.col("doc_id").alias(gone)).distinct()
-    return docs.join(drop, docs["doc_id"] == drop[gone], "left_anti")
+    """The rows that near_dedup() keeps; all columns."""
+    return kept_rows(docs, decided(docs), ["fp_a", "fp_b", "n_shingles"], _marked)
 
 
 def op10_near_dedup(spark, sf_dir: str) -> DataFrame:

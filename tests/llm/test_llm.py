@@ -197,6 +197,31 @@ def test_decontamination(spark, nothing):
     assert decontaminate.contamination(docs, bench.where("false")).where("contaminated or n_hit > 0").count() == 0
 
 
+def test_stages_follow_the_operators_row_by_row(spark):
+    """Null and repeated ids: each row stays or goes by its own text."""
+    a, b = sentence(40), " ".join(reversed(sentence(60).split()))
+    near = a + " more"
+    rows = [(1, a, "1a"), (None, a, "na"), (None, a + " ", "na "), (3, b, "3b"), (3, a, "3a"), (None, "quite alone here", "nq"), (4, a, "4a"), (None, None, "n0"), (6, "", "6")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, own string")
+    kept = lambda df: sorted(r.own for r in df.collect())
+    assert kept(exact_dedup.stage(spark, docs.where("own != 'na '"), "")) == ["1a", "3b", "6", "nq"]
+    assert kept(exact_dedup.stage(spark, docs, "")) == ["1a", "3b", "6", "na ", "nq"]
+    assert kept(exact_dedup.stage(spark, docs.where("own in ('1a', '3b', '4a')"), "")) == ["1a", "3b"]
+    assert kept(near_dedup.stage(spark, docs.unionByName(spark.createDataFrame([(None, near, "nn")], docs.schema)), "")) == ["1a", "3b", "6", "n0", "nn", "nq"]  # nn: no row with an id has its set
+    assert near_dedup.stage(spark, docs, "").columns == exact_dedup.stage(spark, docs, "").columns == docs.columns
+
+
+def test_decontamination_by_items_without_an_id(spark):
+    docs = spark.createDataFrame([(1, "alpha beta"), (2, "gamma"), (3, "alpha beta gamma"), (4, "delta")], "doc_id long, text string")
+    bench = spark.createDataFrame([(None, "alpha beta"), (None, "gamma"), ("g", "gamma")], "item_id string, text string")
+    sha = lambda t: hashlib.sha256(t.encode()).hexdigest()
+    for most in (decontaminate.MAX_PATTERN_BYTES, 1):
+        found = decontaminate.hits(docs, bench, most=most)
+        assert {r.doc_id: set(r._hits["items"]) for r in found.collect()} == {1: {None}, 2: {None, "g"}, 3: {None, "g"}, 4: set()}
+    got = {r.doc_id: tuple(r)[1:] for r in decontaminate.contamination(docs, bench).collect()}
+    assert got == {1: (2, 2, 1, sha(""), True), 2: (1, 1, 2, sha("g"), True), 3: (3, 3, 2, sha("g"), True), 4: (1, 0, 0, sha(""), False)}
+
+
 def test_wu_manber():
     rnd = random.Random(3)
     for _ in range(60):
