@@ -7,7 +7,9 @@ that executors fetch once and their Python workers map into memory. Words it doe
 order of the merge ranks. The vocabulary's path is a parameter.
 
 Defined cases: a null or empty text has no ids and decodes to an empty text; special tokens that stand in a text become
-their ids, as in the library's default; rows repeat as they come; only doc_id and text are read.
+their ids, as in the library's default; rows repeat as they come and get equal results; a very long text is split into
+words whole, its ids are written as text piece by piece; an empty table gives an empty result; only doc_id and text are
+read, so other columns can't clash.
 """
 
 from __future__ import annotations
@@ -17,7 +19,6 @@ import json
 import mmap
 import os
 import re
-import tempfile
 import uuid
 from array import array
 from collections import Counter
@@ -33,7 +34,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from tokenizers import Regex, Tokenizer, pre_tokenizers
 
-from .common import saved, table
+from .common import put, saved, table
 
 #: The lexicon holds the words that make up at least this share of all word occurrences; so it never holds more than 1 / FREQUENT words, and the driver compiles as many at most.
 FREQUENT = 1 / (1 << 19)
@@ -43,8 +44,10 @@ SPELLED = 1 << 17
 LONG_WORD = 200
 #: Distinct words that one task remembers before it starts anew.
 REMEMBERED = 1 << 17
-#: Texts of these characters are composed already, and any Unicode version sees them alike; so does the pattern below, the vocabulary's own with its classes spelled out for such texts.
-_COMMON = re.compile("[\0-ȳ‐-‧‰-⁞]*")
+#: Texts of these characters are composed already, and any Unicode version sees them alike, also in lower case; so does the pattern below, the vocabulary's own with its classes spelled out for such texts. Capitals whose lower case lies elsewhere are left out.
+_RANGES = ((0x0, 0x233), (0x2010, 0x2027), (0x2030, 0x205E))
+_PLAIN = {c for a, b in _RANGES for c in range(a, b + 1)}
+_COMMON = re.compile("[" + "".join(re.escape(chr(c)) for c in sorted(_PLAIN) if all(ord(x) in _PLAIN for x in chr(c).lower())) + "]*")
 _LETTER, _NUMBER, _SPACE = "a-zA-ZªµºÀ-ÖØ-öø-ȳ", "0-9²³¹¼½¾", r"\t-\r \x85\xa0"
 _WORD = re.compile(f"'s|'t|'re|'ve|'m|'ll|'d|[{_LETTER}]+|[{_NUMBER}]|[^{_SPACE}{_LETTER}{_NUMBER}]+")
 
@@ -355,10 +358,7 @@ def lexicon_file(spark: SparkSession, frequent: list[str], path: str) -> str:
     """Compile the words and hand the file to all executors; its name."""
     merger = _merger(path)
     name = f"lexicon-{uuid.uuid4().hex}.bin"
-    local = os.path.join(tempfile.mkdtemp(prefix="lexicon-"), name)
-    with open(local, "wb") as f:
-        f.write(compile_lexicon({w.encode(): merger.merge(w) for w in frequent}))
-    spark.sparkContext.addFile(local)
+    spark.sparkContext.addFile(put(spark, name, compile_lexicon({w.encode(): merger.merge(w) for w in frequent})))
     return name
 
 

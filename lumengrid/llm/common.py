@@ -8,6 +8,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+from pyarrow import fs
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -20,22 +21,71 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder that all executors share; a temporary one only where the session names none, as in tests."""
+    """The folder that all executors share. Where the session names none, a temporary one in local mode, as in tests; on a cluster that is an error."""
     sc = spark.sparkContext
     named = sc.getConf().get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
     if not named:
+        if not sc.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         named = "file://" + tempfile.mkdtemp(prefix="spark-shared-")
         sc.setCheckpointDir(named)
     return named.rstrip("/")
 
 
+#: Paths of the tables and files that saved() and put() made in this process, oldest first.
+_MADE: list[str] = []
+
+
 def saved(df: DataFrame, name: str) -> DataFrame:
-    """Write df to the shared folder and read it back: cuts the lineage, survives lost executors, computes df once."""
+    """Write df to the shared folder and read it back: cuts the lineage, survives lost executors, computes df once. The table stays until clear() or drop() removes it."""
     path = f"{shared_dir(df.sparkSession)}/{name}-{uuid.uuid4().hex}"
+    _MADE.append(path)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def put(spark: SparkSession, name: str, data: bytes) -> str:
+    """Write a file to the shared folder; its URI."""
+    path = f"{shared_dir(spark)}/{name}"
+    store, at = fs.FileSystem.from_uri(path)
+    store.create_dir(at.rpartition("/")[0], recursive=True)
+    with store.open_output_stream(at, compression=None) as out:
+        out.write(data)
+    _MADE.append(path)
+    return path
+
+
+def _remove(spark: SparkSession, paths: list[str]) -> None:
+    for path in paths:
+        at = spark._jvm.org.apache.hadoop.fs.Path(path)
+        at.getFileSystem(spark._jsc.hadoopConfiguration()).delete(at, True)
+
+
+def made() -> int:
+    """How many tables there are; a point to clear() from."""
+    return len(_MADE)
+
+
+def clear(spark: SparkSession, since: int = 0, keep: int | None = None) -> None:
+    """Delete the tables made from point `since` on and before point `keep`. Only for tables whose readers are done: results of operators read theirs when they are run."""
+    end = len(_MADE) if keep is None else keep
+    _remove(spark, _MADE[since:end])
+    del _MADE[since:end]
+
+
+#: Groups of at least LARGE rows, and of a share 1 / MANY of all rows, are joined by broadcasting their rows: at most MANY groups.
+LARGE, MANY = 64, 100_000
+
+
+def meet(rows: DataFrame, groups: DataFrame, keys: list[str], size: str, how: str = "inner") -> DataFrame:
+    """rows joined to the row of their group (keys, its number of rows `size`, ...). No task receives a large group: large ones are few, whatever the data, so they are broadcast; all others go by key. With how="left", rows without a group stay."""
+    groups = saved(groups, "groups")
+    least = max(LARGE, -(-(groups.agg(F.sum(size)).first()[0] or 0) // MANY))
+    large, small = groups.where(F.col(size) >= least), groups.where(F.col(size) < least)
+    others = rows.join(F.broadcast(large.select(*keys)), keys, "left_anti").join(small, keys, how)
+    return rows.join(F.broadcast(large), keys).unionByName(others)
+
+
 def free(df: DataFrame, name: str) -> str:
     """A column name that df doesn't have yet."""
     taken = {c.lower() for c in df.columns}
@@ -66,7 +116,6 @@ def kept_rows(docs: DataFrame, decided: DataFrame, keys: list[str], mark) -> Dat
     return sure.unionByName(asked.join(mixed, same, "left_anti").select(*docs.columns))
 
 
-
 def as_bytes(column: pa.Array) -> list[bytes]:
     """UTF-8 of each text; null counts as empty."""
     return [x or b"" for x in column.cast(pa.binary()).to_pylist()]

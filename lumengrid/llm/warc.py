@@ -10,7 +10,8 @@ reads the last of them past the range's end. So each record has one owner, whate
 
 Defined cases: a null payload counts as empty, and empty payloads are equal to each other; a page with a null page_id
 is a response and refers to nothing (its id comes back as null); repeated rows of the smallest page_id are a response
-each; an empty table gives no archives and no rows; other columns aren't read.
+each; an empty table gives no archives and no rows; a payload of any length is one record, held whole by one task at a
+time; other columns aren't read.
 """
 
 from __future__ import annotations
@@ -23,17 +24,22 @@ from collections.abc import Iterator
 
 import pyarrow as pa
 from pyarrow import fs
+from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import as_bytes, saved, shared_dir, table
+from .common import as_bytes, meet, saved, shared_dir, table
 
 #: Bytes of an archive range that one reading task owns.
 RANGE_BYTES = 64 << 20
 #: Payloads of fewer bytes are never written as revisits.
 LEAST_REVISIT = 0
 _MAGIC = b"\x1f\x8b\x08"
-_LOOK = 1 << 16
+_BEGIN = b"WARC/1."
+#: Bytes read at once: within a range, and beyond its end.
+_STEP, _LOOK = 1 << 20, 1 << 14
+#: Reading tasks at most; with more ranges, a task reads several.
+MOST_TASKS = 100_000
 
 
 def digest(payload: bytes) -> str:
@@ -76,53 +82,76 @@ def _parse(data: bytes) -> dict | None:
     return {"page_id": ident(head.get("warc-record-id")), "record_type": kind, "refers_to": ident(head.get("warc-refers-to")), "url": head.get("warc-target-uri"), "payload_bytes": length, "payload_digest": head.get("warc-payload-digest", "").rpartition(":")[2], "payload": payload if kind != "revisit" else None, "intact": kind == "revisit" or digest(payload) == head.get("warc-payload-digest", "").rpartition(":")[2]}
 
 
-def _member(source, start: int, size: int, most: int | None = None) -> tuple[bytes, int] | None:
-    """The data decoded from the gzip member at start and where it ends; only its beginning if `most` is given. None if there is no such member."""
-    unpack, out, at, got = zlib.decompressobj(31), [], start, 0
-    while at < size:
-        source.seek(at)
-        part = source.read(min(_LOOK if most else 1 << 20, size - at))
-        if not part:
-            break
-        try:
-            out.append(unpack.decompress(part))
-        except zlib.error:
-            return None
-        at += len(part)
-        got += len(out[-1])
-        if unpack.eof:
-            return b"".join(out), at - len(unpack.unused_data)
-        if most and got >= most:
-            return b"".join(out), at
-    return (b"".join(out), at) if most and got else None
+class _Ahead:
+    """The bytes of an open archive from `at` on: read forward, a step at a time, and kept only until they are passed. A range costs its own bytes and those of the last record that starts in it."""
+
+    def __init__(self, source, size: int, at: int, end: int):
+        self.source, self.size, self.at, self.end = source, size, at, end
+        self.base, self.data = at, memoryview(b"")
+
+    def more(self) -> bool:
+        """Read on, keeping what isn't passed yet; in small steps beyond the range's end, where only one record is left to finish."""
+        place = self.base + len(self.data)
+        if place >= self.size:
+            return False
+        self.source.seek(place)
+        part = self.source.read(min(_STEP, self.end - place) if place < self.end else min(_LOOK, self.size - place))
+        self.base, self.data = self.at, memoryview(bytes(self.data[self.at - self.base :]) + part)
+        return bool(part)
+
+    def back(self, to: int) -> None:
+        """Go back to a place; what the buffer no longer holds is read again."""
+        self.at = to
+        if not self.base <= to <= self.base + len(self.data):
+            self.base, self.data = to, memoryview(b"")
+
+    def find(self, what: bytes, before: int) -> bool:
+        """Go to the next place of `what` that starts before `before`."""
+        while True:
+            found = self.data.obj.find(what, self.at - self.base)
+            if found >= 0:
+                self.at = self.base + found
+                return self.at < before
+            self.at = max(self.at, self.base + len(self.data) - len(what) + 1)
+            if self.at >= before or not self.more():
+                return False
+
+    def member(self) -> bytes | None:
+        """The record decoded from the gzip member here, which is then passed; None, at the same place, if the data doesn't decode to a record. The first bytes decide early; compressed bytes are passed as they are decoded."""
+        start, unpack, out, head = self.at, zlib.decompressobj(31), [], b""
+        while self.at < self.base + len(self.data) or self.more():
+            piece = self.data[self.at - self.base :][:_LOOK]
+            try:
+                out.append(unpack.decompress(piece))
+            except zlib.error:
+                break
+            self.at += len(piece) - len(unpack.unused_data)
+            head = (head + out[-1])[: len(_BEGIN)]
+            if head != _BEGIN[: len(head)]:
+                break
+            if unpack.eof:
+                if len(head) < len(_BEGIN):
+                    break
+                return b"".join(out)
+        self.back(start)
+        return None
 
 
 def records_in_range(source, size: int, start: int, end: int) -> Iterator[dict]:
-    """The records of an open archive that start in [start, end)."""
-    at = start
-    while at < end:
-        source.seek(at)
-        found = source.read(min(_LOOK, size - at, end - at + len(_MAGIC) - 1)).find(_MAGIC)
-        if found < 0:
-            at += max(1, min(_LOOK, end - at + len(_MAGIC) - 1) - len(_MAGIC) + 1)
-            continue
-        at += found
-        begin = _member(source, at, size, most=64) if at < end else None
-        if begin is None or not begin[0].startswith(b"WARC/1."):
-            at += 1
-            continue
-        while at < end:  # in step with the members: one follows another
-            whole = _member(source, at, size)
-            fields = whole and _parse(whole[0])
-            if not fields:
-                at += 1
-                break
+    """The records of an open archive that start in [start, end): candidates are searched by gzip magic and accepted if they decode to a record; a record's end is the next candidate."""
+    ahead = _Ahead(source, size, start, end)
+    while ahead.at < end and ahead.find(_MAGIC, end):
+        begin = ahead.at
+        data = ahead.member()
+        fields = data and _parse(data)
+        if fields:
             yield fields
-            at = whole[1]
+        else:
+            ahead.back(begin + 1)
 
 
 def write_archives(pages: DataFrame) -> DataFrame:
-    """Write (page_id, url, html, payload_digest, refers_to) as archives; a row per archive: path, size."""
+    """Write (page_id, url, html, sha: hex SHA-1 of the payload, refers_to) as archives; a row per archive: path, size, no (0, 1, ...; not all in use), folder."""
     folder = f"{shared_dir(pages.sparkSession)}/warc-{uuid.uuid4().hex}"
 
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -136,13 +165,13 @@ def write_archives(pages: DataFrame) -> DataFrame:
                 path = f"{base}/{uuid.uuid4().hex}.warc.gz"
                 out = store.open_output_stream(path, compression=None)
             ids, urls, shas, refers = (batch.column(i).to_pylist() for i in (0, 1, 3, 4))
-            for row in zip(ids, urls, as_bytes(batch.column(2)), shas, refers):
-                out.write(record(*row))
+            for i, url, payload, sha, first in zip(ids, urls, as_bytes(batch.column(2)), shas, refers):
+                out.write(record(i, url, payload, base64.b32encode(bytes.fromhex(sha)).decode(), first))
         if out is not None:
             out.close()
-            yield pa.RecordBatch.from_pydict({"path": [path], "size": pa.array([store.get_file_info(path).size], pa.int64())})
+            yield pa.RecordBatch.from_pydict({"path": [path], "size": pa.array([store.get_file_info(path).size], pa.int64()), "no": pa.array([TaskContext.get().partitionId()], pa.int64())})
 
-    made = saved(pages.select("page_id", "url", "html", "payload_digest", "refers_to").mapInArrow(write, "path string, size long"), "archives")
+    made = saved(pages.select("page_id", "url", "html", "sha", "refers_to").mapInArrow(write, "path string, size long, no long"), "archives")
     return made.withColumn("folder", F.lit(folder))
 
 
@@ -150,8 +179,8 @@ _READ = "page_id long, record_type string, refers_to long, url string, payload_b
 _READ_TYPE = pa.schema([("page_id", pa.int64()), ("record_type", pa.string()), ("refers_to", pa.int64()), ("url", pa.string()), ("payload_bytes", pa.int64()), ("payload_digest", pa.string()), ("payload", pa.binary()), ("intact", pa.bool_())])
 
 
-def read_archives(archives: DataFrame, range_bytes: int = RANGE_BYTES) -> DataFrame:
-    """The records of archives (path, size, folder), read range by range."""
+def read_archives(archives: DataFrame, range_bytes: int = RANGE_BYTES, most: int = MOST_TASKS) -> DataFrame:
+    """The records of archives (path, size, no, folder), read range by range; the number of tasks grows with that of the ranges."""
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -167,22 +196,22 @@ def read_archives(archives: DataFrame, range_bytes: int = RANGE_BYTES) -> DataFr
                             rows, held = [], 0
                     yield pa.RecordBatch.from_pylist(rows, schema=_READ_TYPE)
 
-    ranges = archives.where("size > 0").select("path", "size", F.explode(F.expr(f"sequence(0L, size - 1, {range_bytes}L)")).alias("start"), "folder")
-    return ranges.repartition("path", "start").mapInArrow(read, _READ)
-
-
-def _sha(columns: Iterator[pa.Array]) -> Iterator[pa.Array]:
-    for column in columns:
-        yield pa.array([digest(x) for x in as_bytes(column)], pa.string())
+    amount = archives.agg(F.sum(F.ceil(F.col("size") / range_bytes)), F.count(F.lit(1))).first()
+    ranges = archives.where("size > 0").select("path", "size", F.explode(F.expr(f"sequence(0L, size - 1, {range_bytes}L)")).alias("start"), "folder", "no")
+    tasks = max(1, min(most, int(amount[0] or 0)))
+    # an archive's ranges lie as many places apart as there are archives, so tasks get equal numbers of them; the given number keeps tiny rows of ranges from being merged into one task
+    dealt = ranges.repartitionById(tasks, F.pmod(F.col("no") + F.expr(f"start div {range_bytes}L") * amount[1], F.lit(tasks)).cast("int"))
+    return dealt.select("path", "size", "start", "folder").mapInArrow(read, _READ)
 
 
 def pages_to_archives(pages: DataFrame) -> DataFrame:
     """Write pages (page_id, url, html) as archives. Only ids, digests and lengths are grouped; a payload moves once, to meet its decision."""
-    own = pages.select(F.col("page_id").cast("long"), "url", "html", F.arrow_udf(_sha, "string")("html").alias("payload_digest"))
-    marks = saved(own.select("page_id", "payload_digest", F.coalesce(F.octet_length("html"), F.lit(0)).alias("n")), "payloads").where(f"page_id is not null and n >= {LEAST_REVISIT}")
-    first = marks.groupBy("payload_digest").agg(F.min("page_id").alias("refers_to"))
-    revisits = marks.distinct().join(first, "payload_digest").where("page_id > refers_to").select("page_id", "payload_digest", "refers_to")
-    return write_archives(own.join(revisits.hint("shuffle_hash"), ["page_id", "payload_digest"], "left"))
+    own = pages.select(F.col("page_id").cast("long"), "url", "html", F.sha1(F.coalesce("html", F.lit("")).cast("binary")).alias("sha"))
+    marks = own.where("page_id is not null").where(F.coalesce(F.octet_length("html"), F.lit(0)) >= LEAST_REVISIT)
+    marks = saved(marks.select("page_id", "sha"), "payloads")
+    first = marks.groupBy("sha").agg(F.min("page_id").alias("refers_to"), F.count(F.lit(1)).alias("n")).where("n > 1")
+    revisits = meet(marks, first, ["sha"], "n").where("page_id > refers_to").select("page_id", "sha", "refers_to").distinct()
+    return write_archives(own.join(revisits.hint("shuffle_hash"), ["page_id", "sha"], "left"))
 
 
 def op1_warc(spark: SparkSession, sf_dir: str) -> DataFrame:

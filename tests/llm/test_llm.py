@@ -246,7 +246,7 @@ def test_warc(spark, tmp_path):
         revisit = i is not None and i > f
         want[(i, len(data), base64.b32encode(hashlib.sha1(data).digest()).decode(), "revisit" if revisit else "response", f if revisit else None)] += 1
     for size in (1 << 20, 200, 37):
-        got = warc.read_archives(archives, size)
+        got = warc.read_archives(archives, size, 6)
         assert Counter((r.page_id, r.payload_bytes, r.payload_digest, r.record_type, r.refers_to) for r in got.collect()) == want
         assert got.where("not intact").count() == 0
     assert warc.read_archives(warc.pages_to_archives(pages.where("false"))).count() == 0
