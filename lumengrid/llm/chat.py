@@ -2,15 +2,18 @@
 
 A record's layout is known by a fingerprint: the hash of its nested field paths, lists written as []. A registry maps
 fingerprints to declarative mappings (which field holds the turns, the role, the text), so that prompt/response,
-instruction/input/output, message lists and single turn rows all become canonical turns. A template then marks turns
-and escapes control strings inside texts reversibly; the loss mask covers the assistant texts.
+instruction/input/output, message lists and single turn rows all become canonical turns. A layout with fields beyond a
+mapping's takes the mapping that covers most of it; each fingerprint is resolved once. A template then marks turns and
+escapes control strings inside texts reversibly; the loss mask covers the assistant texts.
 
 Formatting works turn by turn: a conversation's output is the concatenation of its pieces in turn order, so a huge
 conversation is never held whole. Only its digests need its pieces in one order; they stream through a sorted partition.
 
-Defined cases: a null text or role is empty; a record whose fingerprint isn't registered gives no turns and is counted
-as such by its null layout; turns with equal numbers are ordered by role and text; rows with a null conv_id form one
-conversation; an empty table gives an empty result; other columns aren't read.
+Defined cases: a null text or role is empty; a record gives at least one row: one without turns (an empty list) a row
+with its layout and a null part, one of an unknown layout (null, no JSON object, none of the mappings' fields) also a
+null layout, so that it can be counted; turns() takes only turns. Turns with equal numbers are ordered by role and text;
+repeated rows are turns each; rows with a null conv_id form one conversation; a text of any length is formatted whole;
+an empty table gives an empty result; other columns aren't read.
 """
 
 from __future__ import annotations
@@ -29,6 +32,8 @@ from pyspark.sql import functions as F
 from .common import table
 
 OPEN, CLOSE = "<|im_start|>", "<|im_end|>"
+#: Layouts that a task remembers before it starts anew.
+MOST_LAYOUTS = 10_000
 #: Names of roles in other layouts: fixed values.
 ROLES = {"human": "user", "prompter": "user", "gpt": "assistant", "bot": "assistant", "model": "assistant", "chatbot": "assistant"}
 
@@ -75,24 +80,41 @@ def registry(mappings=MAPPINGS) -> dict[str, Mapping]:
     return {fingerprint(set(m.fields) - set(gone)): m for m in reversed(mappings) for n in range(len(m.optional) + 1) for gone in combinations(m.optional, n)}
 
 
-def canonical(record: dict, known: dict[str, Mapping]) -> tuple[str | None, list[tuple[str, str]]]:
-    """The layout's name and the turns (role, text) of a record; extra id fields don't take part in the fingerprint."""
-    own = paths({k: v for k, v in record.items() if k not in ("id", "source")})
-    m = known.get(fingerprint(own))
-    if m is None:
+def resolve(own: set[str], known: dict[str, Mapping], mappings=MAPPINGS) -> Mapping | None:
+    """The mapping of a layout: that of its fingerprint, else the one that covers most of its fields among those whose required fields it has; the first at ties. Remembered under the fingerprint."""
+    key = fingerprint(own)
+    if key not in known:
+        # an empty list has no fields below it
+        fits = [m for m in mappings if all(f in own or (m.turns and f.startswith(f"{m.turns}[].") and f"{m.turns}[]" in own) for f in set(m.fields) - set(m.optional)) and own & {*m.fields, f"{m.turns}[]"}]
+        known[key] = max(fits, key=lambda m: len(own & set(m.fields)), default=None)
+    return known[key]
+
+
+def canonical(record, known: dict[str, Mapping]) -> tuple[str | None, list[tuple[str, str]]]:
+    """The layout's name and the turns (role, text) of a record."""
+    m = resolve(paths(record), known) if isinstance(record, dict) else None
+    items = [] if m is None else record[m.turns] if m.turns else [record]
+    if m is None or not all(isinstance(i, dict) for i in items):
         return None, []
     out = []
-    for i, item in enumerate(record[m.turns] if m.turns else [record]):
+    for i, item in enumerate(items):
         for role, fields in m.parts:
             if fields[0].startswith("^"):
                 if i == 0:
                     out.append((role, str(record.get(fields[0][1:]) or "")))
                 continue
             said = str(item.get(role[1:]) or "") if role.startswith("@") else role
-            out.append((ROLES.get(said, said), "\n".join(str(item[f]) for f in fields if item.get(f))))
+            out.append((ROLES.get(said, said), "\n".join(str(item[f]) for f in fields if item.get(f) is not None and item[f] != "")))
     return m.name, out
 
 
+def _decoded(text: str | None):
+    try:
+        return json.loads(text) if text else None
+    except (ValueError, RecursionError):
+        return None
+
+
 def escape(text: str) -> str:
     """No control string is left, and unescape() gives the text back."""
     return text.replace("\\", "\\\\").replace("<|", "<\\|")
@@ -118,29 +140,43 @@ def read_back(formatted: str) -> list[tuple[str, str]]:
     return [(unescape(r), unescape(t)) for r, t in found]
 
 
-def turns_of(records: DataFrame, conv: str, turn: str, record: str, also: DataFrame | None = None) -> DataFrame:
-    """(conv_id, turn, layout, role, text) of JSON records: the record's number orders it, a list's turns follow in their order."""
-    kind = pa.struct([("layout", pa.string()), ("turns", pa.list_(pa.struct([("role", pa.string()), ("text", pa.string())])))])
+def turns_of(records: DataFrame, conv: str, turn: str, record: str) -> DataFrame:
+    """(conv_id, turn, part, layout, fingerprint, role, text) of JSON records: the record's number orders it, a list's turns follow in their order. A record without turns keeps one row, whose part is null."""
+    kind = pa.struct([("layout", pa.string()), ("fingerprint", pa.string()), ("turns", pa.list_(pa.struct([("role", pa.string()), ("text", pa.string())])))])
 
-    @F.arrow_udf("struct<layout:string,turns:array<struct<role:string,text:string>>>")
+    @F.arrow_udf("struct<layout:string,fingerprint:string,turns:array<struct<role:string,text:string>>>")
     def run(columns: Iterator[pa.Array]) -> Iterator[pa.Array]:
-        known = registry()
+        known: dict = registry()
         for column in columns:
             out = []
             for text in column.to_pylist():
-                layout, own = canonical(json.loads(text), known) if text else (None, [])
-                out.append({"layout": layout, "turns": [{"role": r, "text": t} for r, t in own]})
+                data = _decoded(text)
+                layout, own = canonical(data, known)
+                out.append({"layout": layout, "fingerprint": fingerprint(paths(data)) if isinstance(data, dict) else None, "turns": [{"role": r, "text": t} for r, t in own]})
+                if len(known) > MOST_LAYOUTS:
+                    known = registry()
             yield pa.array(out, kind)
 
     got = records.select(F.col(conv).alias("conv_id"), F.col(turn).alias("turn"), run(record).alias("_r"))
-    return got.select("conv_id", "turn", F.col("_r.layout").alias("layout"), F.posexplode("_r.turns").alias("part", "_t")).select("conv_id", "turn", "part", "layout", "_t.role", "_t.text")
+    parts = got.select("conv_id", "turn", F.col("_r.layout").alias("layout"), F.col("_r.fingerprint").alias("fingerprint"), F.posexplode_outer("_r.turns").alias("part", "_t"))
+    return parts.select("conv_id", "turn", "part", "layout", "fingerprint", "_t.role", "_t.text")
+
+
+def turns(rows: DataFrame) -> DataFrame:
+    """The rows of turns_of() that are turns."""
+    return rows.where("part is not null")
+
+
+def layouts(rows: DataFrame) -> DataFrame:
+    """How many records there are of each layout and fingerprint, unknown ones (null layout) included."""
+    return rows.where("part is null or part = 0").groupBy("layout", "fingerprint").agg(F.count(F.lit(1)).alias("n_records"))
 
 
 _FORMATTED = pa.struct([("piece", pa.string()), ("loss_start", pa.int64()), ("loss_end", pa.int64())])
 
 
-def formatted(turns: DataFrame) -> DataFrame:
-    """conv_id, turn, part, and the formatted piece with its loss mask."""
+def formatted(rows: DataFrame) -> DataFrame:
+    """conv_id, turn, part, and the formatted piece with its loss mask, of each turn of turns_of()."""
 
     @F.arrow_udf("struct<piece:string,loss_start:long,loss_end:long>")
     def run(columns: Iterator[tuple[pa.Array, ...]]) -> Iterator[pa.Array]:
@@ -148,7 +184,7 @@ def formatted(turns: DataFrame) -> DataFrame:
             made = [piece(r or "", t or "") for r, t in zip(roles.to_pylist(), texts.to_pylist())]
             yield pa.array([{"piece": p, "loss_start": a, "loss_end": b} for p, a, b in made], _FORMATTED)
 
-    return turns.select("conv_id", "turn", "part", run("role", "text").alias("_f")).select("conv_id", "turn", "part", "_f.*")
+    return turns(rows).select("conv_id", "turn", "part", run("role", "text").alias("_f")).select("conv_id", "turn", "part", "_f.*")
 
 
 _DIGEST = "conv_id long, n_turns long, turns_sha256 string, loss_chars long, loss_sha256 string, formatted_chars long"

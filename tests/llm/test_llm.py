@@ -290,6 +290,15 @@ def test_chat(spark):
         ({"instruction": "a", "output": "b"}, "instruction", [("user", "a"), ("assistant", "b")]),
         ({"role": "user", "turn": 1}, "turn_row", [("user", "")]),
         ({"other": 1}, None, []),
+        ({"messages": [{"role": "user", "content": "a", "name": "n"}], "tools": None}, "messages", [("user", "a")]),
+        ({"prompt": "a", "completion": "b", "lang": "en"}, "prompt_completion", [("user", "a"), ("assistant", "b")]),
+        ({"prompt": "a", "completion": 0, "extra": {"deep": [1]}}, "prompt_completion", [("user", "a"), ("assistant", "0")]),
+        ({"system": "s", "messages": [{"role": "user", "content": "a"}], "source": "x"}, "system_messages", [("system", "s"), ("user", "a")]),
+        ({"messages": []}, "messages", []),
+        ({"messages": ["a"]}, None, []),
+        ({"messages": [{"role": "user", "content": "a"}, 3]}, None, []),
+        ([1], None, []),
+        (None, None, []),
     ]
     for record, name, turns in cases:
         assert chat.canonical(record, known) == (name, turns)
