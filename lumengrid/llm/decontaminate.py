@@ -6,26 +6,41 @@ A document's text, brought to the same form, is scanned from left to right: a ta
 scanned frame says how far the frame may move without missing a pattern; where it says 0, a bucket chosen by that block
 lists the patterns to compare directly. Patterns are split by length class, since the shortest one bounds every shift.
 
-The patterns are held by every task, so their size is checked: up to MAX_PATTERN_BYTES go in one set, more are cut into
-sets of that size and the documents are scanned once for each set, the hits being merged as word ranges.
+A set of patterns is one packed file: the items' texts one after the other, of which each pattern is a stretch, and
+integer tables (shifts, buckets by a hash of the suffix block, owners). It is written to the shared folder, fetched once
+by each executor and mapped by all its Python workers, so a host holds it once. A set takes at most MAX_PATTERN_BYTES,
+by the size of that file; a larger benchmark is cut into sets, which are built and scanned for one after the other, and
+the hits, kept by the text's digest, are merged as word ranges.
 
 Defined cases: null or wordless texts have no words and aren't contaminated; wordless items have no window; items
-without an id hit like others, count together as one item and aren't listed; rows repeat as they come; an empty benchmark contaminates nothing; only the named columns are read.
+without an id hit like others, count together as one item and aren't listed; rows repeat as they come and get equal
+results; a very long text is scanned whole, one at a time; an empty benchmark contaminates nothing; only the named
+columns are read, so others can't clash, and a stage passes all of them on.
 """
 
 from __future__ import annotations
 
+import hashlib
+import json
+import mmap
+import struct
+import uuid
+from array import array
 from collections.abc import Iterator
+from functools import lru_cache
+from zlib import crc32
 
+import numpy as np
 import pyarrow as pa
+from pyspark import SparkFiles
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import as_bytes, free, table
+from .common import MANY, as_bytes, free, meet, put, saved, table
 
 WINDOW = 13
-#: Bytes of patterns that one scan holds. Beyond it, the patterns are cut into several sets.
-MAX_PATTERN_BYTES = 256 << 20
+#: Bytes of the packed file of a set of patterns.
+MAX_PATTERN_BYTES = 512 << 20
 _FORM = bytes(c + 32 if 65 <= c <= 90 else c if 48 <= c <= 57 or 97 <= c <= 122 or c >= 128 else 32 for c in range(256))
 
 
@@ -39,113 +54,196 @@ def windows(text: bytes, size: int = WINDOW) -> list[bytes]:
     return [b" " + b" ".join(words[i : i + size]) + b" " for i in range(max(1, len(words) - size + 1))] if words else []
 
 
+def _bits(n: int) -> int:
+    """Bits of a hash table for n entries that is at most a quarter full."""
+    return max(8, min(26, (4 * max(1, n) - 1).bit_length()))
+
+
 class WuManber:
-    """Finds all occurrences of many byte strings, overlapping ones included."""
-
-    def __init__(self, patterns: list[bytes], block: int = 0):
-        self.least = least = min(map(len, patterns))
-        self.block = block = min(least, block or max(2, min(12, least // 3)))
-        self.far = least - block + 1
-        self.shift: dict[bytes, int] = {}
-        self.bucket: dict[bytes, list[bytes]] = {}
-        for p in patterns:
-            for end in range(block, least + 1):
-                key = p[end - block : end]
-                if least - end < self.shift.get(key, self.far):
-                    self.shift[key] = least - end
-            self.bucket.setdefault(p[least - block : least], []).append(p)
-
-    def find(self, text: bytes) -> Iterator[tuple[int, bytes]]:
-        shift, far, block, least, at, n = self.shift.get, self.far, self.block, self.least, self.least, len(text)
+    """Finds all occurrences of many byte strings, overlapping ones included. Patterns are (start, length) stretches of `blob`; the tables are arrays, or parts of a mapped file."""
+
+    def __init__(self, blob, start, length, shift, head, follow, least: int, block: int):
+        self.blob, self.start, self.length = blob, start, length
+        self.shift, self.head, self.follow, self.least, self.block = shift, head, follow, least, block
+
+    @classmethod
+    def build(cls, blob: bytes, start: array, length: array) -> WuManber:
+        """From stretches in rising order of their starts, each text once. A block's shift comes from the earliest stretch that reaches it, so each place of the blob is hashed once."""
+        least = min(length)
+        block = min(least, max(2, min(12, least // 3)))
+        far = least - block + 1
+        shift = bytearray([min(255, far)]) * (1 << _bits(min(len(blob), len(start) * far)))
+        head, follow = array("i", [-1]) * (1 << _bits(len(start))), array("i", [-1]) * len(start)
+        mask, top, done = len(shift) - 1, len(head) - 1, 0
+        for i, s in enumerate(start):
+            for end in range(max(s + block, done + 1), s + least + 1):
+                at = crc32(blob[end - block : end]) & mask
+                if s + least - end < shift[at]:
+                    shift[at] = s + least - end
+            done = s + least
+            at = crc32(blob[done - block : done]) & top
+            follow[i], head[at] = head[at], i
+        return cls(blob, start, length, shift, head, follow, least, block)
+
+    def find(self, text: bytes) -> Iterator[tuple[int, int]]:
+        """(place, number of the pattern)."""
+        shift, block, least, at, n = self.shift, self.block, self.least, self.least, len(text)
+        mask, top, head, follow, start, length, blob = len(shift) - 1, len(self.head) - 1, self.head, self.follow, self.start, self.length, self.blob
         while at <= n:
-            key = text[at - block : at]
-            step = shift(key, far)
+            h = crc32(text[at - block : at])
+            step = shift[h & mask]
             if step:
                 at += step
                 continue
-            begin = at - least
-            for p in self.bucket[key]:
-                if text.startswith(p, begin):
-                    yield begin, p
+            begin, i = at - least, head[h & top]
+            while i >= 0:
+                if text[begin : begin + length[i]] == blob[start[i] : start[i] + length[i]]:
+                    yield begin, i
+                i = follow[i]
             at += 1
 
 
 class Matcher:
-    """Windows of all items, by length class."""
-
-    def __init__(self, items: list[tuple[str, bytes]]):
-        self.owner: dict[bytes, list[str]] = {}
-        for item, text in items:
-            for w in dict.fromkeys(windows(text)):
-                self.owner.setdefault(w, []).append(item)
-        classes: dict[int, list[bytes]] = {}
-        for p in self.owner:
-            classes.setdefault(min(3, len(p).bit_length() // 2), []).append(p)
-        self.searches = [WuManber(x) for x in classes.values()]
-
-    def scan(self, text: bytes) -> tuple[int, list[tuple[int, int]], set[str]]:
+    """Windows of all items, by length class, with their owners; packed into one buffer that can be mapped."""
+
+    def __init__(self, buffer: bytes):
+        data = memoryview(buffer)
+        (n,) = struct.unpack_from("<q", data)
+        sizes = struct.unpack_from(f"<{n}q", data, 8)
+        parts, at = [], 8 + 8 * n
+        for size in sizes:
+            parts.append(data[at : at + size])
+            at += size + -size % 8
+        self.names = json.loads(bytes(parts[0]))
+        blob = parts[1]
+        self.searches = []
+        for k in range(2, len(parts), 8):
+            least, block = struct.unpack("<qq", parts[k])
+            ints = [p.cast("i") for p in (*parts[k + 1 : k + 3], *parts[k + 4 : k + 8])]
+            self.searches.append((WuManber(blob, ints[0], ints[1], parts[k + 3], ints[2], ints[3], least, block), ints[4], ints[5]))
+
+    @staticmethod
+    def pack(items: list[tuple[str | None, bytes]]) -> bytes:
+        blob = bytearray()
+        classes: dict[int, tuple[dict[bytes, int], array, array, array, array]] = {}
+        for no, (_, text) in enumerate(items):
+            whole = plain(text)
+            if len(whole) < 3:
+                continue
+            base, gaps = len(blob), [i for i, c in enumerate(whole) if c == 32]
+            blob += whole
+            for i in range(max(1, len(gaps) - WINDOW)):
+                a, b = gaps[i], gaps[min(len(gaps) - 1, i + WINDOW)] + 1
+                number, start, length, which, owner = classes.setdefault(min(3, (b - a).bit_length() // 2), ({}, *(array("i") for _ in range(4))))
+                k = number.setdefault(hashlib.blake2b(whole[a:b], digest_size=16).digest(), len(start))
+                if k == len(start):
+                    start.append(base + a), length.append(b - a)
+                which.append(k), owner.append(no)
+        fixed = bytes(blob)
+        parts = [json.dumps([i for i, _ in items]).encode(), fixed]
+        for _, start, length, which, owner in classes.values():
+            w = WuManber.build(fixed, start, length)
+            order = np.lexsort((owner, which))
+            first = np.searchsorted(np.asarray(which)[order], np.arange(len(start) + 1)).astype(np.int32)
+            parts += [struct.pack("<qq", w.least, w.block), *(x.tobytes() for x in (start, length, array("B", w.shift), w.head, w.follow, first, np.asarray(owner, dtype=np.int32)[order]))]
+        return b"".join([struct.pack(f"<{1 + len(parts)}q", len(parts), *map(len, parts)), *(x for p in parts for x in (p, bytes(-len(p) % 8)))])
+
+    def scan(self, text: bytes) -> tuple[int, list[tuple[int, int]], set]:
         """The number of words, the merged ranges of hit words, and the items found."""
         text = plain(text)
-        found = sorted((at, p) for s in self.searches for at, p in s.find(text))
+        found = sorted((at, w.length[i], k, i) for k, (w, _, _) in enumerate(self.searches) for at, i in w.find(text))
         ranges: list[list[int]] = []
-        items: set[str] = set()
+        numbers: set[int] = set()
         word, seen = 0, 0
-        for at, p in found:
+        for at, size, k, i in found:
             word += text.count(b" ", seen, at)
             seen = at
-            end = word + p.count(b" ") - 1
-            items.update(self.owner[p])
+            end = word + text.count(b" ", at, at + size) - 1
+            _, first, owners = self.searches[k]
+            numbers.update(owners[first[i] : first[i + 1]])
             if ranges and word <= ranges[-1][1]:
                 ranges[-1][1] = max(ranges[-1][1], end)
             else:
                 ranges.append([word, end])
-        return max(0, text.count(b" ") - 1) if len(text) > 2 else 0, [tuple(r) for r in ranges], items
+        return max(0, text.count(b" ") - 1) if len(text) > 2 else 0, [tuple(r) for r in ranges], {self.names[x] for x in numbers}
+
+
+@lru_cache(maxsize=1)
+def _mapped(path: str) -> Matcher:
+    """One for each Python worker; the file's pages are shared by the workers of a host."""
+    with open(path, "rb") as f:
+        return Matcher(mmap.mmap(f.fileno(), 0, access=mmap.ACCESS_READ))
 
 
 _HITS = "n_words long, ranges array<struct<first:long,end:long>>, items array<string>"
 _HIT = pa.struct([("n_words", pa.int64()), ("ranges", pa.list_(pa.struct([("first", pa.int64()), ("end", pa.int64())]))), ("items", pa.list_(pa.string()))])
+#: Bytes of a packed set, at most, for each byte of text (the text, and up to eight cells of shifts) and for each word (a pattern's five integers, and up to eight cells of bucket heads).
+_PER_BYTE, _PER_WORD = 9, 52
 
 
-def _pattern_sets(benchmark: DataFrame, most: int) -> list[list[tuple[str, bytes]]]:
-    """The items as sets whose windows take at most `most` bytes each. A benchmark is a stated list, far smaller than a corpus; it comes to the driver item by item."""
-    sets, size = [[]], 0
+def pattern_sets(benchmark: DataFrame, most: int = MAX_PATTERN_BYTES) -> Iterator[bytes]:
+    """The packed sets, one after the other. A benchmark comes to the driver item by item; only the items of one set are there at a time."""
+    items, size = [], 0
     for r in benchmark.select(F.col("item_id").cast("string").alias("item_id"), "text").where("text is not null").toLocalIterator():
         text = r.text.encode()
-        own = WINDOW * len(text)
-        if sets[-1] and size + own > most:
-            sets.append([])
-            size = 0
-        sets[-1].append((r.item_id, text))
+        own = _PER_BYTE * len(text) + _PER_WORD * len(text.translate(_FORM).split())
+        if items and size + own > most:
+            yield Matcher.pack(items)
+            items, size = [], 0
+        items.append((r.item_id, text))
         size += own
-    return [s for s in sets if s]
+    if items:
+        yield Matcher.pack(items)
+
+
+def _scanner(spark, packed: bytes):
+    """A column function that scans texts for one packed set."""
+    name = f"patterns-{uuid.uuid4().hex}.bin"
+    spark.sparkContext.addFile(put(spark, name, packed))
+
+    @F.arrow_udf(_HITS)
+    def scan(columns: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        matcher = _mapped(SparkFiles.get(name))
+        for column in columns:
+            out = []
+            for text in as_bytes(column):
+                n, ranges, items = matcher.scan(text)
+                out.append({"n_words": n, "ranges": [{"first": a, "end": b} for a, b in ranges], "items": sorted(items, key=lambda i: (i is None, i or ""))})
+            yield pa.array(out, _HIT)
+
+    return scan
+
+
+def _text_key(text: str = "text"):
+    return F.sha2(F.coalesce(text, F.lit("")), 256)
 
 
 def hits(docs: DataFrame, benchmark: DataFrame, name: str = "_hits", most: int = MAX_PATTERN_BYTES) -> DataFrame:
-    """docs with one more column: a struct of n_words, hit word ranges (first, end) and items, from a scan of each whole text."""
+    """docs with one more column: a struct of n_words, hit word ranges (first, end) and items, from a scan of each whole text. With several sets, each further one is scanned for in a pass of its own, whose hits are few and written; they meet the documents by the text's digest."""
     spark = docs.sparkSession
-    sets = _pattern_sets(benchmark, most) or [[]]
-    held = [spark.sparkContext.broadcast(s) for s in sets]
-
-    def scanner(part):
-        @F.arrow_udf(_HITS)
-        def scan(columns: Iterator[pa.Array]) -> Iterator[pa.Array]:
-            matcher = Matcher(part.value)
-            for column in columns:
-                out = []
-                for text in as_bytes(column):
-                    n, ranges, items = matcher.scan(text)
-                    out.append({"n_words": n, "ranges": [{"first": a, "end": b} for a, b in ranges], "items": sorted(items, key=lambda i: (i is None, i or ""))})
-                yield pa.array(out, _HIT)
-
-        return scan
-
-    found = docs.withColumn(name, scanner(held[0])(F.col("text")))
-    for part in held[1:]:
-        also = free(found, "more")
-        one, two = F.col(name), F.col(also)
-        both = F.struct(one["n_words"].alias("n_words"), F.concat(one["ranges"], two["ranges"]).alias("ranges"), F.array_union(one["items"], two["items"]).alias("items"))
-        found = found.withColumn(also, scanner(part)(F.col("text"))).withColumn(name, both).drop(also)
-    return found
+    sets = pattern_sets(benchmark, most)
+    found = docs.withColumn(name, _scanner(spark, next(sets, Matcher.pack([])))(F.col("text")))
+    more = []
+    for packed in sets:
+        own = docs.select("text").withColumn("h", _scanner(spark, packed)(F.col("text"))).where(F.size("h.items") > 0)
+        more.append(saved(own.select(_text_key().alias("key"), "h.ranges", "h.items").dropDuplicates(["key"]), "hits"))
+    if not more:
+        return found
+    key, size, also = free(docs, "key"), free(docs, "n"), free(docs, "more")
+    every = more[0]
+    for x in more[1:]:
+        every = every.unionByName(x)
+    every = every.groupBy("key").agg(F.flatten(F.collect_list("ranges")).alias("ranges"), F.flatten(F.collect_set("items")).alias("items"))
+    every = every.select(F.col("key").alias(key), F.struct("ranges", "items").alias(also))
+    every = saved(every, "hits")
+    keyed = found.withColumn(key, _text_key())
+    if every.count() <= MANY:
+        keyed = keyed.join(F.broadcast(every), key, "left")
+    else:
+        keyed = meet(keyed, docs.select(_text_key().alias(key)).groupBy(key).agg(F.count(F.lit(1)).alias(size)).join(every, key), [key], size, "left")
+    one, two = F.col(name), F.col(also)
+    none = F.when(two.isNull(), one).otherwise(F.struct(one["n_words"].alias("n_words"), F.concat(one["ranges"], two["ranges"]).alias("ranges"), F.array_distinct(F.concat(one["items"], two["items"])).alias("items")))
+    return keyed.withColumn(name, none).select(*docs.columns, name)
 
 
 def _n_hit(ranges):

@@ -5,6 +5,7 @@ import hashlib
 import json
 import random
 import re
+from array import array
 from collections import Counter
 
 import numpy as np
@@ -228,7 +229,9 @@ def test_wu_manber():
         text = "".join(rnd.choice("ab c") for _ in range(200)).encode()
         pats = list({text[i : i + rnd.randrange(1, 12)] for i in [rnd.randrange(190) for _ in range(8)]} | {b"zz"})
         want = sorted((i, p) for p in pats for i in range(len(text)) if text.startswith(p, i))
-        assert sorted(decontaminate.WuManber(pats).find(text)) == want
+        starts = array("i", [sum(map(len, pats[:i])) for i in range(len(pats))])
+        search = decontaminate.WuManber.build(b"".join(pats), starts, array("i", map(len, pats)))
+        assert sorted((at, pats[i]) for at, i in search.find(text)) == want
 
 
 def test_warc(spark, tmp_path):
