@@ -46,10 +46,10 @@ def shingles(words: np.ndarray) -> np.ndarray:
     if n == 0:
         return words
     if n < SHINGLE:
-        h = _U(n)
-        for w in words:
-            h = mix64(np.array([h * _U(31) + w], dtype=_U))[0]
-        return np.array([h], dtype=_U)
+        h = np.array([n], dtype=_U)
+        for i in range(n):
+            h = mix64(h * _U(31) + words[i : i + 1])
+        return h
     return np.unique(mix64(words[:-2] * _U(0x9E3779B97F4A7C15) + mix64(words[1:-1] + _U(7)) * _U(0xC2B2AE3D27D4EB4F) + words[2:]))
 
 

@@ -8,7 +8,9 @@ At most about TRAIN_ROWS labelled documents are learnt from; the statistics and
 
 Defined cases: null texts count as empty; empty texts have all statistics 0 and are scored like any other; without
 training rows of both labels the score is the share of label 1 (0.5 without labels); repeated rows are scored alike;
-labels without a document, null labels and null ids are left out; columns other than doc_id and text aren't read.
+very long texts are described whole, one at a time; labels without a document, null labels and null ids are left out; of
+several labels of a document the largest counts; columns other than doc_id and text aren't read, so others can't clash;
+an empty table gives an empty result.
 """
 
 from __future__ import annotations

@@ -1,19 +1,24 @@
 """Toxicity by a linear-chain conditional random field.
 
-Tokens are runs of letters in lower case; a sequence is at most WINDOW consecutive tokens of a text. The labels mark
-whole documents, so token labels are derived first: Spark counts, over the training documents, in how many toxic and
-clean ones each word and each word beginning occurs (copies of a text, told by the smallest shingle hash, count once);
-those whose likelihood ratio beats the number of features tested mark a token as toxic within toxic documents. The CRF
-learns weights of these features and of label transitions from such tagged sequences. Forward-backward marginals give
-each token's probability; a logistic function of their sum, maximum and mean is the document's score, and tokens above
-SPAN are the offending spans.
-
-At most about TRAIN_ROWS labelled documents and TRAIN_WINDOWS sequences are learnt from; every document is scored whole.
+Tokens are runs of letters. Their features are the word in lower case, its beginnings and endings, its shape, and the
+words beside it. The labels mark whole documents, so token labels are derived: Spark counts, over the training
+documents, in how many toxic and clean ones each word and each beginning occurs (copies of a text, told by the smallest
+shingle hash, count once). Those whose likelihood ratio beats the number of features tested are marks; then the toxic
+documents without a mark are looked at alone, against all clean ones, until no more marks are found. Marked tokens of
+toxic documents are the first token labels. A CRF learns weights of features and of label transitions from tagged
+sequences; its own marginals then label the tokens anew (toxic ones only within toxic documents), and it learns once
+more. Forward-backward marginals give each token's probability; a logistic function of their sum, mean and two
+largest is the document's score, and tokens above SPAN are the offending spans.
+
+A sequence has WINDOW tokens and shares OVERLAP with the next one; a token's marginal comes from the sequence in which
+it lies farther from an end. At most about TRAIN_ROWS labelled documents and TRAIN_WINDOWS sequences are learnt from;
+every document is scored whole.
 
 Defined cases: null texts count as empty; empty texts get the score of a text without toxic tokens; without toxic
-training rows every score is the share of toxic labels (0 without labels); repeated rows are scored alike; labels
-without a document, null labels and null ids are left out; columns other than doc_id and text aren't read, and a stage
-passes them on.
+training rows every score is the share of toxic labels (0 without labels); repeated rows are scored alike; very long
+texts are scored whole, their sequences some thousand at a time; labels without a document, null labels and null ids are
+left out; of several labels of a document the largest counts; columns other than doc_id and text aren't read, so others
+can't clash, and a stage passes them on; an empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -36,19 +41,49 @@ TRAIN_ROWS = 24_000
 TRAIN_WINDOWS = 6_000
 #: Features that the model holds at most, the most telling ones.
 FEATURES = 20_000
-WINDOW = 64
-BEGINNINGS = (3, 4, 5, 6)
+WINDOW, OVERLAP = 64, 16
+BEGINNINGS, ENDINGS = (3, 4, 5, 6, 7, 8), (3, 4)
+#: A feature is known if it occurs in so many of the sequences learnt from.
+LEAST_SEEN = 5
+#: Sequences that are run together.
+TOGETHER = 4096
+#: How many times commoner a mark is in toxic documents, at least.
+COMMONER = 5.0
 MODULUS, HELD = 4, 2
 THRESHOLD = 0.3
 SPAN = 0.5
 _TOKEN = re.compile(r"[^\W\d_]+")
 
 
-def features(word: str) -> list[str]:
-    """The word itself and its beginnings."""
+def marks_of(word: str) -> list[str]:
+    """What may mark a word (in lower case): itself and its beginnings."""
     return [word, *(word[:k] + "*" for k in BEGINNINGS if len(word) > k)]
 
 
+def shape(token: str) -> str:
+    """Capitals, characters beyond ASCII, and length, coarsely."""
+    case = "A" if token.isupper() and len(token) > 1 else "Aa" if token[:1].isupper() else "a"
+    return f"#{case}{'' if token.isascii() else '+'}{min(len(token) // 3, 4)}"
+
+
+def own_features(token: str) -> list[str]:
+    word = token.lower()
+    return [*marks_of(word), *("*" + word[-k:] for k in ENDINGS if len(word) > k), shape(token)]
+
+
+def side_features(token: str) -> tuple[str, str]:
+    """What a token says about the one after it, and about the one before it."""
+    word = token.lower()
+    return "<" + word, ">" + word
+
+
+def spread(n: int) -> list[tuple[int, int, int, int]]:
+    """The sequences of n tokens: where each begins and ends, and for which tokens its marginals count."""
+    step, half = WINDOW - OVERLAP, OVERLAP // 2
+    starts = range(0, max(1, n - OVERLAP), step) if n else ()
+    return [(s, min(n, s + WINDOW), s + half * (s > 0), n if s + WINDOW >= n else s + WINDOW - half) for s in starts]
+
+
 def _forward_backward(emit: np.ndarray, there: np.ndarray, trans: np.ndarray, start: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """For sequences of label scores emit[n, t, 2], padded where not there[n, t]: marginals of label 1 [n, t], expected transitions [2, 2], log partition sums [n]."""
     n, length, _ = emit.shape
@@ -77,59 +112,65 @@ class Model:
     bias: float = -6.0
     trans: list = field(default_factory=lambda: [[0.0, 0.0], [0.0, 0.0]])
     start: list = field(default_factory=lambda: [0.0, 0.0])
-    #: Of the document's score: intercept, log of 1 + expected toxic tokens, logit of the largest marginal, expected share.
-    top: list = field(default_factory=lambda: [-20.0, 0.0, 0.0, 0.0])
+    #: Of the document's score: intercept, log of 1 + expected toxic tokens, logits of the largest and of the second largest marginal, expected share.
+    top: list = field(default_factory=lambda: [-20.0, 0.0, 0.0, 0.0, 0.0])
 
 
 class Tagger:
     def __init__(self, model: Model):
         self.m, self.known = model, {}
         self.trans, self.start = np.array(model.trans), np.array(model.start)
-        self.quiet = [np.empty(0)] + [self._run(np.full((1, k), model.bias), np.ones((1, k), dtype=bool))[0] for k in range(1, WINDOW + 1)]
-
-    def _run(self, scores: np.ndarray, there: np.ndarray) -> np.ndarray:
-        return _forward_backward(np.stack([np.zeros_like(scores), scores], axis=-1), there, self.trans, self.start)[0]
 
-    def score(self, word: str) -> float:
-        found = self.known.get(word)
+    def word(self, token: str) -> tuple[float, float, float]:
+        """What a token adds to its own score, to that of the next one, and to that of the one before."""
+        found = self.known.get(token)
         if found is None:
             w = self.m.weights
-            found = self.known[word] = self.m.bias + sum(w[f] for f in features(word) if f in w)
+            after, before = side_features(token)
+            found = self.known[token] = (self.m.bias + sum(w[f] for f in own_features(token) if f in w), w.get(after, 0.0), w.get(before, 0.0))
         return found
 
+    def scores(self, tokens: list[str]) -> np.ndarray:
+        if not tokens:
+            return np.empty(0)
+        own, after, before = np.array(list(map(self.word, tokens))).T
+        own[1:] += after[:-1]
+        own[:-1] += before[1:]
+        return own
+
     def marginals(self, texts: list[str]) -> list[np.ndarray]:
-        """The probability of each token to be toxic. Sequences without any feature share one result for each length."""
+        """The probability of each token to be toxic."""
         if len(self.known) > 500_000:
             self.known.clear()
-        out, loud = [], []
-        for k, text in enumerate(texts):
-            words = _TOKEN.findall(text.lower())
-            scores = np.fromiter(map(self.score, words), dtype=np.float64, count=len(words))
-            hot = scores != self.m.bias
-            own = []
-            for at in range(0, len(words), WINDOW):
-                part = scores[at : at + WINDOW]
-                if hot[at : at + WINDOW].any():
-                    loud.append((k, len(own), part))
-                    own.append(None)
-                else:
-                    own.append(self.quiet[len(part)])
-            out.append(own)
-        for at in range(0, len(loud), 4096):
-            rows = loud[at : at + 4096]
-            scores, there = np.zeros((len(rows), WINDOW)), np.zeros((len(rows), WINDOW), dtype=bool)
-            for i, (_, _, part) in enumerate(rows):
+        out, waiting = [], []
+
+        def run() -> None:
+            scores, there = np.zeros((len(waiting), WINDOW)), np.zeros((len(waiting), WINDOW), dtype=bool)
+            for i, (part, *_) in enumerate(waiting):
                 scores[i, : len(part)], there[i, : len(part)] = part, True
-            for (k, j, part), m in zip(rows, self._run(scores, there)):
-                out[k][j] = m[: len(part)]
-        return [np.concatenate(own) if own else np.empty(0) for own in out]
+            got = _forward_backward(np.stack([np.zeros_like(scores), scores], axis=-1), there, self.trans, self.start)[0]
+            for m, (_, into, at, a, b) in zip(got, waiting):
+                into[a:b] = m[a - at : b - at]
+            waiting.clear()
+
+        for text in texts:
+            scores = self.scores(_TOKEN.findall(text))
+            out.append(np.empty(len(scores)))
+            for at, end, a, b in spread(len(scores)):
+                waiting.append((scores[at:end], out[-1], at, a, b))
+                if len(waiting) == TOGETHER:
+                    run()
+        run()
+        return out
 
     @staticmethod
-    def summary(p: np.ndarray) -> tuple[float, float, float]:
+    def summary(p: np.ndarray) -> tuple[float, float, float, float]:
         if not len(p):
-            return 0.0, -9.0, 0.0
-        most = min(max(float(p.max()), 1.3e-4), 1 - 1.3e-4)
-        return math.log1p(float(p.sum())), math.log(most / (1 - most)), float(p.mean())
+            return 0.0, -9.0, -9.0, 0.0
+        least = 1.3e-4
+        two = np.clip(np.partition(p, len(p) - 2)[-2:] if len(p) > 1 else [least, p[0]], least, 1 - least)
+        second, first = np.log(two / (1 - two)).tolist()
+        return math.log1p(float(p.sum())), first, second, float(p.mean())
 
     def document(self, p: np.ndarray) -> float:
         w = self.m.top
@@ -150,7 +191,7 @@ def _counted(rows: DataFrame) -> DataFrame:
         toxic, clean = Counter(), Counter()
         for batch in _small(batches):
             for text, label in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                (toxic if label else clean).update({f for w in set(_TOKEN.findall((text or "").lower())) for f in features(w)})
+                (toxic if label else clean).update({f for w in set(_TOKEN.findall((text or "").lower())) for f in marks_of(w)})
             if len(toxic) + len(clean) > 1 << 18:
                 yield from out(toxic, clean)
                 toxic, clean = Counter(), Counter()
@@ -166,62 +207,99 @@ def _counted(rows: DataFrame) -> DataFrame:
 
 
 def telling(rows: DataFrame, n_toxic: int, n_clean: int) -> list[str]:
-    """Features far commoner in toxic documents than chance allows."""
-    counted = _counted(rows).where("toxic >= 4")
-    share = n_toxic / (n_toxic + n_clean)
+    """Marks far commoner in toxic documents than chance allows: first among all, then, round by round, among the toxic documents that have no mark yet, whose share is smaller, so that rarer marks stand out. What is collected are at most FEATURES candidates, and which of them the toxic documents of the sample hold."""
     t, c = F.col("toxic"), F.col("clean")
-    gain = t * F.log(t / (t + c) / share) + F.when(c > 0, c * F.log(c / (t + c) / (1 - share))).otherwise(0)
-    found = counted.withColumn("gain", gain).where((t * n_clean > 20.0 * (c + 0.5) * n_toxic) & (F.col("gain") > 14)).orderBy(F.desc("gain"), "feature").limit(FEATURES)
-    return [r.feature for r in found.collect()]
+    odd = (t >= 3) & (t * n_clean > COMMONER * (c + 0.5) * n_toxic)
+    candidates = {r.feature: (i, r.clean) for i, r in enumerate(_counted(rows).where(odd).orderBy(F.desc(t / (c + 1)), "feature").limit(FEATURES).collect())}
+
+    def held(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in _small(batches):
+            own = [sorted({candidates[f][0] for w in set(_TOKEN.findall((x or "").lower())) for f in marks_of(w) if f in candidates}) for x in batch.column(0).to_pylist()]
+            yield pa.RecordBatch.from_arrays([pa.array(own, pa.list_(pa.int32()))], ["own"])
+
+    texts = [np.array(r.own, dtype=np.int64) for r in rows.where("label = 1").select("text").mapInArrow(held, "own array<int>").collect()]
+    clean = np.array([n for _, n in candidates.values()], dtype=float)
+    chosen = np.zeros(len(candidates), dtype=bool)
+    left = texts
+    while left and len(candidates):
+        toxic = np.bincount(np.concatenate(left), minlength=len(clean)).astype(float)
+        share = len(left) / (len(left) + n_clean)
+        with np.errstate(divide="ignore", invalid="ignore"):
+            gain = toxic * np.log(toxic / (toxic + clean) / share) + np.where(clean > 0, clean * np.log(clean / (toxic + clean) / (1 - share)), 0)
+        new = ~chosen & (toxic >= 3) & (gain > 14)
+        if not new.any():
+            break
+        chosen |= new
+        left = [x for x in left if not chosen[x].any()]
+    return [f for f, (i, _) in candidates.items() if chosen[i]]
 
 
-def _windows(rows: DataFrame, marks: set[str], most: int) -> list[tuple[list[str], list[int]]]:
-    """Tagged sequences: all toxic ones and as many others, picked by a hash, at most about `most`."""
+_WINDOW_TYPE = pa.schema([("words", pa.list_(pa.string())), ("tags", pa.list_(pa.int32())), ("toxic", pa.bool_()), ("any", pa.bool_())])
+
+
+def _windows(rows: DataFrame, marks: set[str], most: int) -> list[tuple[list[str], list[int], bool]]:
+    """Sequences with first token labels and whether their document is toxic: at most about `most`, half of them with a marked token, picked by a hash."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in _small(batches):
             out = []
             for text, label in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                words = _TOKEN.findall((text or "").lower())
+                words = _TOKEN.findall(text or "")
                 for at in range(0, len(words), WINDOW):
                     part = words[at : at + WINDOW]
-                    tags = [int(bool(label) and any(f in marks for f in features(w))) for w in part]
-                    out.append({"words": part, "tags": tags, "any": any(tags)})
-            yield pa.RecordBatch.from_pylist(out, schema=pa.schema([("words", pa.list_(pa.string())), ("tags", pa.list_(pa.int32())), ("any", pa.bool_())]))
-
-    tagged = rows.select("text", "label").mapInArrow(run, "words array<string>, tags array<int>, any boolean")
-    return [(r.words, r.tags) for r in tagged.where("any").orderBy(F.xxhash64("words")).limit(most // 2).collect() + tagged.where("not any").orderBy(F.xxhash64("words")).limit(most // 2).collect()]
-
-
-def fit_crf(windows: list[tuple[list[str], list[int]]], marks: list[str], rounds: int = 60, rate: float = 0.3, ridge: float = 1e-4) -> Model:
-    """Maximise the conditional likelihood by Adam on whole batches."""
-    number = {f: i for i, f in enumerate(marks)}
-    n = len(windows)
-    there, tags = np.zeros((n, WINDOW), dtype=bool), np.zeros((n, WINDOW), dtype=np.int64)
-    rows, cols, feats = [], [], []
-    for i, (words, own) in enumerate(windows):
+                    tags = [int(bool(label) and any(f in marks for f in marks_of(w.lower()))) for w in part]
+                    out.append({"words": part, "tags": tags, "toxic": bool(label), "any": any(tags)})
+            yield pa.RecordBatch.from_pylist(out, schema=_WINDOW_TYPE)
+
+    tagged = rows.select("text", "label").mapInArrow(run, "words array<string>, tags array<int>, toxic boolean, any boolean")
+    return [(r.words, r.tags, r.toxic) for part in ("any", "not any") for r in tagged.where(part).orderBy(F.xxhash64("words")).limit(most // 2).collect()]
+
+
+def known_features(windows: list[tuple[list[str], list[int], bool]], marks: list[str]) -> list[str]:
+    """The marks, and the commonest features that occur in at least LEAST_SEEN sequences."""
+    seen: Counter = Counter()
+    for words, *_ in windows:
+        seen.update({f for w in set(words) for f in (*own_features(w), *side_features(w))})
+    common = [f for f, n in sorted(seen.items(), key=lambda x: (-x[1], x[0])) if n >= LEAST_SEEN]
+    return list(dict.fromkeys([*marks, *common[:FEATURES]]))
+
+
+def fit_crf(windows: list[tuple[list[str], list[int], bool]], known: list[str], passes: int = 2, rounds: int = 60, rate: float = 0.3, ridge: float = 1e-4, side_ridge: float = 3e-3) -> Model:
+    """Maximise the conditional likelihood by Adam on whole batches; between passes, the tokens of toxic documents get the label that the model finds likelier."""
+    number = {f: i for i, f in enumerate(known)}
+    n, k = len(windows), len(known)
+    there, tags, toxic = np.zeros((n, WINDOW), dtype=bool), np.zeros((n, WINDOW), dtype=np.int64), np.array([w[2] for w in windows])
+    cells, feats = [], []
+    own_ids: dict[str, list[int]] = {}
+    side_ids: dict[str, tuple] = {}
+    for i, (words, own, _) in enumerate(windows):
         there[i, : len(words)], tags[i, : len(own)] = True, own
         for t, w in enumerate(words):
-            for f in features(w):
-                if f in number:
-                    rows.append(i), cols.append(t), feats.append(number[f])
-    rows, cols, feats = (np.array(x, dtype=np.int64) for x in (rows, cols, feats))
-    k = len(marks)
+            if w not in own_ids:
+                own_ids[w] = [number[f] for f in own_features(w) if f in number]
+                side_ids[w] = tuple(number.get(f) for f in side_features(w))
+            own_at = [*own_ids[w], *(x for x in (side_ids[words[t - 1]][0] if t else None, side_ids.setdefault(words[t + 1], tuple(number.get(f) for f in side_features(words[t + 1])))[1] if t + 1 < len(words) else None) if x is not None)]
+            feats += own_at
+            cells += [i * WINDOW + t] * len(own_at)
+    cells, feats = np.array(cells, dtype=np.int64), np.array(feats, dtype=np.int64)
+    pull = np.array([side_ridge if f[0] in "<>" else ridge for f in known] + [ridge] * 7)
     both = there[:, 1:]
-    seen = np.array([[((tags[:, :-1] == a) & (tags[:, 1:] == b) & both).sum() for b in (0, 1)] for a in (0, 1)], dtype=float)
-    begin = np.array([(tags[:, 0] == 0).sum(), (tags[:, 0] == 1).sum()], dtype=float)
     w = np.zeros(k + 7)
     w[k] = -4.0
-    m, v = np.zeros_like(w), np.zeros_like(w)
-    for r in range(1, rounds + 1):
-        score = np.full((n, WINDOW), w[k])
-        np.add.at(score, (rows, cols), w[feats])
-        p, moved, _ = _forward_backward(np.stack([np.zeros_like(score), score], axis=-1), there, w[k + 1 : k + 5].reshape(2, 2), w[k + 5 :])
-        miss = (tags - p) * there
-        g = np.concatenate([np.bincount(feats, weights=miss[rows, cols], minlength=k) if k else np.empty(0), [miss.sum()], (seen - moved).ravel(), begin - np.array([(1 - p[:, 0]).sum(), p[:, 0].sum()])]) / n - ridge * w
-        m, v = 0.9 * m + 0.1 * g, 0.999 * v + 0.001 * g * g
-        w = w + rate * (m / (1 - 0.9**r)) / (np.sqrt(v / (1 - 0.999**r)) + 1e-9)
-    return Model(dict(zip(marks, w[:k].tolist())), float(w[k]), w[k + 1 : k + 5].reshape(2, 2).tolist(), w[k + 5 :].tolist())
+    for turn in range(passes):
+        seen = np.array([[((tags[:, :-1] == a) & (tags[:, 1:] == b) & both).sum() for b in (0, 1)] for a in (0, 1)], dtype=float)
+        begin = np.array([(tags[:, 0] == 0).sum(), (tags[:, 0] == 1).sum()], dtype=float)
+        m, v = np.zeros_like(w), np.zeros_like(w)
+        for r in range(1, rounds + 1):
+            score = (w[k] + np.bincount(cells, weights=w[feats], minlength=n * WINDOW)).reshape(n, WINDOW)
+            p, moved, _ = _forward_backward(np.stack([np.zeros_like(score), score], axis=-1), there, w[k + 1 : k + 5].reshape(2, 2), w[k + 5 :])
+            miss = (tags - p) * there
+            g = np.concatenate([np.bincount(feats, weights=miss.ravel()[cells], minlength=k) if k else np.empty(0), [miss.sum()], (seen - moved).ravel(), begin - np.array([(1 - p[:, 0]).sum(), p[:, 0].sum()])]) / n - pull * w
+            m, v = 0.9 * m + 0.1 * g, 0.999 * v + 0.001 * g * g
+            w = w + rate * (m / (1 - 0.9**r)) / (np.sqrt(v / (1 - 0.999**r)) + 1e-9)
+        if turn + 1 < passes:
+            tags = ((p >= 0.5) & toxic[:, None] & there).astype(np.int64)
+    return Model({f: x for f, x in zip(known, w[:k].tolist()) if abs(x) > 1e-3}, float(w[k]), w[k + 1 : k + 5].reshape(2, 2).tolist(), w[k + 5 :].tolist())
 
 
 def _smallest(columns: Iterator[pa.Array]) -> Iterator[pa.Array]:
@@ -238,24 +316,26 @@ def train(docs: DataFrame, labels: DataFrame) -> Model:
     rows = saved(rows.withColumn("smallest", F.arrow_udf(_smallest, "long")("text")).dropDuplicates(["smallest", "label"]).select("text", "label"), "toxic-rows")
     amount = {r.label: r["count"] for r in rows.groupBy("label").count().collect()}
     n_toxic, n_clean = amount.get(1, 0), amount.get(0, 0)
-    model = Model(top=[math.log((n_toxic + 1e-9) / (n_clean + 1e-9)) if n_toxic and n_clean else (20.0 if n_toxic else -20.0), 0.0, 0.0, 0.0])
+    model = Model(top=[math.log((n_toxic + 1e-9) / (n_clean + 1e-9)) if n_toxic and n_clean else (20.0 if n_toxic else -20.0), 0.0, 0.0, 0.0, 0.0])
     if not n_toxic or not n_clean:
         return model
     marks = telling(rows, n_toxic, n_clean)
     if not marks:
         return model
     top = model.top
-    model = fit_crf(_windows(rows, set(marks), TRAIN_WINDOWS), marks)
+    windows = _windows(rows, set(marks), TRAIN_WINDOWS)
+    model = fit_crf(windows, known_features(windows, marks))
     model.top = top
 
     def summaries(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tagger = Tagger(model)
         for batch in _small(batches):
             own = [tagger.summary(p) for p in tagger.marginals([x or "" for x in batch.column(0).to_pylist()])]
-            yield pa.RecordBatch.from_arrays([*(pa.array([s[i] for s in own], pa.float64()) for i in range(3)), batch.column(1)], ["total", "most", "share", "label"])
+            yield pa.RecordBatch.from_arrays([*(pa.array([s[i] for s in own], pa.float64()) for i in range(4)), batch.column(1)], [*names, "label"])
 
-    got = rows.select("text", "label").mapInArrow(summaries, "total double, most double, share double, label int").toPandas()
-    model.top = fit_logistic(got[["total", "most", "share"]].to_numpy(), got["label"].to_numpy(dtype=float)).tolist()
+    names = ["total", "most", "second", "share"]
+    got = rows.select("text", "label").mapInArrow(summaries, "total double, most double, second double, share double, label int").toPandas()
+    model.top = fit_logistic(got[names].to_numpy(), got["label"].to_numpy(dtype=float)).tolist()
     return model
 
 
@@ -282,10 +362,7 @@ def spans(docs: DataFrame, model: Model, least: float = SPAN) -> DataFrame:
             texts = [x or "" for x in column.to_pylist()]
             out = []
             for text, p in zip(texts, tagger.marginals(texts)):
-                # lower() rarely lengthens a text; its positions then hold for the text in lower case
-                low = text.lower()
-                base = text if len(low) == len(text) else low
-                out.append([{"start": m.start(), "end": m.end(), "word": base[m.start() : m.end()], "probability": float(q)} for m, q in zip(_TOKEN.finditer(low), p) if q >= least])
+                out.append([{"start": m.start(), "end": m.end(), "word": m.group(), "probability": float(q)} for m, q in zip(_TOKEN.finditer(text), p) if q >= least])
             yield pa.array(out, pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32()), ("word", pa.string()), ("probability", pa.float64())])))
 
     return docs.select("doc_id", run("text").alias("spans"))

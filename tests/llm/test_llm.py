@@ -376,8 +376,8 @@ def test_crf_gradients_and_spans(spark):
             for t in range(1, k):
                 total[y[t - 1], y[t]] += np.exp(v - norm)
     assert np.allclose(total, moved)
-    windows = [(["you", "fool", "go"], [0, 1, 0]), (["a", "b", "fool"], [0, 0, 1]), (["nice", "day"], [0, 0])] * 30
-    model = toxicity.fit_crf(windows, ["fool"])
+    windows = [(["you", "Fool", "go"], [0, 1, 0], True), (["a", "b", "fool"], [0, 0, 1], True), (["nice", "day"], [0, 0], False)] * 30
+    model = toxicity.fit_crf(windows, toxicity.known_features(windows, ["fool"]))
     df = spark.createDataFrame([(1, "Well, Fool! Ünd fool"), (2, None)], "doc_id long, text string")
     got = {r.doc_id: [(s.start, s.end, s.word) for s in r.spans] for r in toxicity.spans(df, model).collect()}
     assert got == {1: [(6, 10, "Fool"), (16, 20, "fool")], 2: []}
