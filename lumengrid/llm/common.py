@@ -86,6 +86,15 @@ def meet(rows: DataFrame, groups: DataFrame, keys: list[str], size: str, how: st
     return rows.join(F.broadcast(large), keys).unionByName(others)
 
 
+def matched(rows: DataFrame, some: DataFrame, keys: list[str], how: str = "inner") -> DataFrame:
+    """rows joined to `some` (one row for each value of keys; written already, as it is read more than once): broadcast if it has at most MANY rows, else by meet(), so that a frequent key burdens no task."""
+    if some.count() <= MANY:
+        return rows.join(F.broadcast(some), keys, how)
+    size = free(rows, "size")
+    sizes = rows.groupBy(*keys).agg(F.count(F.lit(1)).alias(size)).join(some, keys)
+    return meet(rows, sizes, keys, size, how).drop(size)
+
+
 def free(df: DataFrame, name: str) -> str:
     """A column name that df doesn't have yet."""
     taken = {c.lower() for c in df.columns}

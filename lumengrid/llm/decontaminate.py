@@ -36,7 +36,7 @@ from pyspark import SparkFiles
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import MANY, as_bytes, free, meet, put, saved, table
+from .common import as_bytes, free, matched, put, saved, table
 
 WINDOW = 13
 #: Bytes of the packed file of a set of patterns.
@@ -229,18 +229,13 @@ def hits(docs: DataFrame, benchmark: DataFrame, name: str = "_hits", most: int =
         more.append(saved(own.select(_text_key().alias("key"), "h.ranges", "h.items").dropDuplicates(["key"]), "hits"))
     if not more:
         return found
-    key, size, also = free(docs, "key"), free(docs, "n"), free(docs, "more")
+    key, also = free(docs, "key"), free(docs, "more")
     every = more[0]
     for x in more[1:]:
         every = every.unionByName(x)
     every = every.groupBy("key").agg(F.flatten(F.collect_list("ranges")).alias("ranges"), F.flatten(F.collect_set("items")).alias("items"))
     every = every.select(F.col("key").alias(key), F.struct("ranges", "items").alias(also))
-    every = saved(every, "hits")
-    keyed = found.withColumn(key, _text_key())
-    if every.count() <= MANY:
-        keyed = keyed.join(F.broadcast(every), key, "left")
-    else:
-        keyed = meet(keyed, docs.select(_text_key().alias(key)).groupBy(key).agg(F.count(F.lit(1)).alias(size)).join(every, key), [key], size, "left")
+    keyed = matched(found.withColumn(key, _text_key()), saved(every, "hits"), [key], "left")
     one, two = F.col(name), F.col(also)
     none = F.when(two.isNull(), one).otherwise(F.struct(one["n_words"].alias("n_words"), F.concat(one["ranges"], two["ranges"]).alias("ranges"), F.array_distinct(F.concat(one["items"], two["items"])).alias("items")))
     return keyed.withColumn(name, none).select(*docs.columns, name)
