@@ -1,19 +1,24 @@
 """Licence scans by sentence rules.
 
 Texts are cut into pieces at line ends and at full stops, colons and the like before white space; pieces are normalised
-(lower case, other than letters and digits one space). A known licence sentence occurs where neighbouring pieces of a
-paragraph, one or more, make up its words, so it may be wrapped over lines and hold such marks itself ("free software:
-you can", "v. 2.0"). The identifiers of a text, in order, are matched against licence rules: ordered sequences that
-must occur in this order within SPREAD further identifiers.
+(lower case, other than letters and digits one space, so marks of comments vanish). A known licence sentence occurs
+where neighbouring pieces of a paragraph, one or more, make up its words, so it may be wrapped over lines and hold such
+marks itself ("free software: you can", "v. 2.0"). The identifiers of a text, in order, are matched against licence
+rules: ordered sequences, each of whose identifiers comes within SPREAD further ones after the one before.
+
+The sentences and rules below are a small table; scan() takes others as DataFrames. They are held by every task, so
+their size is checked against MAX_BYTES.
 
 Defined cases: null and empty texts have no sentences; repeated sentences count each time, a licence once; where a known
-sentence and a longer one that begins with it both end at a cut, both count, the shorter one first; repeated
-rows get equal results; an empty table gives an empty result; only doc_id and text are read.
+sentence and a longer one that begins with it both end at a cut, both count, the shorter one first; very long texts are
+scanned whole, a paragraph at a time; repeated rows get equal results; an empty table gives an empty result, empty
+tables of sentences or rules find nothing; only doc_id and text are read, so other columns can't clash.
 """
 
 from __future__ import annotations
 
 import re
+from bisect import bisect_left
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -47,8 +52,21 @@ SENTENCES = {
     "cc-by-sa": "licensed under cc by sa 4 0",
     "cc-by-nc": "licensed under cc by nc 4 0",
     "unlicense": "this is free and unencumbered software released into the public domain",
+    "lgpl21-free": "this library is free software you can redistribute it and or modify it under the terms of the gnu lesser general public license as published by the free software foundation either version 2 1 of the license or at your option any later version",
+    "lgpl3-free": "this library is free software you can redistribute it and or modify it under the terms of the gnu lesser general public license as published by the free software foundation either version 3 of the license or at your option any later version",
+    "agpl3-free": "this program is free software you can redistribute it and or modify it under the terms of the gnu affero general public license as published by the free software foundation either version 3 of the license or at your option any later version",
+    "boost-grant": "permission is hereby granted free of charge to any person or organization obtaining a copy of the software and accompanying documentation covered by this license the software to use reproduce display distribute execute and transmit the software and to prepare derivative works of the software and to permit third parties to whom the software is furnished to do so all subject to the following",
+    "zlib-grant": "permission is granted to anyone to use this software for any purpose including commercial applications and to alter it and redistribute it freely subject to the following restrictions",
+    "cc0-dedicated": "to the extent possible under law the author s have dedicated all copyright and related and neighboring rights to this software to the public domain worldwide",
+    "spdx-mit": "spdx license identifier mit",
+    "spdx-apache": "spdx license identifier apache 2 0",
+    "spdx-bsd2": "spdx license identifier bsd 2 clause",
+    "spdx-bsd3": "spdx license identifier bsd 3 clause",
+    "spdx-gpl2": "spdx license identifier gpl 2 0 only",
+    "spdx-gpl3": "spdx license identifier gpl 3 0 or later",
+    "spdx-mpl": "spdx license identifier mpl 2 0",
 }
-#: Licence rules, ordered sequences of sentence identifiers: fixed values. Longer rules win over shorter ones of the same licence.
+#: Licence rules, ordered sequences of sentence identifiers: fixed values. A third field names a licence that, if found too, takes the rule's place.
 RULES = (
     ("MIT", ("mit-grant", "mit-notice", "mit-as-is")),
     ("MIT", ("mit-released",)),
@@ -59,72 +77,118 @@ RULES = (
     ("GPL-2.0-or-later", ("gpl2-free", "gpl-no-warranty")),
     ("GPL-3.0", ("gpl3-work",)),
     ("BSD-3-Clause", ("bsd-grant", "bsd-source", "bsd-binary", "bsd-name")),
-    ("BSD-2-Clause", ("bsd-grant", "bsd-source", "bsd-binary")),
+    ("BSD-2-Clause", ("bsd-grant", "bsd-source", "bsd-binary"), "BSD-3-Clause"),
     ("ISC", ("isc-grant",)),
     ("MPL-2.0", ("mpl-subject",)),
     ("CC-BY-4.0", ("cc-by",)),
     ("CC-BY-SA-4.0", ("cc-by-sa",)),
     ("CC-BY-NC-4.0", ("cc-by-nc",)),
     ("Unlicense", ("unlicense",)),
+    ("LGPL-2.1-or-later", ("lgpl21-free",)),
+    ("LGPL-3.0-or-later", ("lgpl3-free",)),
+    ("AGPL-3.0-or-later", ("agpl3-free",)),
+    ("BSL-1.0", ("boost-grant",)),
+    ("Zlib", ("zlib-grant",)),
+    ("CC0-1.0", ("cc0-dedicated",)),
+    ("MIT", ("spdx-mit",)),
+    ("Apache-2.0", ("spdx-apache",)),
+    ("BSD-2-Clause", ("spdx-bsd2",)),
+    ("BSD-3-Clause", ("spdx-bsd3",)),
+    ("GPL-2.0-only", ("spdx-gpl2",)),
+    ("GPL-3.0-or-later", ("spdx-gpl3",)),
+    ("MPL-2.0", ("spdx-mpl",)),
 )
 #: Further identifiers that may stand between those of a rule.
 SPREAD = 8
-_ID = {v: k for k, v in SENTENCES.items()}
-#: What the first words of known sentences look like: pieces are joined as long as they are among these.
-_BEGIN = {v[:i] for v in SENTENCES.values() for i in range(1, len(v) + 1) if v[i : i + 1] in ("", " ")}
-#: A sentence without any of these words isn't known; most texts end here.
-_HINT = re.compile("licen[sc]e|permission|redistribut|notice|warrant|free software|unencumbered|endorse", re.I)
+#: Bytes of sentences and rules that tasks hold at most.
+MAX_BYTES = 64 << 20
 _CUT = re.compile(r"(?<=[.;:!?])\s+|\n+")
 _OTHER = re.compile(r"[^a-z0-9]+")
+_END = ""
 
 
 def normalise(sentence: str) -> str:
     return _OTHER.sub(" ", sentence.lower()).strip()
 
 
-def identify(text: str) -> list[str]:
-    """The identifiers of the known sentences of a text, in order of their first words."""
-    if not _HINT.search(text):
-        return []
-    out = []
-    for block in re.split(r"\n\s*\n", text):
-        if not _HINT.search(block):
-            continue
-        pieces = [p for p in map(normalise, _CUT.split(block)) if p]
-        for i, words in enumerate(pieces):
-            while words in _BEGIN:
-                if words in _ID:
-                    out.append(_ID[words])
-                i += 1
-                if i == len(pieces):
-                    break
-                words = f"{words} {pieces[i]}"
-    return out
-
-
-def licences(ids: list[str]) -> list[str]:
-    """The licences whose rules match a sequence of identifiers; BSD-2-Clause only where BSD-3-Clause doesn't."""
-    found = set()
-    for name, rule in RULES:
-        for start in (i for i, x in enumerate(ids) if x == rule[0]):
-            at, ok = start, True
-            for want in rule[1:]:
-                at = next((j for j in range(at + 1, min(len(ids), at + 2 + SPREAD)) if ids[j] == want), -1)
-                if at < 0:
-                    ok = False
-                    break
-            if ok:
+class Rulebook:
+    """Sentences as a tree of words, the rules, and a hint: words of which each sentence has one, so that most texts need no cutting."""
+
+    def __init__(self, sentences: dict[str, str], rules):
+        self.rules = [(name, tuple(ids), less[0] if less else None) for name, ids, *less in rules if ids]
+        self.tree: dict = {}
+        known = {i: words for i, words in ((i, normalise(t).split()) for i, t in sentences.items()) if words}
+        for name, words in known.items():
+            node = self.tree
+            for w in words:
+                node = node.setdefault(w, {})
+            node.setdefault(_END, []).append(name)
+        amount: dict[str, set[str]] = {}
+        for name, words in known.items():
+            for w in words:
+                amount.setdefault(w, set()).add(name)
+        open_, hint = set(known), []
+        while open_:  # a word that many sentences have and that is long is seldom met elsewhere
+            best = max(amount, key=lambda w: (len(amount[w] & open_) > 0, min(len(w), 8), len(amount[w] & open_), w))
+            hint.append(best)
+            open_ -= amount.pop(best)
+        self.hint = re.compile("|".join(map(re.escape, hint)) if hint else r"(?!)", re.I)
+
+    def identify(self, text: str) -> list[str]:
+        """The identifiers of the known sentences of a text, in order of their first words."""
+        if not self.hint.search(text):
+            return []
+        out = []
+        for block in re.split(r"\n\s*\n", text):
+            if not self.hint.search(block):
+                continue
+            pieces = [p.split() for p in map(normalise, _CUT.split(block)) if p]
+            for i in range(len(pieces)):
+                node, at = self.tree, i
+                while node is not None and at < len(pieces):
+                    for w in pieces[at]:
+                        node = node.get(w)
+                        if node is None:
+                            break
+                    if node is not None:
+                        out += node.get(_END, ())
+                    at += 1
+        return out
+
+    def licences(self, ids: list[str]) -> list[str]:
+        """The licences whose rules match a sequence of identifiers."""
+        places: dict[str, list[int]] = {}
+        for i, x in enumerate(ids):
+            places.setdefault(x, []).append(i)
+        found, less = set(), {}
+        for name, rule, other in self.rules:
+            now = places.get(rule[0], [])
+            for want in rule[1:]:  # places that some place of the identifier before reaches
+                now = [j for j in places.get(want, []) if (k := bisect_left(now, j)) and j - now[k - 1] <= SPREAD + 1] if now else now
+            if now:
                 found.add(name)
-                break
-    if "BSD-3-Clause" in found:
-        found.discard("BSD-2-Clause")
-    return sorted(found)
+                less.setdefault(name, set()).add(other)
+        return sorted(n for n in found if None in less[n] or not less[n] & found)
+
+
+BOOK = Rulebook(SENTENCES, RULES)
+identify, licences = BOOK.identify, BOOK.licences
+
+
+def rulebook(sentences: DataFrame, rules: DataFrame) -> Rulebook:
+    """From tables (id, text) and (licence, sentences: array of ids, unless: a licence, or null). Rules are tried in any order."""
+    size = sentences.agg(F.sum(F.octet_length("text") + F.octet_length("id"))).first()[0] or 0
+    size += rules.agg(F.sum(F.octet_length("licence") + F.octet_length(F.array_join("sentences", ",")))).first()[0] or 0
+    if size > MAX_BYTES:
+        raise ValueError(f"{size} bytes of sentences and rules; tasks hold {MAX_BYTES} at most")
+    known = {r.id: r.text for r in sentences.select("id", "text").where("id is not null and text is not null").collect()}
+    return Rulebook(known, [(r.licence, r.sentences, r.unless) for r in rules.select("licence", "sentences", "unless").where("licence is not null").collect()])
 
 
 _FOUND = pa.struct([("ids", pa.list_(pa.string())), ("names", pa.list_(pa.string()))])
 
 
-def scan(docs: DataFrame) -> DataFrame:
+def scan(docs: DataFrame, book: Rulebook = BOOK) -> DataFrame:
     """One row per document: doc_id, n_sentences, sentences, n_licences, licences."""
 
     @F.arrow_udf("struct<ids:array<string>,names:array<string>>")
@@ -132,8 +196,8 @@ def scan(docs: DataFrame) -> DataFrame:
         for column in columns:
             out = []
             for text in column.to_pylist():
-                ids = identify(text or "")
-                out.append({"ids": ids, "names": licences(ids)})
+                ids = book.identify(text or "")
+                out.append({"ids": ids, "names": book.licences(ids)})
             yield pa.array(out, _FOUND)
 
     got = docs.select("doc_id", run("text").alias("_f"))

@@ -417,13 +417,26 @@ REAL = {
     "cc-by-sa": "Licensed under\nCC BY-SA 4.0.",
     "cc-by-nc": "Licensed under\nCC BY-NC 4.0.",
     "unlicense": "This is free and unencumbered software released into\nthe public domain.",
+    "lgpl21-free": "This library is free software; you can redistribute it and/or\nmodify it under the terms of the GNU Lesser General Public\nLicense as published by the Free Software Foundation; either\nversion 2.1 of the License, or (at your option) any later version.",
+    "lgpl3-free": "This library is free software: you can redistribute it and/or modify\nit under the terms of the GNU Lesser General Public License as published by\nthe Free Software Foundation, either version 3 of the License, or\n(at your option) any later version.",
+    "agpl3-free": "This program is free software: you can redistribute it and/or modify\nit under the terms of the GNU Affero General Public License as published\nby the Free Software Foundation, either version 3 of the License, or\n(at your option) any later version.",
+    "boost-grant": "Permission is hereby granted, free of charge, to any person or organization\nobtaining a copy of the software and accompanying documentation covered by\nthis license (the \"Software\") to use, reproduce, display, distribute,\nexecute, and transmit the Software, and to prepare derivative works of the\nSoftware, and to permit third-parties to whom the Software is furnished to\ndo so, all subject to the following:",
+    "zlib-grant": "Permission is granted to anyone to use this software for any purpose,\nincluding commercial applications, and to alter it and redistribute it\nfreely, subject to the following restrictions:",
+    "cc0-dedicated": "To the extent possible under law, the author(s) have dedicated all copyright\nand related and neighboring rights to this software to the public domain\nworldwide.",
+    "spdx-mit": "SPDX-License-Identifier: MIT",
+    "spdx-apache": "SPDX-License-Identifier: Apache-2.0",
+    "spdx-bsd2": "SPDX-License-Identifier: BSD-2-Clause",
+    "spdx-bsd3": "SPDX-License-Identifier: BSD-3-Clause",
+    "spdx-gpl2": "SPDX-License-Identifier: GPL-2.0-only",
+    "spdx-gpl3": "SPDX-License-Identifier: GPL-3.0-or-later",
+    "spdx-mpl": "SPDX-License-Identifier: MPL-2.0",
 }
 
 
 def test_licence_sentences_as_they_stand():
     assert set(REAL) == set(licenses.SENTENCES)
     for name, text in REAL.items():
-        for form in (text, " ".join(text.split()), text.replace("\n", "\r\n"), "/*\n * " + text.replace("\n", "\n * ") + "\n */", f"Some words.\n\n{text}\n\nMore words."):
+        for form in (text, " ".join(text.split()), text.replace("\n", "\r\n"), "/*\n * " + text.replace("\n", "\n * ") + "\n */", "# " + text.replace("\n", "\n# "), "// " + text.replace("\n", "\n// "), "-- " + text.replace("\n", "\n-- "), f"Some words.\n\n{text}\n\nMore words."):
             assert licenses.identify(form) == [name], (name, form)
     gpl = lambda name: licenses.licences(licenses.identify(REAL[name] + "\n\n" + REAL["gpl-no-warranty"]))
     assert gpl("gpl-free") == ["GPL-3.0-or-later"] and gpl("gpl2-free") == ["GPL-2.0-or-later"]
