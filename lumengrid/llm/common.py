@@ -73,6 +73,15 @@ def clear(spark: SparkSession, since: int = 0, keep: int | None = None) -> None:
     del _MADE[since:end]
 
 
+def drop(df: DataFrame) -> None:
+    """Delete the table that df reads, made by saved(), once nothing else reads it."""
+    for path in {f.rpartition("/")[0] for f in df.inputFiles()}:
+        own = [p for p in _MADE if p.rpartition("/")[2] == path.rpartition("/")[2]]
+        _remove(df.sparkSession, own)
+        for p in own:
+            _MADE.remove(p)
+
+
 #: Groups of at least LARGE rows, and of a share 1 / MANY of all rows, are joined by broadcasting their rows: at most MANY groups.
 LARGE, MANY = 64, 100_000
 

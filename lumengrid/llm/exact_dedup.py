@@ -2,32 +2,38 @@
 
 A text is normalised (each run of \\x20 and \\x09-\\x0D becomes one space) and cut into chunks. Each chunk's
 fingerprint is the value of its bytes as a polynomial at four bases modulo the prime 2^31 - 1; the fingerprints of two
-neighbours combine by length-shifted arithmetic, fp(A + B) = fp(A) * base^len(B) + fp(B), so chunks hash in parallel
-and segments of a huge document may hash on different machines. Equal fingerprints are not trusted: the texts of such
-a group are compared chunk by chunk while streaming through a sorted partition; a group in which any comparison fails
-is split by the SHA-256 of the whole text.
+neighbours combine by length-shifted arithmetic, fp(A + B) = fp(A) * base^len(B) + fp(B). A text of more than HUGE bytes
+is dealt out in segments, which hash in parallel on different machines and are combined by sums. Equal fingerprints are
+not trusted: the texts of such a group are compared chunk by chunk while streaming through a sorted partition; a group
+in which any comparison fails is split by the SHA-256 of the whole text.
+
+Large groups are few, so their fingerprints are broadcast; no task receives a group of copies.
 
 Defined cases: a null text counts as empty; empty texts are equal to each other; a row with a null doc_id takes part
 with its text, never as the row that stays unless all ids of its group are null; repeated rows of one id share the
-decision; an empty table gives an empty result; only doc_id and text are read, so other columns can't clash.
+decision; very long texts go in segments, but for their SHA-256, which is one task's stream; an empty table gives an
+empty result; only doc_id and text are read, so other columns can't clash, and a stage passes them on.
 """
 
 from __future__ import annotations
 
 import hashlib
+import uuid
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import as_bytes, kept_rows, saved, table
+from .common import as_bytes, kept_rows, meet, saved, table
 
 PRIME = (1 << 31) - 1
 #: Bases of the four polynomials: fixed values, any four numbers below the prime do.
 BASES = (1_103_515_245, 214_748_349, 69_069_069, 1_812_433_253)
 CHUNK = 4096
+#: Longer normalised texts are hashed in segments of SEGMENT bytes.
+HUGE, SEGMENT = 16 << 20, 1 << 20
 _SPACE = bytes.maketrans(b"\t\n\x0b\x0c\r", b"     ")
 _WEIGHT = np.array([[pow(b, CHUNK - 1 - i, PRIME) for b in BASES] for i in range(CHUNK)], dtype=np.float64)
 _SHIFT = [pow(b, CHUNK, PRIME) for b in BASES]
@@ -64,45 +70,64 @@ def _packed(fp: tuple) -> tuple[int, int]:
 
 
 _DIGEST = "doc_id long, fp_a long, fp_b long, n_bytes long, text_sha256 string"
+_PIECES = f"{_DIGEST}, huge string, segment_no long, segment binary"
+_PIECES_TYPE = pa.schema([("doc_id", pa.int64()), ("fp_a", pa.int64()), ("fp_b", pa.int64()), ("n_bytes", pa.int64()), ("text_sha256", pa.string()), ("huge", pa.string()), ("segment_no", pa.int64()), ("segment", pa.binary())])
 
 
-def _digests(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _digests(batches: Iterator[pa.RecordBatch], huge: int, size: int) -> Iterator[pa.RecordBatch]:
+    """A row for each text with its fingerprint; for a huge one a row for each segment, without a fingerprint."""
     for batch in batches:
-        a, b, n, sha = [], [], [], []
-        for text in as_bytes(batch.column(1)):
+        out = []
+        for doc, text in zip(batch.column(0).to_pylist(), as_bytes(batch.column(1))):
             text = normalise(text)
-            x, y = _packed(fingerprint(text))
-            a.append(x), b.append(y), n.append(len(text)), sha.append(hashlib.sha256(text).hexdigest())
-        yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(a, pa.int64()), pa.array(b, pa.int64()), pa.array(n, pa.int64()), pa.array(sha, pa.string())], ["doc_id", "fp_a", "fp_b", "n_bytes", "text_sha256"])
-
-
-def digests(docs: DataFrame) -> DataFrame:
-    """Fingerprint, length and SHA-256 of every normalised text."""
-    return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(_digests, _DIGEST)
-
-
-def fingerprint_segments(segments: DataFrame) -> DataFrame:
-    """(doc_id, fp_a, fp_b, n_bytes) of documents stored as rows (doc_id, segment_no, text) that are already normalised: each segment hashes where it lies, and only fingerprints and lengths travel."""
-    from pyspark.sql import Window
+            sha = hashlib.sha256(text).hexdigest()
+            if len(text) <= huge:
+                out.append((doc, *_packed(fingerprint(text)), len(text), sha, None, None, None))
+                continue
+            name = uuid.uuid4().hex
+            for no, at in enumerate(range(0, len(text), size)):
+                row = (doc, None, None, len(text), sha, name, no, text[at : at + size])
+                yield pa.RecordBatch.from_arrays([pa.array([v], t) for v, t in zip(row, _PIECES_TYPE.types)], schema=_PIECES_TYPE)
+        cols = list(zip(*out)) if out else [[]] * len(_PIECES_TYPE)
+        yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, _PIECES_TYPE.types)], schema=_PIECES_TYPE)
+
+
+def digests(docs: DataFrame, huge: int = HUGE, size: int = SEGMENT) -> DataFrame:
+    """Fingerprint, length and SHA-256 of every normalised text, written."""
+    run = lambda batches: _digests(batches, huge, size)
+    raw = saved(docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(run, _PIECES), "digests")
+    names = [x.split()[0] for x in _DIGEST.split(", ")]
+    whole, parts = raw.where("huge is null").select(*names), raw.where("huge is not null")
+    if parts.isEmpty():
+        return whole
+    dealt = parts.select("huge", "segment_no", F.col("segment").alias("text")).repartition("huge", "segment_no")
+    own = parts.where("segment_no = 0").select("doc_id", "text_sha256", "huge").join(fingerprint_segments(dealt, "huge"), "huge")
+    return saved(whole.unionByName(own.select(*names)), "digests")
+
+
+def fingerprint_segments(segments: DataFrame, key: str = "doc_id") -> DataFrame:
+    """(key, fp_a, fp_b, n_bytes) of texts stored as rows (key, segment_no, text) that are already normalised: each segment hashes where it lies, and only fingerprints and lengths travel."""
+    kind = segments.schema[key].dataType.simpleString()
 
     def hashed(batches):
         for batch in batches:
-            for doc, no, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), as_bytes(batch.column(2))):
-                yield pa.RecordBatch.from_pylist([{"doc_id": doc, "segment_no": no, "n": len(text), **{f"h{i}": h for i, h in enumerate(fingerprint(text))}}])
+            texts = as_bytes(batch.column(2))
+            hashes = [fingerprint(t) for t in texts]
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(map(len, texts), pa.int64()), *(pa.array([h[i] for h in hashes], pa.int64()) for i in range(4))], [key, "segment_no", "n", "h0", "h1", "h2", "h3"])
 
     def shifted(batches):
         for batch in batches:
-            rows = batch.to_pylist()
-            for r in rows:
-                for i, b in enumerate(BASES):
-                    r[f"h{i}"] = r[f"h{i}"] * pow(b, r["after"], PRIME) % PRIME
-            yield pa.RecordBatch.from_pylist(rows, schema=batch.schema)
-
-    parts = segments.select(F.col("doc_id").cast("long"), F.col("segment_no").cast("long"), "text").mapInArrow(hashed, "doc_id long, segment_no long, n long, h0 long, h1 long, h2 long, h3 long")
-    after = Window.partitionBy("doc_id").orderBy(F.desc("segment_no")).rowsBetween(Window.unboundedPreceding, -1)
+            after = batch.column(batch.schema.get_field_index("after")).to_pylist()
+            for i, b in enumerate(BASES):
+                at = batch.schema.get_field_index(f"h{i}")
+                batch = batch.set_column(at, f"h{i}", pa.array([h * pow(b, n, PRIME) % PRIME for h, n in zip(batch.column(at).to_pylist(), after)], pa.int64()))
+            yield batch
+
+    parts = segments.select(key, F.col("segment_no").cast("long"), "text").mapInArrow(hashed, f"{key} {kind}, segment_no long, n long, h0 long, h1 long, h2 long, h3 long")
+    after = Window.partitionBy(key).orderBy(F.desc("segment_no")).rowsBetween(Window.unboundedPreceding, -1)
     parts = parts.withColumn("after", F.coalesce(F.sum("n").over(after), F.lit(0)))
-    done = parts.mapInArrow(shifted, parts.schema).groupBy("doc_id").agg(F.sum("n").alias("n_bytes"), *[(F.sum(f"h{i}") % PRIME).alias(f"h{i}") for i in range(4)])
-    return done.select("doc_id", F.expr("shiftleft(h0, 31) | h1").alias("fp_a"), F.expr("shiftleft(h2, 31) | h3").alias("fp_b"), "n_bytes")
+    done = parts.mapInArrow(shifted, parts.schema).groupBy(key).agg(F.sum("n").alias("n_bytes"), *[(F.sum(f"h{i}") % PRIME).alias(f"h{i}") for i in range(4)])
+    return done.select(key, F.expr("shiftleft(h0, 31) | h1").alias("fp_a"), F.expr("shiftleft(h2, 31) | h3").alias("fp_b"), "n_bytes")
 
 
 _COMPARED = "doc_id long, fp_a long, fp_b long, n_bytes long, differs boolean, text string"
@@ -142,7 +167,7 @@ def collisions(docs: DataFrame, marks: DataFrame, groups: DataFrame) -> DataFram
     """
     keys = ["fp_a", "fp_b", "n_bytes"]
     salts = F.ceil(F.sqrt(F.col("group_size") / 64.0)).cast("long")
-    members = marks.join(groups.where("group_size > 1"), keys).select("doc_id", *keys, F.greatest(salts, F.lit(1)).alias("salts")).withColumn("salt", F.pmod(F.xxhash64("doc_id"), F.col("salts")))
+    members = meet(marks, groups, keys, "group_size").select("doc_id", *keys, F.greatest(salts, F.lit(1)).alias("salts")).withColumn("salt", F.pmod(F.xxhash64("doc_id"), F.col("salts")))
     members = members.where("doc_id is not null").dropDuplicates(["doc_id", *keys])
     texts = docs.select(F.col("doc_id").cast("long"), "text")
     once = saved(_streamed(texts.join(members.hint("shuffle_hash"), "doc_id")), "compared")
@@ -150,19 +175,20 @@ def collisions(docs: DataFrame, marks: DataFrame, groups: DataFrame) -> DataFram
     return once.where("differs").select(*keys).unionByName(again.where("differs").select(*keys)).distinct()
 
 
-def exact_dedup(docs: DataFrame) -> DataFrame:
+def exact_dedup(docs: DataFrame, huge: int = HUGE, size: int = SEGMENT) -> DataFrame:
     """One row per input row: doc_id, keep_id, group_size, kept, text_sha256, fp_a, fp_b."""
-    marks = saved(digests(docs), "digests")
+    marks = digests(docs, huge, size)
     keys = ["fp_a", "fp_b", "n_bytes"]
     total = [F.min("doc_id").alias("keep_id"), F.count(F.lit(1)).alias("group_size")]
-    groups = marks.groupBy(*keys).agg(*total)
+    groups = saved(marks.groupBy(*keys).agg(*total).where("group_size > 1"), "copies")
     bad = saved(collisions(docs, marks, groups), "collisions")
-    if bad.isEmpty():
-        joined = marks.join(groups, keys)
-    else:  # the whole text's digest parts what the fingerprint does not
+    if not bad.isEmpty():  # the whole text's digest parts what the fingerprint does not
         marks = marks.join(bad.withColumn("part", F.lit(True)), keys, "left").withColumn("part", F.when(F.col("part"), F.col("text_sha256")).otherwise(""))
-        joined = marks.join(marks.groupBy(*keys, "part").agg(*total), [*keys, "part"])
-    return joined.select("doc_id", "keep_id", "group_size", F.col("doc_id").eqNullSafe(F.col("keep_id")).alias("kept"), "text_sha256", "fp_a", "fp_b")
+        marks, keys = saved(marks, "digests"), [*keys, "part"]
+        groups = marks.groupBy(*keys).agg(*total).where("group_size > 1")
+    first = F.coalesce("keep_id", "doc_id")
+    joined = meet(marks, groups, keys, "group_size", "left")
+    return joined.select("doc_id", first.alias("keep_id"), F.coalesce("group_size", F.lit(1).cast("long")).alias("group_size"), F.col("doc_id").eqNullSafe(first).alias("kept"), "text_sha256", "fp_a", "fp_b")
 
 
 def _marked(docs: DataFrame, names: list[str]) -> DataFrame:

@@ -9,9 +9,13 @@ what is far below the threshold, and the rest is confirmed on the full sets. Con
 of buckets that still hold several components then go through an exact prefix join, which finds whatever links
 components without listing the pairs of a bucket. A pair at the threshold misses all 26 bands with a probability of 4e-7.
 
+Large classes, buckets and components are few, so their rows are broadcast; no task receives a large group.
+
 Defined cases: texts without words, and null texts, have an empty set, link with nothing and stay; fewer than three
 words are one shingle; a row with a null doc_id is grouped by its set but is never the row that stays unless the class
-has no id; repeated rows of an id share its class; an empty table gives an empty result; only doc_id and text are read.
+has no id; repeated rows of an id share its class; a very long text is hashed piece by piece, and its set is held by one
+task at a time; an empty table gives an empty result; only doc_id and text are read, so other columns can't clash, and a
+stage passes them on.
 """
 
 from __future__ import annotations
@@ -23,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import as_bytes, free, kept_rows, many_word_hashes, mix64, saved, steps, table
+from .common import as_bytes, drop, free, kept_rows, many_word_hashes, matched, meet, mix64, saved, steps, table
 
 REGISTERS, ROWS = 130, 5
 BANDS = REGISTERS // ROWS
@@ -158,6 +162,7 @@ def components(links: DataFrame) -> DataFrame:
         new = saved(new, "labels")
         if new.where("component <> before").isEmpty():
             return new.select("id", "component")
+        drop(now)
         now = new.select("id", "component")
 
 
@@ -213,20 +218,22 @@ def decided(docs: DataFrame) -> DataFrame:
     """One row per input row: doc_id, the fingerprint of its set (fp_a, fp_b, n_shingles), component_id, kept."""
     marks = saved(docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(_mark, _MARK), "sketches")
     same = ["fp_a", "fp_b", "n_shingles"]
-    classes = marks.where("n_shingles > 0").groupBy(*same).agg(F.min("doc_id").alias("rep"))
-    members = saved(marks.select("doc_id", *same).join(classes, same, "left").select("doc_id", *same, "rep"), "members")
+    words = marks.where("n_shingles > 0").select("doc_id", *same)
+    classes = words.groupBy(*same).agg(F.min("doc_id").alias("rep"), F.count(F.lit(1)).alias("m"))
+    members = meet(words, classes.where("m > 1"), same, "m", "left").select("doc_id", *same, F.coalesce("rep", "doc_id").alias("rep"))
+    members = saved(members.unionByName(marks.where("n_shingles = 0").select("doc_id", *same, F.lit(None).cast("long").alias("rep"))), "members")
     own = classes.where("rep is not null").select(F.col("rep").alias("doc_id"), *same)
     reps = saved(marks.join(own, ["doc_id", *same], "left_semi").dropDuplicates(["doc_id"]).select("doc_id", "n_shingles", "sketch", "keys"), "reps")
 
     # each member of a bucket meets the bucket's smallest and largest id
     rows = reps.select("doc_id", F.col("n_shingles").alias("n"), F.explode("keys").alias("key"))
     buckets = rows.groupBy("key").agg(F.min("doc_id").alias("low"), F.max("doc_id").alias("high"), F.count(F.lit(1)).alias("m")).where("m > 1")
-    shared = saved(rows.join(buckets, "key"), "shared")
-    meet = shared.select(F.col("low").alias("a"), F.col("doc_id").alias("b")).unionByName(shared.select(F.col("doc_id").alias("a"), F.col("high").alias("b"))).where("a < b").distinct()
+    shared = saved(meet(rows, buckets, ["key"], "m"), "shared")
+    pairs = shared.select(F.col("low").alias("a"), F.col("doc_id").alias("b")).unionByName(shared.select(F.col("doc_id").alias("a"), F.col("high").alias("b"))).where("a < b").distinct()
     x = reps.select(F.col("doc_id").alias("a"), F.col("n_shingles").alias("n_a"), F.col("sketch").alias("s_a"))
     y = reps.select(F.col("doc_id").alias("b"), F.col("n_shingles").alias("n_b"), F.col("sketch").alias("s_b"))
     near = F.arrow_udf(_near, "boolean")
-    likely = saved(meet.join(x, "a").join(y, "b").where(f"100 * least(n_a, n_b) >= {PERCENT} * greatest(n_a, n_b)").where(near("s_a", "s_b", "n_a", "n_b")).select("a", "b"), "likely")
+    likely = saved(pairs.join(x, "a").join(y, "b").where(f"100 * least(n_a, n_b) >= {PERCENT} * greatest(n_a, n_b)").where(near("s_a", "s_b", "n_a", "n_b")).select("a", "b"), "likely")
 
     # the full sets of all that may still be compared: in a bucket of two or three, every pair has met
     large = shared.where("m > 3")
@@ -247,7 +254,9 @@ def decided(docs: DataFrame) -> DataFrame:
             labels = components(links.unionByName(more))
 
     comp = F.coalesce("component", "rep", "doc_id")
-    return members.join(labels, members.rep == labels.id, "left").select("doc_id", *same, comp.alias("component_id"), F.col("doc_id").eqNullSafe(comp).alias("kept"))
+    linked = matched(members.where("rep is not null"), labels.select(F.col("id").alias("rep"), "component"), ["rep"], "left")
+    alone = members.where("rep is null").withColumn("component", F.lit(None).cast("long"))
+    return linked.unionByName(alone).select("doc_id", *same, comp.alias("component_id"), F.col("doc_id").eqNullSafe(comp).alias("kept"))
 
 
 def near_dedup(docs: DataFrame) -> DataFrame:

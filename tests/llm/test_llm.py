@@ -96,7 +96,7 @@ def test_exact_dedup(docs, texts, nothing):
 
 def test_exact_dedup_collision(docs, texts, monkeypatch):
     """With a fingerprint that always collides, comparison parts what differs."""
-    monkeypatch.setattr(exact_dedup, "digests", lambda d: d.select("doc_id", F.lit(1).cast("long").alias("fp_a"), F.lit(2).cast("long").alias("fp_b"), F.octet_length(F.coalesce("text", F.lit(""))).cast("long").alias("n_bytes"), F.sha2(F.coalesce("text", F.lit("")), 256).alias("text_sha256")))
+    monkeypatch.setattr(exact_dedup, "digests", lambda d, *_: d.select("doc_id", F.lit(1).cast("long").alias("fp_a"), F.lit(2).cast("long").alias("fp_b"), F.octet_length(F.coalesce("text", F.lit(""))).cast("long").alias("n_bytes"), F.sha2(F.coalesce("text", F.lit("")), 256).alias("text_sha256")))
     small = docs.where("doc_id < 60")
     got = exact_dedup.exact_dedup(small).collect()
     count = Counter(t or "" for i, t in enumerate(texts) if i < 60)
