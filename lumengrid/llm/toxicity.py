@@ -25,6 +25,7 @@ from __future__ import annotations
 
 import math
 import re
+from array import array
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass, field
@@ -116,51 +117,77 @@ class Model:
     top: list = field(default_factory=lambda: [-20.0, 0.0, 0.0, 0.0, 0.0])
 
 
+class _Words(dict):
+    """Tokens by number; a new one is looked up in the model, and its three parts are kept in arrays."""
+
+    def __init__(self, model: Model):
+        self.model, self.parts = model, array("d")
+
+    def __missing__(self, token: str) -> int:
+        w = self.model.weights
+        after, before = side_features(token)
+        self.parts.extend((self.model.bias + sum(w[f] for f in own_features(token) if f in w), w.get(after, 0.0), w.get(before, 0.0)))
+        self[token] = n = len(self)
+        return n
+
+
+def _marginals(scores: np.ndarray, last: np.ndarray, trans: np.ndarray, start: np.ndarray) -> np.ndarray:
+    """Marginals of label 1 [t, n] of sequences of scores [t, n], which end at last[n]: forward and backward passes of the odds of label 1."""
+    e, t = np.exp(np.clip(scores, -30, 30)), np.exp(trans)
+    odds = np.empty_like(e)
+    odds[0] = np.exp(start[1] - start[0]) * e[0]
+    for k in range(1, len(e)):
+        r = odds[k - 1]
+        odds[k] = e[k] * ((t[0, 1] + t[1, 1] * r) / (t[0, 0] + t[1, 0] * r))
+    back = np.ones(e.shape[1])
+    for k in range(len(e) - 2, -1, -1):
+        q = e[k + 1] * back
+        back = np.where(k < last, (t[1, 0] + t[1, 1] * q) / (t[0, 0] + t[0, 1] * q), 1.0)
+        odds[k] *= back
+    return odds / (1 + odds)
+
+
 class Tagger:
     def __init__(self, model: Model):
-        self.m, self.known = model, {}
+        self.m, self.known = model, _Words(model)
         self.trans, self.start = np.array(model.trans), np.array(model.start)
 
-    def word(self, token: str) -> tuple[float, float, float]:
-        """What a token adds to its own score, to that of the next one, and to that of the one before."""
-        found = self.known.get(token)
-        if found is None:
-            w = self.m.weights
-            after, before = side_features(token)
-            found = self.known[token] = (self.m.bias + sum(w[f] for f in own_features(token) if f in w), w.get(after, 0.0), w.get(before, 0.0))
-        return found
-
-    def scores(self, tokens: list[str]) -> np.ndarray:
-        if not tokens:
-            return np.empty(0)
-        own, after, before = np.array(list(map(self.word, tokens))).T
-        own[1:] += after[:-1]
-        own[:-1] += before[1:]
-        return own
+    def scores(self, texts: list[str]) -> list[np.ndarray]:
+        """The score of each token for label 1: what it adds itself, and what the ones before and after it add."""
+        if len(self.known) > 500_000:
+            self.known = _Words(self.m)
+        numbers = [np.fromiter(map(self.known.__getitem__, _TOKEN.findall(x)), dtype=np.int64) for x in texts]
+        parts = np.array(self.known.parts).reshape(-1, 3)
+        out = []
+        for n in numbers:
+            own, after, before = parts[n].T
+            own = own.copy()
+            own[1:] += after[:-1]
+            own[:-1] += before[1:]
+            out.append(own)
+        return out
 
     def marginals(self, texts: list[str]) -> list[np.ndarray]:
         """The probability of each token to be toxic."""
-        if len(self.known) > 500_000:
-            self.known.clear()
         out, waiting = [], []
 
         def run() -> None:
-            scores, there = np.zeros((len(waiting), WINDOW)), np.zeros((len(waiting), WINDOW), dtype=bool)
+            scores, last = np.zeros((WINDOW, len(waiting))), np.array([len(part) - 1 for part, *_ in waiting])
             for i, (part, *_) in enumerate(waiting):
-                scores[i, : len(part)], there[i, : len(part)] = part, True
-            got = _forward_backward(np.stack([np.zeros_like(scores), scores], axis=-1), there, self.trans, self.start)[0]
-            for m, (_, into, at, a, b) in zip(got, waiting):
-                into[a:b] = m[a - at : b - at]
+                scores[: len(part), i] = part
+            got = _marginals(scores, last, self.trans, self.start)
+            for i, (_, into, at, a, b) in enumerate(waiting):
+                into[a:b] = got[a - at : b - at, i]
             waiting.clear()
 
-        for text in texts:
-            scores = self.scores(_TOKEN.findall(text))
+        for scores in self.scores(texts):
             out.append(np.empty(len(scores)))
             for at, end, a, b in spread(len(scores)):
                 waiting.append((scores[at:end], out[-1], at, a, b))
                 if len(waiting) == TOGETHER:
                     run()
-        run()
+        if waiting:
+            run()
         return out
 
     @staticmethod

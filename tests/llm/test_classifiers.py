@@ -65,6 +65,18 @@ def test_toxicity_against_a_plain_pass(spark, tables):
         assert abs(r.score - plain_score(r.text, model)) < 0.02, r.doc_id
 
 
+def test_odds_are_the_marginals():
+    rng = np.random.default_rng(5)
+    trans, start = rng.standard_normal((2, 2)), rng.standard_normal(2)
+    rows = [rng.standard_normal(n) * 4 for n in (1, 2, 7, 64, 40)]
+    scores = np.zeros((64, len(rows)))
+    for i, x in enumerate(rows):
+        scores[: len(x), i] = x
+    got = toxicity._marginals(scores, np.array([len(x) - 1 for x in rows]), trans, start)
+    for i, x in enumerate(rows):
+        assert np.allclose(got[: len(x), i], chain(list(x), trans.tolist(), start.tolist()))
+
+
 def test_sequences_cover_every_token_once():
     for n in (0, 1, 63, 64, 65, 80, 112, 113, 1000):
         parts = toxicity.spread(n)
