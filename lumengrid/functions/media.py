@@ -116,7 +116,7 @@ def relative_crop(crop: Column, roi: Column) -> Column:
     return F.when((x >= 0) & (y >= 0), rect(x, y, crop["width"], crop["height"]))
 
 
-def colour_standardisation(on: Column, policy: Column, source: Column, target: Column, lut: Column, checksum: Column) -> Column:
+def colour_standardisation(on: Column, policy: Column, source: Column, target: Column, lut: Column, path: Column, checksum: Column, version: Column) -> Column:
     """The metadata of the colour step; its fields are null when it is off."""
-    keep = lambda c: F.when(on, c)
-    return F.struct(on.alias("enabled"), keep(policy).alias("policy_name"), keep(source).alias("source_color_space"), keep(target).alias("target_color_space"), keep(lut).alias("lut_file"), keep(checksum).alias("lut_checksum"))
+    keep = lambda c: F.when(on, c.cast("string"))
+    return F.struct(on.alias("enabled"), keep(policy).alias("policy_name"), keep(source).alias("source_color_space"), keep(target).alias("target_color_space"), keep(lut).alias("lut_file"), keep(path).alias("lut_path"), keep(checksum).alias("lut_checksum"), keep(version).alias("lut_asset_version"))

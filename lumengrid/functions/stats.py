@@ -10,20 +10,49 @@ MAD_TO_SIGMA, LEAST_SIGMA = 1.4826, 1e-6
 
 
 def with_robust_z(df: DataFrame, value: str, by: str, prefix: str) -> DataFrame:
-    """df with {prefix}_median, {prefix}_mad and {prefix}_z within each `by`. Both windows share one exchange."""
-    w = Window.partitionBy(by)
-    med, dev = f"{prefix}_median", f"_{prefix}_deviation"
-    df = df.withColumn(med, F.median(value).over(w)).withColumn(dev, F.abs(F.col(value) - F.col(med)))
-    df = df.withColumn(f"{prefix}_mad", F.median(dev).over(w))
-    sigma = F.greatest(F.col(f"{prefix}_mad") * F.lit(MAD_TO_SIGMA), F.lit(LEAST_SIGMA))
-    return df.withColumn(f"{prefix}_z", F.col(dev) / sigma).drop(dev)
+    """df with {prefix}_median, {prefix}_mad and {prefix}_z within each `by`. Medians are aggregates, counted where the rows lie; only a row per group is shuffled and joined back."""
+    med, mad, dev = f"{prefix}_median", f"{prefix}_mad", f"_{prefix}_deviation"
+    rows = df.join(df.groupBy(by).agg(F.median(value).alias(med)), by).withColumn(dev, F.abs(F.col(value) - F.col(med)))
+    rows = rows.join(rows.groupBy(by).agg(F.median(dev).alias(mad)), by)
+    sigma = F.greatest(F.col(mad) * F.lit(MAD_TO_SIGMA), F.lit(LEAST_SIGMA))
+    return rows.withColumn(f"{prefix}_z", F.col(dev) / sigma).drop(dev)
 
 
 def spread(df: DataFrame, value: str, by: str) -> DataFrame:
     """Per group: n, median, min, max, range, MAD."""
-    w = Window.partitionBy(by)
-    own = df.withColumn("_m", F.median(value).over(w)).withColumn("_d", F.abs(F.col(value) - F.col("_m")))
-    return own.groupBy(by).agg(F.count(F.lit(1)).alias("n"), F.first("_m").alias("median_ms"), F.min(value).alias("min_ms"), F.max(value).alias("max_ms"), (F.max(value) - F.min(value)).alias("range_ms"), F.median("_d").alias("mad_ms"))
+    first = df.groupBy(by).agg(F.count(F.lit(1)).alias("n"), F.median(value).alias("median_ms"), F.min(value).alias("min_ms"), F.max(value).alias("max_ms"), (F.max(value) - F.min(value)).alias("range_ms"))
+    mad = df.join(first.select(by, "median_ms"), by).groupBy(by).agg(F.median(F.abs(F.col(value) - F.col("median_ms"))).alias("mad_ms"))
+    return first.join(mad, by)
+
+
+#: Bounds by which quantiles() cuts a group's values.
+BOUNDS = 64
+
+
+def quantiles(df: DataFrame, value: str, by: list[str], wanted: dict[str, float]) -> DataFrame:
+    """Exact interpolated quantiles per group (by..., names of `wanted`), for groups of any size.
+
+    Values are counted first. Approximate quantiles cut each group's values into some BOUNDS ranges, the counts of which
+    tell exactly in which range a rank lies; only that range is ordered. So no task holds a group.
+    """
+    keys = [f"_k{i}" for i in range(len(by))]
+    counts = df.where(F.col(value).isNotNull()).groupBy(*[F.col(b).alias(k) for b, k in zip(by, keys)], F.col(value).cast("double").alias("_v")).agg(F.count(F.lit(1)).alias("_n"))
+    bounds = counts.groupBy(*keys).agg(F.percentile_approx("_v", [i / BOUNDS for i in range(1, BOUNDS)], F.lit(1000)).alias("_b"), F.sum("_n").alias("_total"))
+    told = counts.join(F.broadcast(bounds.withColumnsRenamed({k: f"b{k}" for k in keys})), [F.col(k).eqNullSafe(F.col(f"b{k}")) for k in keys]).drop(*[f"b{k}" for k in keys])
+    cut = told.withColumn("_r", F.size(F.filter("_b", lambda x: x < F.col("_v"))))
+    sizes = cut.groupBy(*keys, "_r").agg(F.sum("_n").alias("_m"), F.first("_total").alias("_total"))
+    before = F.coalesce(F.sum("_m").over(Window.partitionBy(*keys).orderBy("_r").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    ask = F.explode(F.array(*[F.struct(F.lit(name).alias("name"), F.lit(end).alias("end"), (F.ceil if end else F.floor)((F.col("_total") - 1) * F.lit(q)).cast("long").alias("rank"), F.lit(q).alias("q")) for name, q in wanted.items() for end in (0, 1)])).alias("_a")
+    asked = sizes.withColumn("_before", before).select(*keys, "_r", "_m", "_before", "_total", ask).where("_a.rank >= _before and _a.rank < _before + _m")
+    asked = asked.groupBy(*keys, "_r").agg(F.first("_before").alias("_before"), F.collect_list("_a").alias("_a"))
+    here = cut.select(*keys, "_r", "_v", "_n").join(F.broadcast(asked.withColumnsRenamed({k: f"a{k}" for k in [*keys, "_r"]})), [F.col(k).eqNullSafe(F.col(f"a{k}")) for k in [*keys, "_r"]])
+    upto = F.col("_before") + F.sum("_n").over(Window.partitionBy(*keys, "_r").orderBy("_v").rowsBetween(Window.unboundedPreceding, 0))
+    found = here.withColumn("_upto", upto).select(*keys, "_v", "_n", "_upto", F.explode("_a").alias("_a")).where("_a.rank >= _upto - _n and _a.rank < _upto")
+    at = lambda name, end: F.max(F.when((F.col("_a.name") == name) & (F.col("_a.end") == end), F.col("_v")))
+    part = lambda name: F.max(F.when((F.col("_a.name") == name) & (F.col("_a.end") == 0), (F.col("_total") - 1) * F.col("_a.q") - F.col("_a.rank")))
+    found = found.join(F.broadcast(bounds.select(*[F.col(k).alias(f"t{k}") for k in keys], "_total")), [F.col(k).eqNullSafe(F.col(f"t{k}")) for k in keys])
+    out = found.groupBy(*keys).agg(*[(at(n, 0) + (at(n, 1) - at(n, 0)) * part(n)).alias(n) for n in wanted])
+    return out.withColumnsRenamed(dict(zip(keys, by)))
 
 
 def summary(df: DataFrame, value: str, by: list[str]) -> DataFrame:

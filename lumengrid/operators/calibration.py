@@ -47,8 +47,12 @@ def worst_frames(frames: DataFrame, n: int = 5) -> DataFrame:
 
 
 def residual_summary(residuals: DataFrame) -> DataFrame:
-    """(mode, camera_id, residual) to statistics per mode and camera, and per mode (camera null), in one pass."""
-    return residuals.groupingSets([[F.col("mode"), F.col("camera_id")], [F.col("mode")]], "mode", "camera_id").agg(F.count("residual").alias("n"), F.median("residual").alias("median"), F.percentile("residual", F.lit(0.95)).alias("p95"), F.max("residual").alias("max"))
+    """(mode, camera_id, residual) to statistics per mode and camera, and per mode (camera null). Quantiles are selected by counts, so that no task holds a mode."""
+    both = residuals.select("mode", F.explode(F.array(F.col("camera_id"), F.lit(None).cast("string"))).alias("camera_id"), "residual")
+    own = both.groupBy("mode", "camera_id").agg(F.count("residual").alias("n"), F.max("residual").alias("max")).alias("o")
+    q = stats.quantiles(both, "residual", ["mode", "camera_id"], {"median": 0.5, "p95": 0.95}).alias("q")
+    same = F.col("o.mode").eqNullSafe(F.col("q.mode")) & F.col("o.camera_id").eqNullSafe(F.col("q.camera_id"))
+    return own.join(q, same, "left").select("o.mode", "o.camera_id", "n", "median", "p95", "max")
 
 
 def rotation_mode(direct_p95: Column, inverse_p95: Column) -> Column:

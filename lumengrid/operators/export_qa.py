@@ -33,12 +33,15 @@ def structure(inventory: DataFrame) -> DataFrame:
     return out.withColumn("n_errors", faults + (~F.col("resolution_consistent")).cast("int") + (~F.col("frame_count_consistent")).cast("int"))
 
 
-def completion(inventory: DataFrame) -> DataFrame:
-    """Per scene: complete (every view has metadata and frames and no marker, and frame counts agree), partial, or empty."""
+def completion(inventory: DataFrame, scenes: DataFrame) -> DataFrame:
+    """Per scene: complete (the scene's metadata, which is written last, is there, and each of the 25 views has metadata and frames and no marker, and frame counts agree), partial (anything is there), or empty. scenes: scene, has_metadata."""
     whole = F.col("dir_exists") & ~F.col("in_progress") & F.col("has_view_metadata") & (F.col("frame_files") > 0)
     some = F.col("in_progress") | F.col("has_view_metadata") | (F.col("frame_files") > 0)
-    out = inventory.groupBy("scene").agg(F.bool_and(whole).alias("_whole"), F.bool_or(some).alias("_some"), F.countDistinct("camera_id").alias("n_views"), F.countDistinct("frame_files").alias("_counts"))
-    return out.select("scene", "n_views", F.when(F.col("_whole") & (F.col("_counts") == 1), "complete").when(F.col("_some"), "partial").otherwise("empty").alias("state"))
+    rows = full_inventory(inventory).groupBy("scene").agg(F.bool_and(whole).alias("_whole"), F.bool_or(some).alias("_some"), F.countDistinct(F.when(F.col("dir_exists"), F.col("camera_id"))).alias("n_views"), F.countDistinct("frame_files").alias("_counts"))
+    told = scenes.groupBy("scene").agg(F.bool_or("has_metadata").alias("_told"))
+    rows = rows.join(told, "scene", "full").fillna({"_whole": False, "_some": False, "n_views": 0, "_told": False})
+    state = F.when(F.col("_told") & F.col("_whole") & (F.col("_counts") == 1), "complete").when(F.col("_told") | F.col("_some"), "partial").otherwise("empty")
+    return rows.select("scene", "n_views", state.alias("state"))
 
 
 def edge_ratios(pixels: DataFrame, limits: Limits = LIMITS) -> DataFrame:
@@ -120,6 +123,14 @@ def worst_of_batch(worst: DataFrame, n: int = 20) -> DataFrame:
     return worst.orderBy(F.desc("black_ratio"), F.desc("near_ratio"), "scene", "camera_id", "frame_index").limit(n)
 
 
+def batch_summary(status: DataFrame, samples: DataFrame) -> DataFrame:
+    """One row: scenes and scenes of each status, those to review (warning or fail) in order, and those whose sampling was upgraded. Scenes are names of one batch."""
+    up = samples.where("upgraded").select("scene").distinct().withColumn("_up", F.lit(True))
+    rows = status.join(up, "scene", "left")
+    n = lambda name: F.count_if(F.col("status") == name).alias(f"n_{name}")
+    return rows.agg(F.count(F.lit(1)).alias("n_scenes"), n("pass"), n("warning"), n("fail"), F.array_sort(F.collect_list(F.when(F.col("status") != "pass", F.col("scene")))).alias("review"), F.array_sort(F.collect_list(F.when(F.col("_up"), F.col("scene")))).alias("upgraded"))
+
+
 def status_counts(scenes: DataFrame) -> DataFrame:
     """The number of scenes of each status; those without any appear with 0."""
     names = scenes.sparkSession.createDataFrame([("pass",), ("warning",), ("fail",)], "status string")
@@ -135,10 +146,11 @@ def with_reference_frames(frames: DataFrame, value: str) -> DataFrame:
 
 
 def residual_stats(points: DataFrame, keys: list[str], least: int = 10) -> DataFrame:
-    """Tracked points (keys..., residual) to count and mean, p95, max; null with fewer than `least` points."""
+    """Tracked points (keys..., residual) to count and mean, p95, max; null with fewer than `least` points. The quantile is selected by counts, so a group may hold any number of points."""
     n = F.count("residual")
     given = lambda c: F.when(n >= least, c)
-    return points.groupBy(*keys).agg(n.alias("n"), given(F.avg("residual")).alias("mean"), given(F.percentile("residual", F.lit(0.95))).alias("p95"), given(F.max("residual")).alias("max"))
+    own = points.groupBy(*keys).agg(n.alias("n"), given(F.avg("residual")).alias("mean"), given(F.max("residual")).alias("max"))
+    return own.join(stats.quantiles(points, "residual", keys, {"p95": 0.95}), keys, "left").select(*keys, "n", "mean", F.when(F.col("n") >= least, F.col("p95")).alias("p95"), "max")
 
 
 def epipolar_warnings(metrics: DataFrame, limit: int = 20, limits: Limits = LIMITS) -> DataFrame:
@@ -154,5 +166,3 @@ def full_inventory(found: DataFrame) -> DataFrame:
     grid = F.broadcast(cameras(found.sparkSession).select("camera_id"))
     every = found.select("scene").distinct().join(grid, F.lit(True)).join(found if "dir_exists" in found.columns else found.withColumn("dir_exists", F.lit(True)), ["scene", "camera_id"], "left")
     return every.fillna({"dir_exists": False, "in_progress": False, "has_view_metadata": False, "frame_files": 0})
-
-

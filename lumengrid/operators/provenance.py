@@ -61,9 +61,30 @@ def view_metadata(tasks: DataFrame, profile: Profile, batch: str, versions: dict
     )
 
 
-def sequence_metadata(views: DataFrame, profile: Profile, batch: str, fps: float) -> DataFrame:
-    """A document per exported scene, from its views; a scene whose reference offset isn't 0 fails the query."""
+#: Fields of a release region that a scene's document repeats: fixed values.
+REGION_FIELDS = ["roi_policy", "roi_policy_version", "common_valid_roi", "common_valid_mask_bbox", "safe_rect_roi", "final_release_crop_16_9", "crop_policy_version", "rectification_asset_version", "roi_asset_version", "roi_validation_status"]
+#: The order of crops and resizing, by profile: fixed values.
+CROP_ORDER = {"benchmark": ["common_valid_roi", "final_release_crop_16_9", "resize_1920x1080"], "fidelity": ["common_valid_roi", "final_release_crop_16_9"]}
+
+
+def sequence_metadata(views: DataFrame, profile: Profile, batch: str, fps: float, region: DataFrame | None = None, lut: dict | None = None, manifest: str | None = None, run: dict | None = None, strict: bool = True) -> DataFrame:
+    """A document per exported scene, from its views. A scene whose reference offset isn't 0, or with a view without an offset, fails the query; if not strict, it stays and phase_status tells. region: one row of a release region; lut: the colour table's asset; run: what to tell of the run."""
     phases = F.map_from_entries(F.array_sort(F.collect_list(F.struct("camera_id", "phase_offset_ms"))))
     rows = views.groupBy("export_scene").agg(phases.alias("phase_offset_ms"), F.first("source_clip").alias("source_video"), F.first("output_resolution").alias("final_output_resolution"), F.first("segment").alias("segment"))
-    rows = require(rows, F.coalesce(F.try_element_at("phase_offset_ms", F.lit(REFERENCE)) == 0.0, F.lit(False)), "the reference camera's phase offset must be 0")
-    return rows.withColumns({"schema_version": F.lit("lfv_export_sequence_metadata_v1"), "batch_name": F.lit(batch), "profile": F.lit(profile.name), "reference_camera": F.lit(REFERENCE), "fps_nominal": F.lit(fps), "output_format": F.lit(profile.image_format), "bit_depth": F.lit(profile.bit_depth)})
+    ref = F.try_element_at("phase_offset_ms", F.lit(REFERENCE))
+    lost = F.exists(F.map_values("phase_offset_ms"), lambda x: x.isNull())
+    status = F.when(ref.isNull(), "missing_reference_phase").when(ref != 0.0, "reference_phase_not_zero").when(lost, "missing_phase_offset").otherwise("ok")
+    rows = rows.withColumn("phase_status", status)
+    if strict:
+        rows = require(rows, F.col("phase_status") == "ok", "the reference camera's phase offset must be 0, and every view needs one").drop("phase_status")
+    on = lut is not None and profile.color_standardised
+    told = lut or {}
+    colour = media.colour_standardisation(F.lit(on), *[F.lit(told.get(k)) for k in ("policy_name", "source_color_space", "target_color_space", "lut_file", "lut_path", "lut_checksum", "lut_asset_version")])
+    quality = {"jpeg_quality": F.lit(profile.jpeg_quality)} if profile.image_format == "jpeg" else {"png_bit_depth": F.lit(profile.bit_depth)}
+    size = F.array(*map(F.lit, profile.resize)) if profile.resize else F.lit("no_resize")
+    rows = rows.withColumns({"schema_version": F.lit("lfv_export_sequence_metadata_v1"), "scene_id": F.col("export_scene"), "batch_name": F.lit(batch), "profile": F.lit(profile.name), "reference_camera": F.lit(REFERENCE), "fps_nominal": F.lit(fps), "output_format": F.lit(profile.image_format), "bit_depth": F.lit(profile.bit_depth), "resize_target": size, "crop_order": F.array(*map(F.lit, CROP_ORDER[profile.name])), "color_standardization": colour, "lut_asset_version": colour["lut_asset_version"], "source_sync_manifest": F.lit(manifest), "export_pipeline_version": F.lit("export_pipeline_v1"), **quality})
+    if run is not None:
+        rows = rows.withColumn("runtime", F.struct(*[F.lit(v).alias(k) for k, v in run.items()]))
+    if region is not None:
+        rows = rows.join(F.broadcast(region.select(*[c for c in REGION_FIELDS if c in region.columns]).limit(1)), F.lit(True))
+    return rows

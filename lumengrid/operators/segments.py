@@ -40,8 +40,15 @@ def unmatched_tasks(tasks: DataFrame, videos: DataFrame) -> DataFrame:
     return tasks.join(videos, ["scene", "camera_id"], "left_anti")
 
 
-def with_phases(tasks: DataFrame, offsets: DataFrame) -> DataFrame:
-    return tasks.join(offsets.select("scene", "camera_id", F.col("offset_ms").alias("phase_offset_ms")), ["scene", "camera_id"])
+def with_phases(tasks: DataFrame, offsets: DataFrame, strict: bool = True) -> DataFrame:
+    """Tasks with phase_offset_ms. A task without one fails the query; if not strict, it stays with the status missing_phase_offset."""
+    phases = offsets.select("scene", "camera_id", F.col("offset_ms").alias("phase_offset_ms"))
+    rows = tasks.join(phases, ["scene", "camera_id"], "left")
+    lost = F.col("phase_offset_ms").isNull() | F.isnan("phase_offset_ms")
+    if not strict:
+        return rows.withColumn("phase_status", F.when(lost, "missing_phase_offset").otherwise("ok"))
+    told = F.concat(F.lit("no phase offset for "), F.col("camera_id"), F.lit(" in scene "), F.col("scene"))
+    return rows.withColumn("phase_offset_ms", F.when(lost, F.raise_error(told).cast("double")).otherwise(F.col("phase_offset_ms")))
 
 
 def frames_in_segments(frames: DataFrame, segments: DataFrame) -> DataFrame:
@@ -53,9 +60,9 @@ def frames_in_segments(frames: DataFrame, segments: DataFrame) -> DataFrame:
     return hit.withColumn("out_frame", F.row_number().over(Window.partitionBy("scene", "segment_index", "camera_id").orderBy("t", "frame_index")))
 
 
-def keep_incomplete(tasks: DataFrame, inventory: DataFrame) -> DataFrame:
-    """Tasks of scenes that aren't complete yet."""
+def keep_incomplete(tasks: DataFrame, inventory: DataFrame, scenes: DataFrame) -> DataFrame:
+    """Tasks of scenes that aren't complete yet, with the state of what is there (partial or empty); a partial scene should be cleared before it is exported again."""
     from .export_qa import completion
 
-    done = completion(inventory).where("state = 'complete'").select("scene")
-    return tasks.join(done, "scene", "left_anti")
+    state = completion(inventory, scenes).select("scene", F.col("state").alias("export_state"))
+    return tasks.join(state, "scene", "left").withColumn("export_state", F.coalesce("export_state", F.lit("empty"))).where("export_state <> 'complete'")

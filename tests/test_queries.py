@@ -44,16 +44,16 @@ def duck_rows(name, folder):
     return Counter(tuple(value(dict(zip(names, r))[n]) for n in sorted(names)) for r in cur.fetchall())
 
 
-@pytest.mark.parametrize("name", sorted(n for n in QUERIES if n.endswith("_all")))
+@pytest.mark.parametrize("name", ["roi_common_mask", "roi_crop_margins", "roi_largest_rectangle", "roi_blind_cameras", "calibration_risks", "scene_status_counts", "adaptive_samples", "preflight_camera_sets", "export_completion", "export_resume", "metadata_sequences", "residual_stats", "calibration_residuals"])
 def test_whole_tables(spark, name):
-    """On tables that are larger than the cuts of the queries of the same name without _all."""
+    """On larger tables too."""
     folder = "/root/testdata/sf0.01"
     got = QUERIES[name](spark, folder)
     rows = Counter(tuple(value(r[n]) for n in sorted(got.columns)) for r in got.collect())
     assert rows and rows == duck_rows(name, folder)
 
 
-def test_rows_beyond_the_cuts_count(spark, tmp_path):
+def test_every_row_counts(spark, tmp_path):
     """Suppliers beyond 25, frames of any number and all scenes change results."""
     few = tmp_path / "few"
     few.mkdir()
@@ -61,12 +61,23 @@ def test_rows_beyond_the_cuts_count(spark, tmp_path):
         os.symlink(f"/root/testdata/sf0.01/{x}.parquet", few / f"{x}.parquet")
     os.unlink(few / "supplier.parquet")
     spark.read.parquet("/root/testdata/sf0.01/supplier.parquet").where("s_suppkey > 25").coalesce(1).write.parquet(f"{few}/supplier.parquet")
-    assert QUERIES["roi_common_mask_all"](spark, str(few)).count() == 48 * 32
-    assert QUERIES["roi_crop_margins_all"](spark, str(few)).where("camera_id is not null").select("camera_id").distinct().count() == 25
-    assert QUERIES["roi_largest_rectangle_all"](spark, str(few)).collect()[0].area > 0
-    assert QUERIES["roi_bounding_box_all"](spark, str(few)).collect()[0].width > 0
-    status = {r.status: r.n_scenes for r in QUERIES["scene_status_counts_all"](spark, str(few)).collect()}
+    assert QUERIES["roi_common_mask"](spark, str(few)).count() == 48 * 32
+    assert QUERIES["roi_crop_margins"](spark, str(few)).where("camera_id is not null").select("camera_id").distinct().count() == 25
+    assert QUERIES["roi_largest_rectangle"](spark, str(few)).collect()[0].area > 0
+    assert QUERIES["roi_bounding_box"](spark, str(few)).collect()[0].width > 0
+    status = {r.status: r.n_scenes for r in QUERIES["scene_status_counts"](spark, str(few)).collect()}
     assert sum(status.values()) == 40 and min(status.values()) > 0
-    assert QUERIES["adaptive_samples_all"](spark, str(few)).select("scene").distinct().count() == 30
-    assert {r.upgraded for r in QUERIES["adaptive_samples_all"](spark, str(few)).collect()} == {True, False}
-    assert {r.reason for r in QUERIES["calibration_risks_all"](spark, str(few)).collect()} >= {"detected_frames_less_than_5", "detection_rate_below_30_percent"}
+    assert QUERIES["adaptive_samples"](spark, str(few)).select("scene").distinct().count() == 30
+    assert {r.upgraded for r in QUERIES["adaptive_samples"](spark, str(few)).collect()} == {True, False}
+    assert {r.reason for r in QUERIES["calibration_risks"](spark, str(few)).collect()} >= {"detected_frames_less_than_5", "detection_rate_below_30_percent"}
+
+
+def test_faulty_cases_are_there(spark):
+    """Scenes with 3 of 25 views, or without the scene's metadata, aren't complete."""
+    folder = "/root/testdata/sf0.01"
+    got = {r.scene: (r.n_views, r.state) for r in QUERIES["export_completion"](spark, folder).collect()}
+    assert got[100] == (3, "partial") and got[101] == (25, "complete") and got[102] == (25, "partial")
+    assert {r.scene for r in QUERIES["export_resume"](spark, folder).collect()} >= {100, 102} and 101 not in {r.scene for r in QUERIES["export_resume"](spark, folder).collect()}
+    assert "missing_phase_offset" in {r.phase_status for r in QUERIES["export_tasks"](spark, SF).collect()}
+    states = {r.phase_status for d in (SF, folder) for r in QUERIES["metadata_sequences"](spark, d).collect()}
+    assert states >= {"missing_reference_phase", "reference_phase_not_zero", "missing_phase_offset"}
