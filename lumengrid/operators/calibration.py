@@ -137,3 +137,10 @@ def virtual_matrix(fx: Column, fy: Column, cx: Column, cy: Column, roi: Column,
     """The shared matrix that fills the image with a region, and its scale."""
     scale = F.least(F.lit(float(width)) / roi["width"], F.lit(float(height)) / roi["height"])
     return F.struct((fx * scale).alias("fx"), (fy * scale).alias("fy"), ((cx - roi["x"]) * scale).alias("cx"), ((cy - roi["y"]) * scale).alias("cy"), scale.alias("scale"))
+
+
+def optimal_matrix(k, width: int, height: int, alpha: float = 0.0) -> tuple[list, tuple[int, int, int, int]]:
+    """The best matrix without distortion, and its valid rectangle: nothing bends, so the inner and the outer rectangle are the image, and every alpha gives K."""
+    if not 0 <= alpha <= 1:
+        raise ValueError(f"alpha {alpha} isn't between 0 and 1")
+    return k, (0, 0, width, height)

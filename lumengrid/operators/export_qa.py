@@ -44,6 +44,11 @@ def completion(inventory: DataFrame, scenes: DataFrame) -> DataFrame:
     return rows.select("scene", "n_views", state.alias("state"))
 
 
+def verified(views: DataFrame) -> DataFrame:
+    """Per scene to be committed (export_scene, ok): all 25 views are there, of one size and one number of frames."""
+    return views.groupBy("export_scene").agg(((F.countDistinct("camera_id") == 25) & (F.countDistinct("output_resolution") == 1) & (F.countDistinct("frame_count") == 1)).alias("ok"))
+
+
 def edge_ratios(pixels: DataFrame, limits: Limits = LIMITS) -> DataFrame:
     """Border pixels (key columns..., edge, b, g, r) to the share of black and near-black ones per key and edge. A pixel is black if all its channels are."""
     dark = lambda t: ((F.col("b") <= t) & (F.col("g") <= t) & (F.col("r") <= t)).cast("int")

@@ -166,3 +166,91 @@ def contact_sheet(frames: DataFrame, columns: int = 5) -> DataFrame:
         return pa.table({"scene": [rows[0]["scene"]], "frame_index": pa.array([rows[0]["frame_index"]], pa.int32()), "h": pa.array([sheet.shape[0]], pa.int32()), "w": pa.array([sheet.shape[1]], pa.int32()), "data": [sheet.tobytes()]})
 
     return frames.groupBy("scene", "frame_index").applyInArrow(run, "scene string, frame_index int, h int, w int, data binary")
+
+
+def sheets(frames: DataFrame) -> DataFrame:
+    """Contact sheets of every frame: all views, each row and each column of the grid (sheet: grid, row_A, col_1, ...); one group is a sheet's views, at most 25."""
+    own = F.explode(F.array(F.lit("grid"), F.concat(F.lit("row_"), F.substring("camera_id", 5, 1)), F.concat(F.lit("col_"), F.substring("camera_id", 6, 1)))).alias("sheet")
+    named = frames.select("scene", own, "camera_id", "frame_index", "h", "w", "data")
+    out = contact_sheet(named.where("sheet not like 'col%'").withColumn("scene", F.concat_ws("\u0001", "scene", "sheet")), 5).unionByName(contact_sheet(named.where("sheet like 'col%'").withColumn("scene", F.concat_ws("\u0001", "scene", "sheet")), 1))
+    parts = F.split("scene", "\u0001")
+    return out.select(parts[0].alias("scene"), parts[1].alias("sheet"), "frame_index", "h", "w", "data")
+
+
+def rectification_map(k: np.ndarray, rotation: np.ndarray, p: np.ndarray, width: int, height: int) -> tuple[np.ndarray, np.ndarray]:
+    """The source pixel of each output pixel, without distortion: K R^-1 P^-1, as 32-bit floats."""
+    m = k @ np.linalg.inv(rotation) @ np.linalg.inv(p)
+    y, x = np.mgrid[0:height, 0:width].astype(np.float64)
+    u, v, w = (m[i, 0] * x + m[i, 1] * y + m[i, 2] for i in range(3))
+    return (u / w).astype("<f4"), (v / w).astype("<f4")
+
+
+def _maps(r: dict) -> tuple[np.ndarray, np.ndarray]:
+    return tuple(np.frombuffer(r[k], dtype="<f4").reshape(r["h"], r["w"]) for k in ("map_x", "map_y"))
+
+
+def valid_masks(maps: DataFrame, width: int, height: int, margin: float) -> DataFrame:
+    """camera_id, h, w, n_valid, mask (packed bits): pixels that lie inside the source by a margin, made where the map lies."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for i in range(batch.num_rows):
+                r = batch.slice(i, 1).to_pylist()[0]
+                x, y = _maps(r)
+                ok = (x >= margin) & (x <= width - 1 - margin) & (y >= margin) & (y <= height - 1 - margin)
+                yield pa.RecordBatch.from_pydict({"camera_id": [r["camera_id"]], "h": pa.array([r["h"]], pa.int32()), "w": pa.array([r["w"]], pa.int32()), "n_valid": pa.array([int(ok.sum())], pa.int64()), "mask": [np.packbits(ok).tobytes()]})
+
+    return maps.mapInArrow(run, "camera_id string, h int, w int, n_valid long, mask binary")
+
+
+def combined_mask(masks: DataFrame) -> DataFrame:
+    """h, w, mask: the bits that are set in all masks of one size. Tasks combine their own first; what is left is a mask for each task, of one image's size."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: dict = {}
+        for batch in batches:
+            for h, w, bits in zip(*(batch.column(batch.schema.get_field_index(n)).to_pylist() for n in ("h", "w", "mask"))):
+                own = np.frombuffer(bits, dtype=np.uint8)
+                held[h, w] = held[h, w] & own if (h, w) in held else own
+        for (h, w), bits in held.items():
+            yield pa.RecordBatch.from_pydict({"h": pa.array([h], pa.int32()), "w": pa.array([w], pa.int32()), "mask": [bits.tobytes()]})
+
+    kind = "h int, w int, mask binary"
+    return masks.select("h", "w", "mask").mapInArrow(run, kind).repartition(1).mapInArrow(run, kind)
+
+
+def rim_pixels(maps: DataFrame, crop: dict) -> DataFrame:
+    """camera_id, y, x, map_x, map_y of the pixels on a crop's four edges."""
+    x0, y0, x1, y1 = crop["x"], crop["y"], crop["x"] + crop["width"] - 1, crop["y"] + crop["height"] - 1
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for i in range(batch.num_rows):
+                r = batch.slice(i, 1).to_pylist()[0]
+                mx, my = _maps(r)
+                xs, ys = np.arange(x0, x1 + 1), np.arange(y0, y1 + 1)
+                at = np.unique(np.concatenate([np.stack([np.full_like(xs, y0), xs], 1), np.stack([np.full_like(xs, y1), xs], 1), np.stack([ys, np.full_like(ys, x0)], 1), np.stack([ys, np.full_like(ys, x1)], 1)]), axis=0)
+                y, x = at.T
+                yield pa.RecordBatch.from_pydict({"camera_id": [r["camera_id"]] * len(at), "y": pa.array(y, pa.int32()), "x": pa.array(x, pa.int32()), "map_x": pa.array(mx[y, x].astype(np.float64)), "map_y": pa.array(my[y, x].astype(np.float64))})
+
+    return maps.mapInArrow(run, "camera_id string, y int, x int, map_x double, map_y double")
+
+
+def rim_ratios(frames: DataFrame, black: int = 2, near: int = 8) -> DataFrame:
+    """scene, camera_id, frame_index, edge, black_ratio, near_ratio of the outermost line of each edge."""
+    return border_lines(frames, black, near, 1).drop("line")
+
+
+def at_times(frames: DataFrame, samples: DataFrame) -> DataFrame:
+    """The first frame of each camera at or after a sample's time (scene, segment_index, position, t), else the last one before. Only frame numbers are compared; a sample's frame then is fetched."""
+    keys = ["scene", "segment_index", "position"]
+    near = frames.select("scene", "camera_id", "frame_index", (F.col("pos_msec") / 1000).alias("at")).join(samples, "scene")
+    late = F.col("at") >= F.col("t")
+    picked = near.groupBy(*keys, "camera_id").agg(F.coalesce(F.min_by("frame_index", F.when(late, F.col("at"))), F.max_by("frame_index", F.when(~late, F.col("at")))).alias("frame_index"))
+    return frames.join(picked.select("scene", "camera_id", "frame_index").distinct(), ["scene", "camera_id", "frame_index"], "left_semi")
+
+
+def by_index(frames: DataFrame, wanted: DataFrame) -> DataFrame:
+    """Wanted frames (scene, camera_id, frame_index) with their data; those that aren't there have the reason read_failed."""
+    rows = wanted.join(frames, ["scene", "camera_id", "frame_index"], "left")
+    return rows.withColumn("reason", F.when(F.col("data").isNull(), "read_failed"))

@@ -50,6 +50,13 @@ def compatible(region: DataFrame, rectification: DataFrame) -> DataFrame:
     return require(joined, ok, "region and rectification don't fit together").drop("_v", "master_camera")
 
 
+def required_region(region: DataFrame) -> DataFrame:
+    """A region whose document has all that an export needs."""
+    for name in ("common_valid_roi", "safe_rect_roi", "final_release_crop_16_9", "roi_asset_version"):
+        region = require(region, F.col(name).isNotNull(), f"the region's document lacks {name}")
+    return region
+
+
 def view_metadata(tasks: DataFrame, profile: Profile, batch: str, versions: dict[str, str]) -> DataFrame:
     """A metadata document per exported view: tasks with export_scene, scene, camera_id, map_file, phase_offset_ms, frame_count, width, height, time_key, segment_index, segment_count, start, end."""
     segment = F.struct("time_key", "segment_index", "segment_count", F.col("start").alias("start_time"), F.col("end").alias("end_time"), F.col("scene").alias("source_scene_id"))

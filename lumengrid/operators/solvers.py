@@ -150,3 +150,94 @@ def relative_poses(boards: DataFrame, least: int = 5) -> DataFrame:
         return pd.DataFrame([[rows.camera_id.iloc[0], mean.ravel().tolist() if ok else None, np.mean(ts, axis=0).tolist() if ok else None, len(rs), "ok" if ok else "too_few_common_frames"]], columns=["camera_id", "R_rel", "T_rel", "n_common", "status"])
 
     return boards.where(F.col("camera_id") != REFERENCE).join(ref, "frame_index").groupBy("camera_id").applyInPandas(run, "camera_id string, R_rel array<double>, T_rel array<double>, n_common long, status string")
+
+
+def _jacobian(f, x: np.ndarray) -> np.ndarray:
+    r, step = f(x), 1e-6 * np.maximum(1, np.abs(x))
+    return np.column_stack([(f(x + step[i] * e) - r) / step[i] for i, e in enumerate(np.eye(len(x)))])
+
+
+def joint_pose(pairs: list[tuple], k: np.ndarray, k_ref: np.ndarray, x: np.ndarray, rounds: int = 12) -> tuple[np.ndarray, float]:
+    """The pose (rotation vector, shift) from a camera's coordinates to the reference's that fits all shared boards, with a pose for each board, and the root mean square error over the points of both cameras. pairs: board, own corners, reference corners, first board pose in the camera. Each board's pose is eliminated from the normal equations, so a round solves 6 x 6 systems only."""
+
+    def miss(x, b, pair):
+        board, own, ref = pair[:3]
+        turn = rodrigues(x[:3])
+        r = turn @ rodrigues(b[:3])
+        seen = np.concatenate([rotation_vector(r), turn @ b[3:] + x[3:]])
+        return np.concatenate([(project(board, k, b) - own).ravel(), (project(board, k_ref, seen) - ref).ravel()])
+
+    boards, damp = [np.asarray(p[3], dtype=float) for p in pairs], 1e-4
+    cost = lambda x, bs: sum(float((miss(x, b, p) ** 2).sum()) for b, p in zip(bs, pairs))
+    now = cost(x, boards)
+    for _ in range(rounds):
+        total, right, parts = np.zeros((6, 6)), np.zeros(6), []
+        for b, p in zip(boards, pairs):
+            r, a, c = miss(x, b, p), _jacobian(lambda v: miss(v, b, p), x), _jacobian(lambda v: miss(x, v, p), b)
+            inner = np.linalg.inv(c.T @ c + damp * np.diag(np.maximum(1e-12, (c**2).sum(axis=0))))
+            cross = a.T @ c @ inner
+            total += a.T @ a - cross @ c.T @ a
+            right += -a.T @ r + cross @ c.T @ r
+            parts.append((inner, c, a, r))
+        move = np.linalg.solve(total + damp * np.diag(np.maximum(1e-12, np.diag(total))), right)
+        tried = [b + i @ (-c.T @ r - c.T @ a @ move) for b, (i, c, a, r) in zip(boards, parts)]
+        new = cost(x + move, tried)
+        if new < now:
+            done = now - new < 1e-10 * (1 + now)
+            x, boards, now, damp = x + move, tried, new, damp / 3
+            if done:
+                break
+        else:
+            damp *= 10
+    return x, float(np.sqrt(now / sum(len(p[1]) + len(p[2]) for p in pairs)))
+
+
+def stereo(detections: DataFrame, boards: DataFrame, solved: DataFrame, least: int = 5) -> DataFrame:
+    """camera_id, R_rel, T_rel, error (pixels), n_common, status of each other camera: relative_poses() refined jointly over all boards that both cameras see, intrinsics fixed. A group holds a camera's shared detections, a bounded number."""
+    seen = detections.where(F.size("corners") > 0).select("camera_id", "frame_index", "board", "corners")
+    own = seen.join(boards.select("camera_id", "frame_index", "rvec", "tvec"), ["camera_id", "frame_index"])
+    ref = own.where(F.col("camera_id") == REFERENCE).select("frame_index", F.col("corners").alias("ref_corners"), F.col("rvec").alias("ref_r"), F.col("tvec").alias("ref_t"))
+    matrix = F.array("fx", "fy", "cx", "cy")
+    ks = solved.where("status = 'ok'").select("camera_id", matrix.alias("k"))
+    ref_k = ks.where(F.col("camera_id") == REFERENCE).select(F.col("k").alias("ref_k"))
+    rows = own.where(F.col("camera_id") != REFERENCE).join(ref, "frame_index").join(F.broadcast(ks), "camera_id").join(F.broadcast(ref_k), F.lit(True))
+    full = lambda v: np.array([[v[0], 0, v[2]], [0, v[1], v[3]], [0, 0, 1]])
+
+    def run(df: pd.DataFrame) -> pd.DataFrame:
+        name, n = df.camera_id.iloc[0], len(df)
+        if n < least:
+            return pd.DataFrame([[name, None, None, None, n, "too_few_common_frames"]], columns=columns)
+        df = df.sort_values("frame_index")
+        flat = lambda v: np.reshape(np.asarray(v, dtype=float), (-1, 2))
+        pairs, rs, ts = [], [], []
+        for r in df.itertuples():
+            pairs.append((flat(r.board), flat(r.corners), flat(r.ref_corners), np.concatenate([r.rvec, r.tvec])))
+            rs.append(rodrigues(np.array(r.ref_r)) @ rodrigues(np.array(r.rvec)).T)
+            ts.append(np.array(r.ref_t) - rs[-1] @ np.array(r.tvec))
+        u, _, v = np.linalg.svd(np.mean(rs, axis=0))
+        first = np.concatenate([rotation_vector(u @ np.diag([1, 1, np.linalg.det(u @ v)]) @ v), np.mean(ts, axis=0)])
+        x, error = joint_pose(pairs, full(df.k.iloc[0]), full(df.ref_k.iloc[0]), first)
+        return pd.DataFrame([[name, rodrigues(x[:3]).ravel().tolist(), x[3:].tolist(), error, n, "ok"]], columns=columns)
+
+    columns = ["camera_id", "R_rel", "T_rel", "error", "n_common", "status"]
+    return rows.groupBy("camera_id").applyInPandas(run, "camera_id string, R_rel array<double>, T_rel array<double>, error double, n_common long, status string")
+
+
+def rectified_residuals(detections: DataFrame, calibration: DataFrame) -> DataFrame:
+    """(mode, camera_id, residual): the vertical distance of each corner to the reference's after rectification by R_rel and by its inverse; both go to the reference's matrix."""
+    k = F.struct(F.col("K")[0][0].alias("fx"), F.col("K")[1][1].alias("fy"), F.col("K")[0][2].alias("cx"), F.col("K")[1][2].alias("cy")).alias("k")
+    cams = calibration.select("camera_id", k, F.flatten("R_rel").alias("r"))
+    master = cams.where(F.col("camera_id") == REFERENCE).select(F.col("k").alias("p"))
+    points = detections.select("camera_id", "frame_index", F.posexplode(F.expr("transform(sequence(0, size(corners) div 2 - 1), i -> struct(corners[2 * i] as u, corners[2 * i + 1] as v))")).alias("corner", "c")).where("c.u is not null")
+    rows = points.join(F.broadcast(cams), "camera_id").join(F.broadcast(master), F.lit(True))
+    x, y = (F.col("c.u") - F.col("k.cx")) / F.col("k.fx"), (F.col("c.v") - F.col("k.cy")) / F.col("k.fy")
+
+    def height(turned: bool):
+        at = lambda i, j: F.col("r")[3 * j + i if turned else 3 * i + j]
+        b, c = (at(i, 0) * x + at(i, 1) * y + at(i, 2) for i in (1, 2))
+        return F.col("p.fy") * (b / c) + F.col("p.cy")
+
+    modes = F.explode(F.array(F.struct(F.lit("direct").alias("mode"), height(False).alias("v")), F.struct(F.lit("inverse").alias("mode"), height(True).alias("v")))).alias("m")
+    rows = rows.select("camera_id", "frame_index", "corner", modes).select("camera_id", "frame_index", "corner", "m.mode", "m.v")
+    ref = rows.where(F.col("camera_id") == REFERENCE).select("frame_index", "corner", "mode", F.col("v").alias("ref_v"))
+    return rows.where(F.col("camera_id") != REFERENCE).join(ref, ["frame_index", "corner", "mode"]).select("mode", "camera_id", F.abs(F.col("v") - F.col("ref_v")).alias("residual"))

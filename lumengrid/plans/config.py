@@ -79,3 +79,14 @@ def load(path: str | Path) -> Batch:
     if not isinstance(raw, dict):
         raise ValueError(f"{file} holds no mapping")
     return Batch(raw, str(file))
+
+
+def named(batches: dict[str, dict], name: str, base: dict | None = None) -> Batch:
+    """A batch by name: its own values over those that all batches share. An unknown name is an error."""
+    if name not in batches:
+        raise ValueError(f"unknown batch {name}; known: {', '.join(sorted(batches))}")
+
+    def over(low, high):
+        return {k: over(low[k], high[k]) if isinstance(low.get(k), dict) and isinstance(high.get(k), dict) else high.get(k, low.get(k)) for k in low | high}
+
+    return Batch(over({"batch_id": name} | (base or {}), batches[name]), name)

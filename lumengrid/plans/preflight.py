@@ -7,20 +7,29 @@ from pyspark.sql import functions as F
 
 from ..model import CAMERAS, REFERENCE, cameras
 from ..operators import sync
+from ..sources import files
 from .config import Batch, lookup
 
 #: What each stage reads (fixed values): names of configured paths.
 NEEDS = {
     "sync-qa": ["sync_manifest"],
-    "sync-clip": ["sync_manifest", "raw_root"],
-    "calibrate": ["synced_root"],
-    "calibration-qa": ["synced_root", "calibration_json"],
-    "rectify": ["calibration_json"],
-    "roi": ["calibration_json", "rectification_dir"],
-    "roi-qa": ["sync_manifest", "calibration_json", "rectification_dir", "roi_metadata", "time_segments"],
-    "export": ["sync_manifest", "calibration_json", "rectification_dir", "roi_metadata", "time_segments", "synced_root", "lut"],
+    "sync-clip": ["sync_manifest", "clips"],
+    "calibrate": ["detections", "calibration_json"],
+    "calibration-qa": ["detections", "calibration_json"],
+    "rectify": ["calibration_json", "rectification_dir"],
+    "roi": ["rectification_dir", "roi_metadata"],
+    "roi-qa": ["rectification_dir", "roi_metadata", "time_segments", "frames"],
+    "export": ["sync_manifest", "rectification_dir", "roi_metadata", "time_segments", "frames", "output_root"],
     "export-qa": ["output_root"],
 }
+#: Paths that a stage writes; all others must be there before it runs.
+MADE = {"calibrate": {"calibration_json"}, "rectify": {"rectification_dir"}, "roi": {"roi_metadata"}, "export": {"output_root"}}
+
+
+def file_errors(spark: SparkSession, batch: Batch, stage: str) -> list[str]:
+    """Inputs that are configured but not there."""
+    names = [n for n in NEEDS.get(stage, []) if n not in MADE.get(stage, ()) and batch.path(n)]
+    return [f"no such input: {n} ({batch.path(n)})" for n in names if not files.exists(spark, batch.path(n))]
 
 
 def config_errors(batch: Batch, stage: str) -> list[str]:

@@ -1,4 +1,4 @@
-"""One entry for the batch stages that are data work: sync-qa, export (its tasks) and export-qa. The other stages are checked before they run, and then end with an error. Run as python -m lumengrid.plans.stages."""
+"""One entry for the nine batch stages: checks first, then the stage. Run as python -m lumengrid.plans.stages."""
 
 from __future__ import annotations
 
@@ -8,9 +8,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.media import camera_of
-from ..operators import export_qa, frames, segments, sync
+from ..operators import export_qa, frames, sync
 from ..sources import documents, media
-from . import preflight
+from . import build, preflight
 from .config import Batch, load
 
 
@@ -19,16 +19,6 @@ def sync_qa(spark: SparkSession, batch: Batch, scene: str | None = None, profile
     return {"flagged": sync.flagged(offsets), "missing": sync.missing(offsets), "cameras": sync.camera_stats(offsets), "scores": documents.offset_report(sync.scored(offsets))}
 
 
-def export_plan(spark: SparkSession, batch: Batch, scene: str | None = None, profile: str | None = None) -> dict[str, DataFrame]:
-    """The export tasks of all scenes in the manifest with a time segment."""
-    offsets = documents.manifest(spark, batch.required_path("sync_manifest"))
-    own = documents.time_segments(spark, batch.required_path("time_segments"), batch.time_key)
-    if scene:
-        own = own.where(F.col("scene") == scene)
-    tasks = segments.export_tasks(segments.scene_segments(offsets.select("scene").distinct(), own))
-    return {"tasks": segments.with_phases(tasks, offsets)}
-
-
 def export_check(inventory: DataFrame, images: DataFrame, batch: Batch, points: DataFrame | None = None, faults: DataFrame | None = None) -> dict[str, DataFrame]:
     """Structure, sampled borders and status of exported scenes, from their inventory and their frames; with tracked points (scene, camera_id, frame_index, residual) also epipolar warnings; `faults` are further ones (scene, fault)."""
     limits = batch.limits
@@ -50,7 +40,7 @@ def export_check(inventory: DataFrame, images: DataFrame, batch: Batch, points:
         means = export_qa.residual_stats(points.join(taken.select(*keys), keys, "left_semi"), keys).where("mean is not null")
         odd = export_qa.epipolar_warnings(means.select(*keys, "mean"), limits=limits)
     status = export_qa.classify(scenes, taken, odd, limits)
-    return {"structure": scenes, "samples": taken, **({} if points is None else {"epipolar": odd}), "status": status, "counts": export_qa.status_counts(status), "worst": export_qa.worst_of_batch(export_qa.worst_samples(taken, limits=limits))}
+    return {"summary": export_qa.batch_summary(status, taken), "structure": scenes, "samples": taken, **({} if points is None else {"epipolar": odd}), "status": status, "counts": export_qa.status_counts(status), "worst": export_qa.worst_of_batch(export_qa.worst_samples(taken, limits=limits))}
 
 
 def _found(spark: SparkSession, pattern: str, folders: bool = False) -> list[str]:
@@ -103,11 +93,15 @@ def export_qa_stage(spark: SparkSession, batch: Batch, scene: str | None = None,
     return export_check(inventory, images, batch, spark.read.parquet(given) if given else None, faults.union(lost))
 
 
-RUN = {"sync-qa": sync_qa, "export": export_plan, "export-qa": export_qa_stage}
+RUN = {"sync-qa": sync_qa, "sync-clip": build.sync_clip, "calibrate": build.calibrate, "calibration-qa": build.calibration_qa, "rectify": build.rectify, "roi": build.release_region, "roi-qa": build.roi_qa, "export": build.export, "export-qa": export_qa_stage}
+
+
+#: Stages that write their files while they run.
+WRITING = {"calibrate", "rectify", "roi", "export"}
 
 
 def main(args: list[str] | None = None) -> int:
-    """Exit code 2 if the checks before a stage find an error, 3 if the stage has no implementation here, 1 if an exported scene fails."""
+    """Exit code 2 if the checks before a stage find an error, 1 if an exported scene fails, the region's verdict is fail, or the calibration's risks include one."""
     p = argparse.ArgumentParser(description="Checks and plans of a capture batch.")
     p.add_argument("--config", required=True)
     p.add_argument("--stage", required=True, choices=sorted(preflight.NEEDS))
@@ -120,11 +114,11 @@ def main(args: list[str] | None = None) -> int:
     batch = load(a.config)
     batch.profile(a.profile)
     spark = SparkSession.builder.getOrCreate()
-    errors = preflight.config_errors(batch, a.stage)
+    errors = preflight.config_errors(batch, a.stage) + preflight.file_errors(spark, batch, a.stage)
     if not errors:
         given = lambda name, read: read(spark, batch.required_path(name)) if name in preflight.NEEDS[a.stage] else None
         offsets = given("sync_manifest", documents.manifest)
-        calibration = None if a.stage == "calibration-qa" else given("calibration_json", documents.calibration)
+        calibration = given("calibration_json", documents.calibration) if a.stage == "rectify" else None
         errors = [r.message for r in preflight.report(spark, batch, a.stage, a.scene, offsets, calibration).where("level = 'error'").orderBy("message").toLocalIterator()]
     for message in errors:
         print(f"[ERROR] {message}")
@@ -133,9 +127,9 @@ def main(args: list[str] | None = None) -> int:
         return 2
     if a.preflight_only:
         return 0
-    if a.stage not in RUN:
-        print(f"[ERROR] stage {a.stage} isn't implemented: nothing was checked beyond its inputs")
-        return 3
+    if a.dry_run and a.stage in WRITING:
+        print(f"stage {a.stage} writes files; its inputs are fine")
+        return 0
     if a.stage == "export-qa" and not batch.path("tracked_points"):
         print("[WARNING] no tracked points are configured: epipolar warnings aren't checked")
     tables = RUN[a.stage](spark, batch, a.scene, a.profile)
@@ -152,7 +146,8 @@ def main(args: list[str] | None = None) -> int:
         if status.isEmpty():
             print("[ERROR] no exported scene was found")
         return int(status.isEmpty() or not status.where("status = 'fail'").isEmpty())
-    return 0
+    bad = {"roi-qa": ("verdict", "status = 'fail'"), "calibration-qa": ("risks", "level = 'fail'")}.get(a.stage)
+    return int(bad is not None and not a.dry_run and not tables[bad[0]].where(bad[1]).isEmpty())
 
 
 if __name__ == "__main__":

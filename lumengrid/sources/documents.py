@@ -46,6 +46,14 @@ def rectification(spark: SparkSession, path: str) -> DataFrame:
     )
 
 
+def with_image_size(meta: DataFrame, maps: DataFrame) -> DataFrame:
+    """Rectification rows whose document doesn't tell the image's size take that of the first camera's map, and a version signed anew if they have none."""
+    first = maps.agg(F.min_by(F.array("w", "h"), "camera_id").alias("_size"))
+    rows = meta.join(F.broadcast(first), F.lit(True))
+    text = F.concat_ws("|", "schema_version", "master_camera", F.concat_ws(",", F.transform(F.coalesce("image_size", "_size"), lambda x: x.cast("string"))))
+    return rows.withColumns({"image_size": F.coalesce("image_size", "_size"), "asset_version": F.coalesce("asset_version", F.substring(F.sha2(text, 256), 1, 16))}).drop("_size")
+
+
 def region(spark: SparkSession, path: str) -> DataFrame:
     """Release regions with the defaults of older versions filled in; an unknown version fails the query."""
     d = _document(spark, path, SCHEMAS["roi"]).select("doc.*")
@@ -72,7 +80,8 @@ def offset_report(scored: DataFrame) -> DataFrame:
 
 
 def write_report(scored: DataFrame, path: str) -> None:
-    offset_report(scored).write.mode("overwrite").csv(path, header=True, emptyValue="", nullValue="")
+    """CSV files, each of which begins with a byte order mark."""
+    offset_report(scored).withColumnRenamed(REPORT[0], "\ufeff" + REPORT[0]).write.mode("overwrite").csv(path, header=True, emptyValue="", nullValue="")
 
 
 def write_documents(rows: DataFrame, path: str, by: list[str]) -> None:

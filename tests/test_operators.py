@@ -254,7 +254,11 @@ def test_stages(spark, tmp_path):
     assert stages.main(["--config", str(tmp_path / "b.yaml"), "--stage", "sync-qa", "--output", str(tmp_path / "out")]) == 0
     assert spark.read.parquet(str(tmp_path / "out" / "scores")).count() == 25
     assert stages.main(["--config", str(tmp_path / "b.yaml"), "--stage", "export"]) == 2
-    tasks = stages.export_plan(spark, batch)["tasks"]
+    offsets = documents.manifest(spark, batch.required_path("sync_manifest"))
+    wanted = segments.scene_segments(offsets.select("scene").distinct(), documents.time_segments(spark, batch.required_path("time_segments"), batch.time_key))
+    tasks = segments.with_phases(segments.export_tasks(wanted), offsets)
+    with pytest.raises(Exception, match="no phase offset"):
+        segments.with_phases(segments.export_tasks(wanted), offsets.where("camera_id <> 'CAM_B2'")).collect()
     assert tasks.count() == 50 and {r.export_scene for r in tasks.select("export_scene").distinct().collect()} == {"0001_seg01", "0001_seg02"}
     rows = tasks.withColumns({"map_file": F.lit("m"), "frame_count": F.lit(60), "width": F.lit(1920), "height": F.lit(1080), "time_key": F.lit("b")})
     views = provenance.view_metadata(rows, PROFILES["benchmark"], "b", {"rectification_asset_version": "1", "roi_asset_version": "2", "crop_policy_version": "3"})
@@ -306,7 +310,7 @@ def test_stages_end_with_an_error(spark, tmp_path):
     (tmp_path / "b.yaml").write_text(f"batch_id: b\ncamera: {{reference: CAM_C3, rows: [A, B, C, D, E], columns: [1, 2, 3, 4, 5]}}\npaths: {{sync_manifest: {tmp_path}/m.json, synced_root: {tmp_path}, raw_root: {tmp_path}}}\n")
     run = lambda *more: stages.main(["--config", str(tmp_path / "b.yaml"), *more])
     assert run("--stage", "sync-qa") == 2  # a camera is missing in the manifest
-    assert run("--stage", "calibrate") == 3 and run("--stage", "calibrate", "--preflight-only") == 0
+    assert run("--stage", "calibrate") == 2 and run("--stage", "roi-qa", "--preflight-only") == 2
 
 
 def test_streaming(spark, tmp_path):
