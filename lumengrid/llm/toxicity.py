@@ -291,8 +291,8 @@ def known_features(windows: list[tuple[list[str], list[int], bool]], marks: list
     return list(dict.fromkeys([*marks, *common[:FEATURES]]))
 
 
-def fit_crf(windows: list[tuple[list[str], list[int], bool]], known: list[str], passes: int = 2, rounds: int = 60, rate: float = 0.3, ridge: float = 1e-4, side_ridge: float = 3e-3) -> Model:
-    """Maximise the conditional likelihood by Adam on whole batches; between passes, the tokens of toxic documents get the label that the model finds likelier."""
+def fit_crf(windows: list[tuple[list[str], list[int], bool]], known: list[str], rounds: tuple[int, ...] = (40, 20), rate: float = 0.3, ridge: float = 1e-4, side_ridge: float = 3e-3) -> Model:
+    """Maximise the conditional likelihood by Adam on whole batches, in passes of so many rounds; between passes, the tokens of toxic documents get the label that the model finds likelier."""
     number = {f: i for i, f in enumerate(known)}
     n, k = len(windows), len(known)
     there, tags, toxic = np.zeros((n, WINDOW), dtype=bool), np.zeros((n, WINDOW), dtype=np.int64), np.array([w[2] for w in windows])
@@ -313,18 +313,18 @@ def fit_crf(windows: list[tuple[list[str], list[int], bool]], known: list[str],
     both = there[:, 1:]
     w = np.zeros(k + 7)
     w[k] = -4.0
-    for turn in range(passes):
+    for turn, steps in enumerate(rounds):
         seen = np.array([[((tags[:, :-1] == a) & (tags[:, 1:] == b) & both).sum() for b in (0, 1)] for a in (0, 1)], dtype=float)
         begin = np.array([(tags[:, 0] == 0).sum(), (tags[:, 0] == 1).sum()], dtype=float)
         m, v = np.zeros_like(w), np.zeros_like(w)
-        for r in range(1, rounds + 1):
+        for r in range(1, steps + 1):
             score = (w[k] + np.bincount(cells, weights=w[feats], minlength=n * WINDOW)).reshape(n, WINDOW)
             p, moved, _ = _forward_backward(np.stack([np.zeros_like(score), score], axis=-1), there, w[k + 1 : k + 5].reshape(2, 2), w[k + 5 :])
             miss = (tags - p) * there
             g = np.concatenate([np.bincount(feats, weights=miss.ravel()[cells], minlength=k) if k else np.empty(0), [miss.sum()], (seen - moved).ravel(), begin - np.array([(1 - p[:, 0]).sum(), p[:, 0].sum()])]) / n - pull * w
             m, v = 0.9 * m + 0.1 * g, 0.999 * v + 0.001 * g * g
             w = w + rate * (m / (1 - 0.9**r)) / (np.sqrt(v / (1 - 0.999**r)) + 1e-9)
-        if turn + 1 < passes:
+        if turn + 1 < len(rounds):
             tags = ((p >= 0.5) & toxic[:, None] & there).astype(np.int64)
     return Model({f: x for f, x in zip(known, w[:k].tolist()) if abs(x) > 1e-3}, float(w[k]), w[k + 1 : k + 5].reshape(2, 2).tolist(), w[k + 5 :].tolist())
 
