@@ -29,12 +29,11 @@ from itertools import chain
 
 import numpy as np
 import pyarrow as pa
-from pyspark import SparkFiles
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from tokenizers import Regex, Tokenizer, pre_tokenizers
 
-from .common import put, saved, table
+from .common import local_copy, put, saved, table
 
 #: The lexicon holds the words that make up at least this share of all word occurrences; so it never holds more than 1 / FREQUENT words, and the driver compiles as many at most.
 FREQUENT = 1 / (1 << 19)
@@ -355,22 +354,20 @@ def frequent_words(docs: DataFrame, path: str, share: float = FREQUENT) -> list[
 
 
 def lexicon_file(spark: SparkSession, frequent: list[str], path: str) -> str:
-    """Compile the words and hand the file to all executors; its name."""
+    """Compile the words to a file in the shared folder; its URI."""
     merger = _merger(path)
-    name = f"lexicon-{uuid.uuid4().hex}.bin"
-    spark.sparkContext.addFile(put(spark, name, compile_lexicon({w.encode(): merger.merge(w) for w in frequent})))
-    return name
+    return put(spark, f"lexicon-{uuid.uuid4().hex}.bin", compile_lexicon({w.encode(): merger.merge(w) for w in frequent}))
 
 
 def encoded(docs: DataFrame, path: str | None = None, frequent: float = FREQUENT, with_texts: bool = False) -> DataFrame:
     """One row per document: doc_id, n_tokens, ids_sha256, decoded_sha256; with_texts adds ids (array) and decoded."""
     path = path or default_path()
-    name = lexicon_file(docs.sparkSession, frequent_words(docs, path, frequent), path)
+    uri = lexicon_file(docs.sparkSession, frequent_words(docs, path, frequent), path)
     schema = "n_tokens long, ids_sha256 string, decoded_sha256 string" + ", ids array<int>, decoded string" * with_texts
 
     @F.arrow_udf(f"struct<{schema.replace(' long', ':long').replace(' string', ':string').replace(' array', ':array')}>")
     def run(columns: Iterator[pa.Array]) -> Iterator[pa.Array]:
-        encoder = _encoder(path, SparkFiles.get(name))
+        encoder = _encoder(path, local_copy(uri))
         for column in columns:
             n, ids, decoded, all_ids, all_decoded = [], [], [], [], []
             for at in range(0, len(column), 200):

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import os
+import shutil
 import tempfile
 import uuid
 from collections.abc import Iterator
@@ -9,6 +11,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 from pyarrow import fs
+from pyspark import SparkFiles
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -55,6 +58,20 @@ def put(spark: SparkSession, name: str, data: bytes) -> str:
     return path
 
 
+def local_copy(uri: str) -> str:
+    """In a task: a path by which a file that put() wrote can be mapped. Shared folders that are mounted are read in place; from other stores each executor fetches the file once. A new executor finds it too, unlike what SparkContext.addFile lists, which must never be deleted while the context lives."""
+    store, at = fs.FileSystem.from_uri(uri)
+    if isinstance(store, fs.LocalFileSystem):
+        return at
+    own = os.path.join(SparkFiles.getRootDirectory(), at.rpartition("/")[2])
+    if not os.path.exists(own):
+        part = f"{own}.{uuid.uuid4().hex}"
+        with store.open_input_stream(at, compression=None) as src, open(part, "wb") as out:
+            shutil.copyfileobj(src, out, 1 << 20)
+        os.replace(part, own)
+    return own
+
+
 def _remove(spark: SparkSession, paths: list[str]) -> None:
     for path in paths:
         at = spark._jvm.org.apache.hadoop.fs.Path(path)

@@ -32,11 +32,10 @@ from zlib import crc32
 
 import numpy as np
 import pyarrow as pa
-from pyspark import SparkFiles
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import as_bytes, free, matched, put, saved, table
+from .common import as_bytes, free, local_copy, matched, put, saved, table
 
 WINDOW = 13
 #: Bytes of the packed file of a set of patterns.
@@ -198,12 +197,11 @@ def pattern_sets(benchmark: DataFrame, most: int = MAX_PATTERN_BYTES) -> Iterato
 
 def _scanner(spark, packed: bytes):
     """A column function that scans texts for one packed set."""
-    name = f"patterns-{uuid.uuid4().hex}.bin"
-    spark.sparkContext.addFile(put(spark, name, packed))
+    uri = put(spark, f"patterns-{uuid.uuid4().hex}.bin", packed)
 
     @F.arrow_udf(_HITS)
     def scan(columns: Iterator[pa.Array]) -> Iterator[pa.Array]:
-        matcher = _mapped(SparkFiles.get(name))
+        matcher = _mapped(local_copy(uri))
         for column in columns:
             out = []
             for text in as_bytes(column):

@@ -86,24 +86,27 @@ def spread(n: int) -> list[tuple[int, int, int, int]]:
 
 
 def _forward_backward(emit: np.ndarray, there: np.ndarray, trans: np.ndarray, start: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """For sequences of label scores emit[n, t, 2], padded where not there[n, t]: marginals of label 1 [n, t], expected transitions [2, 2], log partition sums [n]."""
+    """For sequences of label scores emit[n, t, 2], padded where not there[n, t]: marginals of label 1 [n, t], expected transitions [2, 2], log partition sums [n]. Each step's probabilities are scaled to a sum of one, so nothing overflows, and no logarithm is taken on the way."""
     n, length, _ = emit.shape
-    a = np.empty((n, length, 2))
-    a[:, 0] = start + emit[:, 0]
-    for t in range(1, length):
-        s = a[:, t - 1, :, None] + trans
-        a[:, t] = np.where(there[:, t, None], np.logaddexp(s[:, 0], s[:, 1]) + emit[:, t], a[:, t - 1])
-    z = np.logaddexp(a[:, -1, 0], a[:, -1, 1])
-    b = np.zeros((n, 2))
+    top = emit.max(axis=2, keepdims=True)
+    e, move = np.exp(emit - top), np.exp(trans)
+    f, scale = np.empty((length, n, 2)), np.empty((length, n))
+    for t in range(length):
+        own = np.exp(start) * e[:, 0] if t == 0 else (f[t - 1] @ move) * e[:, t]
+        scale[t] = own.sum(axis=1)
+        f[t] = own / scale[t, :, None]
+        if t:
+            f[t], scale[t] = np.where(there[:, t, None], f[t], f[t - 1]), np.where(there[:, t], scale[t], 1.0)
+    z = np.log(scale).sum(axis=0) + (top[:, :, 0] * there).sum(axis=1)
+    b = np.ones((n, 2))
     marginal = np.empty((n, length))
     moved = np.zeros((2, 2))
     for t in range(length - 1, -1, -1):
-        marginal[:, t] = np.exp(a[:, t, 1] + b[:, 1] - z) * there[:, t]
+        marginal[:, t] = f[t, :, 1] * b[:, 1] * there[:, t]
         if t:
-            inner = (emit[:, t] + b)[:, None, :] + trans
-            pair = np.exp(a[:, t - 1, :, None] + inner - z[:, None, None]) * there[:, t, None, None]
-            moved += pair.sum(axis=0)
-            b = np.where(there[:, t, None], np.logaddexp(inner[:, :, 0], inner[:, :, 1]), b)
+            inner = e[:, t] * b * (there[:, t] / scale[t])[:, None]
+            moved += move * (f[t - 1].T @ inner)
+            b = np.where(there[:, t, None], inner @ move.T, b)
     return marginal, moved, z
 
 
@@ -291,40 +294,47 @@ def known_features(windows: list[tuple[list[str], list[int], bool]], marks: list
     return list(dict.fromkeys([*marks, *common[:FEATURES]]))
 
 
-def fit_crf(windows: list[tuple[list[str], list[int], bool]], known: list[str], rounds: tuple[int, ...] = (40, 20), rate: float = 0.3, ridge: float = 1e-4, side_ridge: float = 3e-3) -> Model:
-    """Maximise the conditional likelihood by Adam on whole batches, in passes of so many rounds; between passes, the tokens of toxic documents get the label that the model finds likelier."""
+def fit_crf(windows: list[tuple[list[str], list[int], bool]], known: list[str], passes: int = 2, rounds: int = 60, rate: float = 0.3, ridge: float = 1e-4, side_ridge: float = 3e-3) -> Model:
+    """Maximise the conditional likelihood by Adam on whole batches; between passes, the tokens of toxic documents get the label that the model finds likelier. Features are summed once for each distinct token, then looked up by its number."""
     number = {f: i for i, f in enumerate(known)}
     n, k = len(windows), len(known)
     there, tags, toxic = np.zeros((n, WINDOW), dtype=bool), np.zeros((n, WINDOW), dtype=np.int64), np.array([w[2] for w in windows])
-    cells, feats = [], []
-    own_ids: dict[str, list[int]] = {}
-    side_ids: dict[str, tuple] = {}
+    vocabulary: dict[str, int] = {}
+    at = np.zeros((n, WINDOW), dtype=np.int64)
     for i, (words, own, _) in enumerate(windows):
         there[i, : len(words)], tags[i, : len(own)] = True, own
-        for t, w in enumerate(words):
-            if w not in own_ids:
-                own_ids[w] = [number[f] for f in own_features(w) if f in number]
-                side_ids[w] = tuple(number.get(f) for f in side_features(w))
-            own_at = [*own_ids[w], *(x for x in (side_ids[words[t - 1]][0] if t else None, side_ids.setdefault(words[t + 1], tuple(number.get(f) for f in side_features(words[t + 1])))[1] if t + 1 < len(words) else None) if x is not None)]
-            feats += own_at
-            cells += [i * WINDOW + t] * len(own_at)
-    cells, feats = np.array(cells, dtype=np.int64), np.array(feats, dtype=np.int64)
+        at[i, : len(words)] = [vocabulary.setdefault(w, len(vocabulary)) for w in words]
+    size = len(vocabulary)
+    pairs = [(i, number[f]) for w, i in vocabulary.items() for f in own_features(w) if f in number]
+    word, feature = np.array(pairs, dtype=np.int64).reshape(-1, 2).T
+    sides = np.array([[number.get(f, -1) for f in side_features(w)] for w in vocabulary], dtype=np.int64).reshape(-1, 2).T
     pull = np.array([side_ridge if f[0] in "<>" else ridge for f in known] + [ridge] * 7)
     both = there[:, 1:]
     w = np.zeros(k + 7)
     w[k] = -4.0
-    for turn, steps in enumerate(rounds):
+    for turn in range(passes):
         seen = np.array([[((tags[:, :-1] == a) & (tags[:, 1:] == b) & both).sum() for b in (0, 1)] for a in (0, 1)], dtype=float)
         begin = np.array([(tags[:, 0] == 0).sum(), (tags[:, 0] == 1).sum()], dtype=float)
         m, v = np.zeros_like(w), np.zeros_like(w)
-        for r in range(1, steps + 1):
-            score = (w[k] + np.bincount(cells, weights=w[feats], minlength=n * WINDOW)).reshape(n, WINDOW)
+        for r in range(1, rounds + 1):
+            own = np.bincount(word, weights=w[feature], minlength=size)
+            after, before = (np.where(s >= 0, w[s], 0.0) for s in sides)
+            score = w[k] + own[at]
+            score[:, 1:] += after[at[:, :-1]]
+            score[:, :-1] += before[at[:, 1:]] * both
+            score *= there
             p, moved, _ = _forward_backward(np.stack([np.zeros_like(score), score], axis=-1), there, w[k + 1 : k + 5].reshape(2, 2), w[k + 5 :])
             miss = (tags - p) * there
-            g = np.concatenate([np.bincount(feats, weights=miss.ravel()[cells], minlength=k) if k else np.empty(0), [miss.sum()], (seen - moved).ravel(), begin - np.array([(1 - p[:, 0]).sum(), p[:, 0].sum()])]) / n - pull * w
+            by_word = lambda where, x: np.bincount(where.ravel(), weights=x.ravel(), minlength=size)
+            g = np.zeros_like(w)
+            g[:k] = np.bincount(feature, weights=by_word(at, miss)[word], minlength=k) if k else 0
+            for s, x in zip(sides, (by_word(at[:, :-1], miss[:, 1:]), by_word(at[:, 1:], miss[:, :-1] * both))):
+                g[s[s >= 0]] += x[s >= 0]
+            g[k:] = np.concatenate([[miss.sum()], (seen - moved).ravel(), begin - np.array([(1 - p[:, 0]).sum(), p[:, 0].sum()])])
+            g = g / n - pull * w
             m, v = 0.9 * m + 0.1 * g, 0.999 * v + 0.001 * g * g
             w = w + rate * (m / (1 - 0.9**r)) / (np.sqrt(v / (1 - 0.999**r)) + 1e-9)
-        if turn + 1 < len(rounds):
+        if turn + 1 < passes:
             tags = ((p >= 0.5) & toxic[:, None] & there).astype(np.int64)
     return Model({f: x for f, x in zip(known, w[:k].tolist()) if abs(x) > 1e-3}, float(w[k]), w[k + 1 : k + 5].reshape(2, 2).tolist(), w[k + 5 :].tolist())
 
