@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import corpus_pipeline
 
-from . import bpe, chat, decontaminate, exact_dedup, licenses, near_dedup, pii, quality, toxicity, warc
+from . import bpe, centroids, chat, decontaminate, exact_dedup, licenses, merkle, near_dedup, pii, quality, toxicity, warc
 
 
 def queries() -> dict:
@@ -19,9 +19,11 @@ def queries() -> dict:
         "op8_toxicity": toxicity.op8_toxicity,
         "op9_licenses": licenses.op9_licenses,
         "op10_near_dedup": near_dedup.op10_near_dedup,
+        "op12_merkle": merkle.op12_merkle,
+        "op13_centroids": centroids.op13_centroids,
         "pipeline": corpus_pipeline.run,
     }
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op1_warc": warc.SQL, "op3_exact_dedup": exact_dedup.SQL, "op4_chat": chat.SQL, "op7_decontamination": decontaminate.SQL, "op10_near_dedup": near_dedup.SQL}
+    return {"op1_warc": warc.SQL, "op3_exact_dedup": exact_dedup.SQL, "op4_chat": chat.SQL, "op7_decontamination": decontaminate.SQL, "op10_near_dedup": near_dedup.SQL, "op12_merkle": merkle.SQL, "op13_centroids": centroids.SQL}
