@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import corpus_pipeline
 
-from . import bpe, centroids, chat, decontaminate, exact_dedup, licenses, merkle, near_dedup, pii, quality, toxicity, warc
+from . import bpe, centroids, chat, decontaminate, exact_dedup, language, licenses, merkle, near_dedup, pii, quality, toxicity, warc
 
 
 def queries() -> dict:
@@ -19,6 +19,7 @@ def queries() -> dict:
         "op8_toxicity": toxicity.op8_toxicity,
         "op9_licenses": licenses.op9_licenses,
         "op10_near_dedup": near_dedup.op10_near_dedup,
+        "op11_language": language.op11_language,
         "op12_merkle": merkle.op12_merkle,
         "op13_centroids": centroids.op13_centroids,
         "pipeline": corpus_pipeline.run,
