@@ -25,32 +25,50 @@ def spread(df: DataFrame, value: str, by: str) -> DataFrame:
     return first.join(mad, by)
 
 
-#: Bounds by which quantiles() cuts a group's values.
-BOUNDS = 64
+#: Bounds by which a large group's values are cut. Groups of more distinct values than DISTINCT are large; a row for each of at most MANY large groups is broadcast.
+BOUNDS, DISTINCT, MANY = 64, 200_000, 10_000
 
 
 def quantiles(df: DataFrame, value: str, by: list[str], wanted: dict[str, float]) -> DataFrame:
-    """Exact interpolated quantiles per group (by..., names of `wanted`), for groups of any size.
+    """Exact interpolated quantiles per group (by..., names of `wanted`), for groups of any size; groups without a value have no row.
 
-    Values are counted first. Approximate quantiles cut each group's values into some BOUNDS ranges, the counts of which
-    tell exactly in which range a rank lies; only that range is ordered. So no task holds a group.
+    A first job estimates the numbers of distinct values and counts the large groups, mostly none. All others are one
+    aggregate, whose tasks count values where the rows lie.
     """
+    given = df.where(F.col(value).isNotNull())
+    large = given.groupBy(*by).agg(F.approx_count_distinct(value).alias("_d")).where(F.col("_d") > DISTINCT).select(*[F.col(b).alias(f"_l{i}") for i, b in enumerate(by)])
+    n = large.limit(MANY + 1).count()
+    if not n:
+        return _counted(given, value, by, wanted)
+    near = F.broadcast if n <= MANY else lambda few: few
+    same = [F.col(b).eqNullSafe(F.col(f"_l{i}")) for i, b in enumerate(by)]
+    small = _counted(given.join(near(large), same, "left_anti"), value, by, wanted)
+    return small.unionByName(_by_bounds(given.join(near(large), same, "left_semi"), value, by, wanted, near))
+
+
+def _counted(given: DataFrame, value: str, by: list[str], wanted: dict[str, float]) -> DataFrame:
+    out = given.groupBy(*by).agg(F.percentile(F.col(value).cast("double"), F.array(*map(F.lit, wanted.values()))).alias("_q"))
+    return out.select(*by, *[F.col("_q")[i].alias(name) for i, name in enumerate(wanted)])
+
+
+def _by_bounds(df: DataFrame, value: str, by: list[str], wanted: dict[str, float], near) -> DataFrame:
+    """Quantiles of large groups. Values are counted first. Approximate quantiles cut each group's values into some BOUNDS ranges, the counts of which tell exactly in which range a rank lies; only that range is ordered. So no task holds a group. near: how a row for each group is joined."""
     keys = [f"_k{i}" for i in range(len(by))]
-    counts = df.where(F.col(value).isNotNull()).groupBy(*[F.col(b).alias(k) for b, k in zip(by, keys)], F.col(value).cast("double").alias("_v")).agg(F.count(F.lit(1)).alias("_n"))
+    counts = df.groupBy(*[F.col(b).alias(k) for b, k in zip(by, keys)], F.col(value).cast("double").alias("_v")).agg(F.count(F.lit(1)).alias("_n"))
     bounds = counts.groupBy(*keys).agg(F.percentile_approx("_v", [i / BOUNDS for i in range(1, BOUNDS)], F.lit(1000)).alias("_b"), F.sum("_n").alias("_total"))
-    told = counts.join(F.broadcast(bounds.withColumnsRenamed({k: f"b{k}" for k in keys})), [F.col(k).eqNullSafe(F.col(f"b{k}")) for k in keys]).drop(*[f"b{k}" for k in keys])
+    told = counts.join(near(bounds.withColumnsRenamed({k: f"b{k}" for k in keys})), [F.col(k).eqNullSafe(F.col(f"b{k}")) for k in keys]).drop(*[f"b{k}" for k in keys])
     cut = told.withColumn("_r", F.size(F.filter("_b", lambda x: x < F.col("_v"))))
     sizes = cut.groupBy(*keys, "_r").agg(F.sum("_n").alias("_m"), F.first("_total").alias("_total"))
     before = F.coalesce(F.sum("_m").over(Window.partitionBy(*keys).orderBy("_r").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
     ask = F.explode(F.array(*[F.struct(F.lit(name).alias("name"), F.lit(end).alias("end"), (F.ceil if end else F.floor)((F.col("_total") - 1) * F.lit(q)).cast("long").alias("rank"), F.lit(q).alias("q")) for name, q in wanted.items() for end in (0, 1)])).alias("_a")
     asked = sizes.withColumn("_before", before).select(*keys, "_r", "_m", "_before", "_total", ask).where("_a.rank >= _before and _a.rank < _before + _m")
     asked = asked.groupBy(*keys, "_r").agg(F.first("_before").alias("_before"), F.collect_list("_a").alias("_a"))
-    here = cut.select(*keys, "_r", "_v", "_n").join(F.broadcast(asked.withColumnsRenamed({k: f"a{k}" for k in [*keys, "_r"]})), [F.col(k).eqNullSafe(F.col(f"a{k}")) for k in [*keys, "_r"]])
+    here = cut.select(*keys, "_r", "_v", "_n").join(near(asked.withColumnsRenamed({k: f"a{k}" for k in [*keys, "_r"]})), [F.col(k).eqNullSafe(F.col(f"a{k}")) for k in [*keys, "_r"]])
     upto = F.col("_before") + F.sum("_n").over(Window.partitionBy(*keys, "_r").orderBy("_v").rowsBetween(Window.unboundedPreceding, 0))
     found = here.withColumn("_upto", upto).select(*keys, "_v", "_n", "_upto", F.explode("_a").alias("_a")).where("_a.rank >= _upto - _n and _a.rank < _upto")
     at = lambda name, end: F.max(F.when((F.col("_a.name") == name) & (F.col("_a.end") == end), F.col("_v")))
     part = lambda name: F.max(F.when((F.col("_a.name") == name) & (F.col("_a.end") == 0), (F.col("_total") - 1) * F.col("_a.q") - F.col("_a.rank")))
-    found = found.join(F.broadcast(bounds.select(*[F.col(k).alias(f"t{k}") for k in keys], "_total")), [F.col(k).eqNullSafe(F.col(f"t{k}")) for k in keys])
+    found = found.join(near(bounds.select(*[F.col(k).alias(f"t{k}") for k in keys], "_total")), [F.col(k).eqNullSafe(F.col(f"t{k}")) for k in keys])
     out = found.groupBy(*keys).agg(*[(at(n, 0) + (at(n, 1) - at(n, 0)) * part(n)).alias(n) for n in wanted])
     return out.withColumnsRenamed(dict(zip(keys, by)))
 

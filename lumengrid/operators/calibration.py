@@ -20,6 +20,42 @@ def common_frames(detections: DataFrame, least: int = 5) -> DataFrame:
     return shared.groupBy("camera_id").agg(F.count(F.lit(1)).alias("n_common"), F.min("frame_index").alias("first_frame"), F.max("frame_index").alias("last_frame")).where(F.col("n_common") >= least)
 
 
+def _grid_vectors(corners: Column, columns: Column) -> tuple[Column, Column]:
+    """Unit vectors along a board's rows and columns, from flat corners [x, y, x, y, ...] row by row: mean steps, which are ends less beginnings. Null if either has no length."""
+    rows = (F.size(corners) / 2 / columns).cast("int")
+    at = lambda r, c, k: F.element_at(corners, ((r * columns + c) * 2 + k + 1).cast("int"))
+    total = lambda n, f: F.aggregate(F.sequence(F.lit(0), n - 1), F.lit(0.0), lambda s, i: s + f(i))
+    along = [total(rows, lambda r, k=k: at(r, columns - 1, k) - at(r, F.lit(0), k)) for k in (0, 1)]
+    down = [total(columns, lambda c, k=k: at(rows - 1, c, k) - at(F.lit(0), c, k)) for k in (0, 1)]
+    size = lambda v: F.sqrt(v[0] * v[0] + v[1] * v[1])
+    unit = lambda v, n: F.when(size(v) / n >= 1e-8, F.array(v[0] / size(v), v[1] / size(v)))
+    return unit(along, rows * (columns - 1)), unit(down, columns * (rows - 1))
+
+
+def described(found: DataFrame) -> DataFrame:
+    """Corner lists (camera_id, frame_index, board, corners; flat, row by row) to detections: detected, reason, centre, area of the box around the corners, and how well the board's best orientation agrees with the reference camera's first one (two unit vectors, so at most 2). Corners that are null couldn't be read; an empty list has no board."""
+    c, n = F.col("corners"), F.size("corners")
+    columns = F.size(F.filter("board", lambda x, i: (i % 2 == 1) & (x == F.col("board")[1])))
+    part = lambda k: F.filter(c, lambda x, i: i % 2 == k)
+    shape = found.withColumn("_columns", columns)
+    x, y = _grid_vectors(c, F.col("_columns"))
+    grid = (n > 0) & (F.col("_columns") > 1) & (n > 2 * F.col("_columns"))
+    rows = shape.withColumns({"_x": F.when(grid, x), "_y": F.when(grid, y), "_square": n == 2 * F.col("_columns") * F.col("_columns")})
+    ref = rows.where((F.col("camera_id") == REFERENCE) & F.col("_x").isNotNull() & F.col("_y").isNotNull()).orderBy("frame_index").limit(1).select(F.col("_x").alias("_rx"), F.col("_y").alias("_ry"))
+    rows = rows.join(F.broadcast(ref), F.lit(True), "left")  # one row
+    dot2 = lambda a, b: a[0] * b[0] + a[1] * b[1]
+    xx, xy, yx, yy = (dot2(F.col(a), F.col(b)) for a in ("_x", "_y") for b in ("_rx", "_ry"))
+    straight = [xx + yy, -xx - yy, yy - xx, xx - yy]  # turned by 0 and 180 degrees, and mirrored
+    turned = [yx - xy, xy - yx, yx + xy, -yx - xy]  # by 90 and 270 degrees: only a square board has these
+    score = F.greatest(F.array_max(F.array(*straight)), F.when(F.col("_square"), F.array_max(F.array(*turned))))
+    reason = F.when(c.isNull(), "read_failed").when(n == 0, "checkerboard_not_found").when(F.col("_x").isNull() | F.col("_y").isNull(), "orientation_align_failed")
+    rows = rows.withColumn("reason", reason)
+    good = F.col("reason").isNull()
+    mean = lambda k: F.when(good, F.aggregate(part(k), F.lit(0.0), lambda s, v: s + v) / (n / 2))
+    extent = lambda k: F.array_max(part(k)) - F.array_min(part(k))
+    return rows.select("camera_id", "frame_index", good.alias("detected"), "reason", mean(0).alias("cx"), mean(1).alias("cy"), F.when(good, extent(0) * extent(1)).alias("area"), F.when(good, score).alias("score"))
+
+
 def detection_summary(detections: DataFrame, expected: DataFrame | None = None) -> DataFrame:
     """Per camera: sampled and detected frames, their rate, and ranges of centre, area and score. Cameras of `expected` without a row appear with 0."""
     d = F.col("detected")
@@ -47,12 +83,15 @@ def worst_frames(frames: DataFrame, n: int = 5) -> DataFrame:
 
 
 def residual_summary(residuals: DataFrame) -> DataFrame:
-    """(mode, camera_id, residual) to statistics per mode and camera, and per mode (camera null). Quantiles are selected by counts, so that no task holds a mode."""
-    both = residuals.select("mode", F.explode(F.array(F.col("camera_id"), F.lit(None).cast("string"))).alias("camera_id"), "residual")
-    own = both.groupBy("mode", "camera_id").agg(F.count("residual").alias("n"), F.max("residual").alias("max")).alias("o")
-    q = stats.quantiles(both, "residual", ["mode", "camera_id"], {"median": 0.5, "p95": 0.95}).alias("q")
-    same = F.col("o.mode").eqNullSafe(F.col("q.mode")) & F.col("o.camera_id").eqNullSafe(F.col("q.camera_id"))
-    return own.join(q, same, "left").select("o.mode", "o.camera_id", "n", "median", "p95", "max")
+    """(mode, camera_id, residual) to statistics per mode and camera, and per mode (camera null)."""
+
+    def of(by: list[str]) -> DataFrame:
+        own = residuals.groupBy(*by).agg(F.count("residual").alias("n"), F.max("residual").alias("max")).alias("o")
+        q = stats.quantiles(residuals, "residual", by, {"median": 0.5, "p95": 0.95}).alias("q")
+        same = [F.col(f"o.{b}").eqNullSafe(F.col(f"q.{b}")) for b in by]
+        return own.join(q, same, "left").select("o.mode", *(["o.camera_id"] if len(by) > 1 else [F.lit(None).cast("string").alias("camera_id")]), "n", "median", "p95", "max")
+
+    return of(["mode", "camera_id"]).unionByName(of(["mode"]))
 
 
 def rotation_mode(direct_p95: Column, inverse_p95: Column) -> Column:

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -117,6 +119,26 @@ def adaptive(samples: DataFrame, plan_first: DataFrame, plan_more: DataFrame, li
     return first.join(odd, "scene", "left_anti").withColumn("upgraded", F.lit(False)).unionByName(again.withColumn("upgraded", F.lit(True)))
 
 
+def adaptive_in_phases(read: Callable[[DataFrame], DataFrame], views: DataFrame, keep: Callable[[DataFrame, str], DataFrame], limits: Limits = LIMITS) -> tuple[DataFrame, DataFrame]:
+    """The samples that adaptive() takes, where frames are read on demand, and the frames (scene, camera_id, frame_index) that were asked for and not got.
+
+    read: a plan to the border figures of its frames; keep: writes a table, so that the first phase is over before the
+    second begins. The second phase asks only for what its scenes lack: frames of the larger plan that the first phase
+    didn't read, of scenes that it found suspicious.
+    """
+    keys = ["scene", "camera_id", "frame_index"]
+    early = sampling_plan(views, limits.samples).select(*views.columns, "frame_index")
+    first = keep(read(early), "samples-first")
+    odd = keep(border_flags(first, limits).where(F.col("blocking") | F.col("near_warning") | (F.col("near_ratio") > limits.near_ratio)).select("scene").distinct(), "samples-odd")
+    full = sampling_plan(views.join(odd, "scene", "left_semi"), limits.upgraded_samples).select(*views.columns, "frame_index")
+    late = full.join(first.select(*keys), keys, "left_anti").join(early.select(*keys), keys, "left_anti")
+    second = keep(read(late), "samples-second")
+    again = first.join(full.select(*keys), keys, "left_semi").unionByName(second)
+    taken = first.join(odd, "scene", "left_anti").withColumn("upgraded", F.lit(False)).unionByName(again.withColumn("upgraded", F.lit(True)))
+    lost = early.select(*keys).unionByName(late.select(*keys)).join(first.select(*keys).unionByName(second.select(*keys)), keys, "left_anti")
+    return taken, lost
+
+
 def worst_samples(samples: DataFrame, n: int = 10, limits: Limits = LIMITS) -> DataFrame:
     """The n worst samples of each scene: blocking, near warning, black and near ratio, all falling; ties by camera and frame. Window top-k prunes rows before the shuffle."""
     w = Window.partitionBy("scene").orderBy(F.desc("blocking"), F.desc("near_warning"), F.desc("black_ratio"), F.desc("near_ratio"), "camera_id", "frame_index")
@@ -151,7 +173,7 @@ def with_reference_frames(frames: DataFrame, value: str) -> DataFrame:
 
 
 def residual_stats(points: DataFrame, keys: list[str], least: int = 10) -> DataFrame:
-    """Tracked points (keys..., residual) to count and mean, p95, max; null with fewer than `least` points. The quantile is selected by counts, so a group may hold any number of points."""
+    """Tracked points (keys..., residual) to count and mean, p95, max; null with fewer than `least` points. A group may hold any number of points."""
     n = F.count("residual")
     given = lambda c: F.when(n >= least, c)
     own = points.groupBy(*keys).agg(n.alias("n"), given(F.avg("residual")).alias("mean"), given(F.max("residual")).alias("max"))

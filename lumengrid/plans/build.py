@@ -8,6 +8,8 @@ Video decoding and encoding and corner detection need libraries that are not her
 from __future__ import annotations
 
 import json
+import uuid
+from dataclasses import replace
 from datetime import datetime, timezone
 
 import numpy as np
@@ -17,7 +19,7 @@ from pyspark.sql import functions as F
 from ..functions import media
 from ..model import REFERENCE, SCHEMAS, Profile
 from ..operators import calibration, export_qa, frames, provenance, roi, segments, solvers, sync
-from ..sources import documents, files
+from ..sources import documents, exports, files
 from ..sources import media as sources
 from .config import Batch, lookup
 
@@ -39,7 +41,7 @@ def sync_clip(spark: SparkSession, batch: Batch, scene: str | None = None, profi
     out = {"clips": clips.select("video", "camera_id", "frame", "cut", "phase_error_ms", "common_duration"), "sidecars": sidecars}
     if batch.path("synced_root"):
         encode = lambda r: (r["name"] + ".json", json.dumps({k: v for k, v in r.items() if k != "name"}, indent=4, ensure_ascii=False).encode())
-        out["sidecar_files"] = files.write_files(sidecars, batch.path("synced_root"), encode, ["camera"])
+        out["sidecar_files"] = files.written(files.write_files(sidecars, batch.path("synced_root"), encode, ["camera"]), "sidecars")  # all are written now, whatever is shown of them
     return out
 
 
@@ -71,8 +73,7 @@ def calibration_qa(spark: SparkSession, batch: Batch, scene: str | None = None,
     """Detections, reprojection errors, rectified residuals for both rotation modes, distortion and risks."""
     found = spark.read.parquet(batch.required_path("detections"))
     told = documents.calibration(spark, batch.required_path("calibration_json"))
-    rows = found.withColumns({"detected": F.size("corners") > 0, "cx": F.expr("aggregate(filter(corners, (x, i) -> i % 2 = 0), 0D, (s, x) -> s + x) / (size(corners) / 2)"), "cy": F.expr("aggregate(filter(corners, (x, i) -> i % 2 = 1), 0D, (s, x) -> s + x) / (size(corners) / 2)"), "area": F.lit(0.0), "score": F.lit(0.0)})
-    summary = calibration.detection_summary(rows)
+    summary = calibration.detection_summary(calibration.described(found), told)  # the calibration's cameras are expected, so an absent one is a risk
     solved = told.select("camera_id", F.col("K")[0][0].alias("fx"), F.col("K")[1][1].alias("fy"), F.col("K")[0][2].alias("cx"), F.col("K")[1][2].alias("cy"), F.lit("ok").alias("status"))
     boards = solvers.poses(found.where(F.size("corners") > 0), solved).cache()
     mono = calibration.mono_summary(boards)
@@ -180,10 +181,9 @@ def roi_qa(spark: SparkSession, batch: Batch, scene: str | None = None, profile:
 
 
 def export(spark: SparkSession, batch: Batch, scene: str | None = None, profile: str | None = None) -> Tables:
-    """Frames of all segments through the maps to files, then the views' documents, and, once every view is verified, the scenes' documents: a scene with metadata.json is complete. Complete scenes are left alone; a partial one is an error. Profiles of JPEG need another encoder, so frames are written as PNG of the profile's depth."""
-    from .stages import exported_files
-
+    """Frames of all segments through the maps to files, then the views' documents, and, once every view is verified, the scenes' documents: a scene with metadata.json is complete. Frames go through the sink of two phases, so a job that fails leaves no scene; what an earlier one left half published is undone first. Complete scenes are left alone; another partial one is an error. Profiles of JPEG need another encoder, so frames are written, and described, as PNG of the profile's depth."""
     own = batch.profile(profile)
+    own = replace(own, image_format="png", jpeg_quality=None, png_compression=own.png_compression or 1)  # what is written, and what the documents tell
     lut_path = batch.path("lut")
     if own.color_standardised and not (lut_path and files.exists(spark, lut_path)):
         raise ValueError(f"profile {own.name} needs a colour table; there is none at {lut_path}")
@@ -202,9 +202,11 @@ def export(spark: SparkSession, batch: Batch, scene: str | None = None, profile:
     wanted = segments.scene_segments(offsets.select("scene").distinct(), documents.time_segments(spark, batch.required_path("time_segments"), batch.time_key))
     wanted = wanted.where(F.col("scene") == scene) if scene else wanted
     tasks = segments.with_phases(segments.export_tasks(wanted), offsets)
+    exports.recover(spark, folder)
     if files.exists(spark, folder):
-        inventory, _, lacking = exported_files(spark, folder)
-        told = inventory.select("scene").distinct().join(lacking.withColumn("_l", F.lit(True)), "scene", "left").select("scene", F.col("_l").isNull().alias("has_metadata"))
+        listed = files.written(exports.listing(spark, folder), "listing")
+        inventory = exports.inventory(listed)
+        told = inventory.select("scene").distinct().join(exports.lacking(listed).withColumn("_l", F.lit(True)), "scene", "left").select("scene", F.col("_l").isNull().alias("has_metadata"))
         state = segments.keep_incomplete(tasks.select(F.col("export_scene").alias("scene"), "camera_id"), inventory, told)
         torn = [r.scene for r in state.where("export_state = 'partial'").select("scene").distinct().orderBy("scene").limit(20).collect()]
         if torn:
@@ -219,27 +221,31 @@ def export(spark: SparkSession, batch: Batch, scene: str | None = None, profile:
     made = frames.export(hit, maps, common, cut, own, table)
     if own.resize:
         made = provenance.require(made, (F.col("w") == own.resize[0]) & (F.col("h") == own.resize[1]), f"{own.name} frames must be {own.resize}")
-
-    def encode(r: dict) -> tuple[str, bytes]:
-        image = np.frombuffer(r["data"], dtype="<u2" if own.bit_depth == 16 else np.uint8).reshape(r["h"], r["w"], 3)
-        return f"{r['scene']}/{r['frame_index']:06d}.png", sources.png(image, own.png_compression or 1)
-
-    written = files.write_files(made, folder, encode, ["scene", "camera_id", "frame_index", "h", "w"])
-    counted = written.groupBy("scene", "camera_id").agg(F.count(F.lit(1)).cast("int").alias("frame_count"), F.max("w").alias("width"), F.max("h").alias("height"))
-    counted = spark.createDataFrame(counted.toPandas(), counted.schema)  # runs the writing once; a row for each view that is exported now
-    views = tasks.withColumn("_at", F.concat_ws("/", "export_scene", "view_id")).join(counted.withColumnRenamed("scene", "_at"), ["_at", "camera_id"], "left")
+    place = F.split("scene", "/")
+    numbered = made.select(place[0].alias("scene"), place[1].alias("view_id"), F.col("frame_index").alias("number"), "h", "w", "data")
+    job = f"{run_id(own.name, scene or 'all', batch.batch_id)}-{uuid.uuid4().hex[:8]}"
+    won = exports.write_frames(numbered, folder, job, own.bit_depth, own.png_compression)
+    counted = won.groupBy(F.col("scene").alias("export_scene"), "view_id").agg(F.sum("n").cast("int").alias("frame_count"), F.max("width").alias("width"), F.max("height").alias("height"))
+    views = tasks.join(counted, ["export_scene", "view_id"], "left")
     views = provenance.require(views, F.coalesce(F.col("frame_count"), F.lit(0)) > 0, "a view has no frames in its segment").withColumn("time_key", F.lit(batch.time_key))
     views = views.join(F.broadcast(rectification.select("camera_id", "map_file")), "camera_id")
     versions = {"rectification_asset_version": region.rectification_asset_version, "roi_asset_version": region.roi_asset_version, "crop_policy_version": region.crop_policy_version}
-    documents_ = provenance.view_metadata(views, own, batch.batch_id, versions).cache()
-    tell = lambda r: json.dumps({k: v for k, v in r.items() if k != "export_scene"}, indent=4, ensure_ascii=False).encode()
-    files.write_files(documents_, folder, lambda r: (f"{r['export_scene']}/{r['view_id']}/view_metadata.json", tell(r)), ["export_scene", "camera_id"]).count()
-    checked = provenance.require(export_qa.verified(documents_), F.col("ok"), "the views of a scene differ in size or number of frames, or some are absent")
     region_row = documents.region(spark, batch.required_path("roi_metadata"))
     run = {"run_id": run_id(own.name, scene or "all", batch.batch_id)}
-    scenes = provenance.sequence_metadata(documents_.join(checked.select("export_scene"), "export_scene", "left_semi"), own, batch.batch_id, batch.fps, region_row, lut, batch.path("sync_manifest"), run)
-    last = files.write_files(scenes, folder, lambda r: (f"{r['export_scene']}/metadata.json", json.dumps({**r, "phase_offset_ms": dict(r["phase_offset_ms"])}, indent=4, ensure_ascii=False).encode()), ["export_scene"])
-    last = spark.createDataFrame(last.toPandas(), last.schema)
+    tell = lambda r: json.dumps({k: v for k, v in r.items() if k != "export_scene"}, indent=4, ensure_ascii=False).encode()
+    try:  # all documents are made, and all checks pass, before anything is published
+        documents_ = files.written(provenance.view_metadata(views, own, batch.batch_id, versions), "views")
+        fit = provenance.require(export_qa.verified(documents_), F.col("ok"), "the views of a scene differ in size or number of frames, or some are absent")
+        scenes = provenance.sequence_metadata(documents_.join(fit.select("export_scene"), "export_scene", "left_semi"), own, batch.batch_id, batch.fps, region_row, lut, batch.path("sync_manifest"), run)
+        scenes = files.written(scenes, "scenes")
+        published = files.written(exports.publish(folder, job, won), "published")
+        files.write_files(documents_, folder, lambda r: (f"{r['export_scene']}/{r['view_id']}/view_metadata.json", tell(r)), ["export_scene", "camera_id"]).count()
+        exports.settle(folder, published)
+        last = files.written(files.write_files(scenes, folder, lambda r: (f"{r['export_scene']}/metadata.json", json.dumps({**r, "phase_offset_ms": dict(r["phase_offset_ms"])}, indent=4, ensure_ascii=False).encode()), ["export_scene"]), "told")
+    except Exception:
+        exports.recover(spark, folder)
+        raise
+    exports.drop(f"{folder}/{exports.PARTS}")
     return {"tasks": tasks, "views": documents_.drop("segment"), "scenes": last}
 
 

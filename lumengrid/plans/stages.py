@@ -7,9 +7,8 @@ import argparse
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions.media import camera_of
 from ..operators import export_qa, frames, sync
-from ..sources import documents, media
+from ..sources import documents, exports, files
 from . import build, preflight
 from .config import Batch, load
 
@@ -19,21 +18,36 @@ def sync_qa(spark: SparkSession, batch: Batch, scene: str | None = None, profile
     return {"flagged": sync.flagged(offsets), "missing": sync.missing(offsets), "cameras": sync.camera_stats(offsets), "scores": documents.offset_report(sync.scored(offsets))}
 
 
-def export_check(inventory: DataFrame, images: DataFrame, batch: Batch, points: DataFrame | None = None, faults: DataFrame | None = None) -> dict[str, DataFrame]:
-    """Structure, sampled borders and status of exported scenes, from their inventory and their frames; with tracked points (scene, camera_id, frame_index, residual) also epipolar warnings; `faults` are further ones (scene, fault)."""
-    limits = batch.limits
-    whole = export_qa.full_inventory(inventory)
-    scenes = export_qa.structure(whole)
-    if faults is not None:
-        more = faults.groupBy("scene").agg(F.array_join(F.array_sort(F.collect_set("fault")), ",").alias("other_faults"), F.countDistinct("fault").cast("int").alias("_n"))
-        scenes = scenes.join(more, "scene", "left").fillna({"other_faults": "", "_n": 0}).withColumn("n_errors", F.col("n_errors") + F.col("_n")).drop("_n")
+def border_figures(images: DataFrame, limits, keep=lambda df, name: df) -> DataFrame:
+    """The border figures of each frame: mean dark shares of its edges, longest runs of dark lines. Pixels are looked at once, where `keep` writes the lines' shares."""
     keys = ["scene", "camera_id", "frame_index"]
-    lines = frames.border_lines(images, limits.black, limits.near_black, limits.band_px)
+    lines = keep(frames.border_lines(images, limits.black, limits.near_black, limits.band_px), "border-lines")
     strip = lambda c, name: export_qa.strip_stats(lines.withColumn("ratio", F.col(c)), [*keys, "edge"], limits).groupBy(*keys).agg(F.max("longest_run").alias(name))
     rim = lines.where(F.when(F.col("edge").isin("top", "left"), F.col("line") == 0).otherwise(F.col("line") == limits.band_px - 1))
-    samples = export_qa.overall_ratios(rim, keys).join(strip("black_ratio", "black_run"), keys).join(strip("near_ratio", "near_run"), keys)
+    return export_qa.overall_ratios(rim, keys).join(strip("black_ratio", "black_run"), keys).join(strip("near_ratio", "near_run"), keys)
+
+
+def export_check(inventory: DataFrame, images: DataFrame, batch: Batch, points: DataFrame | None = None, faults: DataFrame | None = None) -> dict[str, DataFrame]:
+    """Structure, sampled borders and status of exported scenes, from their inventory and a table of their frames. Further arguments as in checked()."""
+    limits = batch.limits
+    whole = export_qa.full_inventory(inventory)
     views = whole.where("frame_files > 0").select("scene", "camera_id", "frame_files")
-    taken = export_qa.adaptive(samples, export_qa.sampling_plan(views, limits.samples), export_qa.sampling_plan(views, limits.upgraded_samples), limits)
+    taken = export_qa.adaptive(border_figures(images, limits), export_qa.sampling_plan(views, limits.samples), export_qa.sampling_plan(views, limits.upgraded_samples), limits)
+    return checked(scene_faults(whole, faults), taken, batch, points)
+
+
+def scene_faults(whole: DataFrame, faults: DataFrame | None = None) -> DataFrame:
+    """Structure of each scene, with further faults (scene, fault)."""
+    scenes = export_qa.structure(whole)
+    if faults is None:
+        return scenes
+    more = faults.groupBy("scene").agg(F.array_join(F.array_sort(F.collect_set("fault")), ",").alias("other_faults"), F.countDistinct("fault").cast("int").alias("_n"))
+    return scenes.join(more, "scene", "left").fillna({"other_faults": "", "_n": 0}).withColumn("n_errors", F.col("n_errors") + F.col("_n")).drop("_n")
+
+
+def checked(scenes: DataFrame, taken: DataFrame, batch: Batch, points: DataFrame | None = None) -> dict[str, DataFrame]:
+    """Status and summaries of scenes from their structure and the samples taken; with tracked points (scene, camera_id, frame_index, residual) also epipolar warnings."""
+    limits, keys = batch.limits, ["scene", "camera_id", "frame_index"]
     if points is None:
         odd = scenes.where("false")
     else:
@@ -43,61 +57,32 @@ def export_check(inventory: DataFrame, images: DataFrame, batch: Batch, points:
     return {"summary": export_qa.batch_summary(status, taken), "structure": scenes, "samples": taken, **({} if points is None else {"epipolar": odd}), "status": status, "counts": export_qa.status_counts(status), "worst": export_qa.worst_of_batch(export_qa.worst_samples(taken, limits=limits))}
 
 
-def _found(spark: SparkSession, pattern: str, folders: bool = False) -> list[str]:
-    """Paths that match, or only folders; markers with a leading dot too, which Spark's readers leave out."""
-    path = spark._jvm.org.apache.hadoop.fs.Path(pattern)
-    found = path.getFileSystem(spark._jsc.hadoopConfiguration()).globStatus(path)
-    return [f.getPath().toUri().getPath() for f in found or [] if f.isDirectory() or not folders]
-
-
-def exported_files(spark: SparkSession, root: str, scene: str | None = None) -> tuple[DataFrame, DataFrame, DataFrame]:
-    """Inventory (a row for each view of each scene folder), frames that can be read, and scenes without metadata, of the folder .../scene/view_00/*.jpg."""
-    at = lambda paths, n: {tuple(p.split("/")[-n:]) for p in paths}
-    views, marks = at(_found(spark, f"{root}/*/view_*", True), 2), at(_found(spark, f"{root}/*/view_*/.in_progress"), 3)
-    told = {s for s, _ in at(_found(spark, f"{root}/*/metadata.json"), 2)}
-    scenes = {scene} if scene else {s for s, in at(_found(spark, f"{root}/*", True), 1)}
-    rows = [(s, i, (s, f"view_{i:02d}") in views, (s, f"view_{i:02d}", ".in_progress") in marks) for s in sorted(scenes) for i in range(25)]
-    grid = spark.createDataFrame(rows, "scene string, view_index int, dir_exists boolean, in_progress boolean")
-    grid = grid.select("scene", F.format_string("view_%02d", "view_index").alias("view_id"), camera_of(F.col("view_index")).alias("camera_id"), "dir_exists", "in_progress")
-
-    parts = F.split(F.col("_metadata.file_path"), "/")
-    told_views = spark.read.option("recursiveFileLookup", True).option("pathGlobFilter", "view_metadata.json").text(root, wholetext=True)
-    size = F.from_json("value", "output_resolution array<int>")["output_resolution"]
-    told_views = told_views.select(F.element_at(parts, -3).alias("scene"), F.element_at(parts, -2).alias("view_id"), size[0].alias("width"), size[1].alias("height"), F.lit(True).alias("has_view_metadata"))
-    files = media.frame_files(media.listing(spark, root))
-    counts = files.groupBy("scene", "view_id").agg(F.count(F.lit(1)).cast("int").alias("frame_files"))
-    inventory = grid.join(told_views, ["scene", "view_id"], "left").join(counts, ["scene", "view_id"], "left").fillna({"has_view_metadata": False, "frame_files": 0})
-
-    places = files.join(F.broadcast(grid.select("scene", "view_id", "camera_id")), ["scene", "view_id"]).select("scene", "view_id", "name", "camera_id", (F.col("place") - 1).cast("int").alias("frame_index"))
-    if views:
-        parts = F.split("path", "/")
-        read = media.images(spark, f"{root}/*/view_*").where(r"lower(path) rlike '\\.(jpg|png)$' and h > 0")
-        images = read.select(F.element_at(parts, -3).alias("scene"), F.element_at(parts, -2).alias("view_id"), F.element_at(parts, -1).alias("name"), "h", "w", "data").join(places, ["scene", "view_id", "name"])
-    else:
-        images = places.where("false").selectExpr("*", "0 as h", "0 as w", "cast(null as binary) as data")
-    faults = spark.createDataFrame([(s, "missing_metadata") for s in sorted(scenes - told)], "scene string, fault string")
-    return inventory.drop("view_id"), images.select("scene", "camera_id", "frame_index", "h", "w", "data"), faults
-
-
 def export_qa_stage(spark: SparkSession, batch: Batch, scene: str | None = None, profile: str | None = None) -> dict[str, DataFrame]:
-    """Checks of all scenes of a profile's folder. Sampled frames that can't be read are a fault; tracked points come from paths.tracked_points (Parquet), if configured."""
+    """Checks of all scenes of a profile's folder, in two phases: few frames of each view are opened, more only in scenes that these make suspicious; scenes with a structural fault aren't sampled. Frames that were asked for and can't be read are a fault; tracked points come from paths.tracked_points (Parquet), if configured."""
     name = batch.profile(profile).name
     root, own = batch.output_root(name)
-    inventory, images, faults = exported_files(spark, root if own else f"{root}/{name}", scene)
-    keys, limits = ["scene", "camera_id", "frame_index"], batch.limits
-    views = inventory.where("dir_exists and frame_files > 0").select("scene", "camera_id", "frame_files")
-    planned = export_qa.sampling_plan(views, limits.samples).union(export_qa.sampling_plan(views, limits.upgraded_samples)).select(*keys).distinct()
-    images = images.join(planned, keys, "left_semi")
-    lost = planned.join(images.select(*keys), keys, "left_anti").select("scene", F.lit("unreadable_frames").alias("fault")).distinct()
+    root, limits, keys = root if own else f"{root}/{name}", batch.limits, ["scene", "camera_id", "frame_index"]
+    listed = files.written(exports.listing(spark, root, scene), "listing")
+    whole, lacking = exports.inventory(listed), exports.lacking(listed)
+    sound = scene_faults(whole, lacking).where("n_errors = 0").select("scene")
+    views = files.written(whole.where("frame_files > 0").join(sound, "scene", "left_semi").select("scene", "camera_id", "frame_files"), "views")
+    names = exports.frame_names(listed)
+
+    def read(plan: DataFrame) -> DataFrame:
+        images = exports.opened(spark, root, plan.join(names, keys)).where("reason is null")
+        return border_figures(images, limits, files.written)
+
+    taken, lost = export_qa.adaptive_in_phases(read, views, files.written, limits)
+    lost = lost.select("scene", F.lit("unreadable_frames").alias("fault")).distinct()
     given = batch.path("tracked_points")
-    return export_check(inventory, images, batch, spark.read.parquet(given) if given else None, faults.union(lost))
+    return checked(scene_faults(whole, lacking.unionByName(lost)), taken, batch, spark.read.parquet(given) if given else None)
 
 
 RUN = {"sync-qa": sync_qa, "sync-clip": build.sync_clip, "calibrate": build.calibrate, "calibration-qa": build.calibration_qa, "rectify": build.rectify, "roi": build.release_region, "roi-qa": build.roi_qa, "export": build.export, "export-qa": export_qa_stage}
 
 
 #: Stages that write their files while they run.
-WRITING = {"calibrate", "rectify", "roi", "export"}
+WRITING = {"sync-clip", "calibrate", "rectify", "roi", "export"}
 
 
 def main(args: list[str] | None = None) -> int:
@@ -133,6 +118,14 @@ def main(args: list[str] | None = None) -> int:
     if a.stage == "export-qa" and not batch.path("tracked_points"):
         print("[WARNING] no tracked points are configured: epipolar warnings aren't checked")
     tables = RUN[a.stage](spark, batch, a.scene, a.profile)
+    try:
+        return finish(spark, a, batch, tables)
+    finally:
+        files.clear(spark)
+
+
+def finish(spark: SparkSession, a: argparse.Namespace, batch: Batch, tables: dict[str, DataFrame]) -> int:
+    """Write, show or explain a stage's tables; its exit code."""
     for name, df in tables.items():
         if a.dry_run:
             df.explain("formatted")

@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import io
 import json
+import tempfile
+import uuid
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -39,12 +41,40 @@ def write_json(spark: SparkSession, path: str, document, backup: bool = False) -
     out.close()
 
 
-def _target(folder: str) -> tuple[fs.FileSystem, str]:
+#: Tables that written() made in this process.
+_MADE: list[str] = []
+
+
+def written(df: DataFrame, name: str) -> DataFrame:
+    """df, written to the folder that all executors share (spark.checkpoint.dir; a temporary one in local mode if unset) and read back: computed once, and not again when an executor is lost. clear() deletes it."""
+    spark = df.sparkSession
+    sc = spark.sparkContext
+    shared = sc.getConf().get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
+    if not shared:
+        if not sc.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
+        shared = "file://" + tempfile.mkdtemp(prefix="spark-shared-")
+        sc.setCheckpointDir(shared)
+    path = f"{shared.rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    _MADE.append(path)
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
+
+
+def clear(spark: SparkSession) -> None:
+    """Delete what written() made; for when results have been written or shown."""
+    while _MADE:
+        store, p = _at(spark, _MADE.pop())
+        store.delete(p, True)
+
+
+def target(folder: str) -> tuple[fs.FileSystem, str]:
+    """The file system of a folder's URI or path, and the path in it."""
     return fs.FileSystem.from_uri(folder) if "://" in folder or folder.startswith("file:") else (fs.LocalFileSystem(), folder)
 
 
 def put(folder: str, name: str, data: bytes) -> None:
-    store, base = _target(folder)
+    store, base = target(folder)
     path = f"{base}/{name}"
     store.create_dir(path.rpartition("/")[0], recursive=True)
     with store.open_output_stream(path, compression=None) as out:
