@@ -8,6 +8,12 @@ Reader: an archive is cut into byte ranges. A task looks for gzip magic in its r
 candidate and accepts it as a record if a WARC header appears; it then owns all records that start inside its range and
 reads the last of them past the range's end. So each record has one owner, whatever the range size.
 
+Archives of others are read too: ids are kept as text (page_id and refers_to are null unless they are ours), requests,
+metadata and other types are rows of their type, and lengths that are no numbers don't matter. Damage is told, not
+hidden: each member that begins like a record gives a row with its place and a status, which is `ok`, `corrupt` (its
+bytes don't decode, or fail their check sum), `truncated` (the archive ends within it) or `malformed` (no WARC header, or
+a block shorter than it says); what could be decoded of the header is told, the payload is null.
+
 Defined cases: a null payload counts as empty, and empty payloads are equal to each other; a page with a null page_id
 is a response and refers to nothing (its id comes back as null); repeated rows of the smallest page_id are a response
 each; an empty table gives no archives and no rows; a payload of any length is one record, held whole by one task at a
@@ -18,6 +24,7 @@ from __future__ import annotations
 
 import base64
 import hashlib
+import re
 import uuid
 import zlib
 from collections.abc import Iterator
@@ -67,19 +74,62 @@ def record(page_id: int | None, url: str | None, payload: bytes, sha: str, refer
     return pack.compress(text.encode() + block + b"\r\n\r\n") + pack.flush()
 
 
-def _parse(data: bytes) -> dict | None:
-    """The fields of a decoded record, or None if it isn't one."""
-    end = data.find(b"\r\n\r\n")
-    if not data.startswith(b"WARC/1.") or end < 0:
+def _number(text: str | bytes | None) -> int | None:
+    try:
+        return max(0, int(text))
+    except (TypeError, ValueError):
         return None
-    head = {k.strip().lower(): v.strip() for k, _, v in (x.partition(":") for x in data[:end].decode("utf-8", "replace").split("\r\n")[1:])}
-    block = data[end + 4 : end + 4 + int(head.get("content-length", 0))]
+
+
+_OURS = re.compile(r"<?urn:page:(-?\d+)>?")
+
+
+def _own(ident: str | None) -> int | None:
+    """The page_id of an id that the writer made."""
+    found = _OURS.fullmatch(ident or "")
+    return int(found[1]) if found else None
+
+
+def _told_digest(value: str | None) -> tuple[str | None, str | None]:
+    """Algorithm and value of a digest field; SHA-1 in hex becomes base32."""
+    if not value:
+        return None, None
+    kind, _, text = value.rpartition(":")
+    if kind.lower() in ("", "sha1") and re.fullmatch(r"[0-9A-Fa-f]{40}", text):
+        text = base64.b32encode(bytes.fromhex(text)).decode()
+    return kind.lower() or None, text
+
+
+def _parse(data: bytes, status: str = "ok") -> dict:
+    """The fields of a decoded record; of a damaged one, those that its header tells."""
+    end = data.find(b"\r\n\r\n")
+    head = {k.strip().lower(): v.strip() for k, _, v in (x.partition(":") for x in data[: end if end >= 0 else len(data)].decode("utf-8", "replace").split("\r\n")[1:])}
+    length, kind = _number(head.get("content-length")), head.get("warc-type")
+    if status == "ok" and (end < 0 or (length is not None and len(data) < end + 4 + length)):
+        status = "malformed"
+    block = data[end + 4 : None if length is None else end + 4 + length]
     split = block.find(b"\r\n\r\n")
     http, payload = (block[:split], block[split + 4 :]) if block.startswith(b"HTTP/") and split >= 0 else (b"", block)
-    length = next((int(x.split(b":")[1]) for x in http.split(b"\r\n") if x.lower().startswith(b"content-length:")), len(payload))
-    ident = lambda v: int(v.strip("<>").rpartition(":")[2]) if v else None
-    kind = head.get("warc-type")
-    return {"page_id": ident(head.get("warc-record-id")), "record_type": kind, "refers_to": ident(head.get("warc-refers-to")), "url": head.get("warc-target-uri"), "payload_bytes": length, "payload_digest": head.get("warc-payload-digest", "").rpartition(":")[2], "payload": payload if kind != "revisit" else None, "intact": kind == "revisit" or digest(payload) == head.get("warc-payload-digest", "").rpartition(":")[2]}
+    told = next((n for x in http.split(b"\r\n") if x.lower().startswith(b"content-length:") and (n := _number(x.partition(b":")[2])) is not None), None)
+    algorithm, sha = _told_digest(head.get("warc-payload-digest"))
+    whole = status == "ok" and kind != "revisit"
+    known = algorithm in (None, "sha1")
+    return {
+        "page_id": _own(head.get("warc-record-id")), "record_id": head.get("warc-record-id"), "record_type": kind, "refers_to": _own(head.get("warc-refers-to")), "refers_to_id": head.get("warc-refers-to"), "url": head.get("warc-target-uri"),
+        "payload_bytes": len(payload) if whole else told if kind == "revisit" else None, "payload_digest": sha if sha else digest(payload) if whole else None, "payload": payload if whole else None,
+        "intact": status == "ok" and (digest(payload) == sha if whole and sha and known else None if sha and not known else True), "status": status,
+    }
+
+
+def _readable(unpack, piece) -> bytes:
+    """What decodes of a piece up to its first error: byte by byte."""
+    out = []
+    for i in range(len(piece)):
+        try:
+            out.append(unpack.decompress(piece[i : i + 1]))
+        except zlib.error:
+            break
+    return b"".join(out)
 
 
 class _Ahead:
@@ -116,37 +166,41 @@ class _Ahead:
             if self.at >= before or not self.more():
                 return False
 
-    def member(self) -> bytes | None:
-        """The record decoded from the gzip member here, which is then passed; None, at the same place, if the data doesn't decode to a record. The first bytes decide early; compressed bytes are passed as they are decoded."""
-        start, unpack, out, head = self.at, zlib.decompressobj(31), [], b""
+    def member(self) -> tuple[bytes, str] | None:
+        """The record decoded from the gzip member here, which is then passed, and its status; None, at the same place, if the data doesn't decode to the beginning of a record. The first bytes decide early; compressed bytes are passed as they are decoded. A damaged record isn't passed: the next may begin anywhere after its first byte."""
+        start, unpack, out, head, status = self.at, zlib.decompressobj(31), [], b"", "truncated"
         while self.at < self.base + len(self.data) or self.more():
             piece = self.data[self.at - self.base :][:_LOOK]
+            before = unpack.copy()
             try:
                 out.append(unpack.decompress(piece))
             except zlib.error:
-                break
+                out.append(_readable(before, piece))
+                status = "corrupt"
             self.at += len(piece) - len(unpack.unused_data)
             head = (head + out[-1])[: len(_BEGIN)]
-            if head != _BEGIN[: len(head)]:
+            if head != _BEGIN[: len(head)] or status == "corrupt":
                 break
             if unpack.eof:
-                if len(head) < len(_BEGIN):
-                    break
-                return b"".join(out)
-        self.back(start)
-        return None
+                status = "ok"
+                break
+        if head != _BEGIN:
+            self.back(start)
+            return None
+        if status != "ok":
+            self.back(start)
+        return b"".join(out), status
 
 
 def records_in_range(source, size: int, start: int, end: int) -> Iterator[dict]:
-    """The records of an open archive that start in [start, end): candidates are searched by gzip magic and accepted if they decode to a record; a record's end is the next candidate."""
+    """The records of an open archive that start in [start, end), with their offset and status: candidates are searched by gzip magic and accepted if they decode to the beginning of a record; a record's end is the next candidate."""
     ahead = _Ahead(source, size, start, end)
     while ahead.at < end and ahead.find(_MAGIC, end):
         begin = ahead.at
-        data = ahead.member()
-        fields = data and _parse(data)
-        if fields:
-            yield fields
-        else:
+        got = ahead.member()
+        if got:
+            yield {**_parse(*got), "offset": begin}
+        if not got or got[1] != "ok":
             ahead.back(begin + 1)
 
 
@@ -175,21 +229,27 @@ def write_archives(pages: DataFrame) -> DataFrame:
     return made.withColumn("folder", F.lit(folder))
 
 
-_READ = "page_id long, record_type string, refers_to long, url string, payload_bytes long, payload_digest string, payload binary, intact boolean"
-_READ_TYPE = pa.schema([("page_id", pa.int64()), ("record_type", pa.string()), ("refers_to", pa.int64()), ("url", pa.string()), ("payload_bytes", pa.int64()), ("payload_digest", pa.string()), ("payload", pa.binary()), ("intact", pa.bool_())])
+_READ_TYPE = pa.schema([("page_id", pa.int64()), ("record_id", pa.string()), ("record_type", pa.string()), ("refers_to", pa.int64()), ("refers_to_id", pa.string()), ("url", pa.string()), ("payload_bytes", pa.int64()), ("payload_digest", pa.string()), ("payload", pa.binary()), ("intact", pa.bool_()), ("status", pa.string()), ("offset", pa.int64()), ("path", pa.string())])
+_READ = "page_id long, record_id string, record_type string, refers_to long, refers_to_id string, url string, payload_bytes long, payload_digest string, payload binary, intact boolean, status string, offset long, path string"
+
+
+def archives_at(spark: SparkSession, folder: str, pattern: str = "*.warc.gz") -> DataFrame:
+    """A table of archives for read_archives(), whoever wrote them: all files of that name below a folder. Their contents aren't read."""
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", True).option("pathGlobFilter", pattern).load(folder)
+    return saved(files.select(F.col("path"), F.col("length").alias("size"), F.xxhash64("path").alias("no"), F.lit(None).cast("string").alias("folder")), "archives")
 
 
 def read_archives(archives: DataFrame, range_bytes: int = RANGE_BYTES, most: int = MOST_TASKS) -> DataFrame:
-    """The records of archives (path, size, no, folder), read range by range; the number of tasks grows with that of the ranges."""
+    """The records of archives (path, size, no; folder, or null if the path is a URI), read range by range; the number of tasks grows with that of the ranges."""
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for path, size, start, folder in zip(*(batch.column(i).to_pylist() for i in range(4))):
-                store, _ = fs.FileSystem.from_uri(folder)
-                with store.open_input_file(path) as source:
+                store, at = (fs.FileSystem.from_uri(folder)[0], path) if folder else fs.FileSystem.from_uri(path)
+                with store.open_input_file(at) as source:
                     rows, held = [], 0
                     for r in records_in_range(source, size, start, min(size, start + range_bytes)):
-                        rows.append(r)
+                        rows.append({**r, "path": path})
                         held += len(r["payload"] or b"")
                         if held > 8 << 20 or len(rows) >= 5000:
                             yield pa.RecordBatch.from_pylist(rows, schema=_READ_TYPE)
@@ -200,7 +260,7 @@ def read_archives(archives: DataFrame, range_bytes: int = RANGE_BYTES, most: int
     ranges = archives.where("size > 0").select("path", "size", F.explode(F.expr(f"sequence(0L, size - 1, {range_bytes}L)")).alias("start"), "folder", "no")
     tasks = max(1, min(most, int(amount[0] or 0)))
     # an archive's ranges lie as many places apart as there are archives, so tasks get equal numbers of them; the given number keeps tiny rows of ranges from being merged into one task
-    dealt = ranges.repartitionById(tasks, F.pmod(F.col("no") + F.expr(f"start div {range_bytes}L") * amount[1], F.lit(tasks)).cast("int"))
+    dealt = ranges.repartitionById(tasks, F.pmod(F.pmod(F.col("no"), F.lit(1 << 40)) + F.expr(f"start div {range_bytes}L") * amount[1], F.lit(tasks)).cast("int"))
     return dealt.select("path", "size", "start", "folder").mapInArrow(read, _READ)
 
 

@@ -37,6 +37,44 @@ def test_all_layouts(spark):
     assert {r.layout: r.n_records for r in chat.layouts(rows).collect()} == dict.fromkeys(RECORDS, 1)
 
 
+def canonical(record):
+    return chat.canonical(record, chat.registry())
+
+
+def test_content_parts_calls_history_and_system(spark):
+    part = lambda t, kind="text": {"type": kind, "text": t}
+    call = {"id": "c1", "type": "function", "function": {"name": "look", "arguments": '{"a": 1}'}}
+    cases = [
+        ({"messages": [{"role": "user", "content": "a"}, {"role": "assistant", "content": [part("b"), part("c")]}]}, "messages", [("user", "a"), ("assistant", "bc")], []),
+        ({"messages": [{"role": "user", "content": [part("a"), {"type": "image_url", "image_url": {"url": "u"}}]}, {"role": "assistant", "content": ["b", 7, True, None]}]}, "messages", [("user", "a"), ("assistant", "b7true")], ["messages[].content[].image_url.url"]),
+        ({"messages": [{"role": "assistant", "content": None, "tool_calls": [call, call]}, {"role": "tool", "content": "x", "tool_call_id": "c1"}]}, "messages", [("assistant", '{"arguments":"{\\"a\\": 1}","name":"look"}\n' + '{"arguments":"{\\"a\\": 1}","name":"look"}'), ("tool", "x")], ["messages[].tool_call_id"]),
+        ({"messages": [{"role": "assistant", "content": "t", "tool_calls": [{"name": "f", "arguments": {"k": [1]}}]}]}, "messages", [("assistant", 't\n{"arguments":{"k":[1]},"name":"f"}')], []),
+        ({"instruction": "i", "input": "", "output": "o", "history": [["q1", "a1"], ["q2", "a2"]], "system": "s"}, "instruction", [("system", "s"), ("user", "q1"), ("assistant", "a1"), ("user", "q2"), ("assistant", "a2"), ("user", "i"), ("assistant", "o")], []),
+        ({"prompt": "p", "response": {"type": "text", "text": "r"}, "history": [{"role": "human", "content": "h"}]}, "prompt_response", [("user", "h"), ("user", "p"), ("assistant", "r")], []),
+        ({"system": "only", "messages": []}, "system_messages", [("system", "only")], []),
+        ({"messages": [{"role": {"x": 1}, "content": {"deep": {"er": "lost"}}}]}, None, None, None),
+        ({"question": "q", "answer": ["a", ["b"]], "source": "web", "meta": {"n": 0, "e": ""}}, "question_answer", [("user", "q"), ("assistant", "a")], ["answer[][]", "meta.n", "source"]),
+        ({"prompt": {"x": 1}, "response": "r"}, "prompt_response", [("user", ""), ("assistant", "r")], ["prompt.x"]),
+        ({"x": 1, "y": ""}, None, [], ["x"]),
+    ]
+    for record, name, turns, gone in cases:
+        got = canonical(record)
+        if turns is None:
+            assert "{" not in "".join(t for _, t in got[1]) and got[2]
+        else:
+            assert got == (name, turns, gone), record
+    rows = rows_of(spark, [c[0] for c in cases]).cache()
+    for i, (_, name, turns, gone) in enumerate(cases):
+        own = rows.where(F.col("conv_id") == i).orderBy("part").collect()
+        if turns is not None:
+            assert [(r.role, r.text) for r in own if r.part is not None] == turns and all(r.dropped == gone for r in own)
+    counted = {(r.layout, r.path): r.n_records for r in chat.dropped(rows).collect()}
+    assert counted["question_answer", "source"] == 1 and counted["messages", "messages[].content[].image_url.url"] == 1 and counted[None, "x"] == 1
+    assert sum(r.n_dropping for r in chat.layouts(rows).collect()) == 6
+    again = {r.conv_id: r.n_turns for r in chat.digests(chat.formatted(rows)).collect()}
+    assert all(again.get(i, 0) == len(c[2]) for i, c in enumerate(cases) if c[2] is not None)
+
+
 def test_records_without_turns_are_counted(spark):
     rows = rows_of(spark, [*ODD, *RECORDS.values()])
     assert rows.where("part is null").count() == len(ODD) and rows.select("conv_id").distinct().count() == len(ODD) + len(RECORDS)

@@ -1,5 +1,7 @@
 """The WARC reader's tasks and bytes, and words of rare characters."""
 
+import gzip
+import hashlib
 import io
 import random
 
@@ -43,11 +45,65 @@ def test_what_is_no_record_is_passed():
     data = archive(20)
     cut = data[: len(data) // 2]
     mixed = b"\x1f\x8b\x08no" + cut + b"\x1f\x8b\x08" + data + b"\x1f\x8b"
-    whole = ids(Counting(cut), len(cut), 1 << 20)
-    assert 5 < len(whole) < 20 and ids(Counting(mixed), len(mixed), 1 << 20) == whole + list(range(20)) == ids(Counting(mixed), len(mixed), 5000)
+    told = lambda data, step: [(r["page_id"], r["status"]) for s in range(0, len(data), step) for r in warc.records_in_range(Counting(data), len(data), s, min(len(data), s + step))]
+    whole = told(cut, 1 << 20)
+    assert 5 < len(whole) < 20 and whole == [(i, "ok") for i in range(len(whole) - 1)] + [(len(whole) - 1, "truncated")]
+    want = whole[:-1] + [(len(whole) - 1, "corrupt")] + [(i, "ok") for i in range(20)]
+    assert told(mixed, 1 << 20) == want == told(mixed, 5000)
     assert ids(Counting(b""), 0, 10) == []
 
 
+def member(head, block, tail=b"\r\n\r\n"):
+    return gzip.compress(("WARC/1.0\r\n" + "".join(f"{k}: {v}\r\n" for k, v in head.items())).encode() + b"\r\n" + block + tail, 1)
+
+
+def foreign(tmp_path):
+    """An archive as crawlers write them, with damaged members between."""
+    http = b"HTTP/1.1 200 OK\r\nContent-Length: many\r\n\r\n<p>x</p>"
+    sha = warc.digest(b"<p>x</p>")
+    uid = lambda n: f"<urn:uuid:00000000-0000-0000-0000-{n:012d}>"
+    parts = [
+        member({"WARC-Type": "warcinfo", "WARC-Record-ID": uid(1), "Content-Length": 9}, b"software:"),
+        member({"WARC-Type": "request", "WARC-Record-ID": uid(2), "WARC-Target-URI": "http://a", "Content-Length": 18}, b"GET / HTTP/1.1\r\n\r\n"),
+        member({"WARC-Type": "response", "WARC-Record-ID": uid(3), "WARC-Target-URI": "http://a", "WARC-Payload-Digest": f"sha1:{sha}", "Content-Length": len(http)}, http),
+        member({"WARC-Type": "response", "WARC-Record-ID": uid(4), "WARC-Payload-Digest": "sha1:" + hashlib.sha1(b"<p>x</p>").hexdigest(), "Content-Length": "lots"}, http, b""),
+        member({"WARC-Type": "response", "WARC-Record-ID": uid(5), "WARC-Payload-Digest": f"sha1:{warc.digest(b'other')}", "Content-Length": len(http)}, http),
+        member({"WARC-Type": "response", "WARC-Record-ID": uid(6), "WARC-Payload-Digest": "sha256:00", "Content-Length": len(http)}, http),
+        member({"WARC-Type": "metadata", "WARC-Record-ID": uid(7), "WARC-Refers-To": uid(3), "Content-Length": 3}, b"a: "),
+        member({"WARC-Type": "revisit", "WARC-Record-ID": uid(8), "WARC-Refers-To": uid(3), "WARC-Payload-Digest": f"sha1:{sha}", "Content-Length": len(http) - 8}, http[:-8]),
+        member({"WARC-Type": "resource", "WARC-Record-ID": uid(9), "Content-Length": 50}, b"too short"),
+    ]
+    bad = bytearray(parts[2])
+    bad[-6] ^= 255  # the check sum
+    torn = bytearray(warc.record(70, "u", random.Random(2).randbytes(50_000), "X", None))
+    torn[30_000:30_040] = bytes(40)
+    (tmp_path / "one.warc.gz").write_bytes(b"".join(parts[:4]) + bytes(bad) + b"".join(parts[4:]) + bytes(torn) + warc.record(5, "u", b"ours", warc.digest(b"ours"), None) + parts[2][:-30])
+    (tmp_path / "two.warc.gz").write_bytes(archive(30))
+    (tmp_path / "none.warc.gz").write_bytes(b"")
+    return uid, sha
+
+
+def test_foreign_and_damaged_archives(spark, tmp_path):
+    uid, sha = foreign(tmp_path)
+    archives = warc.archives_at(spark, f"file://{tmp_path}")
+    told = []
+    for step in (1 << 26, 3000, 200):
+        rows = warc.read_archives(archives, step).collect()
+        told.append(sorted(map(str, rows)))
+        assert sum(r.path.endswith("two.warc.gz") for r in rows) == 30
+        own = sorted((r for r in rows if r.path.endswith("one.warc.gz")), key=lambda r: r.offset)
+        assert [r.status for r in own] == ["ok"] * 4 + ["corrupt"] + ["ok"] * 4 + ["malformed", "corrupt", "ok", "truncated"]
+        assert [r.record_type for r in own if r.status == "ok"] == ["warcinfo", "request", "response", "response", "response", "response", "metadata", "revisit", "response"]
+        assert [r.record_id for r in own[:4]] == [uid(n) for n in range(1, 5)] and own[7].refers_to_id == own[8].refers_to_id == uid(3)
+        assert all(r.page_id is None and r.refers_to is None for r in own if r.record_id and "uuid" in r.record_id)
+        three, four, five, six = own[2], own[3], own[5], own[6]
+        assert three.payload == four.payload == b"<p>x</p>" and three.payload_bytes == 8 and three.payload_digest == four.payload_digest == sha
+        assert (three.intact, four.intact, five.intact, six.intact) == (True, True, False, None)
+        assert own[-2].page_id == 5 and bytes(own[-2].payload) == b"ours" and own[9].payload is None and own[9].record_id == uid(9)
+        assert all(r.payload is None and not r.intact for r in own if r.status != "ok")
+    assert told[0] == told[1] == told[2]
+
+
 def test_reading_tasks_grow_with_ranges(spark):
     pages = spark.range(3000).select(F.col("id").alias("page_id"), F.lit("u").alias("url"), F.sha2(F.col("id").cast("string"), 512).alias("html"))
     archives = warc.pages_to_archives(pages.repartition(3))
