@@ -9,7 +9,8 @@ what is far below the threshold, and the rest is confirmed on the full sets. Con
 of buckets that still hold several components then go through an exact prefix join, which finds whatever links
 components without listing the pairs of a bucket. A pair at the threshold misses all 26 bands with a probability of 4e-7.
 
-Large classes, buckets and components are few, so their rows are broadcast; no task receives a large group.
+Large classes, buckets and components are few, so their rows are broadcast; the pairs of a hub that meets many are dealt
+out, with copies of its sketch and set. No task receives a large group.
 
 Defined cases: texts without words, and null texts, have an empty set, link with nothing and stay; fewer than three
 words are one shingle; a row with a null doc_id is grouped by its set but is never the row that stays unless the class
@@ -27,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import as_bytes, drop, free, kept_rows, many_word_hashes, matched, meet, mix64, saved, steps, table
+from .common import LARGE, MANY, as_bytes, drop, free, kept_rows, many_word_hashes, matched, meet, mix64, saved, steps, table
 
 REGISTERS, ROWS = 130, 5
 BANDS = REGISTERS // ROWS
@@ -155,10 +156,11 @@ def components(links: DataFrame) -> DataFrame:
     edges = saved(links.select("a", "b").unionByName(links.select(F.col("b").alias("a"), F.col("a").alias("b"))).distinct(), "edges")
     now = saved(edges.groupBy("a").agg(F.min("b").alias("m")).select(F.col("a").alias("id"), F.least("a", "m").alias("component")), "labels")
     while True:
-        near = edges.join(now, edges.b == now.id).groupBy("a").agg(F.min("component").alias("m"))
+        # a hub has many edges, and a label many ids: neither join gives them to one task
+        near = matched(edges, now.select(F.col("id").alias("b"), F.col("component").alias("_c")), ["b"]).groupBy("a").agg(F.min("_c").alias("m"))
         low = now.join(near, now.id == near.a).select("id", F.least("component", "m").alias("low"), "component")
-        far = now.select(F.col("id").alias("at"), F.col("component").alias("to"))
-        new = low.join(far, F.col("low") == F.col("at"), "left").select("id", F.least("low", F.coalesce("to", "low")).alias("component"), F.col("component").alias("before"))
+        far = now.select(F.col("id").alias("low"), F.col("component").alias("to"))
+        new = matched(low, far, ["low"], "left").select("id", F.least("low", F.coalesce("to", "low")).alias("component"), F.col("component").alias("before"))
         new = saved(new, "labels")
         if new.where("component <> before").isEmpty():
             return new.select("id", "component")
@@ -166,11 +168,30 @@ def components(links: DataFrame) -> DataFrame:
         now = new.select("id", "component")
 
 
+def hubs(pairs: DataFrame) -> DataFrame:
+    """Pairs (hub, other), each once whichever way round it occurs. An id is `other` in as many pairs as it has buckets, twice, at most; hubs may have any number."""
+    both = pairs.select(F.least("hub", "other").alias("a"), F.greatest("hub", "other").alias("b"), "hub").where("a < b").groupBy("a", "b").agg(F.min("hub").alias("hub"))
+    return both.select("hub", F.when(F.col("hub") == F.col("a"), F.col("b")).otherwise(F.col("a")).alias("other"))
+
+
+def with_rows(pairs: DataFrame, rows: DataFrame) -> DataFrame:
+    """Pairs (hub, other) with the columns of `rows` (id, ...; written) of both, as struct columns h and o. A hub with many pairs is dealt out: its pairs get one of several numbers, and its row a copy for each. There are at most MANY copies besides the first ones, and no pair's row carries a hub's set through a shuffle."""
+    pairs = saved(pairs, "pairs")
+    names = [c for c in rows.columns if c != "id"]
+    amount = saved(pairs.groupBy("hub").agg(F.count(F.lit(1)).alias("n")), "hubs")
+    quota = max(LARGE, -(-(amount.agg(F.sum("n")).first()[0] or 0) // MANY))
+    shares = F.expr(f"(n + {quota - 1}) div {quota}")
+    dealt = meet(pairs, amount, ["hub"], "n").select("hub", "other", F.pmod(F.xxhash64("other"), shares).alias("share"))
+    copies = rows.join(amount, F.col("id") == F.col("hub")).select("hub", F.struct(*names).alias("h"), F.explode(F.sequence(F.lit(0).cast("long"), shares - 1)).alias("share"))
+    others = rows.select(F.col("id").alias("other"), F.struct(*names).alias("o"))
+    return dealt.join(others, "other").join(copies, ["hub", "share"]).select("hub", "other", "h", "o")
+
+
 def _verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
-    """The pairs (a, b) whose full sets are near enough."""
+    """The pairs (hub, other) whose full sets are near enough, as (a, b)."""
     linked = F.arrow_udf(_linked, "boolean")
-    whole = pairs.join(sets.select(F.col("doc_id").alias("a"), F.col("hashes").alias("h_a")), "a").join(sets.select(F.col("doc_id").alias("b"), F.col("hashes").alias("h_b")), "b")
-    return saved(whole.where(linked("h_a", "h_b")).select("a", "b"), "links")
+    whole = with_rows(pairs, sets.withColumnRenamed("doc_id", "id"))
+    return saved(whole.where(linked("h.hashes", "o.hashes")).select(F.least("hub", "other").alias("a"), F.greatest("hub", "other").alias("b")), "links")
 
 
 def across(rest: DataFrame) -> DataFrame:
@@ -229,15 +250,15 @@ def decided(docs: DataFrame) -> DataFrame:
     rows = reps.select("doc_id", F.col("n_shingles").alias("n"), F.explode("keys").alias("key"))
     buckets = rows.groupBy("key").agg(F.min("doc_id").alias("low"), F.max("doc_id").alias("high"), F.count(F.lit(1)).alias("m")).where("m > 1")
     shared = saved(meet(rows, buckets, ["key"], "m"), "shared")
-    pairs = shared.select(F.col("low").alias("a"), F.col("doc_id").alias("b")).unionByName(shared.select(F.col("doc_id").alias("a"), F.col("high").alias("b"))).where("a < b").distinct()
-    x = reps.select(F.col("doc_id").alias("a"), F.col("n_shingles").alias("n_a"), F.col("sketch").alias("s_a"))
-    y = reps.select(F.col("doc_id").alias("b"), F.col("n_shingles").alias("n_b"), F.col("sketch").alias("s_b"))
+    pairs = hubs(shared.select(F.col("low").alias("hub"), F.col("doc_id").alias("other")).unionByName(shared.select(F.col("high").alias("hub"), F.col("doc_id").alias("other"))))
     near = F.arrow_udf(_near, "boolean")
-    likely = saved(pairs.join(x, "a").join(y, "b").where(f"100 * least(n_a, n_b) >= {PERCENT} * greatest(n_a, n_b)").where(near("s_a", "s_b", "n_a", "n_b")).select("a", "b"), "likely")
+    met = with_rows(pairs, reps.select(F.col("doc_id").alias("id"), "n_shingles", "sketch"))
+    fit = F.expr(f"100 * least(h.n_shingles, o.n_shingles) >= {PERCENT} * greatest(h.n_shingles, o.n_shingles)")
+    likely = saved(met.where(fit).where(near("h.sketch", "o.sketch", "h.n_shingles", "o.n_shingles")).select("hub", "other"), "likely")
 
     # the full sets of all that may still be compared: in a bucket of two or three, every pair has met
     large = shared.where("m > 3")
-    need = likely.select(F.col("a").alias("id")).unionByName(likely.select(F.col("b").alias("id"))).unionByName(large.select(F.col("doc_id").alias("id"))).distinct()
+    need = likely.select(F.col("hub").alias("id")).unionByName(likely.select(F.col("other").alias("id"))).unionByName(large.select(F.col("doc_id").alias("id"))).distinct()
     texts = docs.select(F.col("doc_id").cast("long"), "text").join(need.hint("shuffle_hash"), F.col("doc_id") == F.col("id"), "left_semi")
     sets = saved(texts.mapInArrow(_full, "doc_id long, hashes binary").dropDuplicates(["doc_id"]), "sets")
     links = _verified(likely, sets)
@@ -249,7 +270,7 @@ def decided(docs: DataFrame) -> DataFrame:
     rest = marked.join(mixed, "key", "left_semi").select("doc_id", "n", "part").distinct()
     rest = saved(rest.join(sets, "doc_id"), "rest")
     if not rest.isEmpty():
-        more = _verified(across(rest), sets)
+        more = _verified(across(rest).select(F.col("a").alias("hub"), F.col("b").alias("other")), sets)
         if not more.isEmpty():
             labels = components(links.unionByName(more))
 

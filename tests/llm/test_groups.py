@@ -41,6 +41,53 @@ def test_a_third_of_all_rows_are_copies(spark):
     assert near.where("kept").count() == 601 and near.where("component_id = 0").count() == 300
 
 
+def test_hubs_are_dealt_out(spark):
+    """2,000 near copies of one text: pairs, verification and components give no task more than its share."""
+    rows = spark.range(4000).select(F.col("id").alias("id"), F.col("id").cast("string").alias("hashes"))
+    rows = common.saved(rows, "rows")
+    found = spark.range(1, 2000).select(F.lit(0).cast("long").alias("hub"), F.col("id").alias("other"))
+    more = spark.range(2000, 4000).select(F.col("id").alias("hub"), ((F.col("id") + 1) % 4000).alias("other"))
+    pairs = near_dedup.hubs(found.unionByName(more).unionByName(found.select(F.col("other").alias("hub"), F.col("hub").alias("other"))))
+    assert pairs.where("hub = other").count() == 0
+    got = near_dedup.with_rows(pairs, rows)
+    n = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    spark.conf.set("spark.sql.shuffle.partitions", "16")
+    try:
+        sizes = sorted(r["count"] for r in near_dedup.with_rows(pairs, rows).groupBy(F.spark_partition_id()).count().collect())
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+        spark.conf.set("spark.sql.shuffle.partitions", n)
+    assert len(sizes) == 16 and sizes[-1] <= 2 * sizes[8]
+    assert all(r.h.hashes == str(r.hub) and r.o.hashes == str(r.other) for r in got.collect())
+    told = {tuple(sorted((r.hub, r.other))) for r in got.collect()}
+    assert len(told) == got.count() and told == {(0, i) for i in range(1, 2000)} | {tuple(sorted((i, (i + 1) % 4000))) for i in range(2000, 4000)}
+    star = near_dedup.components(spark.range(1, 2000).select(F.col("id").alias("a"), F.lit(5000).cast("long").alias("b")))
+    assert star.count() == 2000 and star.where("component = 1").count() == 2000
+
+
+def test_components_beyond_broadcasts(spark, monkeypatch):
+    rnd = random.Random(4)
+    links = [(rnd.randrange(300), rnd.randrange(300)) for _ in range(170)] + [(500, i) for i in range(600, 760)]
+    par = {x: x for e in links for x in e}
+
+    def find(x):
+        while par[x] != x:
+            x = par[x]
+        return x
+
+    for a, b in links:
+        x, y = find(a), find(b)
+        par[max(x, y)] = min(x, y)
+    df = spark.createDataFrame([(min(e), max(e)) for e in links if e[0] != e[1]], "a long, b long")
+    want = {x: find(x) for e in links if e[0] != e[1] for x in e}
+    assert {r.id: r.component for r in near_dedup.components(df).collect()} == want
+    monkeypatch.setattr(common, "MANY", 20)
+    assert {r.id: r.component for r in near_dedup.components(df).collect()} == want
+
+
 def test_candidates_across_components_stay_few(spark):
     """Families just below the threshold share most shingles, but rare ones come first: few pairs are listed."""
     rnd = random.Random(8)
