@@ -329,28 +329,29 @@ def _encoder(path: str, lexicon: str) -> Encoder:
 
 
 def frequent_words(docs: DataFrame, path: str, share: float = FREQUENT) -> list[str]:
-    """The words that make up at least `share` of all word occurrences. Each task sums up its own counts first."""
+    """The words that make up at least `share` of all word occurrences, and some that make up at least half as much. All texts are counted. A task hands on, of each lot of words that it has counted, those with at least half that share of the lot; of a word, less than half the share of all occurrences is left out so, and therefore no word is missed."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         merger, seen = _merger(path), Counter()
         for batch in batches:
-            for text in batch.column(0).to_pylist():
-                for special, piece in merger.pieces(text or ""):
-                    if special is None:
-                        seen.update(merger.words(piece))
-                if len(seen) > REMEMBERED:
-                    yield from out(seen)
-                    seen = Counter()
+            for at in range(0, batch.num_rows, 200):
+                for text in batch.column(0).slice(at, 200).to_pylist():
+                    for special, piece in merger.pieces(text or ""):
+                        if special is None:
+                            seen.update(merger.words(piece))
+                    if len(seen) > REMEMBERED:
+                        yield from out(seen)
+                        seen = Counter()
         yield from out(seen)
 
     def out(seen: Counter) -> Iterator[pa.RecordBatch]:
-        names, counts = list(seen), list(seen.values())
-        for i in range(0, len(names), 50_000):
-            yield pa.RecordBatch.from_pydict({"word": pa.array(names[i : i + 50_000], pa.string()), "n": pa.array(counts[i : i + 50_000], pa.int64())})
+        total = seen.total()
+        kept = [(w, n) for w, n in seen.items() if 2 * n >= share * total]
+        yield pa.RecordBatch.from_pydict({"word": pa.array([None, *(w for w, _ in kept)], pa.string()), "n": pa.array([total, *(n for _, n in kept)], pa.int64())})
 
     counted = saved(docs.select("text").mapInArrow(count, "word string, n long").groupBy("word").agg(F.sum("n").alias("n")), "word-counts")
-    total = counted.agg(F.sum("n")).first()[0] or 0
-    return [r.word for r in counted.where(F.col("n") >= total * share).select("word").collect()]
+    total = counted.where("word is null").agg(F.sum("n")).first()[0] or 0
+    return [r.word for r in counted.where(F.col("word").isNotNull() & (F.col("n") * 2 >= total * share)).select("word").collect()]
 
 
 def lexicon_file(spark: SparkSession, frequent: list[str], path: str) -> str:
