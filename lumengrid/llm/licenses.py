@@ -3,8 +3,11 @@
 Texts are cut into pieces at line ends and at full stops, colons and the like before white space; pieces are normalised
 (lower case, other than letters and digits one space, so marks of comments vanish). A known licence sentence occurs
 where neighbouring pieces of a paragraph, one or more, make up its words, so it may be wrapped over lines and hold such
-marks itself ("free software: you can", "v. 2.0"). The identifiers of a text, in order, are matched against licence
-rules: ordered sequences, each of whose identifiers comes within SPREAD further ones after the one before.
+marks itself ("free software: you can", "v. 2.0"). A sentence may have slots: <5> stands for one to five words, such as
+the name of an organisation. Each licence of an SPDX-License-Identifier line is an identifier of its own, spdx: and its
+name, which is its own rule. The identifiers of a text, in order, are matched against licence rules: ordered sequences,
+each of whose identifiers comes within SPREAD further ones after the one before (which is what keeps sentences of
+different notices apart).
 
 The sentences and rules below are a small table; scan() takes others as DataFrames. They are held by every task, so
 their size is checked against MAX_BYTES.
@@ -45,7 +48,7 @@ SENTENCES = {
     "bsd-grant": "redistribution and use in source and binary forms with or without modification are permitted provided that the following conditions are met",
     "bsd-source": "redistributions of source code must retain the above copyright notice this list of conditions and the following disclaimer",
     "bsd-binary": "redistributions in binary form must reproduce the above copyright notice this list of conditions and the following disclaimer in the documentation and or other materials provided with the distribution",
-    "bsd-name": "neither the name of the copyright holder nor the names of its contributors may be used to endorse or promote products derived from this software without specific prior written permission",
+    "bsd-name": "neither the name of <16> nor the names of <6> contributors may be used to endorse or promote products derived from this software without specific prior written permission",
     "isc-grant": "permission to use copy modify and or distribute this software for any purpose with or without fee is hereby granted provided that the above copyright notice and this permission notice appear in all copies",
     "mpl-subject": "this source code form is subject to the terms of the mozilla public license v 2 0",
     "cc-by": "licensed under cc by 4 0",
@@ -58,13 +61,22 @@ SENTENCES = {
     "boost-grant": "permission is hereby granted free of charge to any person or organization obtaining a copy of the software and accompanying documentation covered by this license the software to use reproduce display distribute execute and transmit the software and to prepare derivative works of the software and to permit third parties to whom the software is furnished to do so all subject to the following",
     "zlib-grant": "permission is granted to anyone to use this software for any purpose including commercial applications and to alter it and redistribute it freely subject to the following restrictions",
     "cc0-dedicated": "to the extent possible under law the author s have dedicated all copyright and related and neighboring rights to this software to the public domain worldwide",
-    "spdx-mit": "spdx license identifier mit",
-    "spdx-apache": "spdx license identifier apache 2 0",
-    "spdx-bsd2": "spdx license identifier bsd 2 clause",
-    "spdx-bsd3": "spdx license identifier bsd 3 clause",
-    "spdx-gpl2": "spdx license identifier gpl 2 0 only",
-    "spdx-gpl3": "spdx license identifier gpl 3 0 or later",
-    "spdx-mpl": "spdx license identifier mpl 2 0",
+    "bsd-names": "the names of <8> contributors may not be used to endorse or promote products derived from this software without specific prior written permission",
+    "mit-file": "this <3> is licensed under the mit license",
+    "mit-terms": "this <3> is licensed under the terms of the mit license",
+    "apache-file": "this <3> is licensed under the apache license version 2 0",
+    "apache-title": "apache license version 2 0 january 2004",
+    "gpl2-title": "gnu general public license version 2 june 1991",
+    "gpl3-title": "gnu general public license version 3 29 june 2007",
+    "lgpl21-title": "gnu lesser general public license version 2 1 february 1999",
+    "lgpl3-title": "gnu lesser general public license version 3 29 june 2007",
+    "agpl3-title": "gnu affero general public license version 3 19 november 2007",
+    "mpl2-title": "mozilla public license version 2 0",
+    "epl2-title": "eclipse public license v 2 0",
+    "bsl1-title": "boost software license version 1 0 august 17th 2003",
+    "cc0-title": "cc0 1 0 universal",
+    "unlicense-refer": "for more information please refer to http unlicense org",
+    "unlicense-refer-s": "for more information please refer to https unlicense org",
 }
 #: Licence rules, ordered sequences of sentence identifiers: fixed values. A third field names a licence that, if found too, takes the rule's place.
 RULES = (
@@ -90,13 +102,22 @@ RULES = (
     ("BSL-1.0", ("boost-grant",)),
     ("Zlib", ("zlib-grant",)),
     ("CC0-1.0", ("cc0-dedicated",)),
-    ("MIT", ("spdx-mit",)),
-    ("Apache-2.0", ("spdx-apache",)),
-    ("BSD-2-Clause", ("spdx-bsd2",)),
-    ("BSD-3-Clause", ("spdx-bsd3",)),
-    ("GPL-2.0-only", ("spdx-gpl2",)),
-    ("GPL-3.0-or-later", ("spdx-gpl3",)),
-    ("MPL-2.0", ("spdx-mpl",)),
+    ("BSD-3-Clause", ("bsd-grant", "bsd-source", "bsd-binary", "bsd-names")),
+    ("MIT", ("mit-file",)),
+    ("MIT", ("mit-terms",)),
+    ("Apache-2.0", ("apache-file",)),
+    ("Apache-2.0", ("apache-title",)),
+    ("GPL-2.0", ("gpl2-title",)),
+    ("GPL-3.0", ("gpl3-title",)),
+    ("LGPL-2.1", ("lgpl21-title",)),
+    ("LGPL-3.0", ("lgpl3-title",)),
+    ("AGPL-3.0", ("agpl3-title",)),
+    ("MPL-2.0", ("mpl2-title",)),
+    ("EPL-2.0", ("epl2-title",)),
+    ("BSL-1.0", ("bsl1-title",)),
+    ("CC0-1.0", ("cc0-title",)),
+    ("Unlicense", ("unlicense-refer",)),
+    ("Unlicense", ("unlicense-refer-s",)),
 )
 #: Further identifiers that may stand between those of a rule.
 SPREAD = 8
@@ -104,25 +125,56 @@ SPREAD = 8
 MAX_BYTES = 64 << 20
 _CUT = re.compile(r"(?<=[.;:!?])\s+|\n+")
 _OTHER = re.compile(r"[^a-z0-9]+")
-_END = ""
+_END, _SLOT = "", "<>"
+_SLOTTED = re.compile(r"<(\d+)>")
+#: A line of SPDX: its licences by name, joined by AND, OR and WITH (fixed words), maybe in parentheses.
+_SPDX = re.compile(r"SPDX-License-Identifier:[ \t]*([A-Za-z0-9.+()\- \t]+)", re.I)
+SPDX = "spdx:"
+
+
+def spdx_licences(expression: str) -> list[str]:
+    """The licences of an SPDX expression, in order; one with an exception is named with it. GNU licences without a suffix are `-only`, those with a plus sign `-or-later`."""
+    out: list[str] = []
+    words = re.findall(r"[A-Za-z0-9.+-]+", expression)
+    for before, word in zip(["", *words], words):
+        if word.upper() in ("AND", "OR", "WITH") or not re.search("[A-Za-z0-9]", word):
+            continue
+        if before.upper() == "WITH" and out:
+            out[-1] += f" WITH {word}"
+            continue
+        if out and before.upper() not in ("AND", "OR"):
+            break  # what follows is no part of the expression
+        gnu = re.fullmatch(r"([AL]?GPL-\d\.\d)(\+?)", word, re.I)
+        out.append(gnu[1].upper() + ("-or-later" if gnu[2] else "-only") if gnu else word)
+    return out
 
 
 def normalise(sentence: str) -> str:
     return _OTHER.sub(" ", sentence.lower()).strip()
 
 
+def _words(sentence: str) -> list[str]:
+    """The words of a known sentence, and its slots as they stand."""
+    return [w for k, part in enumerate(_SLOTTED.split(sentence)) for w in (normalise(part).split() if k % 2 == 0 else [f"<{part}>"])]
+
+
 class Rulebook:
     """Sentences as a tree of words, the rules, and a hint: words of which each sentence has one, so that most texts need no cutting."""
 
     def __init__(self, sentences: dict[str, str], rules):
         self.rules = [(name, tuple(ids), less[0] if less else None) for name, ids, *less in rules if ids]
         self.tree: dict = {}
-        known = {i: words for i, words in ((i, normalise(t).split()) for i, t in sentences.items()) if words}
+        known = {i: words for i, words in ((i, _words(t)) for i, t in sentences.items()) if words}
         for name, words in known.items():
             node = self.tree
             for w in words:
-                node = node.setdefault(w, {})
+                if w[0] == "<":  # all slots after the same words share a node, which knows the longest; a word counts how long it is in
+                    node = node.setdefault(_SLOT, {}).setdefault(int(w[1:-1]), {})
+                else:
+                    node = node.setdefault(w, {})
             node.setdefault(_END, []).append(name)
+        known = {i: [w for w in words if w[0] != "<"] for i, words in known.items()}
+        known = {i: words for i, words in known.items() if words}
         amount: dict[str, set[str]] = {}
         for name, words in known.items():
             for w in words:
@@ -132,7 +184,7 @@ class Rulebook:
             best = max(amount, key=lambda w: (len(amount[w] & open_) > 0, min(len(w), 8), len(amount[w] & open_), w))
             hint.append(best)
             open_ -= amount.pop(best)
-        self.hint = re.compile("|".join(map(re.escape, hint)) if hint else r"(?!)", re.I)
+        self.hint = re.compile("|".join(["spdx-license", *map(re.escape, hint)]), re.I)
 
     def identify(self, text: str) -> list[str]:
         """The identifiers of the known sentences of a text, in order of their first words."""
@@ -140,27 +192,54 @@ class Rulebook:
             return []
         out = []
         for block in re.split(r"\n\s*\n", text):
-            if not self.hint.search(block):
-                continue
-            pieces = [p.split() for p in map(normalise, _CUT.split(block)) if p]
-            for i in range(len(pieces)):
-                node, at = self.tree, i
-                while node is not None and at < len(pieces):
-                    for w in pieces[at]:
-                        node = node.get(w)
-                        if node is None:
-                            break
-                    if node is not None:
-                        out += node.get(_END, ())
-                    at += 1
+            if self.hint.search(block):
+                out += self._of(block)
         return out
 
+    def _of(self, block: str) -> list[str]:
+        found: list[tuple[int, int, str]] = []  # where, which of those there, identifier
+        pieces, at = [], 0
+        for cut in [*_CUT.finditer(block), None]:
+            end = cut.start() if cut else len(block)
+            if words := normalise(block[at:end]).split():
+                pieces.append((at, words))
+            at = cut.end() if cut else end
+        for i, (start, _) in enumerate(pieces):
+            states: list[tuple[dict, int, dict]] = [(self.tree, 0, {})]  # a node, or with a number the words left of a slot that leads to it
+            j = i
+            while states and j < len(pieces):
+                for w in pieces[j][1]:
+                    now = []
+                    for node, left, into in states:
+                        if left:
+                            if left > 1:
+                                now.append((node, left - 1, into))
+                            now.append((into, 0, {}))
+                            continue
+                        if w in node:
+                            now.append((node[w], 0, {}))
+                        for most, after in node.get(_SLOT, {}).items():
+                            if most > 1:
+                                now.append((after, most - 1, after))
+                            now.append((after, 0, {}))
+                    states = now
+                    if not states:
+                        break
+                names = [n for node, left, _ in states if not left for n in node.get(_END, ())]
+                found += [(start, len(found) + k, n) for k, n in enumerate(dict.fromkeys(names))]
+                j += 1
+        for line in _SPDX.finditer(block):
+            found += [(line.start(), len(found) + k, SPDX + n) for k, n in enumerate(spdx_licences(line[1]))]
+        return [n for *_, n in sorted(found)]
+
     def licences(self, ids: list[str]) -> list[str]:
         """The licences whose rules match a sequence of identifiers."""
         places: dict[str, list[int]] = {}
         for i, x in enumerate(ids):
             places.setdefault(x, []).append(i)
-        found, less = set(), {}
+        found, less = {x.removeprefix(SPDX) for x in places if x.startswith(SPDX)}, {}
+        for x in found:
+            less[x] = {None}
         for name, rule, other in self.rules:
             now = places.get(rule[0], [])
             for want in rule[1:]:  # places that some place of the identifier before reaches

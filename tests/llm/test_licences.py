@@ -30,6 +30,42 @@ def test_whole_notices_plain_and_in_comments(spark):
     assert {r.doc_id: r.licences for r in got} == {i: n for i, (n, _) in enumerate(rows)}
 
 
+def test_any_organisation_and_expressions(spark):
+    own = [("BSD-3-Clause", BSD3.replace("the copyright holder", who)) for who in ("Example Inc.", "the University of California, Berkeley", "Foo", "Some-Body GmbH & Co. KG")]
+    own += [("BSD-3-Clause", "\n".join("# " + x for x in t.split("\n"))) for _, t in own[:2]]
+    said = {
+        "GPL-2.0": "GPL-2.0-only", "GPL-2.0-or-later": "GPL-2.0-or-later", "gpl-3.0+": "GPL-3.0-or-later", "LGPL-2.1-only": "LGPL-2.1-only", "MIT OR Apache-2.0": "Apache-2.0,MIT", "(MIT AND BSD-2-Clause)": "BSD-2-Clause,MIT", "Apache-2.0 WITH LLVM-exception": "Apache-2.0 WITH LLVM-exception", "0BSD": "0BSD", "LicenseRef-Own": "LicenseRef-Own", "MIT */": "MIT", "Apache-2.0 --> see": "Apache-2.0",
+    }
+    own += [(want, f"{mark} SPDX-License-Identifier: {text}\nint x;\n") for text, want in said.items() for mark in ("//", "#", "/*", "")]
+    own += [("MIT", "This file is licensed under the MIT License."), ("", "Not licensed under the GNU public licence.")]
+    own += [(n, f"{mark}{REAL[k]}\n".replace("\n", f"\n{mark}") + "\n\nPreamble follows.") for mark in ("", "# ") for k, n in (("gpl3-title", "GPL-3.0"), ("apache-title", "Apache-2.0"), ("lgpl21-title", "LGPL-2.1"), ("agpl3-title", "AGPL-3.0"), ("mpl2-title", "MPL-2.0"))]
+    got = {r.doc_id: r.licences for r in licenses.scan(spark.createDataFrame([(i, t) for i, (_, t) in enumerate(own)], "doc_id long, text string")).collect()}
+    assert got == {i: n for i, (n, _) in enumerate(own)}
+    assert licenses.identify("a\n# SPDX-License-Identifier: MIT\nReleased under the MIT License.") == ["spdx:MIT", "mit-released"]
+
+
+def slotted(text, sentences):
+    """brute() where <n> stands for one to n words."""
+    out = []
+    for block in re.split(r"\n\s*\n", text):
+        pieces = [" ".join(re.findall("[a-z0-9]+", p.lower())) for p in re.split(r"(?<=[.;:!?])\s+|\n+", block)]
+        pieces = [p for p in pieces if p]
+        for i in range(len(pieces)):
+            for j in range(i + 1, len(pieces) + 1):
+                here = " ".join(pieces[i:j])
+                out += [(i, j, k) for k, v in sentences.items() if re.fullmatch(re.sub(r"<(\d+)>", lambda m: rf"[a-z0-9]+(?: [a-z0-9]+){{0,{int(m[1]) - 1}}}", v), here)]
+    return sorted(k for *_, k in out)
+
+
+def test_slots_against_brute_force():
+    rnd = random.Random(16)
+    sentences = {"s1": "a <2> b", "s2": "<3> c", "s3": "a <1> <2> a", "s4": "a <4>", "s5": "a b", "s6": "b <2> b <1> c"}
+    book = licenses.Rulebook(sentences, [])
+    for _ in range(400):
+        text = "".join(rnd.choice(["a", "b", "c", "d"]) + rnd.choice([" ", " ", ". ", "\n", "\n\n"]) for _ in range(rnd.randrange(1, 12)))
+        assert sorted(book.identify(text)) == slotted(text, sentences), text
+
+
 def brute(text, sentences):
     """Each known sentence at each run of whole pieces that spells it."""
     out = []

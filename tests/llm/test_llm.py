@@ -423,13 +423,22 @@ REAL = {
     "boost-grant": "Permission is hereby granted, free of charge, to any person or organization\nobtaining a copy of the software and accompanying documentation covered by\nthis license (the \"Software\") to use, reproduce, display, distribute,\nexecute, and transmit the Software, and to prepare derivative works of the\nSoftware, and to permit third-parties to whom the Software is furnished to\ndo so, all subject to the following:",
     "zlib-grant": "Permission is granted to anyone to use this software for any purpose,\nincluding commercial applications, and to alter it and redistribute it\nfreely, subject to the following restrictions:",
     "cc0-dedicated": "To the extent possible under law, the author(s) have dedicated all copyright\nand related and neighboring rights to this software to the public domain\nworldwide.",
-    "spdx-mit": "SPDX-License-Identifier: MIT",
-    "spdx-apache": "SPDX-License-Identifier: Apache-2.0",
-    "spdx-bsd2": "SPDX-License-Identifier: BSD-2-Clause",
-    "spdx-bsd3": "SPDX-License-Identifier: BSD-3-Clause",
-    "spdx-gpl2": "SPDX-License-Identifier: GPL-2.0-only",
-    "spdx-gpl3": "SPDX-License-Identifier: GPL-3.0-or-later",
-    "spdx-mpl": "SPDX-License-Identifier: MPL-2.0",
+    "bsd-names": "The names of its contributors may not be used to endorse or promote\nproducts derived from this software without specific prior written permission.",
+    "mit-file": "This file is licensed under the MIT License.",
+    "mit-terms": "This software library is licensed under the terms of\nthe MIT license.",
+    "apache-file": "This project is licensed under the Apache License, Version 2.0.",
+    "apache-title": "                                 Apache License\n                           Version 2.0, January 2004",
+    "gpl2-title": "GNU GENERAL PUBLIC LICENSE\n   Version 2, June 1991",
+    "gpl3-title": "GNU GENERAL PUBLIC LICENSE\n   Version 3, 29 June 2007",
+    "lgpl21-title": "GNU LESSER GENERAL PUBLIC LICENSE\n   Version 2.1, February 1999",
+    "lgpl3-title": "GNU LESSER GENERAL PUBLIC LICENSE\n   Version 3, 29 June 2007",
+    "agpl3-title": "GNU AFFERO GENERAL PUBLIC LICENSE\n   Version 3, 19 November 2007",
+    "mpl2-title": "Mozilla Public License Version 2.0",
+    "epl2-title": "Eclipse Public License - v 2.0",
+    "bsl1-title": "Boost Software License - Version 1.0 - August 17th, 2003",
+    "cc0-title": "CC0 1.0 Universal",
+    "unlicense-refer": "For more information, please refer to <http://unlicense.org/>",
+    "unlicense-refer-s": "For more information, please refer to <https://unlicense.org>",
 }
 
 
