@@ -124,9 +124,14 @@ def risks(detections: DataFrame, mono: DataFrame, stereo: DataFrame, mode: DataF
 
 
 def board_points(spark, columns: int = 8, rows: int = 8, square_mm: float = 25.0) -> DataFrame:
-    """The board's points in its plane, row by row."""
-    i = F.col("id")
-    return spark.range(columns * rows).select(i.cast("int").alias("corner"), (i % columns * F.lit(square_mm)).alias("x"), (F.floor(i / columns) * F.lit(square_mm)).alias("y"), F.lit(0.0).alias("z"))
+    """The points of one board in its plane, row by row."""
+    return boards_points(spark.createDataFrame([(columns, rows, float(square_mm))], "columns int, rows int, square_mm double"), [])
+
+
+def boards_points(boards: DataFrame, keys: list[str]) -> DataFrame:
+    """Boards (keys..., columns, rows, square_mm) to the points of each in its plane, row by row."""
+    each = boards.where("columns > 0 and rows > 0").select(*keys, "columns", "square_mm", F.explode(F.sequence(F.lit(0), F.expr("columns * rows - 1"))).alias("corner"))
+    return each.select(*keys, "corner", (F.expr("corner % columns") * F.col("square_mm")).alias("x"), (F.expr("corner div columns") * F.col("square_mm")).alias("y"), F.lit(0.0).alias("z"))
 
 
 def orientation(grid: Column, n: int, flip: bool, turns: int) -> Column:

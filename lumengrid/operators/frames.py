@@ -189,34 +189,25 @@ def _maps(r: dict) -> tuple[np.ndarray, np.ndarray]:
     return tuple(np.frombuffer(r[k], dtype="<f4").reshape(r["h"], r["w"]) for k in ("map_x", "map_y"))
 
 
-def valid_masks(maps: DataFrame, width: int, height: int, margin: float) -> DataFrame:
-    """camera_id, h, w, n_valid, mask (packed bits): pixels that lie inside the source by a margin, made where the map lies."""
+def mask_words(maps: DataFrame, width: int, height: int, margin: float) -> DataFrame:
+    """Words (camera_id, y, block, bits; see operators.roi) of the pixels that lie inside the source by a margin, made where the map lies, some rows at a time."""
+    kind = "camera_id string, y int, block int, bits long"
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for i in range(batch.num_rows):
                 r = batch.slice(i, 1).to_pylist()[0]
                 x, y = _maps(r)
-                ok = (x >= margin) & (x <= width - 1 - margin) & (y >= margin) & (y <= height - 1 - margin)
-                yield pa.RecordBatch.from_pydict({"camera_id": [r["camera_id"]], "h": pa.array([r["h"]], pa.int32()), "w": pa.array([r["w"]], pa.int32()), "n_valid": pa.array([int(ok.sum())], pa.int64()), "mask": [np.packbits(ok).tobytes()]})
-
-    return maps.mapInArrow(run, "camera_id string, h int, w int, n_valid long, mask binary")
-
-
-def combined_mask(masks: DataFrame) -> DataFrame:
-    """h, w, mask: the bits that are set in all masks of one size. Tasks combine their own first; what is left is a mask for each task, of one image's size."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: dict = {}
-        for batch in batches:
-            for h, w, bits in zip(*(batch.column(batch.schema.get_field_index(n)).to_pylist() for n in ("h", "w", "mask"))):
-                own = np.frombuffer(bits, dtype=np.uint8)
-                held[h, w] = held[h, w] & own if (h, w) in held else own
-        for (h, w), bits in held.items():
-            yield pa.RecordBatch.from_pydict({"h": pa.array([h], pa.int32()), "w": pa.array([w], pa.int32()), "mask": [bits.tobytes()]})
-
-    kind = "h int, w int, mask binary"
-    return masks.select("h", "w", "mask").mapInArrow(run, kind).repartition(1).mapInArrow(run, kind)
+                blocks = -(-r["w"] // 64)
+                for at in range(0, r["h"], 256):
+                    u, v = x[at : at + 256], y[at : at + 256]
+                    ok = np.zeros((len(u), blocks * 64), dtype=bool)
+                    ok[:, : r["w"]] = (u >= margin) & (u <= width - 1 - margin) & (v >= margin) & (v <= height - 1 - margin)
+                    bits = np.packbits(ok, axis=1, bitorder="little").view("<i8")
+                    rows, places = np.divmod(np.arange(bits.size), blocks)
+                    yield pa.RecordBatch.from_pydict({"camera_id": [r["camera_id"]] * bits.size, "y": pa.array(rows + at, pa.int32()), "block": pa.array(places, pa.int32()), "bits": pa.array(bits.ravel(), pa.int64())})
+
+    return maps.mapInArrow(run, kind)
 
 
 def rim_pixels(maps: DataFrame, crop: dict) -> DataFrame:

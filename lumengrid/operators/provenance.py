@@ -4,7 +4,10 @@ from __future__ import annotations
 
 import hashlib
 import json
+from collections.abc import Iterator
 
+import pyarrow as pa
+from pyarrow import fs
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -27,9 +30,31 @@ def text_signature(text: Column) -> Column:
     return F.substring(F.sha2(text, 256), 1, 16)
 
 
+#: Bytes of a file that are held at a time.
+STEP = 1 << 20
+
+
+def streamed_checksum(path: str) -> tuple[str, int]:
+    """SHA-256 and length of a file, read a step at a time."""
+    store, at = fs.FileSystem.from_uri(path) if ":" in path else (fs.LocalFileSystem(), path)
+    sha, n = hashlib.sha256(), 0
+    with store.open_input_stream(at, compression=None, buffer_size=0) as f:
+        while part := f.read(STEP):
+            sha.update(part)
+            n += len(part)
+    return sha.hexdigest(), n
+
+
 def file_checksums(files: DataFrame) -> DataFrame:
-    """binaryFile rows to path and SHA-256, computed where the file is read."""
-    return files.select("path", F.sha2("content", 256).alias("checksum"))
+    """Files (path) to path, checksum (SHA-256) and length. Tasks stream them, so a file of any size needs little memory; one that can't be read fails the query."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for path in batch.column(0).to_pylist():
+                sha, n = streamed_checksum(path)
+                yield pa.RecordBatch.from_pydict({"path": [path], "checksum": [sha], "length": pa.array([n], pa.int64())})
+
+    return files.select("path").mapInArrow(run, "path string, checksum string, length long")
 
 
 def lut_asset(name: str, path: str, checksum: str, source: str, target: str) -> dict:

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import media
@@ -51,13 +51,29 @@ def with_phases(tasks: DataFrame, offsets: DataFrame, strict: bool = True) -> Da
     return rows.withColumn("phase_offset_ms", F.when(lost, F.raise_error(told).cast("double")).otherwise(F.col("phase_offset_ms")))
 
 
-def frames_in_segments(frames: DataFrame, segments: DataFrame) -> DataFrame:
-    """Frames with start <= t <= end of a segment of their scene. The scene is a hash key, the interval a residual condition; output frames count from 1."""
-    from pyspark.sql import Window
-
-    s = segments.withColumnRenamed("scene", "_scene")
-    hit = frames.join(s, (F.col("scene") == F.col("_scene")) & F.col("t").between(F.col("start"), F.col("end"))).drop("_scene")
-    return hit.withColumn("out_frame", F.row_number().over(Window.partitionBy("scene", "segment_index", "camera_id").orderBy("t", "frame_index")))
+#: Seconds of a time bucket.
+BUCKET = 60.0
+
+
+def frames_in_segments(frames: DataFrame, segments: DataFrame, bucket: float = BUCKET) -> DataFrame:
+    """Frames with start <= t <= end of a segment of their scene; output frames count from 1, by time.
+
+    Scene and time bucket are the hash keys: a segment has a row for each bucket that it reaches into, within the times
+    that its scene has frames of, and a frame lies in one bucket, so a long scene is dealt out and no pair occurs twice.
+    Frames are numbered within their buckets; what earlier buckets hold is added from counts, so no task orders a segment.
+    """
+    keys, place = ["scene", "segment_index", "camera_id"], F.floor(F.col("t") / bucket).cast("long")
+    seen = frames.where("t is not null and not isnan(t)").groupBy("scene").agg(F.min("t").alias("_least"), F.max("t").alias("_most"))
+    clipped = segments.join(seen, "scene").where("start <= _most and end >= _least")
+    first, last = F.floor(F.greatest("start", "_least") / bucket).cast("long"), F.floor(F.least("end", "_most") / bucket).cast("long")
+    s = clipped.where("start <= end").withColumn("_bucket", F.explode(F.sequence(first, last))).drop("_least", "_most").withColumnRenamed("scene", "_scene").withColumnRenamed("_bucket", "_b")
+    timed = frames.withColumn("_bucket", place)
+    hit = timed.join(s, (F.col("scene") == F.col("_scene")) & (F.col("_bucket") == F.col("_b")) & F.col("t").between(F.col("start"), F.col("end"))).drop("_scene", "_b")
+    held = hit.groupBy(*keys, "_bucket").agg(F.count(F.lit(1)).alias("_n"))
+    before = F.coalesce(F.sum("_n").over(Window.partitionBy(*keys).orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    held = held.select(*keys, "_bucket", before.alias("_before"))
+    own = hit.withColumn("_own", F.row_number().over(Window.partitionBy(*keys, "_bucket").orderBy("t", "frame_index")))
+    return own.join(held, [*keys, "_bucket"]).withColumn("out_frame", (F.col("_own") + F.col("_before")).cast("int")).select(*frames.columns, *[c for c in segments.columns if c != "scene"], "out_frame")
 
 
 def keep_incomplete(tasks: DataFrame, inventory: DataFrame, scenes: DataFrame) -> DataFrame:

@@ -116,24 +116,22 @@ def _rect(r) -> dict:
 
 
 def release_region(spark: SparkSession, batch: Batch, scene: str | None = None, profile: str | None = None) -> Tables:
-    """The largest rectangle valid in every view, its 16:9 crop and the crop's margins; the signed document goes to paths.roi_metadata. Each camera's mask is made where its map lies; masks are combined bit by bit, and one image of bits is searched."""
+    """The largest rectangle valid in every view, its 16:9 crop and the crop's margins; the signed document goes to paths.roi_metadata. Each camera's mask is made where its map lies, as words of bits; words are combined by camera, and bands of rows are searched in parallel."""
     folder = batch.required_path("rectification_dir")
     meta = documents.rectification(spark, f"{folder}/rectify_meta.json")
     told = documents.with_image_size(meta, sources.rect_maps(spark, folder)).first()
     width, height = told.image_size
     margin = int(lookup(batch.raw, "roi", "margin_px", default=4))
     maps = sources.rect_maps(spark, folder)
-    masks = frames.valid_masks(maps, width, height, margin).cache()
-    blind = [r.camera_id for r in masks.where("n_valid = 0").orderBy("camera_id").collect()]
+    masks = files.written(frames.mask_words(maps, width, height, margin), "masks")
+    blind = [r.camera_id for r in roi.blind_cameras(masks).orderBy("camera_id").collect()]  # at most 25
     if blind:
         raise ValueError(f"no valid pixel in {', '.join(blind)}")
-    both = frames.combined_mask(masks).first()
-    mask = np.unpackbits(np.frombuffer(both.mask, dtype=np.uint8), count=both.h * both.w).reshape(both.h, both.w).astype(bool)
-    if not mask.any():
+    both = files.written(roi.common_words(masks), "common-mask")
+    box, safe = roi.bounding_box(both).first(), roi.largest_rectangle(both).first()
+    if safe is None or safe.x is None:
         raise ValueError("no pixel is valid in every view")
-    ys, xs = np.flatnonzero(mask.any(axis=1)), np.flatnonzero(mask.any(axis=0))
-    box = {"x": int(xs[0]), "y": int(ys[0]), "width": int(xs[-1] - xs[0] + 1), "height": int(ys[-1] - ys[0] + 1)}
-    safe = dict(zip(("x", "y", "width", "height"), roi.rectangle(mask)))
+    box, safe = _rect(box), _rect(safe)
     safe_column = media.rect(*[F.lit(safe[k]) for k in safe])
     got = spark.range(1).select(media.crop_16_9(safe_column).alias("crop")).select("crop", media.inside(F.col("crop"), safe_column).alias("inside"), media.is_16_9(F.col("crop")).alias("exact")).first()
     if got.crop is None or not (got.inside and got.exact):
@@ -193,7 +191,7 @@ def export(spark: SparkSession, batch: Batch, scene: str | None = None, profile:
     if own.color_standardised:
         text = spark.read.text(lut_path, wholetext=True).first()[0]
         table = frames.parse_cube(text)
-        checksum = provenance.file_checksums(spark.read.format("binaryFile").load(lut_path)).first().checksum
+        checksum = provenance.file_checksums(spark.createDataFrame([(lut_path,)], "path string")).first().checksum
         lut = {"policy_name": "user_lut", **provenance.lut_asset(lut_path.rpartition("/")[2], lut_path, checksum, str(lookup(batch.raw, "export", "source_color", default="log")), str(lookup(batch.raw, "export", "target_color", default="rec709")))}
     root, whole = batch.output_root(own.name)
     folder = root if whole else f"{root}/{own.name}"

@@ -10,7 +10,8 @@ from pyspark.sql import functions as F
 from ..functions import media, stats
 from ..model import PROFILES, REFERENCE, cameras
 from ..operators import calibration, export_qa, provenance, roi, segments, signals, sync
-from ..streaming import watch
+from ..sources import exports, files, tolerant
+from ..streaming import robust, watch
 from . import preflight
 from .proxies import oracle, proxy
 
@@ -37,6 +38,7 @@ def query(sql: str | None = None):
 
 
 GRID = "(SELECT concat('CAM_', substr('ABCDE', CAST(floor(i / 5) AS INT) + 1, 1), CAST(i % 5 + 1 AS VARCHAR)) AS camera_id, CAST(i AS INT) AS view_index FROM range(25) g(i))"
+GRID_CAMERA = "concat('CAM_', substr('ABCDE', CAST(floor({0} / 5) AS INT) + 1, 1), CAST({0} % 5 + 1 AS VARCHAR))"
 SCORED = """(SELECT *, abs(offset_ms) AS abs_offset_ms, abs(offset_ms - scene_median) / greatest(scene_mad * CAST(1.4826 AS DOUBLE), CAST(1e-6 AS DOUBLE)) AS scene_z, abs(offset_ms - camera_median) / greatest(camera_mad * CAST(1.4826 AS DOUBLE), CAST(1e-6 AS DOUBLE)) AS camera_z
  FROM (SELECT *, median(abs(offset_ms - scene_median)) OVER (PARTITION BY scene) AS scene_mad, median(abs(offset_ms - camera_median)) OVER (PARTITION BY camera_id) AS camera_mad
  FROM (SELECT scene, camera_id, view_index, offset_ms, median(offset_ms) OVER (PARTITION BY scene) AS scene_median, median(offset_ms) OVER (PARTITION BY camera_id) AS camera_median FROM @manifest@ m) a) b)"""
@@ -208,9 +210,10 @@ def roi_relative_crops(spark, d):
 
 
 def _maps(spark, rects):
-    grid = F.broadcast(spark.range(48 * 32).selectExpr("cast(id % 48 as int) as x", "cast(floor(id / 48) as int) as y"))
-    s = rects.select("camera_id", "key")
-    return s.join(grid, F.lit(True)).select("camera_id", "y", "x", (F.col("x") + F.col("key") % 5 * 0.75 - 1.5).alias("map_x"), (F.col("y") + F.col("key") % 7 * 0.5 - 1.5).alias("map_y"))
+    """A map of 48 x 32 pixels for each rectangle."""
+    own = rects.select("camera_id", "key", F.explode(F.sequence(F.lit(0), F.lit(48 * 32 - 1))).alias("i"))
+    s = own.select("camera_id", "key", F.expr("cast(i div 48 as int)").alias("y"), F.expr("cast(i % 48 as int)").alias("x"))
+    return s.select("camera_id", "key", "y", "x", (F.col("x") + F.col("key") % 5 * 0.75 - 1.5).alias("map_x"), (F.col("y") + F.col("key") % 7 * 0.5 - 1.5).alias("map_y"))
 
 
 @query("""SELECT CASE WHEN count(*) = 0 OR count_if(black_ratio > 0.01) > 0 THEN 'fail' WHEN count_if(black_ratio <= 0.01 AND near_ratio > 0.03) > 0 THEN 'warning' ELSE 'pass' END AS status, count_if(black_ratio > CAST(0.01 AS DOUBLE)) AS n_fail, count_if(black_ratio <= CAST(0.01 AS DOUBLE) AND near_ratio > CAST(0.03 AS DOUBLE)) AS n_warning FROM @border@ b""")
@@ -252,9 +255,11 @@ def bit_depth(spark, d):
     return v.select("v", media.to_8_bit(F.col("v")).alias("as_8_bit"), media.to_16_bit(F.col("v") % 256).alias("as_16_bit"))
 
 
-@query(f"SELECT camera_id, view_index, 'view_' || lpad(CAST(view_index AS VARCHAR), 2, '0') AS view_id, camera_id AS back FROM {GRID} g")
+@query(f"SELECT s_suppkey, g.camera_id, view_index, 'view_' || lpad(CAST(view_index AS VARCHAR), 2, '0') AS view_id, substr(g.camera_id, 5, 1) AS \"row\", CAST(substr(g.camera_id, 6, 1) AS INT) AS col FROM supplier JOIN {GRID} g ON g.view_index = s_suppkey % 25")
 def camera_grid(spark, d):
-    return cameras(spark).select("camera_id", media.view_index(F.col("camera_id")).alias("view_index"), media.view_id(F.col("camera_id")).alias("view_id"), media.camera_of(F.col("view_index")).alias("back"))
+    """The camera of each supplier, by its place in the grid."""
+    own = spark.read.parquet(f"{d}/supplier.parquet").select("s_suppkey", media.camera_of((F.col("s_suppkey") % 25).cast("int")).alias("camera_id"))
+    return own.join(F.broadcast(cameras(spark)), "camera_id").select("s_suppkey", "camera_id", media.view_index(F.col("camera_id")).alias("view_index"), media.view_id(F.col("camera_id")).alias("view_id"), "row", "col")
 
 
 @query("SELECT p_name, regexp_replace(p_name || '.' || p_size || '.MP4', '(.)\\.[^.]*$', '\\1') AS scene FROM part")
@@ -442,18 +447,46 @@ def calibration_distortion(spark, d):
     return calibration.distortion(spark.read.parquet(f"{d}/embeddings.parquet").select(F.col("vec_id").alias("camera_id"), F.col("embedding").alias("d"))).select(F.col("camera_id").alias("vec_id"), "n", "min", "max", F.round("norm", 6).alias("norm"))
 
 
-@query("SELECT CAST(i AS INT) AS corner, CAST(i % 8 * 25 AS DOUBLE) AS x, CAST(i // 8 * 25 AS DOUBLE) AS y, CAST(0 AS DOUBLE) AS z FROM range(64) g(i)")
+@query("SELECT p_partkey, CAST(i AS INT) AS corner, CAST(i % c * p_size AS DOUBLE) AS x, CAST(i // c * p_size AS DOUBLE) AS y, CAST(0 AS DOUBLE) AS z FROM (SELECT p_partkey, p_size, 3 + p_partkey % 4 AS c, 2 + p_partkey % 3 AS r FROM part), LATERAL (SELECT unnest(range(c * r)) AS i)")
 def calibration_board(spark, d):
-    return calibration.board_points(spark)
+    """The points of a board for each part: its columns, rows and square size vary."""
+    boards = spark.read.parquet(f"{d}/part.parquet").select("p_partkey", (3 + F.col("p_partkey") % 4).cast("int").alias("columns"), (2 + F.col("p_partkey") % 3).cast("int").alias("rows"), F.col("p_size").cast("double").alias("square_mm"))
+    return calibration.boards_points(boards, ["p_partkey"])
 
 
-@query("""SELECT vec_id, list_reduce(list_transform(range(8), lambda i: list_reduce(list_transform(embedding[i * 8 + 1 : i * 8 + 8], lambda x: [x]), lambda a, b: list_concat(b, a))), lambda a, b: list_concat(a, b)) = flip AS mirror_ok, true AS turn_ok
-FROM (SELECT vec_id, embedding, flip FROM embeddings, LATERAL (SELECT list_transform(range(64), lambda j: embedding[j // 8 * 8 + 8 - j % 8]) AS flip))""")
+#: Where a turned board's place (r, c) comes from, for the eight orientations: unmirrored ones turned 0 to 3 times, then mirrored ones.
+TURNED = ["r * 8 + c", "c * 8 + 7 - r", "(7 - r) * 8 + 7 - c", "(7 - c) * 8 + r", "r * 8 + 7 - c", "c * 8 + r", "(7 - r) * 8 + c", "(7 - c) * 8 + 7 - r"]
+
+
+@query("SELECT vec_id, turn, round(sum(embedding[k + 1] * CAST(j + 1 AS DOUBLE)), 5) AS weighted, max(embedding[k + 1]) FILTER (j = 0) AS first, max(embedding[k + 1]) FILTER (j = 8) AS second_row FROM embeddings, (" + " UNION ALL ".join(f"SELECT {t} AS turn, j, {e} AS k FROM (SELECT j, j // 8 AS r, j % 8 AS c FROM range(64) g(j))" for t, e in enumerate(TURNED)) + ") t GROUP BY vec_id, turn")
 def calibration_orientations(spark, d):
-    e = spark.read.parquet(f"{d}/embeddings.parquet").withColumn("o", calibration.orientations(F.col("embedding"), 8))
-    mirror = F.transform(F.sequence(F.lit(0), F.lit(63)), lambda j: F.element_at("embedding", (F.floor(j / 8) * 8 + 8 - j % 8).cast("int")))
-    turned = calibration.orientation(F.col("o")[1], 8, False, 3)
-    return e.select("vec_id", (F.col("o")[4] == mirror).alias("mirror_ok"), (turned == F.col("embedding")).alias("turn_ok"))
+    e = spark.read.parquet(f"{d}/embeddings.parquet").select("vec_id", F.posexplode(calibration.orientations(F.col("embedding"), 8)).alias("turn", "o"))
+    weighted = F.aggregate(F.transform("o", lambda x, j: x.cast("double") * (j + 1)), F.lit(0.0), lambda s, x: s + x)
+    return e.select("vec_id", "turn", F.round(weighted, 5).alias("weighted"), F.col("o")[0].alias("first"), F.col("o")[8].alias("second_row"))
+
+
+# corners from vectors: 4 x 4 boards, some unread, some without a board
+BOARDS = """(SELECT vec_id, 'CAM_' || substr('ABCDE', CAST(vec_id % 25 // 5 AS INT) + 1, 1) || CAST(vec_id % 5 + 1 AS VARCHAR) AS camera_id, CASE WHEN vec_id % 29 = 0 THEN NULL WHEN vec_id % 31 = 0 THEN CAST([] AS DOUBLE[]) ELSE list_transform(embedding[1:32], lambda x: CAST(x AS DOUBLE)) END AS c FROM embeddings)"""
+
+
+def _along(name: str, a: str, b: str) -> str:
+    return f"list_sum(list_transform(range(4), lambda i: c[{b}] - c[{a}])) AS {name}"
+
+
+@query(f"""WITH b AS (SELECT *, {_along("ax", "i * 8 + 1", "i * 8 + 7")}, {_along("ay", "i * 8 + 2", "i * 8 + 8")}, {_along("dx", "i * 2 + 1", "24 + i * 2 + 1")}, {_along("dy", "i * 2 + 2", "24 + i * 2 + 2")} FROM {BOARDS} z),
+ u AS (SELECT *, ax / sqrt(ax * ax + ay * ay) AS x0, ay / sqrt(ax * ax + ay * ay) AS x1, dx / sqrt(dx * dx + dy * dy) AS y0, dy / sqrt(dx * dx + dy * dy) AS y1 FROM b),
+ r AS (SELECT x0 AS r0, x1 AS r1, y0 AS q0, y1 AS q1 FROM u WHERE camera_id = '{REFERENCE}' AND len(c) > 0 ORDER BY vec_id LIMIT 1),
+ m AS (SELECT *, x0 * r0 + x1 * r1 AS xx, x0 * q0 + x1 * q1 AS xy, y0 * r0 + y1 * r1 AS yx, y0 * q0 + y1 * q1 AS yy FROM u, r)
+SELECT camera_id, vec_id AS frame_index, coalesce(len(c), 0) > 0 AS detected, CASE WHEN c IS NULL THEN 'read_failed' WHEN len(c) = 0 THEN 'checkerboard_not_found' END AS reason,
+ CASE WHEN len(c) > 0 THEN round(list_avg(list_transform(range(16), lambda i: c[2 * i + 1])), 6) END AS cx, CASE WHEN len(c) > 0 THEN round(list_avg(list_transform(range(16), lambda i: c[2 * i + 2])), 6) END AS cy,
+ CASE WHEN len(c) > 0 THEN round((list_max(list_transform(range(16), lambda i: c[2 * i + 1])) - list_min(list_transform(range(16), lambda i: c[2 * i + 1]))) * (list_max(list_transform(range(16), lambda i: c[2 * i + 2])) - list_min(list_transform(range(16), lambda i: c[2 * i + 2]))), 6) END AS area,
+ CASE WHEN len(c) > 0 THEN round(greatest(xx + yy, -xx - yy, yy - xx, xx - yy, yx - xy, xy - yx, yx + xy, -yx - xy), 5) END AS score FROM m""")
+def calibration_described(spark, d):
+    c = F.when(F.col("vec_id") % 29 == 0, F.lit(None)).when(F.col("vec_id") % 31 == 0, F.array().cast("array<double>")).otherwise(F.transform(F.slice("embedding", 1, 32), lambda x: x.cast("double")))
+    board = F.flatten(F.transform(F.sequence(F.lit(0), F.lit(15)), lambda i: F.array((i % 4).cast("double"), F.floor(i / 4).cast("double"))))
+    camera = media.camera_of((F.col("vec_id") % 25).cast("int"))
+    found = spark.read.parquet(f"{d}/embeddings.parquet").select(camera.alias("camera_id"), F.col("vec_id").alias("frame_index"), board.alias("board"), c.alias("corners"))
+    return calibration.described(found).withColumns({"cx": F.round("cx", 6), "cy": F.round("cy", 6), "area": F.round("area", 6), "score": F.round("score", 5)})
 
 
 K, R, P = [[1000.0, 0, 320.0], [0, 1010.0, 240.0], [0, 0, 1]], [[1.0, 0.0, 0.01], [0.0, 1.0, -0.02], [-0.01, 0.02, 1.0]], [[900.0, 0, 300.0], [0, 900.0, 200.0], [0, 0, 1]]
@@ -466,12 +499,13 @@ def rectify_points(spark, d):
     return proxy(spark, d, "rects").select("key", u.alias("u2"), v.alias("v2"))
 
 
-@query("""SELECT x, y, CAST(1000.0::DOUBLE * (i / w) + 320.0::DOUBLE AS FLOAT) AS map_x, CAST(1010.0::DOUBLE * (j / w) + 240.0::DOUBLE AS FLOAT) AS map_y FROM (SELECT x, y, 1.0::DOUBLE * a + 0.0::DOUBLE * b + (-0.01)::DOUBLE AS i, 0.0::DOUBLE * a + 1.0::DOUBLE * b + 0.02::DOUBLE AS j, 0.01::DOUBLE * a + (-0.02)::DOUBLE * b + 1.0::DOUBLE AS w
-FROM (SELECT CAST(n % 64 AS INT) AS x, CAST(n // 64 AS INT) AS y, (n % 64 - 300.0::DOUBLE) / 900.0::DOUBLE AS a, (n // 64 - 200.0::DOUBLE) / 900.0::DOUBLE AS b FROM range(2304) g(n)))""")
+@query("""SELECT l_orderkey, l_linenumber, CAST(1000.0::DOUBLE * (i / w) + 320.0::DOUBLE AS FLOAT) AS map_x, CAST(1010.0::DOUBLE * (j / w) + 240.0::DOUBLE AS FLOAT) AS map_y FROM (SELECT l_orderkey, l_linenumber, 1.0::DOUBLE * a + 0.0::DOUBLE * b + (-0.01)::DOUBLE AS i, 0.0::DOUBLE * a + 1.0::DOUBLE * b + 0.02::DOUBLE AS j, 0.01::DOUBLE * a + (-0.02)::DOUBLE * b + 1.0::DOUBLE AS w
+FROM (SELECT l_orderkey, l_linenumber, (l_partkey % 640 - 300.0::DOUBLE) / 900.0::DOUBLE AS a, (l_suppkey % 480 - 200.0::DOUBLE) / 900.0::DOUBLE AS b FROM lineitem))""")
 def rectify_map(spark, d):
-    grid = spark.range(2304).selectExpr("cast(id % 64 as int) as x", "cast(floor(id / 64) as int) as y")
+    """The source pixel of an output pixel for each line item."""
+    rows = spark.read.parquet(f"{d}/lineitem.parquet").selectExpr("l_orderkey", "l_linenumber", "cast(l_partkey % 640 as int) as x", "cast(l_suppkey % 480 as int) as y")
     mx, my = calibration.rectify_map(F.col("x"), F.col("y"), K, R, P)
-    return grid.select("x", "y", mx.alias("map_x"), my.alias("map_y"))
+    return rows.select("l_orderkey", "l_linenumber", mx.alias("map_x"), my.alias("map_y"))
 
 
 @query("""SELECT key, 1000.0::DOUBLE * s AS fx, (320.0::DOUBLE - x) * s AS cx, s AS scale FROM (SELECT key, x, least(3840.0::DOUBLE / w, 2160.0::DOUBLE / h) AS s FROM @rects@ r)""")
@@ -552,6 +586,32 @@ def preflight_manifest(spark, d):
     return preflight.manifest_errors(_raw_offsets(spark, d))
 
 
+@query("""WITH r AS (SELECT CAST(user_id % 25 AS VARCHAR) AS key, round(value * 4) AS v FROM events WHERE value IS NOT NULL), m AS (SELECT key, median(v) AS median, count(*) AS n, min(v) AS least, max(v) AS most FROM r GROUP BY key)
+SELECT key, n, m.median, median(abs(v - m.median)) AS mad, least, most FROM r JOIN m USING (key) GROUP BY key, n, m.median, least, most""")
+def offsets_incremental(spark, d):
+    """Events as a stream in several micro-batches; the figures of each camera after the last one."""
+    rows = spark.read.parquet(f"{d}/events.parquet").select((F.col("user_id") % 25).alias("camera"), F.round(F.col("value") * 4).alias("offset_ms"))
+    root = files.folder(spark, "offsets")
+    rows.repartition(3, F.hash("camera", "offset_ms")).write.parquet(f"{root}/in")
+    stream = spark.readStream.schema(rows.schema).option("maxFilesPerTrigger", 1).parquet(f"{root}/in")
+    query_ = robust.keep_figures(stream, "camera", f"{root}/table", f"{root}/check")
+    query_.awaitTermination()
+    return robust.latest(spark, f"{root}/table")
+
+
+@query("SELECT scene || '.mp4' AS video, camera_id, TRY_CAST(offset_text AS DOUBLE) AS offset_ms, CASE WHEN TRY_CAST(offset_text AS DOUBLE) IS NULL THEN 'not double' END AS reason FROM @raw_manifest@ r")
+def manifest_scan(spark, d):
+    """A JSON document for each scene, whose offsets are scanned with a fault for each that is no number."""
+    entry = F.struct("camera_id", F.struct(F.col("offset_text").alias("offset_ms")).alias("o"))
+    docs = proxy(spark, d, "raw_manifest").groupBy("scene").agg(F.map_from_entries(F.collect_list(entry)).alias("offsets"))
+    text = F.to_json(F.map_from_arrays(F.array(F.concat("scene", F.lit(".mp4"))), F.array(F.struct(F.lit(1.5).alias("master_clap_time"), "offsets"))))
+    root = files.folder(spark, "manifests")
+    docs.select(F.col("scene").alias("part"), text.alias("value")).write.partitionBy("part").text(root)
+    rows, faults = tolerant.manifest(spark, f"{root}/*/*.txt")
+    told = F.concat(F.lit('$["'), F.col("video"), F.lit('"]["offsets"]["'), F.col("camera_id"), F.lit('"]["offset_ms"]'))
+    return rows.withColumn("path", told).join(faults.select("path", "reason"), "path", "left").select("video", "camera_id", "offset_ms", "reason")
+
+
 @query("SELECT date_trunc('hour', ts) AS hour, event_type, count(*) AS n FROM events GROUP BY 1, 2")
 def event_windows(spark, d):
     rates = watch.event_rates(spark.read.parquet(f"{d}/events.parquet"))
@@ -576,7 +636,7 @@ def roi_common_mask(spark, d):
 
 @query(f"SELECT min(x) AS x, min(y) AS y, max(x) + 1 - min(x) AS width, max(y) + 1 - min(y) AS height FROM {MASK} m WHERE ok")
 def roi_bounding_box(spark, d):
-    return roi.bounding_box(roi.common_mask(_pixels(spark, d), 48, 32, 2))
+    return roi.bounding_box(roi.common_words(roi.words(_pixels(spark, d), 48, 32, 2)))
 
 
 @query(f"""SELECT camera_id, edge, min(least(map_x, map_y, 47 - map_x, 31 - map_y)) AS min_margin FROM {PIXELS} p JOIN (VALUES ('top'), ('bottom'), ('left'), ('right')) e(edge) ON
@@ -587,15 +647,16 @@ def roi_crop_margins(spark, d):
 
 @query(f"""WITH m AS MATERIALIZED (SELECT * FROM {MASK}), t AS (SELECT a.x AS x0, b.x AS x1, y FROM (SELECT DISTINCT x FROM m) a JOIN (SELECT DISTINCT x FROM m) b ON a.x <= b.x CROSS JOIN (SELECT DISTINCT y FROM m) c),
  f AS (SELECT t.x0, t.x1, t.y FROM t JOIN m ON m.y = t.y AND m.x BETWEEN t.x0 AND t.x1 GROUP BY ALL HAVING bool_and(ok)),
- g AS (SELECT x0, x1, y - row_number() OVER (PARTITION BY x0, x1 ORDER BY y) AS i, y FROM f) SELECT CAST(max(area) AS BIGINT) AS area FROM (SELECT (x1 - x0 + 1) * count(*) AS area FROM g GROUP BY x0, x1, i)""")
+ g AS (SELECT x0, x1, y - row_number() OVER (PARTITION BY x0, x1 ORDER BY y) AS i, y FROM f) SELECT x0 AS x, CAST(min(y) AS INT) AS y, x1 - x0 + 1 AS width, CAST(count(*) AS INT) AS height FROM g GROUP BY x0, x1, i ORDER BY (x1 - x0 + 1) * count(*) DESC, max(y), x1, count(*) DESC LIMIT 1""")
 def roi_largest_rectangle(spark, d):
-    mask = roi.common_mask(_pixels(spark, d), 48, 32, 2).withColumn("key", F.lit("all"))
-    return roi.largest_rectangle(roi.packed_masks(mask)).select((F.col("rect.width") * F.col("rect.height")).cast("long").alias("area"))
+    return roi.largest_rectangle(roi.common_words(roi.words(_pixels(spark, d), 48, 32, 2)))
 
 
 @query(f"SELECT camera_id FROM {PIXELS} p GROUP BY camera_id HAVING NOT bool_or(map_x + CAST(substr(camera_id, 6, 1) AS INT) % 3 * 60 BETWEEN 2 AND 45 AND map_y BETWEEN 2 AND 29)")
 def roi_blind_cameras(spark, d):
-    return roi.blind_cameras(_pixels(spark, d).withColumn("map_x", F.col("map_x") + F.substring("camera_id", 6, 1).cast("int") % 3 * 60), 48, 32, 2)
+    shifted = _pixels(spark, d).withColumn("map_x", F.col("map_x") + F.substring("camera_id", 6, 1).cast("int") % 3 * 60)
+    each = roi.words(shifted.withColumn("camera_id", F.concat_ws("/", "camera_id", "key")), 48, 32, 2)  # a camera may have several maps here
+    return roi.blind_cameras(each.withColumn("camera_id", F.substring_index("camera_id", "/", 1)))
 
 
 # two cameras see nothing, the rest of their row little
@@ -650,6 +711,51 @@ def adaptive_samples(spark, d):
     return export_qa.adaptive(b, export_qa.sampling_plan(views, 3), export_qa.sampling_plan(views, 9)).select("scene", "camera_id", "frame_index", "upgraded")
 
 
+@query(f"""WITH b AS (SELECT * FROM {SHADED}), odd AS (SELECT DISTINCT scene FROM b WHERE frame_index IN {PLAN3} AND (black_run >= 3 OR near_run >= 3 OR near_ratio > CAST(0.03 AS DOUBLE)))
+SELECT scene, scene IN (SELECT scene FROM odd) AS upgraded, count(*) AS n_samples, count_if(frame_index IN {PLAN3}) AS n_first FROM b WHERE CASE WHEN scene IN (SELECT scene FROM odd) THEN frame_index IN {PLAN9} ELSE frame_index IN {PLAN3} END GROUP BY scene""")
+def adaptive_reads(spark, d):
+    """The samples of two phases, where only the frames of a plan are read; how many, and how many of them the first phase read."""
+    b = _shaded(spark, d)
+    views = b.select("scene", "camera_id").distinct().withColumn("frame_files", F.lit(12))
+    keys = ["scene", "camera_id", "frame_index"]
+    taken, _ = export_qa.adaptive_in_phases(lambda plan: b.join(plan.select(*keys), keys, "left_semi"), views, files.written)
+    early = export_qa.sampling_plan(views, 3).select(*keys, F.lit(True).alias("_early"))
+    return taken.join(early, keys, "left").groupBy("scene", "upgraded").agg(F.count(F.lit(1)).alias("n_samples"), F.count("_early").alias("n_first"))
+
+
+@query("SELECT CAST(p_partkey % 50 AS INT) AS part, sha256(string_agg(p_partkey || ':' || p_name || chr(10), '' ORDER BY p_partkey)) AS checksum, CAST(sum(strlen(p_partkey || ':' || p_name || chr(10))) AS BIGINT) AS length FROM part GROUP BY ALL")
+def streamed_checksums(spark, d):
+    """Parts as files of lines, and the checksums of these, streamed by tasks."""
+    rows = spark.read.parquet(f"{d}/part.parquet").select((F.col("p_partkey") % 50).cast("int").alias("part"), "p_partkey", F.concat_ws(":", F.col("p_partkey").cast("string"), "p_name").alias("line"))
+    root = files.folder(spark, "parts")
+    rows.repartition("part").sortWithinPartitions("part", "p_partkey").select("part", "line").write.partitionBy("part").text(root)
+    listed = spark.read.format("binaryFile").option("recursiveFileLookup", True).option("pathGlobFilter", "*.txt").load(root).select("path")
+    told = provenance.file_checksums(listed.repartition(spark.sparkContext.defaultParallelism))
+    return told.select(F.regexp_extract("path", r"/part=(\d+)/", 1).cast("int").alias("part"), "checksum", "length")
+
+
+FILES = "(SELECT CAST(s_suppkey // 100 AS VARCHAR) AS scene, CAST(s_suppkey % 25 AS INT) AS v, CAST(s_suppkey % 100 // 25 AS INT) AS f, CAST(floor(abs(s_acctbal)) AS INT) % 200 + 20 AS b FROM supplier)"
+
+
+@query(f"""SELECT scene, {GRID_CAMERA.format('v')} AS camera_id, CAST(n - 1 AS INT) AS frame_index, b AS blue, b // 2 AS green, CAST(count_all AS INT) AS frame_files FROM
+ (SELECT *, row_number() OVER (PARTITION BY scene, v ORDER BY f) AS n, count(*) OVER (PARTITION BY scene, v) AS count_all FROM {FILES} x) WHERE n IN (1, count_all)""")
+def exported_files(spark, d):
+    """A frame for each supplier goes through the sink of two phases to files; these are listed by tasks, and of each view the first and the last one are opened."""
+    rows = spark.read.parquet(f"{d}/supplier.parquet").selectExpr("cast(s_suppkey div 100 as string) as scene", "s_suppkey", "cast(floor(abs(s_acctbal)) as int) % 200 + 20 as b")
+    pixel = F.unhex(F.format_string("%02x%02x%02x", "b", F.expr("b div 2"), F.lit(7)))
+    made = rows.select("scene", F.format_string("view_%02d", (F.col("s_suppkey") % 25).cast("int")).alias("view_id"), F.expr("cast(s_suppkey % 100 div 25 + 1 as int)").alias("number"), F.lit(3).alias("h"), F.lit(4).alias("w"), F.expr("cast(null as binary)").alias("data"), pixel.alias("_p"))
+    made = made.withColumn("data", F.concat(*[F.col("_p")] * 12)).drop("_p")
+    root = files.folder(spark, "exported")
+    exports.publish(root, "q", exports.write_frames(made, root, "q")).count()
+    listed = files.written(exports.listing(spark, root), "listing")
+    views = exports.inventory(listed).where("frame_files > 0").select("scene", "camera_id", "frame_files")
+    keys = ["scene", "camera_id", "frame_index"]
+    plan = export_qa.sampling_plan(views, 2).join(exports.frame_names(listed), keys)
+    got = exports.opened(spark, root, plan).where("reason is null").join(views, ["scene", "camera_id"])
+    at = lambda i: F.conv(F.hex(F.substring("data", i, 1)), 16, 10).cast("int")
+    return got.select(*keys, at(1).alias("blue"), at(2).alias("green"), "frame_files")
+
+
 NAMED = "CASE WHEN key % 9 = 0 THEN 'CAM_X1' WHEN camera_id IN ('CAM_B4', 'CAM_C2') THEN 'CAM_X2' ELSE camera_id END"
 
 

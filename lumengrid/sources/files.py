@@ -41,13 +41,12 @@ def write_json(spark: SparkSession, path: str, document, backup: bool = False) -
     out.close()
 
 
-#: Tables that written() made in this process.
+#: What folder() named in this process.
 _MADE: list[str] = []
 
 
-def written(df: DataFrame, name: str) -> DataFrame:
-    """df, written to the folder that all executors share (spark.checkpoint.dir; a temporary one in local mode if unset) and read back: computed once, and not again when an executor is lost. clear() deletes it."""
-    spark = df.sparkSession
+def folder(spark: SparkSession, name: str) -> str:
+    """A new folder's URI in the one that all executors share (spark.checkpoint.dir; a temporary one in local mode if unset). clear() deletes it."""
     sc = spark.sparkContext
     shared = sc.getConf().get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
     if not shared:
@@ -55,14 +54,19 @@ def written(df: DataFrame, name: str) -> DataFrame:
             raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         shared = "file://" + tempfile.mkdtemp(prefix="spark-shared-")
         sc.setCheckpointDir(shared)
-    path = f"{shared.rstrip('/')}/{name}-{uuid.uuid4().hex}"
-    _MADE.append(path)
+    _MADE.append(f"{shared.rstrip('/')}/{name}-{uuid.uuid4().hex}")
+    return _MADE[-1]
+
+
+def written(df: DataFrame, name: str) -> DataFrame:
+    """df, written to a shared folder and read back: computed once, and not again when an executor is lost."""
+    path = folder(df.sparkSession, name)
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
 def clear(spark: SparkSession) -> None:
-    """Delete what written() made; for when results have been written or shown."""
+    """Delete what folder() and written() made; for when results have been written or shown."""
     while _MADE:
         store, p = _at(spark, _MADE.pop())
         store.delete(p, True)

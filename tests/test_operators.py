@@ -324,3 +324,54 @@ def test_streaming(spark, tmp_path):
     assert [(r.scene, r.level) for r in got] == [("0002", "abs_fail")]
     watch.keep_table(watch.absolute_alerts(watch.manifest_stream(spark, str(folder))), str(tmp_path / "alerts"), str(tmp_path / "cp")).awaitTermination(60)
     assert spark.read.parquet(str(tmp_path / "alerts")).count() == 1
+
+
+def told(faults):
+    return {(r.path, r.reason) for r in faults.collect()}
+
+
+def test_tolerant_documents(spark, tmp_path):
+    from lumengrid.sources import tolerant
+
+    def put(name, *docs):
+        folder = tmp_path / name
+        folder.mkdir()
+        for i, d in enumerate(docs):
+            (folder / f"{i}.json").write_text(d if isinstance(d, str) else json.dumps(d))
+        return str(folder)
+
+    path = put("m", "﻿" + json.dumps({"0001.mp4": {"master_clap_time": 1, "offsets": {"CAM_A1": {"offset_ms": 5, "frame_shift": 1}, "CAM_A2": {"offset_ms": "n/a"}, "CAM_A3": 7, "CAM_A4": {"offset_ms": "6.5", "frame_shift": "x"}, "CAM_A5": {"offset_ms": "NaN"}, "CAM_B1": {"offset_ms": None}}}, "0002.mp4": {"offsets": [1]}, "0003.mp4": 3}), "{torn", "[1]")
+    rows, faults = tolerant.manifest(spark, path)
+    got = {r.camera_id: (r.video, r.master_clap_time, r.offset_ms, r.frame_shift) for r in rows.collect()}
+    assert got["CAM_A1"] == ("0001.mp4", 1.0, 5.0, 1) and got["CAM_A4"] == ("0001.mp4", 1.0, 6.5, None) and got["CAM_A2"][2] is None and len(got) == 6
+    one = '$["0001.mp4"]["offsets"]'
+    assert told(faults) == {("$", "not JSON"), ("$", "not an object"), (one + '["CAM_A2"]["offset_ms"]', "not double"), (one + '["CAM_A3"]["offset_ms"]', "missing"), (one + '["CAM_A4"]["frame_shift"]', "not int"), (one + '["CAM_A5"]["offset_ms"]', "not finite"), (one + '["CAM_B1"]["offset_ms"]', "missing"), ('$["0002.mp4"]["master_clap_time"]', "missing"), ('$["0002.mp4"]["offsets"]', "not an object"), ('$["0003.mp4"]["master_clap_time"]', "missing"), ('$["0003.mp4"]["offsets"]', "not an object")}
+    assert {r.file.rsplit("/", 1)[-1] for r in faults.collect()} == {"0.json", "1.json", "2.json"}
+
+    path = put("t", {"b": {"s1": "del", "s2": [0, 2.5], "s3": [[0, 1], [3, 2], [4, 5], ["x", 1], [7]], "s4": 5, "s5": "later", "s6": []}, "other": {"s9": [0, 1]}}, "no")
+    rows, faults = tolerant.time_segments(spark, path, "b")
+    assert {(r.scene, r.segment_index, r.segment_count, r.start, r.end) for r in rows.collect()} == {("s2", 0, 1, 0.0, 2.5), ("s3", 0, 5, 0.0, 1.0), ("s3", 2, 5, 4.0, 5.0)}
+    assert told(faults) >= {("$", "not JSON"), ('$["b"]["s3"][1]', "not a rising pair"), ('$["b"]["s3"][3]', "not a rising pair"), ('$["b"]["s3"][4]', "not a rising pair"), ('$["b"]["s4"]', "not a list of segments"), ('$["b"]["s5"]', "not a list of segments")}
+
+    eye = [[1, 0, 0], [0, 1, 0], [0, 0, 1]]
+    path = put("c", {"CAM_A1": {"K": eye, "D": [[0, 0]], "R_rel": eye, "T_rel": [1, 2, 3]}, "CAM_A2": {"K": eye[:2], "R_rel": "x", "T_rel": [1, 2]}})
+    rows, faults = tolerant.calibration(spark, path)
+    got = {r.camera_id: r for r in rows.collect()}
+    assert got["CAM_A1"].K == eye and got["CAM_A1"].D == [0, 0] and got["CAM_A1"].T_rel == [1, 2, 3] and got["CAM_A2"].K is None
+    assert told(faults) == {('$["CAM_A2"]["K"]', "not 3 x 3"), ('$["CAM_A2"]["R_rel"]', "not array<array<double>>"), ('$["CAM_A2"]["T_rel"]', "not 3")}
+
+    path = put("r", {"schema_version": "rectification_meta_v2", "image_size": [64, 36], "rectification_asset_version": "v", "cameras": {"CAM_A1": {"map_file": "a.npz", "new_K": eye}, "CAM_A2": {"new_K": eye}}}, {"CAM_B1": {"map_file": "b.npz", "new_K": eye, "image_size": [1, 2]}, "CAM_B2": {"map_file": 5, "new_K": eye, "image_size": [1]}})
+    rows, faults = tolerant.rectification(spark, path)
+    got = {r.camera_id: (r.schema_version, r.map_file, r.image_size, r.asset_version) for r in rows.collect()}
+    assert got["CAM_A1"] == ("rectification_meta_v2", "a.npz", [64, 36], "v") and got["CAM_B1"] == ("rectification_meta_v1_legacy", "b.npz", [1, 2], None)
+    assert told(faults) == {('$["cameras"]["CAM_A2"]["map_file"]', "missing"), ('$["CAM_B2"]["image_size"]', "not 2")}
+
+    rect = {"x": 1, "y": 2, "width": 3, "height": 4}
+    first = {"rectification_asset_version": "v", "common_valid_roi": rect, "final_release_crop_16_9": rect}
+    path = put("g", first, {**first, "schema_version": "release_roi_metadata_v2"}, {**first, "schema_version": "release_roi_metadata_v9"}, {"safe_rect_roi": rect, "final_release_crop_16_9": {"x": "far"}})
+    rows, faults = tolerant.region(spark, path)
+    got = {r.file[-6]: r for r in rows.collect()}
+    assert set(got) == {"0", "1", "3"} and tuple(got["0"].safe_rect_roi) == tuple(got["3"].common_valid_roi) == (1, 2, 3, 4)
+    reasons = {(r.file[-6], r.path, r.reason) for r in faults.collect()}
+    assert reasons >= {("1", '$["roi_asset_version"]', "missing"), ("1", '$["safe_rect_roi"]', "missing"), ("2", '$["schema_version"]', "unknown version"), ("3", '$["rectification_asset_version"]', "missing")} and not any(f == "0" for f, *_ in reasons)
+    assert any(f == "3" and p == '$["final_release_crop_16_9"]' for f, p, _ in reasons)

@@ -60,9 +60,10 @@ def test_matrices_and_masks(spark):
     x, y = frames.rectification_map(K, np.eye(3), K, W, H)
     assert np.abs(x - np.arange(W)).max() < 1e-4 and np.abs(y - np.arange(H)[:, None]).max() < 1e-4
     maps = spark.createDataFrame([(c, H, W, (x + i).astype("<f4").tobytes(), y.astype("<f4").tobytes()) for i, c in enumerate(CAMERAS[:5])], SCHEMAS["rect_map"]).repartition(3)
-    both = frames.combined_mask(frames.valid_masks(maps, W, H, 2)).first()
-    mask = np.unpackbits(np.frombuffer(both.mask, np.uint8), count=W * H).reshape(H, W).astype(bool)
-    assert roi.rectangle(mask) == (2, 2, W - 4 - 4, H - 4)
+    masks = frames.mask_words(maps, W, H, 2)
+    both = roi.common_words(masks)
+    assert tuple(roi.bounding_box(both).first()) == tuple(roi.largest_rectangle(both).first()) == (2, 2, W - 4 - 4, H - 4)
+    assert roi.blind_cameras(masks).count() == 0 and roi.blind_cameras(frames.mask_words(maps, 4, 4, 2)).count() == 5
     crop = {"x": 4, "y": 4, "width": 16, "height": 9}
     rim = frames.rim_pixels(maps.where("camera_id = 'CAM_A1'"), crop).collect()
     assert len(rim) == 2 * 16 + 2 * 9 - 4 and {(r.x, r.y) for r in rim if r.y == 4} == {(v, 4) for v in range(4, 20)}
