@@ -150,6 +150,43 @@ def worst_of_batch(worst: DataFrame, n: int = 20) -> DataFrame:
     return worst.orderBy(F.desc("black_ratio"), F.desc("near_ratio"), "scene", "camera_id", "frame_index").limit(n)
 
 
+#: What a scene's status rests on, by the first of these that holds.
+SUMMARIES = ("structural faults, not sampled", "black borders", "suspicious borders after more samples", "suspicious borders", "epipolar warnings only", "sound")
+
+
+def scene_reports(whole: DataFrame, scenes: DataFrame, taken: DataFrame, warnings: DataFrame, status: DataFrame, limits: Limits = LIMITS) -> DataFrame:
+    """A report per scene: status, summary, scene_errors, sampling_plan, suspicious_reasons, epipolar_warnings, views with their samples, and the worst cameras. A scene has 25 views and a few samples of each, so a report's size is bounded.
+
+    whole: the full inventory; scenes: structure(); taken: samples, with edge_runs (edge to longest black run) if edges
+    are to be told; warnings: epipolar_warnings(); status: classify().
+    """
+    keys = ["scene", "camera_id", "frame_index"]
+    flagged = border_flags(taken, limits)
+    edges = taken.select(*keys, F.explode("edge_runs").alias("edge", "black_run")) if "edge_runs" in taken.columns else taken.select(*keys, F.lit("").alias("edge"), F.lit(0).cast("long").alias("black_run")).where("false")
+    reasons = capped_reasons(border_reasons(taken, edges, keys, limits))
+    listed = lambda *cols: F.array_sort(F.collect_list(F.struct(*cols)))
+    told = reasons.groupBy("scene").agg(listed(media.view_index(F.col("camera_id")).alias("_v"), "camera_id", "frame_index", "reason").alias("r")).select("scene", F.transform("r", lambda x: F.struct(x["camera_id"].alias("camera_id"), x["frame_index"].alias("frame_index"), x["reason"].alias("reason"))).alias("suspicious_reasons"))
+    odd = warnings.groupBy("scene").agg(listed("rank", "camera_id", "frame_index", "mean").alias("epipolar_warnings")) if "rank" in warnings.columns else None
+    plan = taken.groupBy("scene").agg(F.array_sort(F.collect_set("frame_index")).alias("sample_frame_indices"), F.bool_or("upgraded").alias("upgraded"))
+    plan = plan.select("scene", F.struct(F.lit(limits.samples).alias("initial_sample_count"), F.size("sample_frame_indices").alias("final_sample_count"), "upgraded", "sample_frame_indices").alias("sampling_plan"), "upgraded")
+    per_view = flagged.groupBy("scene", "camera_id").agg(listed("frame_index", "black_ratio", "near_ratio", "black_run", "near_run", "blocking").alias("border_samples"))
+    views = whole.select("scene", "camera_id", "frame_files", "width", "height").join(per_view, ["scene", "camera_id"], "left")
+    views = views.groupBy("scene").agg(F.map_from_entries(listed("camera_id", F.struct(F.col("frame_files").alias("frame_count"), F.array("width", "height").alias("output_resolution"), F.coalesce("border_samples", F.array()).alias("border_samples")).alias("v"))).alias("views"))
+    worst = worst_samples(taken, 10, limits).groupBy("scene").agg(listed("rank", "camera_id", "frame_index", "black_ratio", "near_ratio").alias("border_worst_cameras"))
+    faults = F.array_compact(F.array(*[F.when(F.col(c) != "", F.concat(F.lit(c + ": "), F.col(c))) for c in ("missing_view_dirs", "in_progress_markers", "missing_view_metadata", "empty_views")], F.when(~F.col("resolution_consistent"), F.lit("resolutions differ")), F.when(~F.col("frame_count_consistent"), F.lit("frame counts differ"))))
+    if "other_faults" in scenes.columns:
+        faults = F.concat(faults, F.filter(F.split("other_faults", ","), lambda x: x != ""))
+    rows = scenes.select("scene", "n_errors", "resolution_consistent", "frame_count_consistent", faults.alias("scene_errors")).join(status, "scene")
+    for part in (plan, told, views, worst, flagged.groupBy("scene").agg(F.bool_or("blocking").alias("_block"))):
+        rows = rows.join(part, "scene", "left")
+    none = "array<struct<rank:int,camera_id:string,frame_index:int,mean:double>>"
+    rows = rows.withColumn("epipolar_warnings", F.array().cast(none)) if odd is None else rows.join(odd, "scene", "left")
+    yes = lambda c: F.coalesce(F.col(c), F.lit(False))
+    some = F.size(F.coalesce("suspicious_reasons", F.array())) > 0
+    summary = F.when(F.col("n_errors") > 0, SUMMARIES[0]).when(yes("_block"), SUMMARIES[1]).when(some & yes("upgraded"), SUMMARIES[2]).when(some, SUMMARIES[3]).when(F.col("status") == "warning", SUMMARIES[4]).otherwise(SUMMARIES[5])
+    return rows.select("scene", "status", summary.alias("summary"), "scene_errors", "sampling_plan", F.coalesce("suspicious_reasons", F.array()).alias("suspicious_reasons"), F.coalesce("epipolar_warnings", F.array()).alias("epipolar_warnings"), "views", F.coalesce("border_worst_cameras", F.array()).alias("border_worst_cameras"), "resolution_consistent", "frame_count_consistent")
+
+
 def batch_summary(status: DataFrame, samples: DataFrame) -> DataFrame:
     """One row: scenes and scenes of each status, those to review (warning or fail) in order, and those whose sampling was upgraded. Scenes are names of one batch."""
     up = samples.where("upgraded").select("scene").distinct().withColumn("_up", F.lit(True))

@@ -24,7 +24,9 @@ def border_figures(images: DataFrame, limits, keep=lambda df, name: df) -> DataF
     lines = keep(frames.border_lines(images, limits.black, limits.near_black, limits.band_px), "border-lines")
     strip = lambda c, name: export_qa.strip_stats(lines.withColumn("ratio", F.col(c)), [*keys, "edge"], limits).groupBy(*keys).agg(F.max("longest_run").alias(name))
     rim = lines.where(F.when(F.col("edge").isin("top", "left"), F.col("line") == 0).otherwise(F.col("line") == limits.band_px - 1))
-    return export_qa.overall_ratios(rim, keys).join(strip("black_ratio", "black_run"), keys).join(strip("near_ratio", "near_run"), keys)
+    black = export_qa.strip_stats(lines.withColumn("ratio", F.col("black_ratio")), [*keys, "edge"], limits)
+    black = black.groupBy(*keys).agg(F.max("longest_run").alias("black_run"), F.map_from_entries(F.array_sort(F.collect_list(F.struct("edge", "longest_run")))).alias("edge_runs"))  # four edges
+    return export_qa.overall_ratios(rim, keys).join(black, keys).join(strip("near_ratio", "near_run"), keys)
 
 
 def export_check(inventory: DataFrame, images: DataFrame, batch: Batch, points: DataFrame | None = None, faults: DataFrame | None = None) -> dict[str, DataFrame]:
@@ -33,7 +35,7 @@ def export_check(inventory: DataFrame, images: DataFrame, batch: Batch, points:
     whole = export_qa.full_inventory(inventory)
     views = whole.where("frame_files > 0").select("scene", "camera_id", "frame_files")
     taken = export_qa.adaptive(border_figures(images, limits), export_qa.sampling_plan(views, limits.samples), export_qa.sampling_plan(views, limits.upgraded_samples), limits)
-    return checked(scene_faults(whole, faults), taken, batch, points)
+    return checked(whole, scene_faults(whole, faults), taken, batch, points)
 
 
 def scene_faults(whole: DataFrame, faults: DataFrame | None = None) -> DataFrame:
@@ -45,8 +47,8 @@ def scene_faults(whole: DataFrame, faults: DataFrame | None = None) -> DataFrame
     return scenes.join(more, "scene", "left").fillna({"other_faults": "", "_n": 0}).withColumn("n_errors", F.col("n_errors") + F.col("_n")).drop("_n")
 
 
-def checked(scenes: DataFrame, taken: DataFrame, batch: Batch, points: DataFrame | None = None) -> dict[str, DataFrame]:
-    """Status and summaries of scenes from their structure and the samples taken; with tracked points (scene, camera_id, frame_index, residual) also epipolar warnings."""
+def checked(whole: DataFrame, scenes: DataFrame, taken: DataFrame, batch: Batch, points: DataFrame | None = None) -> dict[str, DataFrame]:
+    """Status, reports and summaries of scenes from their inventory, their structure and the samples taken; with tracked points (scene, camera_id, frame_index, residual) also epipolar warnings."""
     limits, keys = batch.limits, ["scene", "camera_id", "frame_index"]
     if points is None:
         odd = scenes.where("false")
@@ -54,7 +56,8 @@ def checked(scenes: DataFrame, taken: DataFrame, batch: Batch, points: DataFrame
         means = export_qa.residual_stats(points.join(taken.select(*keys), keys, "left_semi"), keys).where("mean is not null")
         odd = export_qa.epipolar_warnings(means.select(*keys, "mean"), limits=limits)
     status = export_qa.classify(scenes, taken, odd, limits)
-    return {"summary": export_qa.batch_summary(status, taken), "structure": scenes, "samples": taken, **({} if points is None else {"epipolar": odd}), "status": status, "counts": export_qa.status_counts(status), "worst": export_qa.worst_of_batch(export_qa.worst_samples(taken, limits=limits))}
+    reports = export_qa.scene_reports(whole, scenes, taken, odd, status, limits)
+    return {"reports": reports, "scenes": reports.select("scene", "status", "summary", "sampling_plan.upgraded", "sampling_plan.final_sample_count"), "summary": export_qa.batch_summary(status, taken), "structure": scenes, "samples": taken, **({} if points is None else {"epipolar": odd}), "status": status, "counts": export_qa.status_counts(status), "worst": export_qa.worst_of_batch(export_qa.worst_samples(taken, limits=limits))}
 
 
 def export_qa_stage(spark: SparkSession, batch: Batch, scene: str | None = None, profile: str | None = None) -> dict[str, DataFrame]:
@@ -75,7 +78,11 @@ def export_qa_stage(spark: SparkSession, batch: Batch, scene: str | None = None,
     taken, lost = export_qa.adaptive_in_phases(read, views, files.written, limits)
     lost = lost.select("scene", F.lit("unreadable_frames").alias("fault")).distinct()
     given = batch.path("tracked_points")
-    return checked(scene_faults(whole, lacking.unionByName(lost)), taken, batch, spark.read.parquet(given) if given else None)
+    out = checked(whole, scene_faults(whole, lacking.unionByName(lost)), taken, batch, spark.read.parquet(given) if given else None)
+    if batch.path("checks_root"):  # a document for each scene, as this stage's files
+        told = out["reports"].select("scene", F.to_json(F.struct("*"), {"ignoreNullFields": "false"}).alias("text"))
+        out["report_files"] = files.written(files.write_files(told, batch.path("checks_root"), lambda r: (f"{r['scene']}/check_report.json", r["text"].encode()), ["scene"]), "reports")
+    return out
 
 
 RUN = {"sync-qa": sync_qa, "sync-clip": build.sync_clip, "calibrate": build.calibrate, "calibration-qa": build.calibration_qa, "rectify": build.rectify, "roi": build.release_region, "roi-qa": build.roi_qa, "export": build.export, "export-qa": export_qa_stage}

@@ -140,7 +140,7 @@ def qa(spark, root, monkeypatch):
     asked = []
     plain = exports.opened
     monkeypatch.setattr(exports, "opened", lambda s, r, wanted: (asked.append(wanted.select("scene", "camera_id", "frame_index").collect()), plain(s, r, wanted))[1])
-    batch = config.Batch({"batch_id": "b", "paths": {"output_root": str(root)}})
+    batch = config.Batch({"batch_id": "b", "paths": {"output_root": str(root), "checks_root": f"{root}/checks"}})
     tables = {k: v.collect() for k, v in stages.export_qa_stage(spark, batch, None, "benchmark").items()}
     files.clear(spark)
     return tables, asked
@@ -157,6 +157,17 @@ def test_sampling_in_two_phases(spark, tmp_path, monkeypatch):
     assert len(first) == 2 * 25 * 3 and {r.scene for r in second} == {"dark"}
     assert len(second) == 25 * 6  # the other three of nine are known already
     assert {(r.scene, r.upgraded, r["count"]) for r in spark.createDataFrame(tables["samples"]).groupBy("scene", "upgraded").count().collect()} == {("calm", False, 75), ("dark", True, 225)}
+    report = {r.scene: r for r in tables["reports"]}
+    assert {s: r.summary for s, r in report.items()} == {"calm": "sound", "dark": "black borders", "faulty": "structural faults, not sampled"}
+    assert report["faulty"].scene_errors == ["missing_metadata"] and report["faulty"].sampling_plan is None and report["calm"].suspicious_reasons == []
+    plan = report["dark"].sampling_plan
+    assert (plan.initial_sample_count, plan.final_sample_count, plan.upgraded) == (3, 9, True) and plan.sample_frame_indices == sorted(plan.sample_frame_indices)
+    assert ("CAM_A4", 0, "black_border") in {tuple(x) for x in report["dark"].suspicious_reasons} and ("CAM_B5", 39, "black_edge:top") in {tuple(x) for x in report["dark"].suspicious_reasons}
+    assert len(report["dark"].views) == 25 and len(report["dark"].views["CAM_A4"].border_samples) == 9 and report["dark"].views["CAM_A1"].output_resolution == [30, 20]
+    assert [w.rank for w in report["dark"].border_worst_cameras] == list(range(1, 11)) and report["dark"].border_worst_cameras[0].camera_id in ("CAM_A4", "CAM_B5")
+    told = json.loads((tmp_path / "checks" / "dark" / "check_report.json").read_text())
+    assert told["status"] == "fail" and len(told["views"]["CAM_E5"]["border_samples"]) == 9 and told["sampling_plan"]["final_sample_count"] == 9
+    assert {(r.scene, r.status, r.upgraded, r.final_sample_count) for r in tables["scenes"]} == {("calm", "pass", False, 3), ("dark", "fail", True, 9), ("faulty", "fail", None, None)}
     # the same samples as of all frames at once
     listed = exports.listing(spark, str(root))
     views = exports.inventory(listed).where("frame_files = 40").select("scene", "camera_id", "frame_files")

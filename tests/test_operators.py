@@ -375,3 +375,17 @@ def test_tolerant_documents(spark, tmp_path):
     reasons = {(r.file[-6], r.path, r.reason) for r in faults.collect()}
     assert reasons >= {("1", '$["roi_asset_version"]', "missing"), ("1", '$["safe_rect_roi"]', "missing"), ("2", '$["schema_version"]', "unknown version"), ("3", '$["rectification_asset_version"]', "missing")} and not any(f == "0" for f, *_ in reasons)
     assert any(f == "3" and p == '$["final_release_crop_16_9"]' for f, p, _ in reasons)
+
+
+def test_master_videos_and_best_orientation(spark):
+    from lumengrid.operators import calibration
+    from lumengrid.sources import media
+
+    paths = ["/v/CAM_A1/0002.MP4", "/v/CAM_A2/0002.MP4", "/v/CAM_A1/0001.mp4", "/v/CAM_A1/b.mp4", "/v/CAM_A1/B2.mp4", "/v/CAM_A1/notes.txt"]
+    files = spark.createDataFrame([(p, p.rsplit("/", 1)[-1]) for p in paths], "path string, name string")
+    assert [r.name for r in media.master_videos(files).collect()] == ["0001.mp4", "0002.MP4", "b.mp4", "B2.mp4"]
+    review = spark.createDataFrame([("B.MP4",), ("0002.mp4",), ("gone.mp4",)], "scene string")
+    assert [r.name for r in media.master_videos(files, review).collect()] == ["0002.MP4", "b.mp4"]
+    one = spark.range(1).select(F.array(F.lit(1.0), F.lit(3.0), F.lit(3.0), F.lit(-1.0)).alias("s"), F.array(F.lit(0.6), F.lit(0.8)).alias("a"), F.array(F.lit(0.8), F.lit(-0.6)).alias("b"))
+    r = one.select(calibration.best_candidate(F.col("s")).alias("best"), calibration.dot(F.col("a"), F.col("b")).alias("zero"), calibration.dot(F.col("a"), F.col("a")).alias("one")).first()
+    assert r.best == 1 and abs(r.zero) < 1e-12 and abs(r.one - 1) < 1e-12
