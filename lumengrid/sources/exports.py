@@ -205,8 +205,12 @@ def _decoded(store: fs.FileSystem, path: str) -> tuple[int | None, int | None, b
         return None, None, None, f"{type(e).__name__}: {e}"[:200]
 
 
+#: Names of JPEGs that one pattern lists.
+MOST_NAMES = 1000
+
+
 def opened(spark: SparkSession, root: str, wanted: DataFrame) -> DataFrame:
-    """The frames of `wanted` (scene, camera_id, frame_index, view_id, name) with h, w, data and, for one that can't be read, the reason. Each row's file is opened, by the task that holds the row, and no other. PNGs are decoded in the task; JPEGs by Spark's image source, which is given the wanted names only."""
+    """The frames of `wanted` (scene, camera_id, frame_index, view_id, name) with h, w, data and, for one that can't be read, the reason. Each row's file is opened, by the task that holds the row, and no other. PNGs are decoded in the task; JPEGs by Spark's image source, which is given the wanted names only, up to MOST_NAMES different ones."""
     keys = ["scene", "camera_id", "frame_index"]
     png = F.lower("name").endswith(".png")
     kind = "scene string, camera_id string, frame_index int, h int, w int, data binary, reason string"
@@ -221,9 +225,11 @@ def opened(spark: SparkSession, root: str, wanted: DataFrame) -> DataFrame:
 
     own = wanted.select(*keys, "view_id", "name")
     out = own.where(png).repartition(_parts(spark), *keys).mapInArrow(run, kind)
-    names = [r.name for r in own.where(~png).select("name").distinct().limit(1000).collect()]  # a sampling plan asks for some names a number of frames
+    names = [r.name for r in own.where(~png).select("name").distinct().limit(MOST_NAMES + 1).collect()]  # a sampling plan asks for some names for each number of frames
     if not names:
         return out
+    if len(names) > MOST_NAMES:  # then all are read, and the wanted ones kept
+        names = ["*.[jJ][pP][gG]"]
     parts = F.split("path", "/")
     read = media.images(spark, f"{root}/*/view_*/{{{','.join(sorted(names))}}}")
     read = read.select(F.element_at(parts, -3).alias("scene"), F.element_at(parts, -2).alias("view_id"), F.element_at(parts, -1).alias("name"), "h", "w", "data")

@@ -296,3 +296,21 @@ def test_killed_tasks(tmp_path):
     assert len(pictures(root)) == 300 and sorted(p.name for p in root.iterdir()) == ["a", "b"]
     assert exports.read_png((root / "b" / "view_24" / "000006.png").read_bytes())[0, 0, 0] == 77
     assert len(CAMERAS) == len(list((root / "a").iterdir()))
+
+
+#: A JPEG of one grey pixel block, 8 x 8.
+JPEG = "ffd8ffe000104a46494600010100000100010000ffdb004300" + "10" * 64 + "ffc0000b080008000801011100ffc4001f0000010501010101010100000000000000000102030405060708090a0bffc400b5100002010303020403050504040000017d01020300041105122131410613516107227114328191a1082342b1c11552d1f02433627282090a161718191a25262728292a3435363738393a434445464748494a535455565758595a636465666768696a737475767778797a838485868788898a92939495969798999aa2a3a4a5a6a7a8a9aab2b3b4b5b6b7b8b9bac2c3c4c5c6c7c8c9cad2d3d4d5d6d7d8d9dae1e2e3e4e5e6e7e8e9eaf1f2f3f4f5f6f7f8f9faffda0008010100003f00" + "28a0" + "ffd9"
+
+
+def test_jpegs_by_name(spark, tmp_path, monkeypatch):
+    for v in range(2):
+        at = tmp_path / "s" / f"view_{v:02d}"
+        at.mkdir(parents=True)
+        for k in range(4):
+            (at / f"{k + 1:06d}.jpg").write_bytes(bytes.fromhex(JPEG) if k != 3 else b"torn")
+    names = exports.frame_names(exports.listing(spark, str(tmp_path)))
+    plan = names.where("frame_index in (0, 3)")
+    for most in (1000, 1):
+        monkeypatch.setattr(exports, "MOST_NAMES", most)
+        got = {(r.camera_id, r.frame_index): (r.h, r.w, r.reason) for r in exports.opened(spark, str(tmp_path), plan).collect()}
+        assert got == {(c, k): ((8, 8, None) if k == 0 else (None, None, "unreadable")) for c in ("CAM_A1", "CAM_A2") for k in (0, 3)}
