@@ -23,22 +23,36 @@ def lanczos(t: np.ndarray) -> np.ndarray:
     return w / w.sum(axis=-1, keepdims=True)
 
 
+#: Parts of a pixel to which positions are rounded, and rows of a map that are sampled together.
+PARTS, TOGETHER = 32, 64
+_WEIGHTS = lanczos(np.arange(PARTS) / PARTS).astype(np.float32)
+
+
 def remap(image: np.ndarray, map_x: np.ndarray, map_y: np.ndarray) -> np.ndarray:
-    """Sample an image at float positions; outside it is black. Weights are applied along x, then y."""
-    h, w = image.shape[:2]
-    x0, y0 = np.floor(map_x).astype(np.int64), np.floor(map_y).astype(np.int64)
-    wx, wy = lanczos(map_x - x0), lanczos(map_y - y0)
-    out = np.zeros((*map_x.shape, image.shape[2]))
-    for j in range(8):
-        y = y0 + j - 3
-        row_ok = (y >= 0) & (y < h)
-        line = np.zeros_like(out)
-        for i in range(8):
-            x = x0 + i - 3
-            ok = row_ok & (x >= 0) & (x < w)
-            line += np.where(ok, wx[..., i], 0)[..., None] * image[np.where(ok, y, 0), np.where(ok, x, 0)]
-        out += wy[..., j, None] * line
-    return np.clip(np.rint(out), 0, 255).astype(np.uint8)
+    """Sample an image at float positions, rounded to 1 / PARTS of a pixel, so that weights come from a table; outside it is black. Works through the map some rows at a time, so memory is that of the image and of these rows."""
+    h, w, channels = image.shape
+    rim = 8
+    wide = w + 2 * rim
+    padded = np.zeros((h + 2 * rim, wide, channels), dtype=np.float32)
+    padded[rim:-rim, rim:-rim] = image
+    flat = padded.reshape(-1, channels)
+    out = np.empty((*map_x.shape, channels), dtype=np.uint8)
+    for at in range(0, map_x.shape[0], TOGETHER):
+        x, y = (np.rint(np.clip(np.nan_to_num(m[at : at + TOGETHER].astype(np.float64), nan=-1e6), -1e6, 1e6) * PARTS).astype(np.int64) for m in (map_x, map_y))
+        near = (x >= -5 * PARTS) & (x < (w + 4) * PARTS) & (y >= -5 * PARTS) & (y < (h + 4) * PARTS)  # others see black only
+        x, y = x[near], y[near]
+        first = ((y // PARTS) - 3 + rim) * wide + (x // PARTS) - 3 + rim
+        wx, wy = _WEIGHTS[x % PARTS], _WEIGHTS[y % PARTS]
+        total = np.zeros((len(x), channels), dtype=np.float32)
+        for j in range(8):
+            line = np.zeros_like(total)
+            for i in range(8):
+                line += wx[:, i, None] * flat[first + (j * wide + i)]
+            total += wy[:, j, None] * line
+        band = np.zeros((*near.shape, channels), dtype=np.uint8)
+        band[near] = np.clip(np.rint(total), 0, 255)
+        out[at : at + TOGETHER] = band
+    return out
 
 
 def _area(n: int, m: int) -> np.ndarray:
@@ -103,9 +117,10 @@ def crop(image: np.ndarray, rect: dict) -> np.ndarray:
 
 
 def process(image: np.ndarray, map_x: np.ndarray, map_y: np.ndarray, region: dict, release: dict, profile: Profile, table: np.ndarray | None) -> np.ndarray:
-    """The fixed order: remap, common region, release crop, resize, colour, bit depth."""
-    out = crop(remap(image, map_x, map_y), region)
-    out = crop(out, {**release, "x": release["x"] - region["x"], "y": release["y"] - region["y"]})
+    """The fixed order: remap, common region, release crop, resize, colour, bit depth. Crops move no pixel, so the map is cropped, and only what is left of it is sampled."""
+    maps = [crop(m, region) for m in (map_x, map_y)]
+    inner = {**release, "x": release["x"] - region["x"], "y": release["y"] - region["y"]}
+    out = remap(image, *(crop(m, inner) for m in maps))
     if profile.resize:
         out = resize(out, *profile.resize)
     if table is not None and profile.color_standardised:

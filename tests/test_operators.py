@@ -172,6 +172,20 @@ def test_kernels():
     image = rng.integers(0, 256, (40, 50, 3), dtype=np.uint8)
     y, x = np.mgrid[0:40, 0:50].astype(float)
     assert (frames.remap(image, x, y) == image).all()
+    rng = np.random.default_rng(9)
+    u, v = rng.uniform(-7, image.shape[1] + 6, (70, 9)).astype(np.float32), rng.uniform(-7, image.shape[0] + 6, (70, 9)).astype(np.float32)
+    sampled = frames.remap(image, u, v)
+    for p in zip(*np.nonzero(u < 1e9)):  # tap by tap
+        px, py = int(np.rint(float(u[p]) * 32)), int(np.rint(float(v[p]) * 32))
+        wx, wy = frames.lanczos(np.array(px % 32 / 32)), frames.lanczos(np.array(py % 32 / 32))
+        total = np.zeros(3)
+        for j in range(8):
+            for i in range(8):
+                a, b = px // 32 + i - 3, py // 32 + j - 3
+                if 0 <= a < image.shape[1] and 0 <= b < image.shape[0]:
+                    total += wx[i] * wy[j] * image[b, a]
+        assert np.abs(sampled[p].astype(int) - np.clip(np.rint(total), 0, 255)).max() <= 1
+    assert not frames.remap(image, np.full((2, 2), np.nan, np.float32), np.zeros((2, 2), np.float32)).any()
     assert (frames.remap(image, x + 3, y)[:, :-3] == image[:, 3:]).all() and not frames.remap(image, x + 100, y).any()
     half = frames.resize(image, 25, 20)
     assert np.abs(half.astype(int) - np.rint(image.reshape(20, 2, 25, 2, 3).mean(axis=(1, 3)))).max() <= 1
