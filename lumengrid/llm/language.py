@@ -111,16 +111,22 @@ def counts(text: str | None, piece: int = PIECE) -> np.ndarray | None:
 
 def vectors(texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
     """Unit vectors of the texts that have a letter, and which those are."""
-    got = [counts(t) for t in texts]
-    has = np.array([g is not None for g in got], dtype=bool)
-    x = np.sqrt(np.array([g for g in got if g is not None], dtype=np.float32).reshape(-1, CELLS))
-    return x / np.linalg.norm(x, axis=1, keepdims=True), has
+    x, has = np.empty((len(texts), CELLS), dtype=np.float32), np.zeros(len(texts), dtype=bool)
+    n = 0
+    for i, t in enumerate(texts):
+        own = counts(t)
+        if own is not None:
+            x[n], has[i], n = own, True, n + 1
+    x = x[:n]
+    np.sqrt(x, out=x)
+    x /= np.linalg.norm(x, axis=1, keepdims=True)
+    return x, has
 
 
 def fit_machine(x: np.ndarray, y: np.ndarray, ridge: float = RIDGE, rounds: int = 30) -> np.ndarray:
     """Weights, the intercept last, of a linear support vector machine with squared hinge loss; y is 1 or -1, and both sides weigh alike. Newton's method in the sample's space: only rows within the margin take part in a step."""
-    x = np.column_stack([x, np.ones(len(x), dtype=np.float32)])
     gram = (x @ x.T).astype(np.float64)
+    gram += 1  # the intercept is a component that is always 1
     weight = np.where(y > 0, 0.5 / max(1, (y > 0).sum()), 0.5 / max(1, (y < 0).sum())) * len(y)
     beta, f = np.zeros(len(y)), np.zeros(len(y))
     active = np.ones(len(y), dtype=bool)
@@ -128,13 +134,15 @@ def fit_machine(x: np.ndarray, y: np.ndarray, ridge: float = RIDGE, rounds: int
         k = np.flatnonzero(active)
         beta[:] = 0
         if len(k):
-            beta[k] = np.linalg.solve(gram[np.ix_(k, k)] + np.diag(ridge / weight[k]), y[k])
+            own = gram[np.ix_(k, k)]
+            own[np.arange(len(k)), np.arange(len(k))] += ridge / weight[k]
+            beta[k] = np.linalg.solve(own, y[k])
         f = gram @ beta
         now = y * f < 1
         if (now == active).all():
             break
         active = now
-    return x.T @ beta
+    return np.append(x.T @ beta.astype(np.float32), beta.sum())
 
 
 _MACHINE = "kind string, one string, two string"
@@ -154,10 +162,9 @@ class Model:
         x, has = vectors(texts)
         if not self.families:
             return [(UNKNOWN, 0.0)] * len(texts)
-        x = np.column_stack([x, np.ones(len(x), dtype=np.float32)])
         sure = lambda m: 1 / (1 + np.exp(-STEEP * np.clip(m, -8, 8)))
-        top = x @ self.rest if len(self.families) > 1 else np.full((len(x), 1), 8.0)
-        two = x @ self.versus
+        top = x @ self.rest[:-1] + self.rest[-1] if len(self.families) > 1 else np.full((len(x), 1), 8.0)
+        two = x @ self.versus[:-1] + self.versus[-1]
         out = iter(self._one(top[i], two[i], sure) for i in range(len(x)))
         return [next(out) if h else (UNKNOWN, 0.0) for h in has]
 
