@@ -166,7 +166,7 @@ def _dropped(record: dict, m: Mapping) -> list[str]:
     return sorted(out)
 
 
-def canonical(record, known: dict[str, Mapping]) -> tuple[str | None, list[tuple[str, str]], list[str]]:
+def mapped(record, known: dict[str, Mapping]) -> tuple[str | None, list[tuple[str, str]], list[str]]:
     """The layout's name, the turns (role, text), and the paths of what they don't show."""
     m = resolve(paths(record), known) if isinstance(record, dict) else None
     items = [] if m is None else record[m.turns] if m.turns else [record]
@@ -186,6 +186,11 @@ def canonical(record, known: dict[str, Mapping]) -> tuple[str | None, list[tuple
     return m.name, out, _dropped(record, m)
 
 
+def canonical(record, known: dict[str, Mapping]) -> tuple[str | None, list[tuple[str, str]]]:
+    """The layout's name and the turns of a record."""
+    return mapped(record, known)[:2]
+
+
 def _decoded(text: str | None):
     try:
         return json.loads(text) if text else None
@@ -229,7 +234,7 @@ def turns_of(records: DataFrame, conv: str, turn: str, record: str) -> DataFrame
             out = []
             for text in column.to_pylist():
                 data = _decoded(text)
-                layout, own, gone = canonical(data, known)
+                layout, own, gone = mapped(data, known)
                 out.append({"layout": layout, "fingerprint": fingerprint(paths(data)) if isinstance(data, dict) else None, "dropped": gone, "turns": [{"role": r, "text": t} for r, t in own]})
                 if len(known) > MOST_LAYOUTS:
                     known = registry()

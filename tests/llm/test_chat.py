@@ -37,8 +37,8 @@ def test_all_layouts(spark):
     assert {r.layout: r.n_records for r in chat.layouts(rows).collect()} == dict.fromkeys(RECORDS, 1)
 
 
-def canonical(record):
-    return chat.canonical(record, chat.registry())
+def mapped(record):
+    return chat.mapped(record, chat.registry())
 
 
 def test_content_parts_calls_history_and_system(spark):
@@ -58,7 +58,7 @@ def test_content_parts_calls_history_and_system(spark):
         ({"x": 1, "y": ""}, None, [], ["x"]),
     ]
     for record, name, turns, gone in cases:
-        got = canonical(record)
+        got = mapped(record)
         if turns is None:
             assert "{" not in "".join(t for _, t in got[1]) and got[2]
         else:
