@@ -37,6 +37,7 @@ def sync_clip(spark: SparkSession, batch: Batch, scene: str | None = None, profi
     clips = sync.clip_starts(rows, delay, fps)
     common = sync.common_durations(clips.withColumn("start", F.col("cut")), batch.limits)
     clips = clips.join(common, "video").withColumn("name", F.concat("camera_id", F.lit("/"), media.scene_id(F.col("video"))))
+    # field names of the sidecar document: fixed values
     sidecars = clips.select("name", F.col("video").alias("source_video"), F.col("camera_id").alias("camera"), F.lit(fps).alias("fps"), F.struct(F.col("clap").alias("master_clap_time"), "offset_ms", "phase_error_ms").alias("sync_info"), F.struct(F.col("cut").alias("start_time"), F.col("common_duration").alias("duration")).alias("clip_info"))
     out = {"clips": clips.select("video", "camera_id", "frame", "cut", "phase_error_ms", "common_duration"), "sidecars": sidecars}
     if batch.path("synced_root"):
@@ -97,6 +98,7 @@ def rectify(spark: SparkSession, batch: Batch, scene: str | None = None, profile
     m = spark.range(1).select(calibration.virtual_matrix(F.lit(float(master[0][0])), F.lit(float(master[1][1])), F.lit(float(master[0][2])), F.lit(float(master[1][2])), region, width, height).alias("m")).first().m
     p = [[m.fx, 0.0, m.cx], [0.0, m.fy, m.cy], [0.0, 0.0, 1.0]]
     names = {c: f"{c}_rect_map.npz" for c in told}
+    # field names and versions of the rectification document: fixed values
     cameras = {c: {"map_file": names[c], "new_K": p, "applied_scale": m.scale, "image_size": [width, height]} for c in sorted(told)}
     head = {"schema_version": "rectification_meta_v2", "master_camera": REFERENCE, "image_size": [width, height], "crop_alpha": alpha}
     version = provenance.signature({**head, "calibration": {c: {"K": r.K, "R_rel": r.R_rel} for c, r in sorted(told.items())}})
@@ -140,6 +142,7 @@ def release_region(spark: SparkSession, batch: Batch, scene: str | None = None,
     edges = roi.margins(frames.rim_pixels(maps, crop), crop, width, height).cache()
     least = {r.camera_id: float(r.min_margin) for r in edges.where("camera_id is not null and edge is null").collect()}
     total = edges.where("camera_id is null").first()
+    # field names, versions and policy names of the region's document: fixed values
     checks = {"status": "pass", "common_valid_mask_bbox": box, "safe_rect_contains_only_valid_pixels": True, "final_crop_inside_safe_rect": True, "final_crop_is_exact_16_9": True}
     document = {
         "schema_version": "release_roi_metadata_v2", "rectification_asset_version": told.asset_version, "image_size": [width, height], "roi_policy_version": "roi_policy_v2", "roi_policy": "largest_rectangle_valid_in_all_views", "roi_generation_method": "mask_intersection_with_margin_and_largest_safe_rectangle",
