@@ -18,6 +18,7 @@ that no long holds is null; further columns aren't read, so none can clash.
 from __future__ import annotations
 
 import hashlib
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -44,16 +45,13 @@ def integers(vectors: pa.Array, dimensions: int = DIMENSIONS, scale: int = SCALE
     flat = vectors.take(pa.array(rows)).flatten()
     x = flat.cast(pa.float64()).to_numpy(zero_copy_only=False).reshape(-1, dimensions) if len(rows) else np.empty((0, dimensions))
     given = np.isfinite(x).all(axis=1)  # a null is NaN by now
-    x = np.floor(x[given] * scale)
+    x = x[given]
     kept = np.zeros(len(sizes), dtype=bool)
     kept[rows[given]] = True
-    if not x.size or np.abs(x).max() < 1 << 62:
-        return kept, x.astype(np.int64)
-    whole = np.isfinite(x)
-    if not whole.all():  # scale * x left float64: reckoned in integers
-        raw = flat.cast(pa.float64()).to_numpy(zero_copy_only=False).reshape(-1, dimensions)[given]
-        return kept, np.array([[int(v) * scale for v in row] for row in raw], dtype=object)
-    return kept, np.array([[int(v) for v in row] for row in x], dtype=object)
+    if not x.size or np.abs(x).max() < (1 << 62) / scale:
+        return kept, np.floor(x * scale).astype(np.int64)
+    # from 2^53 on a float is a whole number, and its multiple may leave float64
+    return kept, np.array([[math.floor(v * scale) if abs(v) < EXACT_FLOAT else int(v) * scale for v in row] for row in x.tolist()], dtype=object)
 
 
 def _largest(a: np.ndarray) -> int:

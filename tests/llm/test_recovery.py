@@ -13,7 +13,6 @@ RUN = """
 import os, signal, sys, time
 sys.path.insert(0, {repo!r})
 from pyspark.sql import SparkSession
-import psutil
 import corpus_pipeline
 from lumengrid.llm.common import clear, made, saved, table
 
@@ -23,14 +22,24 @@ spark = (SparkSession.builder.master("local-cluster[2,1,1024]").config("spark.ch
 spark.sparkContext.setLogLevel("ERROR")
 
 def executors():
-    return [p for p in psutil.Process().children(recursive=True) if "CoarseGrainedExecutorBackend" in " ".join(p.cmdline())]
+    # processes of this session: their class path names its own home
+    out = set()
+    for pid in filter(str.isdigit, os.listdir("/proc")):
+        try:
+            with open(f"/proc/{{pid}}/cmdline", "rb") as f:
+                told = f.read().decode(errors="replace")
+        except OSError:
+            continue
+        if "CoarseGrainedExecutorBackend" in told and os.environ["SPARK_HOME"] in told:
+            out.add(int(pid))
+    return out
 
 def replaced(all_of_them=True):
     old = executors()
-    for p in old if all_of_them else old[:1]:
-        p.send_signal(signal.SIGKILL)
+    for pid in sorted(old) if all_of_them else sorted(old)[:1]:
+        os.kill(pid, signal.SIGKILL)
     for _ in range(300):
-        if len([p for p in executors() if p not in old]) >= (len(old) if all_of_them else 1):
+        if len(executors() - old) >= (len(old) if all_of_them else 1):
             return
         time.sleep(0.2)
     raise SystemExit("no new executor")
